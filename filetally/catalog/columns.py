@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from filetally import functions as fn
 from filetally.catalog.registry import query
 from filetally.fixtures import HAS_OFFSET, INSTANT, fixture, table
-from filetally.functions.times import format_utc
+from filetally.functions.times import format_utc, last_modified
 from filetally.operators.versions import MARKDOWN_SUFFIXES, with_transferable
 
 
@@ -16,7 +16,7 @@ from filetally.operators.versions import MARKDOWN_SUFFIXES, with_transferable
     uses="fx_links",
 )
 def path_scope(spark, sf):
-    path = F.lower("path_display")
+    path = "lower(path_display)"
     return fixture(spark, sf, "fx_links").select(
         "url", fn.in_scope(path, "/WEB/").alias("in_web"), fn.in_scope(path, "").alias("in_any")
     )
@@ -30,7 +30,7 @@ def path_scope(spark, sf):
     uses="fx_source",
 )
 def relative_paths(spark, sf):
-    path = fn.relative_path(F.lower("path_display"), F.col("path_display"), "/source-ROOT")
+    path = fn.relative_path("lower(path_display)", "path_display", "/source-ROOT")
     return fixture(spark, sf, "fx_source").select(
         "file_id", path.normalized.alias("normalized"), path.display.alias("display")
     )
@@ -43,7 +43,7 @@ def relative_paths(spark, sf):
 )
 def safe_paths(spark, sf):
     return fixture(spark, sf, "fx_records").select(
-        "idx", "path", fn.is_safe_relative(F.col("path")).alias("safe")
+        "idx", "path", fn.is_safe_relative("path").alias("safe")
     )
 
 
@@ -56,7 +56,7 @@ def glob_filter(spark, sf):
     globs = ["**/*.PDF", "old/**", "[A-Z][A-Z]/*/Doc-?2.txt"]
     return (
         fixture(spark, sf, "fx_version_state")
-        .where(fn.matches_globs(F.col("path"), globs))
+        .where(fn.matches_globs("path", globs))
         .select("file_id", "path")
     )
 
@@ -68,7 +68,7 @@ def glob_filter(spark, sf):
     uses="fx_source",
 )
 def file_extensions(spark, sf):
-    suffix = fn.extension(F.col("name"))
+    suffix = fn.extension("name")
     return fixture(spark, sf, "fx_source").select(
         "file_id",
         suffix.alias("extension"),
@@ -97,7 +97,7 @@ _AT = INSTANT.format("modified_at")
     uses="fx_records",
 )
 def utc_times(spark, sf):
-    raw = F.col("modified_at")
+    raw = "modified_at"
     return fixture(spark, sf, "fx_records").select(
         "idx",
         fn.to_utc(raw, "keep").alias("kept"),
@@ -113,10 +113,10 @@ def utc_times(spark, sf):
     uses="fx_destination",
 )
 def surrogate_keys(spark, sf):
-    parts = F.col("file_id"), F.col("rev"), F.col("content_hash")
+    parts = "file_id", "rev", "content_hash"
     return fixture(spark, sf, "fx_destination").select(
         "file_id",
-        fn.entry_key(F.lit("file"), F.col("file_id")).alias("entry_key"),
+        fn.entry_key("'file'", "file_id").alias("entry_key"),
         fn.version_key(*parts).alias("version_key"),
         fn.property_key(*parts).alias("property_key"),
     )
@@ -135,8 +135,8 @@ def last_modified_times(spark, sf):
         F.col("idx").alias("ordinal"), F.col("modified_at").alias("server_modified")
     )
     files = fixture(spark, sf, "fx_source").join(records, "ordinal")
-    instant = fn.last_modified(F.col("server_modified"), F.col("client_modified"))
-    return files.select("file_id", format_utc(instant).alias("last_modified"))
+    instant = format_utc(last_modified("server_modified", "client_modified"))
+    return files.selectExpr("file_id", f"{instant} AS last_modified")
 
 
 @query(
@@ -158,8 +158,8 @@ def media_types(spark, sf):
     uses="fx_version_state",
 )
 def target_paths(spark, sf):
-    target = fn.target_path("/Exports", F.col("path"))
-    folders = fn.ancestors(target, "/Exports")
+    target = fn.target_path("/Exports", "path")
+    folders = fn.ancestors("concat('/Exports/', path)", "/Exports")
     return fixture(spark, sf, "fx_version_state").select(
         target.alias("target"),
         F.get(folders, F.lit(0)).alias("first_folder"),
@@ -173,7 +173,7 @@ def target_paths(spark, sf):
 )
 def folded_text(spark, sf):
     return table(spark, sf, "documents").select(
-        "doc_id", F.md5(fn.fold(F.col("text"))).alias("folded_md5")
+        "doc_id", F.md5(fn.fold("text")).alias("folded_md5")
     )
 
 
@@ -184,5 +184,5 @@ def folded_text(spark, sf):
     uses="fx_source",
 )
 def transfer_paths(spark, sf):
-    path = fn.transfer_path(F.col("path_display"), F.col("name"), "/source-root/")
+    path = fn.transfer_path("path_display", "name", "/source-root/")
     return fixture(spark, sf, "fx_source").select("file_id", path.alias("transfer_path"))

@@ -7,7 +7,7 @@ from filetally.fixtures import fixture
 from filetally.operators import relations, warehouse
 from filetally.operators.contract import check_contract, check_state
 from filetally.operators.keyed import dedupe_replay, dedupe_strict, duplicate_keys
-from filetally.schemas import LINK, SHARED_FOLDER
+from filetally.schemas import LINK, SHARED_FOLDER, complete
 from filetally.session import scratch
 from filetally.sources.listing import (
     as_listing_rows,
@@ -183,14 +183,8 @@ def _landed_links(spark, sf):
             F.lit("viewer").alias("link_access_level"),
         ).alias("link_permissions"),
     )
-    present = set(landed.columns)
     path = scratch(spark, "links")
-    landed.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in LINK.fields
-        ]
-    ).write.parquet(path)
+    complete(landed, LINK).write.parquet(path)
     return read_links(spark, path)
 
 
@@ -249,14 +243,8 @@ def _landed_folders(spark, sf):
     raw = fixture(spark, sf, "fx_shared_folders").withColumn(
         "path_lower", F.lower("path_display")
     )
-    present = set(raw.columns)
     path = scratch(spark, "shared-folders")
-    raw.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in SHARED_FOLDER.fields
-        ]
-    ).write.parquet(path)
+    complete(raw, SHARED_FOLDER).write.parquet(path)
     return read_shared_folders(spark, path)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from filetally.fixtures import as_ctes, fixture
 from filetally.sources.listing import as_listing_rows
@@ -33,22 +32,23 @@ def query(sql: str | None = None, uses: str = ""):
 def file_listing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A file fixture as listing rows."""
     return as_listing_rows(
-        fixture(spark, sf_dir, name)
-        .withColumnRenamed("file_id", "id")
-        .withColumn("entry_type", F.lit("file"))
-        .withColumn("path_lower", F.lower("path_display"))
-        .withColumn("page", F.floor(F.col("ordinal") / 100))
+        fixture(spark, sf_dir, name).selectExpr(
+            "*", "file_id AS id", "'file' AS entry_type", "lower(path_display) AS path_lower",
+            "floor(ordinal / 100) AS page",
+        )
     )
 
 
 def change_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log as listing rows of files, folders and deletions."""
-    raw = fixture(spark, sf_dir, "fx_change_log")
-    is_file = F.col("entry_type") == "file"
     return as_listing_rows(
-        raw.withColumn("id", F.when(F.col("entry_type") != "deleted", F.col("file_id")))
-        .withColumn("path_lower", F.lower("path_display"))
-        .withColumn("rev", F.when(is_file, F.col("rev")))
-        .withColumn("size", F.when(is_file, F.col("size")))
-        .withColumn("content_hash", F.when(is_file, F.col("content_hash")))
+        fixture(spark, sf_dir, "fx_change_log").selectExpr(
+            "page", "ordinal", "entry_type", "name", "path_display",
+            "lower(path_display) AS path_lower",
+            "CASE WHEN entry_type <> 'deleted' THEN file_id END AS id",
+            *[
+                f"CASE WHEN entry_type = 'file' THEN {c} END AS {c}"
+                for c in ("rev", "size", "content_hash")
+            ],
+        )
     )

@@ -1,22 +1,19 @@
-"""Surrogate keys. Plain ``concat`` keeps a null part visible as a null key."""
+"""Surrogate keys, as SQL text. Plain ``concat`` keeps a null part visible as a null key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def entry_key(kind: str, identity: str) -> str:
+    return f"concat({kind}, ':', {identity})"
 
-def entry_key(kind: Column, identity: Column) -> Column:
-    return F.concat(kind, F.lit(":"), identity)
 
+def property_key(file_id: str, template_id: str, field: str) -> str:
+    return f"concat({file_id}, '|', {template_id}, '|', {field})"
 
-def property_key(file_id: Column, template_id: Column, field: Column) -> Column:
-    return F.concat(file_id, F.lit("|"), template_id, F.lit("|"), field)
 
+def acl_key(resource_id: str, principal_type: str, identity: str) -> str:
+    return f"concat({resource_id}, '|', {principal_type}, '|', {identity})"
 
-def acl_key(resource_id: Column, principal_type: Column, identity: Column) -> Column:
-    return F.concat(resource_id, F.lit("|"), principal_type, F.lit("|"), identity)
 
-
-def version_key(file_id: Column, rev: Column, content_hash: Column) -> Column:
-    return F.concat(file_id, F.lit(":"), rev, F.lit(":"), content_hash)
+def version_key(file_id: str, rev: str, content_hash: str) -> str:
+    return f"concat({file_id}, ':', {rev}, ':', {content_hash})"

@@ -5,9 +5,11 @@ from __future__ import annotations
 import mimetypes
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from filetally.guards import quote
+
 # Suffixes that stand for two, and suffixes that only name an encoding.
 SHORT_SUFFIXES = {
     ".svgz": ".svg.gz",
@@ -26,20 +28,20 @@ def _known_types() -> list[tuple[str, str]]:
     return sorted(mimetypes.MimeTypes(filenames=()).types_map[True].items())
 
 
-def media_suffix(name: Column) -> Column:
-    """The suffix that decides the type: short forms spelled out, one encoding removed."""
-    base = F.element_at(F.split(name, "/"), -1)
+def media_suffix(name: str) -> str:
+    """SQL for the suffix that decides the type: short forms spelled out, encoding removed."""
+    base = f"element_at(split({name}, '/'), -1)"
     for short, full in SHORT_SUFFIXES.items():
-        base = F.regexp_replace(base, rf"(?i)(?<=.)\{short}\z", full)
-    base = F.regexp_replace(base, rf"(?<=.){ENCODINGS}", "")
-    return F.lower(F.regexp_extract(base, r"^\.*[^.].*(\.[^.]*)\z", 1))
+        base = f"regexp_replace({base}, {quote(rf'(?i)(?<=.)\{short}\z')}, {quote(full)})"
+    base = f"regexp_replace({base}, {quote(rf'(?<=.){ENCODINGS}')}, '')"
+    return f"lower(regexp_extract({base}, {quote(r'^\.*[^.].*(\.[^.]*)\z')}, 1))"
 
 
 def with_media_type(df: DataFrame, name: str = "name", into: str = "media_type") -> DataFrame:
     """Add ``into``; unknown suffixes give null. The table has a fixed size, so it is broadcast."""
     types = df.sparkSession.createDataFrame(_known_types(), f"_suffix string, {into} string")
     return (
-        df.withColumn("_suffix", media_suffix(F.col(name)))
+        df.withColumn("_suffix", F.expr(media_suffix(name)))
         .join(F.broadcast(types), "_suffix", "left")
         .drop("_suffix")
     )

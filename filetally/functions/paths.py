@@ -1,4 +1,4 @@
-"""Path scope, relative paths, folding and globs.
+"""Path scope, relative paths, folding and globs, as SQL text.
 
 Everything but ``ancestors`` avoids higher-order functions, which would take a whole
 projection out of whole-stage codegen; segment rules are written as regular expressions.
@@ -10,10 +10,8 @@ import re
 from functools import lru_cache
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from filetally.errors import ConfigurationError
+from filetally.guards import quote
 
 # A '', '.' or '..' segment anywhere (which covers a leading, trailing or doubled '/'),
 # or a backslash. ``\z`` and not ``$``: the latter also matches before a last newline.
@@ -64,43 +62,44 @@ def _fold_rules() -> _FoldRules:
     )
 
 
-def fold(col: Column) -> Column:
+def fold(col: str) -> str:
     """Full Unicode case folding. ASCII values, told by their length, only pay for ``lower``."""
     rules = _fold_rules()
-    lowered = F.lower(col)
+    lowered = f"lower({col})"
     expanded = lowered
     for tail, chars in rules.suffixes:
-        expanded = F.regexp_replace(expanded, f"([{chars}])", f"$1{tail}")
-    unicode_text = F.when(lowered.rlike(f"[{rules.expanding}]"), expanded).otherwise(lowered)
-    return F.when(F.octet_length(col) == F.char_length(col), lowered).otherwise(
-        F.translate(unicode_text, rules.single_from, rules.single_to)
+        expanded = f"regexp_replace({expanded}, {quote(f'([{chars}])')}, {quote(f'$1{tail}')})"
+    return (
+        f"CASE WHEN octet_length({col}) = char_length({col}) THEN {lowered} ELSE translate("
+        f"CASE WHEN {lowered} RLIKE {quote(f'[{rules.expanding}]')} THEN {expanded} "
+        f"ELSE {lowered} END, {quote(rules.single_from)}, {quote(rules.single_to)}) END"
     )
 
 
-def in_scope(path: Column, root: str | None) -> Column:
+def in_scope(path: str, root: str | None) -> str:
     """Is ``path`` the root or below it, by whole components and ignoring case.
 
     A null or empty path is never in scope, not even for an empty root.
     """
-    present = path.isNotNull() & (path != "")
+    present = f"coalesce({path} <> '', false)"
     if not isinstance(root, str) or root == "":
         return present
-    base = root.rstrip("/").casefold()
-    folded = fold(path)
-    return F.coalesce(present & ((folded == base) | folded.startswith(f"{base}/")), F.lit(False))
+    base = quote(root.rstrip("/").casefold() + "/")
+    # The closing '/' makes the root itself and everything below it one prefix test.
+    return f"({present} AND startswith(concat({fold(path)}, '/'), {base}))"
 
 
-def is_safe_relative(path: Column) -> Column:
+def is_safe_relative(path: str) -> str:
     """Relative, and free of backslashes and of '', '.' and '..' segments; null is not safe."""
-    return F.coalesce(~path.rlike(UNSAFE_SEGMENT), F.lit(False))
+    return f"coalesce(NOT ({path} RLIKE {quote(UNSAFE_SEGMENT)}), false)"
 
 
 class RelativePath(NamedTuple):
-    normalized: Column
-    display: Column
+    normalized: object
+    display: object
 
 
-def relative_path(path_lower: Column, path_display: Column, root: str) -> RelativePath:
+def relative_path(path_lower: str, path_display: str, root: str) -> RelativePath:
     """Both paths below ``root``: lower-cased key and case-keeping display.
 
     Both are null where either input is missing, lies outside the root or has an unsafe
@@ -108,70 +107,69 @@ def relative_path(path_lower: Column, path_display: Column, root: str) -> Relati
     """
     root = validate_root(root)
     prefix = f"{root.lower()}/"
-    usable = (
-        path_lower.isNotNull()
-        & (path_lower != "")
-        & path_display.isNotNull()
-        & (path_display != "")
-        & path_lower.startswith(prefix)
+    rest = f"lower(substring({path_lower}, {len(prefix) + 1}))"
+    normalized = (
+        f"CASE WHEN {path_display} <> '' AND startswith({path_lower}, {quote(prefix)}) "
+        f"AND {is_safe_relative(rest)} THEN {rest} END"
     )
-    rest = F.lower(F.substring(path_lower, len(prefix) + 1, 2**31 - 1))
-    normalized = F.when(usable & is_safe_relative(rest), rest)
     if root:
         depth = root.count("/")
-        segments = F.split(path_display, "/")
-        head = F.array_join(F.slice(segments, 2, depth), "/")
-        tail = F.array_join(F.slice(segments, 2 + depth, 2**31 - 1), "/")
-        under = (F.size(segments) - 1 > depth) & (fold(head) == root[1:].casefold()) & (tail != "")
-        display = F.when(under, tail).otherwise(normalized)
+        segments = f"split({path_display}, '/')"
+        head = f"array_join(slice({segments}, 2, {depth}), '/')"
+        tail = f"array_join(slice({segments}, {depth + 2}, 2147483647), '/')"
+        display = (
+            f"CASE WHEN size({segments}) > {depth + 1} AND {tail} <> '' "
+            f"AND {fold(head)} = {quote(root[1:].casefold())} THEN {tail} ELSE {rest} END"
+        )
     else:
-        display = F.when(
-            path_display.startswith("/"), F.substring(path_display, 2, 2**31 - 1)
-        ).otherwise(normalized)
-    return RelativePath(normalized, F.when(normalized.isNotNull(), display))
+        display = (
+            f"CASE WHEN startswith({path_display}, '/') THEN substring({path_display}, 2) "
+            f"ELSE {rest} END"
+        )
+    return RelativePath(normalized, f"CASE WHEN ({normalized}) IS NOT NULL THEN {display} END")
 
 
-def transfer_path(path_display: Column, name: Column, root: str) -> Column:
+def transfer_path(path_display: str, name: str, root: str) -> str:
     """Display path (or the name without one) relative to ``root``, case kept.
 
     A path outside the root only loses its leading slashes.
     """
-    path = F.when(path_display.isNotNull() & (path_display != ""), path_display).otherwise(name)
+    path = f"coalesce(nullif({path_display}, ''), {name})"
     root = root.rstrip("/")
-    outside = F.regexp_replace(path, "^/+", "")
+    outside = f"trim(LEADING '/' FROM {path})"
     if not root:
         return outside
-    inside = fold(path).startswith(f"{root.casefold()}/")
-    return F.when(inside, F.substring(path, len(root) + 2, 2**31 - 1)).otherwise(outside)
+    return (
+        f"CASE WHEN startswith({fold(path)}, {quote(root.casefold() + '/')}) "
+        f"THEN substring({path}, {len(root) + 2}) ELSE {outside} END"
+    )
 
 
-def target_path(root: str, relative: Column) -> Column:
+def target_path(root: str, relative: str) -> str:
     """Absolute path of ``relative`` below ``root``."""
-    return F.concat(F.lit(f"{validate_root(root)}/"), relative)
+    return f"concat({quote(validate_root(root) + '/')}, {relative})"
 
 
-def ancestors(path: Column, root: str) -> Column:
+def ancestors(path: str, root: str) -> str:
     """Folders of an absolute ``path`` strictly below ``root``, outermost first."""
-    depth = validate_root(root).count("/")
-    segments = F.split(path, "/")
-    last = F.size(segments) - 1
-    return F.when(
-        last > depth + 1,
-        F.transform(
-            F.sequence(F.lit(depth + 2), last),
-            lambda upto: F.array_join(F.slice(segments, F.lit(1), upto), "/"),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-
-
-def parent(path: Column) -> Column:
+    first = validate_root(root).count("/") + 2
+    segments = f"split({path}, '/')"
+    last = f"(size({segments}) - 1)"
+    return (
+        f"CASE WHEN {last} >= {first} THEN transform(sequence({first}, {last}), "
+        f"upto -> array_join(slice({segments}, 1, upto), '/')) "
+        "ELSE CAST(array() AS ARRAY<STRING>) END"
+    )
+
+
+def parent(path: str) -> str:
     """The folder an absolute path lies in ('' for the top level)."""
-    return F.regexp_replace(path, r"/[^/]*\z", "")
+    return f"regexp_replace({path}, {quote(r'/[^/]*\z')}, '')"
 
 
-def extension(name: Column) -> Column:
+def extension(name: str) -> str:
     """Lower-cased last suffix with its dot; '' for none (``.bashrc``, ``a.``, ``a``)."""
-    return F.lower(F.regexp_extract(name, r"^.+(\.[^./]+)\z", 1))
+    return f"lower(regexp_extract({name}, {quote(r'^.+(\.[^./]+)\z')}, 1))"
 
 
 def glob_pattern(globs: list[str]) -> str:
@@ -200,8 +198,8 @@ def _glob_expression(glob: str) -> str:
     return "".join(parts)
 
 
-def matches_globs(path: Column, globs: list[str]) -> Column:
+def matches_globs(path: str, globs: list[str]) -> str:
     """Does ``path`` match any of ``globs``; an empty list keeps every path."""
     if not globs:
-        return F.lit(True)
-    return F.coalesce(path.rlike(glob_pattern(globs)), F.lit(False))
+        return "true"
+    return f"coalesce({path} RLIKE {quote(glob_pattern(globs))}, false)"

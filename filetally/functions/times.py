@@ -1,4 +1,4 @@
-"""Instants from landed date-time strings.
+"""Instants from landed date-time strings, as SQL text.
 
 The raw string is kept in every relation, because offset presence and the difference
 between an absent and a malformed value both carry meaning.
@@ -6,54 +6,43 @@ between an absent and a malformed value both carry meaning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from filetally.errors import ConfigurationError
+from filetally.guards import quote
 
 _CLOCK = r"\d{2}:\d{2}(:\d{2}([.,]\d+)?)?"
 _OFFSET = r"(Z|[+-]\d{2}:\d{2})"
 WITH_OFFSET = rf"\A\d{{4}}-\d{{2}}-\d{{2}}[T ]{_CLOCK}{_OFFSET}\z"
-WITHOUT_OFFSET = rf"\A\d{{4}}-\d{{2}}-\d{{2}}([T ]{_CLOCK})?\z"
+ANY_OFFSET = rf"\A\d{{4}}-\d{{2}}-\d{{2}}([T ]{_CLOCK}{_OFFSET}?)?\z"
 # Records for writing demand the 'T' separator.
 RFC3339 = rf"\A\d{{4}}-\d{{2}}-\d{{2}}T{_CLOCK}{_OFFSET}\z"
 
 
-def has_offset(col: Column) -> Column:
-    return F.coalesce(col.rlike(WITH_OFFSET), F.lit(False))
-
-
-def _parsed(text: Column) -> Column:
-    return F.try_to_timestamp(F.translate(text, ",", "."))
+def has_offset(col: str) -> str:
+    return f"coalesce({col} RLIKE {quote(WITH_OFFSET)}, false)"
 
 
-def to_instant(col: Column, naive: str) -> Column:
+def to_instant(col: str, naive: str) -> str:
     """Timestamp of a raw string; null for a malformed one.
 
-    ``naive`` says what a value without offset is: ``null`` or ``assume_utc``.
+    ``naive`` says what a value without offset is: ``null`` or ``assume_utc``. The latter
+    relies on the session zone, which is UTC.
     """
-    aware = F.when(has_offset(col), _parsed(col))
-    if naive == "null":
-        return aware
-    if naive == "assume_utc":
-        return F.coalesce(
-            aware,
-            F.when(
-                col.rlike(WITHOUT_OFFSET),
-                _parsed(F.when(F.length(col) > 10, F.concat(col, F.lit("Z"))).otherwise(col)),
-            ),
-        )
-    raise ConfigurationError("naive must be keep, null or assume_utc.")
-
-
-def format_utc(instant: Column) -> Column:
+    accepted = {"null": WITH_OFFSET, "assume_utc": ANY_OFFSET}
+    if naive not in accepted:
+        raise ConfigurationError("naive must be keep, null or assume_utc.")
+    return (
+        f"CASE WHEN {col} RLIKE {quote(accepted[naive])} "
+        f"THEN try_to_timestamp(translate({col}, ',', '.')) END"
+    )
+
+
+def format_utc(instant: str) -> str:
     """ISO string with ``Z``; the fraction is shown only when it is not zero."""
-    whole = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    micros = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return F.when(F.unix_micros(instant) % 1_000_000 == 0, whole).otherwise(micros)
+    rendered = f"date_format({instant}, 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS')"
+    return f"concat(regexp_replace({rendered}, '[.]000000', ''), 'Z')"
 
 
-def to_utc(col: Column, naive: str = "null") -> Column:
+def to_utc(col: str, naive: str = "null") -> str:
     """UTC string of a raw string under one of three policies for values without offset.
 
     ``keep`` leaves every value as it was landed, ``null`` drops values without offset,
@@ -64,8 +53,9 @@ def to_utc(col: Column, naive: str = "null") -> Column:
     return format_utc(to_instant(col, naive))
 
 
-def last_modified(server: Column, client: Column) -> Column:
+def last_modified(server: str, client: str) -> str:
     """First of the two with an offset, else the epoch."""
-    return F.coalesce(
-        to_instant(server, "null"), to_instant(client, "null"), F.timestamp_seconds(F.lit(0))
+    return (
+        f"coalesce({to_instant(server, 'null')}, {to_instant(client, 'null')}, "
+        "timestamp_seconds(0))"
     )

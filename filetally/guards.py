@@ -6,21 +6,33 @@ cannot, so every guard below is a filter whose condition raises.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from filetally.errors import ContractError
 
 
-def passes(condition: Column, message: Column | str) -> Column:
-    """True where ``condition`` holds; raises where it is false or null."""
-    text = F.lit(message) if isinstance(message, str) else message
-    return F.when(F.coalesce(condition, F.lit(False)), F.lit(True)).otherwise(
-        F.raise_error(text).cast("boolean")
+def quote(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted(values) -> str:
+    """SQL list of string literals."""
+    return ", ".join(quote(v) for v in values)
+
+
+def passes(condition: str, message: str) -> str:
+    """SQL that is true where ``condition`` holds and raises where it is false or null.
+
+    ``message`` is SQL as well, so it can name the key of the offending row.
+    """
+    return (
+        f"CASE WHEN coalesce({condition}, false) THEN true "
+        f"ELSE CAST(raise_error({message}) AS BOOLEAN) END"
     )
 
 
-def require(df: DataFrame, condition: Column, message: Column | str) -> DataFrame:
+def require(df: DataFrame, condition: str, message: str) -> DataFrame:
     """All rows of ``df``, or a failing job if one of them breaks ``condition``."""
     return df.where(passes(condition, message))
 
@@ -31,5 +43,6 @@ def require_empty(violations: DataFrame, message: str) -> None:
         raise ContractError(message)
 
 
-def non_empty(col: Column) -> Column:
-    return col.isNotNull() & (col != "")
+def non_empty(*columns: str) -> str:
+    """Every one of ``columns`` holds a non-empty string."""
+    return "(" + " AND ".join(f"coalesce({c} <> '', false)" for c in columns) + ")"

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from filetally.errors import ConfigurationError
+from filetally.functions.paths import is_safe_relative
+from filetally.guards import non_empty, quoted
 from filetally.operators.keyed import duplicate_keys
 from filetally.schemas import CONTRACTS, EXTRACTION_STATE, TRANSFER_STATE
-from filetally.guards import non_empty
-from filetally.functions.paths import is_safe_relative
 
 COUNTS = "rule string, column string, violations long"
 
@@ -37,18 +36,20 @@ def structure_violations(df: DataFrame, schema: T.StructType, extra: bool) -> li
     return found
 
 
-def _counted(df: DataFrame, rules: list[tuple[str, str, Column]]) -> DataFrame:
+def _counted(df: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     """All rules in a single global aggregate, returned as one row per rule."""
-    one = df.agg(*[F.count_if(bad).alias(f"r{i}") for i, (_, _, bad) in enumerate(rules)])
-    rows = [
-        F.struct(
-            F.lit(rule).alias("rule"),
-            F.lit(column).alias("column"),
-            F.col(f"r{i}").alias("violations"),
-        )
+    one = df.selectExpr(*[f"count_if({bad}) AS r{i}" for i, (_, _, bad) in enumerate(rules)])
+    rows = ", ".join(
+        f"struct('{rule}' AS rule, '{column}' AS column, r{i} AS violations)"
         for i, (rule, column, _) in enumerate(rules)
-    ]
-    return one.select(F.explode(F.array(*rows)).alias("v")).select("v.*")
+    )
+    return one.selectExpr(f"inline(array({rows}))")
+
+
+def _with_structure(counted: DataFrame, broken: list[tuple]) -> DataFrame:
+    if not broken:
+        return counted
+    return counted.unionByName(counted.sparkSession.createDataFrame(broken, COUNTS))
 
 
 def check_contract(df: DataFrame, stream: str) -> DataFrame:
@@ -57,21 +58,14 @@ def check_contract(df: DataFrame, stream: str) -> DataFrame:
         raise ConfigurationError(f"unknown stream {stream}.")
     contract = CONTRACTS[stream]
     broken = structure_violations(df, contract.schema, contract.extra_columns)
-    present = set(df.columns)
-    rules = [
-        ("required", c, F.col(c).isNull())
-        for c in contract.required
-        if c.split(".")[0] in present
-    ]
+    unusable = {column for kind, column, _ in broken if kind != "extra_column"}
+    rules = [("required", c, f"{c} IS NULL") for c in contract.required]
     rules += [
-        ("allowed_values", c, F.col(c).isNotNull() & ~F.col(c).isin(*allowed))
+        ("allowed_values", c, f"{c} NOT IN ({quoted(allowed)})")
         for c, allowed in contract.values.items()
-        if c.split(".")[0] in present
     ]
-    counted = _counted(df, rules)
-    if broken:
-        counted = counted.unionByName(df.sparkSession.createDataFrame(broken, COUNTS))
-    return counted
+    usable = [rule for rule in rules if rule[1].split(".")[0] not in unusable]
+    return _with_structure(_counted(df, usable), broken)
 
 
 def check_state(df: DataFrame, kind: str = "transfer") -> DataFrame:
@@ -81,20 +75,13 @@ def check_state(df: DataFrame, kind: str = "transfer") -> DataFrame:
     schema = TRANSFER_STATE if kind == "transfer" else EXTRACTION_STATE
     broken = structure_violations(df, schema, extra=False)
     required = ["file_id", "rev", "content_hash"] + (["path"] if kind == "transfer" else [])
-    rules = [
-        ("non_empty", c, ~F.coalesce(non_empty(F.col(c)), F.lit(False)))
-        for c in required
-        if c in df.columns
-    ]
+    rules = [("non_empty", c, f"NOT {non_empty(c)}") for c in required if c in df.columns]
     if kind == "transfer" and "path" in df.columns:
-        rules.append(("safe_path", "path", ~is_safe_relative(F.col("path"))))
+        rules.append(("safe_path", "path", f"NOT {is_safe_relative('path')}"))
     counted = _counted(df, rules)
-    repeated = duplicate_keys(df, ["file_id"]).agg(
-        F.lit("unique").alias("rule"),
-        F.lit("file_id").alias("column"),
-        F.count(F.lit(1)).alias("violations"),
-    )
-    counted = counted.unionByName(repeated)
-    if broken:
-        counted = counted.unionByName(df.sparkSession.createDataFrame(broken, COUNTS))
-    return counted
+    if "file_id" in df.columns:
+        repeated = duplicate_keys(df, ["file_id"]).selectExpr(
+            "'unique' AS rule", "'file_id' AS column", "count(1) AS violations"
+        )
+        counted = counted.unionByName(repeated)
+    return _with_structure(counted, broken)

@@ -9,47 +9,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filetally.guards import require
+from filetally.guards import quote, require
+
+
+def _names(columns) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
+def _row(df: DataFrame, key: Sequence[str]) -> str:
+    """SQL struct of the columns beside the key."""
+    return f"struct({_names(c for c in df.columns if c not in key)})"
 
 
 def dedupe_strict(
-    df: DataFrame, key: Sequence[str], message: Column | str = "conflicting duplicate records"
+    df: DataFrame, key: Sequence[str], message: str = "'conflicting duplicate records'"
 ) -> DataFrame:
     """Drop identical duplicates of a key; fail if two rows of a key differ anywhere.
 
     Comparing the smallest and the largest row of a key is an exact, null-safe test that
-    needs a single shuffle. ``message`` may use the key columns.
+    needs a single shuffle. ``message`` is SQL and may use the key columns.
     """
-    rest = [c for c in df.columns if c not in key]
-    body = F.struct(*rest)
-    grouped = df.groupBy(*key).agg(F.min(body).alias("low"), F.max(body).alias("high"))
-    checked = require(grouped, F.col("low").eqNullSafe(F.col("high")), message)
+    row = _row(df, key)
+    grouped = df.groupBy(*key).agg(F.expr(f"min({row}) AS low"), F.expr(f"max({row}) AS high"))
+    checked = require(grouped, "low <=> high", message)
     return checked.select(*key, "low.*").select(*df.columns)
 
 
 def dedupe_replay(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last row per key by ``order``: what repeated pages after a cursor reset converge to."""
-    latest = df.groupBy(*key).agg(
-        F.max_by(F.struct(*df.columns), F.struct(*order)).alias("latest")
-    )
-    return latest.select("latest.*")
+    last = f"max_by(struct({_names(df.columns)}), struct({_names(order)})) AS last"
+    return df.groupBy(*key).agg(F.expr(last)).select("last.*")
 
 
-def assert_unique(df: DataFrame, key: Sequence[str], message: Column | str) -> DataFrame:
+def assert_unique(df: DataFrame, key: Sequence[str], message: str) -> DataFrame:
     """All rows of ``df``, or a failing job if a key occurs twice, even identically."""
-    rest = [c for c in df.columns if c not in key]
     grouped = df.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("copies"), F.any_value(F.struct(*rest)).alias("row")
+        F.expr("count(1) AS copies"), F.expr(f"any_value({_row(df, key)}) AS row")
     )
-    return require(grouped, F.col("copies") == 1, message).select(*key, "row.*").select(*df.columns)
+    return require(grouped, "copies = 1", message).select(*key, "row.*").select(*df.columns)
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """The keys that occur more than once, with their number of rows."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    return df.groupBy(*key).agg(F.expr("count(1) AS copies")).where("copies > 1")
 
 
 def pair_by_key(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -60,20 +65,22 @@ def pair_by_key(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFr
     and hot duplicates collapse before the shuffle (a full outer join cannot split skew).
     Sides without a row for the key are null structs.
     """
-
-    def body(df: DataFrame) -> Column:
-        return F.struct(*[c for c in df.columns if c not in key])
-
-    shape_left = left.select(body(left).alias("s")).schema["s"].dataType
-    shape_right = right.select(body(right).alias("s")).schema["s"].dataType
-    both = left.select(
-        *key, body(left).alias("left"), F.lit(None).cast(shape_right).alias("right")
-    ).unionByName(
-        right.select(*key, F.lit(None).cast(shape_left).alias("left"), body(right).alias("right"))
-    )
+    a = left.selectExpr(*key, f"{_row(left, key)} AS left")
+    b = right.selectExpr(*key, f"{_row(right, key)} AS right")
+    both = a.unionByName(b, allowMissingColumns=True)
     return both.groupBy(*key).agg(
-        F.any_value("left", ignoreNulls=True).alias("left"),
-        F.any_value("right", ignoreNulls=True).alias("right"),
-        F.count("left").alias("left_rows"),
-        F.count("right").alias("right_rows"),
+        F.expr("any_value(left, true) AS left"),
+        F.expr("any_value(right, true) AS right"),
+        F.expr("count(left) AS left_rows"),
+        F.expr("count(right) AS right_rows"),
     )
+
+
+def unique_sides(paired: DataFrame, message: str) -> DataFrame:
+    """A pairing whose sides have at most one row per key, or a failing job."""
+    return require(paired, "left_rows <= 1 AND right_rows <= 1", message)
+
+
+def named(text: str, *columns: str) -> str:
+    """SQL message of a fixed text followed by column values."""
+    return f"concat({', '.join([quote(text), *columns])})"

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filetally.errors import ConfigurationError
 from filetally.functions.paths import relative_path
-from filetally.functions.times import format_utc, to_instant, to_utc
+from filetally.functions.times import format_utc, to_instant
 from filetally.guards import require
-from filetally.operators.keyed import assert_unique, pair_by_key
+from filetally.operators.keyed import assert_unique, named, pair_by_key, unique_sides
 
 STATUSES = ("matched", "missing", "mismatched", "extra_destination", "error")
 
@@ -31,10 +31,10 @@ class Inventory(NamedTuple):
     @property
     def files(self) -> DataFrame:
         """Items keyed by normalized path; a duplicate path fails the job."""
-        usable = self.rows.where(~F.col("issue")).drop("issue")
+        usable = self.rows.where("NOT issue").drop("issue")
         usable = usable.withColumnRenamed("sort_key", "normalized_path")
         return assert_unique(
-            usable, ["normalized_path"], _duplicate(self.side, F.col("normalized_path"))
+            usable, ["normalized_path"], _duplicate(self.side, "normalized_path")
         )
 
     @property
@@ -43,92 +43,69 @@ class Inventory(NamedTuple):
         return self.rows.where("issue").drop("issue").withColumnRenamed("display_path", "path")
 
 
-def _duplicate(side: str, key: Column) -> Column:
-    return F.concat(F.lit(f"duplicate_normalized_path in {side} inventory: "), key)
+def _duplicate(side: str, key: str) -> str:
+    return named(f"duplicate_normalized_path in {side} inventory: ", key)
 
 
 def side_inventory(listing: DataFrame, root: str, side: str) -> Inventory:
     """Files of one side by their path below ``root``: a projection of the scan.
 
-    ``listing`` needs ``ordinal``, which numbers issues in listing order.
+    ``listing`` needs ``ordinal``, which numbers issues in listing order. Times are parsed
+    here, once per row.
     """
     if side not in ("source", "destination"):
         raise ConfigurationError("side must be source or destination.")
-    paths = relative_path(F.col("path_lower"), F.col("path_display"), root)
-    keyed = listing.where(F.col("entry_type") == "file").withColumns(
-        {"normalized_path": paths.normalized, "relative_display": paths.display}
+    paths = relative_path("path_lower", "path_display", root)
+    keyed = listing.where("entry_type = 'file'").selectExpr(
+        "*", f"{paths.normalized} AS normalized", f"{paths.display} AS display"
     )
-    issue = F.col("normalized_path").isNull()
-    place = F.format_string(f"~invalid-{side}-%08d", "ordinal")
-    filled = [F.nullif(F.col(c), F.lit("")) for c in ("path_display", "path_lower")]
-    shown = F.when(issue, F.coalesce(*filled, F.col("id"))).otherwise(F.col("relative_display"))
-    rows = keyed.select(
-        issue.alias("issue"),
-        F.when(issue, place).otherwise(F.col("normalized_path")).alias("sort_key"),
-        shown.alias("display_path"),
-        F.col("id").alias("file_id"),
+    rows = keyed.selectExpr(
+        "normalized IS NULL AS issue",
+        f"coalesce(normalized, format_string('~invalid-{side}-%08d', ordinal)) AS sort_key",
+        "CASE WHEN normalized IS NULL THEN coalesce(nullif(path_display, ''), "
+        "nullif(path_lower, ''), id) ELSE display END AS display_path",
+        "id AS file_id",
         "rev",
         "size",
         "content_hash",
-        "client_modified",
-        "server_modified",
+        "client_modified IS NOT NULL AS has_client_modified",
+        f"{to_instant('client_modified', 'assume_utc')} AS client_modified",
+        f"{to_instant('server_modified', 'assume_utc')} AS server_modified",
     )
     return Inventory(rows, side)
 
 
-def _reported(side: str) -> Column:
-    """A side's item as reported, times in UTC; null where the side has no item."""
-    item = F.col(side)
-    return F.when(
-        item.isNotNull(),
-        F.struct(
-            item.file_id.alias("file_id"),
-            item.rev.alias("rev"),
-            item.size.alias("size"),
-            item.content_hash.alias("content_hash"),
-            to_utc(item.client_modified, "assume_utc").alias("client_modified"),
-            to_utc(item.server_modified, "assume_utc").alias("server_modified"),
-        ),
-    ).alias(side)
-
-
-def content_dimension(status: Column, reason: Column) -> Column:
-    return F.struct(
-        status.alias("status"),
-        F.when(status == "matched", F.lit("content_match")).otherwise(reason).alias("reason"),
-    )
-
-
-def namespace_dimension(status: Column) -> Column:
-    """Presence of the path; a rename is never guessed from equal content."""
-    return F.struct(
-        F.when(status.isin("mismatched", "error"), F.lit("not_comparable"))
-        .otherwise(status)
-        .alias("status"),
-        F.when(status == "missing", F.lit("source_only"))
-        .when(status == "extra_destination", F.lit("destination_only"))
-        .alias("reason"),
-    )
-
-
-def client_modified_dimension(source: Column, destination: Column) -> Column:
-    """Compare the two client-modified instants; this never changes the content status."""
-    raw_s, raw_d = source.client_modified, destination.client_modified
-    at_s, at_d = to_instant(raw_s, "assume_utc"), to_instant(raw_d, "assume_utc")
-    one_sided = source.isNull() | destination.isNull()
-    status = (
-        F.when(one_sided | (raw_s.isNull() & raw_d.isNull()), F.lit("not_comparable"))
-        .when(raw_s.isNull(), F.lit("source_missing"))
-        .when(raw_d.isNull(), F.lit("destination_missing"))
-        .when(at_s.isNull() | at_d.isNull(), F.lit("not_comparable"))
-        .when(at_s == at_d, F.lit("matched"))
-        .otherwise(F.lit("mismatched"))
-    )
-    differs = status == "mismatched"
-    return F.struct(
-        status.alias("status"),
-        F.when(differs, format_utc(at_s)).alias("source"),
-        F.when(differs, format_utc(at_d)).alias("destination"),
+_REASON = """CASE WHEN issue THEN 'invalid_relative_path'
+    WHEN left IS NULL THEN 'destination_only'
+    WHEN right IS NULL THEN 'source_only'
+    WHEN left.content_hash IS NULL OR right.content_hash IS NULL THEN 'missing_content_hash'
+    WHEN NOT (left.size <=> right.size) THEN 'size_mismatch'
+    WHEN left.content_hash <> right.content_hash THEN 'content_hash_mismatch'
+    ELSE 'matched' END"""
+_STATUS = """CASE reason WHEN 'destination_only' THEN 'extra_destination'
+    WHEN 'source_only' THEN 'missing' WHEN 'matched' THEN 'matched'
+    WHEN 'missing_content_hash' THEN 'error' WHEN 'invalid_relative_path' THEN 'error'
+    ELSE 'mismatched' END"""
+# Compares instants; never changes the content status.
+_CLIENT_MODIFIED = """CASE WHEN left IS NULL OR right IS NULL THEN 'not_comparable'
+    WHEN NOT left.has_client_modified AND NOT right.has_client_modified THEN 'not_comparable'
+    WHEN NOT left.has_client_modified THEN 'source_missing'
+    WHEN NOT right.has_client_modified THEN 'destination_missing'
+    WHEN left.client_modified IS NULL OR right.client_modified IS NULL THEN 'not_comparable'
+    WHEN left.client_modified = right.client_modified THEN 'matched' ELSE 'mismatched' END"""
+_CONTENT = "struct(status, CASE reason WHEN 'matched' THEN 'content_match' ELSE reason END AS reason)"
+# Presence of the path; a rename is never guessed from equal content.
+_NAMESPACE = """struct(CASE WHEN status IN ('mismatched', 'error') THEN 'not_comparable'
+    ELSE status END AS status,
+    CASE WHEN status IN ('missing', 'extra_destination') THEN reason END AS reason)"""
+
+
+def _side(name: str, at: str) -> str:
+    """A side's item as reported, times as UTC strings; null where the side has no item."""
+    fields = ", ".join(f"{name}.{c} AS {c}" for c in ("file_id", "rev", "size", "content_hash"))
+    return (
+        f"CASE WHEN {name} IS NOT NULL THEN struct({fields}, {at}.client AS client_modified, "
+        f"{at}.server AS server_modified) END"
     )
 
 
@@ -141,57 +118,50 @@ def reconcile(source: Inventory, destination: Inventory) -> DataFrame:
     paired = pair_by_key(source.rows, destination.rows, ["issue", "sort_key"])
     paired = require(
         paired,
-        F.col("issue") | ((F.col("left_rows") <= 1) & (F.col("right_rows") <= 1)),
-        F.when(F.col("left_rows") > 1, _duplicate("source", F.col("sort_key"))).otherwise(
-            _duplicate("destination", F.col("sort_key"))
-        ),
-    ).select("issue", "sort_key", F.col("left").alias("source"), F.col("right").alias("destination"))
-    s, d = F.col("source"), F.col("destination")
-    reason = (
-        F.when(F.col("issue"), F.lit("invalid_relative_path"))
-        .when(s.isNull(), F.lit("destination_only"))
-        .when(d.isNull(), F.lit("source_only"))
-        .when(s.content_hash.isNull() | d.content_hash.isNull(), F.lit("missing_content_hash"))
-        .when(~s.size.eqNullSafe(d.size), F.lit("size_mismatch"))
-        .when(s.content_hash != d.content_hash, F.lit("content_hash_mismatch"))
-        .otherwise(F.lit("matched"))
-    )
-    by_reason = F.col("reason")
-    status = (
-        F.when(by_reason == "destination_only", F.lit("extra_destination"))
-        .when(by_reason == "source_only", F.lit("missing"))
-        .when(by_reason.isin("invalid_relative_path", "missing_content_hash"), F.lit("error"))
-        .when(by_reason == "matched", F.lit("matched"))
-        .otherwise(F.lit("mismatched"))
+        "issue OR (left_rows <= 1 AND right_rows <= 1)",
+        f"CASE WHEN left_rows > 1 THEN {_duplicate('source', 'sort_key')} "
+        f"ELSE {_duplicate('destination', 'sort_key')} END",
     )
-    compared = paired.withColumn("reason", reason).withColumn("status", status)
-    return compared.select(
-        F.lit("file").alias("type"),
+
+    def times(side: str) -> str:
+        client, server = f"{side}.client_modified", f"{side}.server_modified"
+        return f"struct({format_utc(client)} AS client, {format_utc(server)} AS server)"
+
+    compared = paired.selectExpr(
         "sort_key",
-        F.coalesce(s.display_path, d.display_path).alias("path"),
+        "left",
+        "right",
+        f"{_REASON} AS reason",
+        f"{_CLIENT_MODIFIED} AS modified",
+        f"{times('left')} AS left_at",
+        f"{times('right')} AS right_at",
+    ).selectExpr("*", f"{_STATUS} AS status")
+    differs = "CASE WHEN modified = 'mismatched' THEN {}.client END"
+    return compared.selectExpr(
+        "'file' AS type",
+        "sort_key",
+        "coalesce(left.display_path, right.display_path) AS path",
         "status",
         "reason",
-        content_dimension(F.col("status"), by_reason).alias("content"),
-        namespace_dimension(F.col("status")).alias("namespace"),
-        F.struct(client_modified_dimension(s, d).alias("client_modified")).alias("metadata"),
-        _reported("source"),
-        _reported("destination"),
+        f"{_CONTENT} AS content",
+        f"{_NAMESPACE} AS namespace",
+        f"struct(struct(modified AS status, {differs.format('left_at')} AS source, "
+        f"{differs.format('right_at')} AS destination) AS client_modified) AS metadata",
+        f"{_side('left', 'left_at')} AS source",
+        f"{_side('right', 'right_at')} AS destination",
     )
 
 
 def summarize(report: DataFrame) -> DataFrame:
     """Totals per status in one pass; metadata mismatches are counted over all rows."""
-    status = F.col("status")
-    return report.agg(
-        F.lit("summary").alias("type"),
-        F.count(F.lit(1)).alias("total_paths"),
-        *[F.count_if(status == s).alias(s) for s in STATUSES[:-1]],
-        F.count_if(status == "error").alias("errors"),
-        F.struct(
-            F.count_if(F.col("metadata.client_modified.status") == "mismatched").alias(
-                "client_modified"
-            )
-        ).alias("metadata_mismatches"),
+    counted = [f"count_if(status = '{s}') AS {s}" for s in STATUSES[:-1]]
+    mismatches = "count_if(metadata.client_modified.status = 'mismatched')"
+    return report.selectExpr(
+        "'summary' AS type",
+        "count(1) AS total_paths",
+        *counted,
+        "count_if(status = 'error') AS errors",
+        f"struct({mismatches} AS client_modified) AS metadata_mismatches",
     )
 
 
@@ -209,25 +179,14 @@ def reconcile_tables(
     """
     columns = list(dict.fromkeys([*required, *compare]))
     paired = pair_by_key(left.select(*key, *columns), right.select(*key, *columns), list(key))
-    paired = require(
-        paired, (F.col("left_rows") <= 1) & (F.col("right_rows") <= 1), "duplicate key"
-    )
-    reason = F.when(F.col("left").isNull(), F.lit("destination_only")).when(
-        F.col("right").isNull(), F.lit("source_only")
-    )
-    for c in required:
-        missing = F.col(f"left.{c}").isNull() | F.col(f"right.{c}").isNull()
-        reason = reason.when(missing, F.lit(f"missing_{c}"))
-    for c in compare:
-        differs = ~F.col(f"left.{c}").eqNullSafe(F.col(f"right.{c}"))
-        reason = reason.when(differs, F.lit(f"{c}_mismatch"))
-    status = (
-        F.when(F.col("reason") == "destination_only", F.lit("extra_destination"))
-        .when(F.col("reason") == "source_only", F.lit("missing"))
-        .when(F.col("reason").isin(*[f"missing_{c}" for c in required]), F.lit("error"))
-        .when(F.col("reason") == "matched", F.lit("matched"))
-        .otherwise(F.lit("mismatched"))
-    )
-    return paired.withColumn("reason", reason.otherwise(F.lit("matched"))).select(
-        *key, status.alias("status"), "reason"
+    paired = unique_sides(paired, "'duplicate key'")
+    rules = [("left IS NULL", "destination_only", "extra_destination"),
+             ("right IS NULL", "source_only", "missing")]
+    rules += [(f"left.{c} IS NULL OR right.{c} IS NULL", f"missing_{c}", "error") for c in required]
+    rules += [(f"NOT (left.{c} <=> right.{c})", f"{c}_mismatch", "mismatched") for c in compare]
+    cases = " ".join(
+        f"WHEN {when} THEN struct('{status}' AS status, '{reason}' AS reason)"
+        for when, reason, status in rules
     )
+    verdict = f"CASE {cases} ELSE struct('matched' AS status, 'matched' AS reason) END"
+    return paired.withColumn("verdict", F.expr(verdict)).select(*key, "verdict.*")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filetally.errors import ConfigurationError
 from filetally.functions.paths import ancestors, is_safe_relative, parent, target_path
-from filetally.functions.times import RFC3339, WITH_OFFSET, format_utc, to_instant
-from filetally.guards import require_empty
+from filetally.functions.times import RFC3339, format_utc, has_offset, to_instant
+from filetally.guards import non_empty, quote, quoted, require_empty
 
 METADATA_POLICIES = ("preserve", "ignore")
 LARGEST_RECORD_MB = 64
@@ -26,20 +26,21 @@ def _policy(policy: str) -> str:
     return policy
 
 
-def _first_broken(rules: Sequence[tuple[Column, str]]) -> Column:
-    """Name of the first rule whose condition is true; null if none is."""
-    chain = F
-    for broken, name in rules:
-        chain = chain.when(broken, F.lit(name))
-    return chain.otherwise(F.lit(None).cast("string"))
+def _first_broken(rules: Sequence[tuple[str, str]]) -> str:
+    """SQL for the name of the first rule whose condition is true; null if none is."""
+    return "CASE " + " ".join(f"WHEN {broken} THEN '{name}'" for broken, name in rules) + " END"
 
 
-def _blank(col: Column) -> Column:
-    return col.isNull() | (col == "")
+def _not(condition: str) -> str:
+    """True where ``condition`` is false or null."""
+    return f"NOT coalesce({condition}, false)"
 
 
-def _true(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False))
+def _kept_time(column: str, policy: str) -> str:
+    """The UTC time of a sound row under the metadata policy."""
+    if policy == "ignore":
+        return "CAST(NULL AS STRING)"
+    return f"CASE WHEN error IS NULL THEN {format_utc(to_instant(column, 'null'))} END"
 
 
 def validate_records(
@@ -62,39 +63,36 @@ def validate_records(
     ):
         raise ConfigurationError(f"max_mb must be between 1 and {LARGEST_RECORD_MB}.")
     _policy(metadata_policy)
-    path, text = F.col("path"), F.col("content_base64")
-    digest, modified = F.col("sha256"), F.col("modified_at")
-    strict = text.rlike(BASE64) & (F.length(text) % 4 == 0)
-    pads = F.when(text.endswith("=="), 2).when(text.endswith("="), 1).otherwise(0)
-    size = (F.length(text) / 4).cast("long") * 3 - pads
+    strict = f"content_base64 RLIKE {quote(BASE64)} AND length(content_base64) % 4 = 0"
+    size = (
+        "length(content_base64) div 4 * 3 - length(regexp_extract(content_base64, '={0,2}$', 0))"
+    )
     rules = [
-        (_blank(path), "missing_path"),
-        (~is_safe_relative(path), "invalid_path"),
-        (_blank(text), "missing_content"),
-        (~_true(strict), "invalid_base64"),
-        (size > max_mb * MEBIBYTE, "content_too_large"),
-        (digest.isNotNull() & ~_true(digest.rlike(SHA256)), "invalid_sha256"),
-        (digest.isNotNull() & (F.sha2(F.unbase64(text), 256) != digest), "sha256_mismatch"),
-        (modified.isNotNull() & ~_true(modified.rlike(RFC3339)), "invalid_modified_at"),
-        (modified.isNotNull() & to_instant(modified, "null").isNull(), "invalid_modified_at"),
+        (f"NOT {non_empty('path')}", "missing_path"),
+        (f"NOT {is_safe_relative('path')}", "invalid_path"),
+        (f"NOT {non_empty('content_base64')}", "missing_content"),
+        (_not(strict), "invalid_base64"),
+        (f"{size} > {max_mb * MEBIBYTE}", "content_too_large"),
+        (f"sha256 IS NOT NULL AND {_not(f'sha256 RLIKE {quote(SHA256)}')}", "invalid_sha256"),
+        ("sha2(unbase64(content_base64), 256) <> sha256", "sha256_mismatch"),
+        (f"NOT (modified_at RLIKE {quote(RFC3339)})", "invalid_modified_at"),
+        (f"modified_at IS NOT NULL AND {to_instant('modified_at', 'null')} IS NULL",
+         "invalid_modified_at"),
     ]
     if streams is not None:
-        rules.insert(0, (~_true(F.col("stream").isin(*streams)), "unknown_stream"))
-    checked = df.withColumn("error", _first_broken(rules))
+        rules.insert(0, (_not(f"stream IN ({quoted(streams)})"), "unknown_stream"))
+    checked = df.withColumn("error", F.expr(_first_broken(rules)))
     if fail_closed:
-        bad = checked.where(F.col("error").isNotNull()).select("error")
+        bad = checked.where("error IS NOT NULL").select("error")
         require_empty(bad, "A file record breaks the contract.")
-    sound = F.col("error").isNull()
-    kept = format_utc(to_instant(modified, "null"))
-    others = [c for c in df.columns if c not in ("path", "content_base64", "sha256", "modified_at")]
-    return checked.select(
-        *others,
+    made = ("path", "content_base64", "sha256", "modified_at")
+    return checked.selectExpr(
+        *[c for c in df.columns if c not in made],
         "error",
-        F.when(sound, target_path(root, path)).alias("destination_path"),
-        F.when(sound, F.unbase64(text)).alias("content"),
-        F.when(sound, digest).alias("sha256"),
-        (F.when(sound, kept) if metadata_policy == "preserve" else F.lit(None).cast("string"))
-        .alias("modified_at"),
+        f"CASE WHEN error IS NULL THEN {target_path(root, 'path')} END AS destination_path",
+        "CASE WHEN error IS NULL THEN unbase64(content_base64) END AS content",
+        "CASE WHEN error IS NULL THEN sha256 END AS sha256",
+        f"{_kept_time('modified_at', metadata_policy)} AS modified_at",
     )
 
 
@@ -106,19 +104,16 @@ def missing_folders(
     Paths are first reduced to their distinct parents, so the explode grows with folders
     and not with files.
     """
-    parents = paths.select(parent(F.col(column)).alias("p")).distinct()
-    needed = parents.select(
-        F.explode(ancestors(F.concat("p", F.lit("/-")), root)).alias("folder")
-    ).distinct()
+    parents = paths.selectExpr(f"concat({parent(column)}, '/-') AS inside").distinct()
+    needed = parents.selectExpr(f"explode({ancestors('inside', root)}) AS folder").distinct()
     return needed.join(existing.select("folder"), "folder", "left_anti")
 
 
-def _staged_location(url: Column) -> Column:
-    """Plain path of a local staging URL (or of a bare path)."""
-    bare = F.regexp_replace(url, r"^file:(//(localhost)?)?(?=/)", "")
-    # '+' is literal in a path but a space to the decoder.
-    decoded = F.try_url_decode(F.regexp_replace(bare, r"\+", "%2B"))
-    return F.when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), decoded).otherwise(url)
+# Plain path of a local staging URL or a bare path; '+' is literal in a path but a space to
+# the decoder.
+_LOCATION = """CASE WHEN staging_file_url RLIKE '^file:' THEN try_url_decode(replace(
+    regexp_replace(staging_file_url, '^file:(//(localhost)?)?(?=/)', ''), '+', '%2B'))
+    ELSE staging_file_url END"""
 
 
 def verify_staged(
@@ -130,58 +125,52 @@ def verify_staged(
     that is not 64 characters long is ignored.
     """
     _policy(metadata_policy)
-    found = staged.select(
-        F.col("path").alias("_path"),
-        F.col("length").alias("_length"),
-        F.sha2("content", 256).alias("_digest"),
+    found = staged.selectExpr(
+        "path AS location", "struct(length, sha2(content, 256) AS digest) AS staged"
     )
-    url = F.col("staging_file_url")
-    located = refs.withColumn("_location", _staged_location(url))
-    joined = located.join(found, F.col("_location") == F.col("_path"), "left")
-    local = url.rlike(r"^(/|file:(//(localhost)?)?/)")
-    path, size, modified = F.col("relative_path"), F.col("file_size_bytes"), F.col("client_modified")
+    joined = refs.withColumn("location", F.expr(_LOCATION)).join(found, "location", "left")
+    given = "coalesce(length(sha256) = 64, false)"
     rules = [
-        (_blank(url), "missing_staging_url"),
-        (~_true(local), "not_a_local_url"),
-        (F.col("_path").isNull(), "staged_file_unavailable"),
-        (_blank(path), "missing_relative_path"),
-        (~is_safe_relative(path), "invalid_relative_path"),
-        (~_true(size >= 0), "invalid_size"),
-        (F.col("_length") != size, "size_mismatch"),
+        (f"NOT {non_empty('staging_file_url')}", "missing_staging_url"),
+        ("NOT (staging_file_url RLIKE '^(/|file:(//(localhost)?)?/)')", "not_a_local_url"),
+        ("staged IS NULL", "staged_file_unavailable"),
+        (f"NOT {non_empty('relative_path')}", "missing_relative_path"),
+        (f"NOT {is_safe_relative('relative_path')}", "invalid_relative_path"),
+        (_not("file_size_bytes >= 0"), "invalid_size"),
+        ("staged.length <> file_size_bytes", "size_mismatch"),
+        (f"{given} AND {_not('staged.digest = sha256')}", "sha256_mismatch"),
     ]
     if metadata_policy == "preserve":
-        unusable = ~_true(modified.rlike(WITH_OFFSET)) | to_instant(modified, "null").isNull()
-        rules.append((modified.isNotNull() & unusable, "invalid_client_modified"))
-    given = _true(F.length("sha256") == 64)
-    rules.append((given & ~_true(F.col("_digest") == F.col("sha256")), "sha256_mismatch"))
-    checked = joined.withColumn("error", _first_broken(rules))
-    sound = F.col("error").isNull()
-    kept = format_utc(to_instant(modified, "null"))
-    return checked.select(
+        unusable = (
+            f"client_modified IS NOT NULL AND (NOT {has_offset('client_modified')} "
+            f"OR {to_instant('client_modified', 'null')} IS NULL)"
+        )
+        rules.insert(-1, (unusable, "invalid_client_modified"))
+    checked = joined.withColumn("error", F.expr(_first_broken(rules)))
+    return checked.selectExpr(
         *[c for c in refs.columns if c not in ("sha256", "client_modified")],
         "error",
-        F.when(sound, target_path(root, path)).alias("destination_path"),
-        F.when(sound & given, F.col("sha256")).alias("sha256"),
-        (F.when(sound, kept) if metadata_policy == "preserve" else F.lit(None).cast("string"))
-        .alias("client_modified"),
+        f"CASE WHEN error IS NULL THEN {target_path(root, 'relative_path')} END "
+        "AS destination_path",
+        f"CASE WHEN error IS NULL AND {given} THEN sha256 END AS sha256",
+        f"{_kept_time('client_modified', metadata_policy)} AS client_modified",
     )
 
 
 def validate_operations(df: DataFrame) -> DataFrame:
     """Control records plus ``error``: kind, required strings, safe paths."""
-    moves = F.col("operation") == "move"
-    old, new = F.col("old_path"), F.col("new_path")
+    moves = "operation = 'move' AND"
     rules = [
-        (~_true(F.col("operation").isin("move", "delete")), "invalid_operation"),
-        (_blank(F.col("file_id")), "missing_file_id"),
-        (_blank(old), "missing_old_path"),
-        (~is_safe_relative(old), "invalid_old_path"),
-        (_blank(F.col("old_content_hash")), "missing_old_content_hash"),
-        (moves & _blank(new), "missing_new_path"),
-        (moves & ~is_safe_relative(new), "invalid_new_path"),
-        (moves & _blank(F.col("new_content_hash")), "missing_new_content_hash"),
+        (_not("operation IN ('move', 'delete')"), "invalid_operation"),
+        (f"NOT {non_empty('file_id')}", "missing_file_id"),
+        (f"NOT {non_empty('old_path')}", "missing_old_path"),
+        (f"NOT {is_safe_relative('old_path')}", "invalid_old_path"),
+        (f"NOT {non_empty('old_content_hash')}", "missing_old_content_hash"),
+        (f"{moves} NOT {non_empty('new_path')}", "missing_new_path"),
+        (f"{moves} NOT {is_safe_relative('new_path')}", "invalid_new_path"),
+        (f"{moves} NOT {non_empty('new_content_hash')}", "missing_new_content_hash"),
     ]
-    return df.withColumn("error", _first_broken(rules))
+    return df.withColumn("error", F.expr(_first_broken(rules)))
 
 
 def releasable_checkpoints(log: DataFrame) -> DataFrame:
@@ -191,14 +180,14 @@ def releasable_checkpoints(log: DataFrame) -> DataFrame:
     is one partial aggregate; a running window would put a whole run in one task.
     """
     failures = (
-        log.where((F.col("kind") == "record") & F.col("failed"))
+        log.where("kind = 'record' AND failed")
         .groupBy("run")
         .agg(F.min("idx").alias("first_failure"))
     )
-    states = log.where(F.col("kind") == "state")
-    released = F.col("first_failure").isNull() | (F.col("idx") < F.col("first_failure"))
+    released = F.expr("first_failure IS NULL OR idx < first_failure")
     return (
-        states.join(failures, "run", "left")
+        log.where("kind = 'state'")
+        .join(failures, "run", "left")
         .withColumn("released", released)
         .drop("first_failure")
     )

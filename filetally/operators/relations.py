@@ -4,21 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filetally.functions.keys import acl_key, entry_key, property_key
 from filetally.functions.paths import in_scope
 from filetally.functions.times import to_utc
 from filetally.guards import non_empty, require
-from filetally.operators.keyed import dedupe_strict
+from filetally.operators.keyed import dedupe_strict, named
 from filetally.schemas import CONTRACTS
 
-KINDS = ("file", "folder", "deleted")
-
-
-def _only_for(kind: str, names: list[str]) -> list[Column]:
-    return [F.when(F.col("entry_type") == kind, F.col(name)).alias(name) for name in names]
+FILE_ONLY = ["rev", "client_modified", "server_modified", "size", "content_hash",
+             "is_downloadable"]
 
 
 def entries(listing: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -26,50 +23,43 @@ def entries(listing: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     ``keep`` names listing columns to carry along, such as page and ordinal.
     """
-    known = require(listing, F.col("entry_type").isin(*KINDS), "Unsupported metadata type.")
-    kind = F.col("entry_type")
-    deleted = kind == "deleted"
-    identity = F.when(deleted, F.col("path_lower")).otherwise(F.col("id"))
-    file_only = ["rev", "client_modified", "server_modified", "size", "content_hash",
-                 "is_downloadable"]
-    return known.select(
-        entry_key(kind, identity).alias("entry_key"),
-        kind,
-        F.when(deleted, F.lit("delete")).otherwise(F.lit("upsert")).alias("operation"),
-        F.when(~deleted, F.col("id")).alias("id"),
+    known = require(
+        listing, "entry_type IN ('file', 'folder', 'deleted')", "'Unsupported metadata type.'"
+    )
+    identity = "CASE WHEN entry_type = 'deleted' THEN path_lower ELSE id END"
+    return known.selectExpr(
+        f"{entry_key('entry_type', identity)} AS entry_key",
+        "entry_type",
+        "CASE WHEN entry_type = 'deleted' THEN 'delete' ELSE 'upsert' END AS operation",
+        "CASE WHEN entry_type <> 'deleted' THEN id END AS id",
         "name",
         "path_lower",
         "path_display",
-        *_only_for("file", file_only),
-        *_only_for("folder", ["shared_folder_id"]),
+        *[f"CASE WHEN entry_type = 'file' THEN {c} END AS {c}" for c in FILE_ONLY],
+        "CASE WHEN entry_type = 'folder' THEN shared_folder_id END AS shared_folder_id",
         *keep,
     )
 
 
-def _part(name: str, fields: list[str]) -> Column:
-    """A sub-struct with the given fields; the whole struct stays null where it is absent."""
-    return F.when(
-        F.col(name).isNotNull(), F.struct(*[F.col(f"{name}.{f}").alias(f) for f in fields])
-    ).alias(name)
+def _snapshot(listing: DataFrame, kind: str, stream: str) -> DataFrame:
+    """Live rows of one kind; the sharing struct is cut to the fields that kind has."""
+    schema = CONTRACTS[stream].schema
+    shared = schema["sharing_info"].dataType
+    parts = ", ".join(f"sharing_info.{f} AS {f}" for f in shared.names)
+    cut = f"CASE WHEN sharing_info IS NOT NULL THEN struct({parts}) END AS sharing_info"
+    return listing.where(f"entry_type = '{kind}'").selectExpr(
+        *[cut if c == "sharing_info" else c for c in schema.names]
+    )
 
 
 def files(listing: DataFrame) -> DataFrame:
     """Current files with their sharing and lock structs."""
-    fields = ["read_only", "parent_shared_folder_id", "modified_by"]
-    columns = [c for c in CONTRACTS["files"].schema.names]
-    return listing.where(F.col("entry_type") == "file").select(
-        *[_part(c, fields) if c == "sharing_info" else F.col(c) for c in columns]
-    )
+    return _snapshot(listing, "file", "files")
 
 
 def folders(listing: DataFrame) -> DataFrame:
     """Current folders with their sharing struct."""
-    fields = ["read_only", "parent_shared_folder_id", "shared_folder_id", "traverse_only",
-              "no_access"]
-    columns = [c for c in CONTRACTS["folders"].schema.names]
-    return listing.where(F.col("entry_type") == "folder").select(
-        *[_part(c, fields) if c == "sharing_info" else F.col(c) for c in columns]
-    )
+    return _snapshot(listing, "folder", "folders")
 
 
 def file_properties(listing: DataFrame, templates: DataFrame) -> DataFrame:
@@ -78,45 +68,32 @@ def file_properties(listing: DataFrame, templates: DataFrame) -> DataFrame:
     ``templates`` holds the account's own few templates; whether it is small enough to
     broadcast is left to its measured size.
     """
-    live = listing.where(F.col("entry_type") == "file").select(
-        "id", "name", "path_lower", "path_display", F.explode("property_groups").alias("g")
+    groups = listing.where("entry_type = 'file'").selectExpr(
+        "id AS file_id", "name AS file_name", "path_lower", "path_display",
+        "explode(property_groups) AS g",
     )
-    live = require(
-        live, non_empty(F.col("g.template_id")), "A property group has no template ID."
+    groups = require(
+        groups, non_empty("g.template_id"), "'A property group has no template ID.'"
+    )
+    rows = groups.selectExpr(
+        "file_id", "file_name", "path_lower", "path_display", "g.template_id AS template_id",
+        "explode(g.fields) AS f",
     )
-    rows = live.select(
-        F.col("id").alias("file_id"),
-        F.col("name").alias("file_name"),
-        "path_lower",
-        "path_display",
-        F.col("g.template_id").alias("template_id"),
-        F.explode("g.fields").alias("f"),
-    ).select("*", F.col("f.name").alias("field_name"), F.col("f.value").alias("field_value"))
     # One condition over both columns: on its own, the test of the file ID would be pushed
     # below the explode and fail for files that carry no property at all.
     rows = require(
         rows,
-        non_empty(F.col("file_id")) & non_empty(F.col("field_name")),
-        F.when(non_empty(F.col("file_id")), F.lit("A file property has no field name."))
-        .otherwise(F.lit("A file property has no file ID.")),
+        non_empty("file_id", "f.name"),
+        f"CASE WHEN {non_empty('file_id')} THEN 'A file property has no field name.' "
+        "ELSE 'A file property has no file ID.' END",
     )
-    keyed = rows.select(
-        property_key(F.col("file_id"), F.col("template_id"), F.col("field_name")).alias(
-            "property_key"
-        ),
-        "file_id",
-        "file_name",
-        "path_lower",
-        "path_display",
-        "template_id",
-        F.lit(None).cast("string").alias("field_id"),
-        "field_name",
-        "field_value",
+    keyed = rows.selectExpr(
+        f"{property_key('file_id', 'template_id', 'f.name')} AS property_key",
+        "file_id", "file_name", "path_lower", "path_display", "template_id",
+        "CAST(NULL AS STRING) AS field_id", "f.name AS field_name", "f.value AS field_value",
     )
     distinct = dedupe_strict(
-        keyed,
-        ["property_key"],
-        F.concat(F.lit("Conflicting duplicate file properties for "), F.col("property_key")),
+        keyed, ["property_key"], named("Conflicting duplicate file properties for ", "property_key")
     )
     names = templates.groupBy("template_id").agg(F.max("name").alias("template_name"))
     return distinct.join(names, "template_id", "left").select(
@@ -126,33 +103,31 @@ def file_properties(listing: DataFrame, templates: DataFrame) -> DataFrame:
 
 def shared_links(links: DataFrame, root: str = "") -> DataFrame:
     """Links whose target lies in ``root``; without a target path a link is never in scope."""
-    kind = F.when(F.col("kind").isin("file", "folder"), F.col("kind")).otherwise(F.lit("other"))
-    allowed = F.col("link_permissions")
-    shown = F.lit(None).cast("string").alias("path_display")
-    return links.where(in_scope(F.col("path_lower"), root)).select(
-        F.col("url").alias("link_key"),
-        F.col("url").alias("link_id"),
+    kind = "CASE WHEN kind IN ('file', 'folder') THEN kind ELSE 'other' END"
+    hidden = "CAST(NULL AS STRING) AS path_display"
+    p = "link_permissions"
+    return links.where(in_scope("path_lower", root)).selectExpr(
+        "url AS link_key",
+        "url AS link_id",
         "url",
-        F.col("id").alias("target_id"),
+        "id AS target_id",
         "name",
         "path_lower",
-        shown,
-        kind.alias("link_type"),
-        allowed.resolved_visibility.alias("visibility"),
-        to_utc(F.col("expires")).alias("expires"),
-        allowed.allow_download.alias("allow_download"),
-        allowed.effective_audience.alias("effective_audience"),
-        allowed.requested_visibility.alias("requested_visibility"),
-        allowed.link_access_level.alias("access_level"),
-        F.struct(F.col("id"), kind.alias("type"), F.col("path_lower"), shown).alias("target"),
-        F.struct(
-            allowed.requested_visibility.alias("requested_visibility"),
-            allowed.resolved_visibility.alias("effective_visibility"),
-            allowed.link_access_level.alias("link_access_level"),
-            allowed.allow_download.alias("allow_download"),
-        ).alias("settings"),
-        to_utc(F.col("client_modified")).alias("client_modified"),
-        to_utc(F.col("server_modified")).alias("server_modified"),
+        hidden,
+        f"{kind} AS link_type",
+        f"{p}.resolved_visibility AS visibility",
+        f"{to_utc('expires')} AS expires",
+        f"{p}.allow_download AS allow_download",
+        f"{p}.effective_audience AS effective_audience",
+        f"{p}.requested_visibility AS requested_visibility",
+        f"{p}.link_access_level AS access_level",
+        f"struct(id, {kind} AS type, path_lower, {hidden}) AS target",
+        f"struct({p}.requested_visibility AS requested_visibility, "
+        f"{p}.resolved_visibility AS effective_visibility, "
+        f"{p}.link_access_level AS link_access_level, {p}.allow_download AS allow_download) "
+        "AS settings",
+        f"{to_utc('client_modified')} AS client_modified",
+        f"{to_utc('server_modified')} AS server_modified",
         "rev",
         "size",
         "team_member_info",
@@ -165,13 +140,10 @@ def shared_folders(landed: DataFrame) -> DataFrame:
     return landed.select(*CONTRACTS["shared_folders"].schema.names)
 
 
-def _identity() -> Column:
-    """Stable identity of a member: account or group id, else e-mail (never for groups)."""
-    kind = F.col("principal_type")
-    identity = F.when(non_empty(F.col("principal_id")), F.col("principal_id")).when(
-        (kind != "group") & non_empty(F.col("email")), F.col("email")
-    )
-    return F.when(kind == "other", F.col("kind")).otherwise(identity)
+# Stable identity of a member: account or group id, else e-mail (never for groups).
+_IDENTITY = """CASE WHEN principal_type = 'other' THEN kind
+    WHEN principal_id <> '' THEN principal_id
+    WHEN principal_type <> 'group' AND email <> '' THEN email END"""
 
 
 def sharing_acl(folders: DataFrame, members: DataFrame, root: str = "") -> DataFrame:
@@ -181,66 +153,45 @@ def sharing_acl(folders: DataFrame, members: DataFrame, root: str = "") -> DataF
     levels for one principal are a conflict and fail the job.
     """
     scoped = require(
-        folders.where(in_scope(F.col("path_lower"), root)),
-        non_empty(F.col("shared_folder_id")),
-        "An in-scope shared folder has no stable ID.",
+        folders.where(in_scope("path_lower", root)),
+        non_empty("shared_folder_id"),
+        "'An in-scope shared folder has no stable ID.'",
     ).select("shared_folder_id", "path_lower", "path_display")
-    listed = members.withColumn("identity", _identity()).select(
-        "shared_folder_id",
-        "principal_type",
-        "identity",
-        "principal_id",
-        "email",
-        "display_name",
-        "same_team",
-        "access_level",
-        "is_inherited",
+    listed = members.selectExpr(
+        "shared_folder_id", "principal_type", f"{_IDENTITY} AS identity", "principal_id", "email",
+        "display_name", "same_team", "access_level", "is_inherited",
     )
     # Inner join with one row per folder: a hot folder only makes the members side uneven,
     # which adaptive execution splits. The condition needs a folder column, so that members
     # of folders out of scope are never tested.
     joined = require(
         listed.join(scoped, "shared_folder_id"),
-        F.col("identity").isNotNull() & F.col("path_lower").isNotNull(),
-        F.concat(
-            F.lit("A shared-folder "), F.col("principal_type"), F.lit(" has no stable identity.")
-        ),
+        "identity IS NOT NULL AND path_lower <> ''",
+        "concat('A shared-folder ', principal_type, ' has no stable identity.')",
     )
-    open_kind = F.col("principal_type") == "other"
-    text = F.lit(None).cast("string")
-    rows = joined.select(
-        acl_key(F.col("shared_folder_id"), F.col("principal_type"), F.col("identity")).alias(
-            "acl_key"
-        ),
-        F.col("shared_folder_id").alias("resource_id"),
-        F.lit("shared_folder").alias("resource_type"),
+    rows = joined.selectExpr(
+        f"{acl_key('shared_folder_id', 'principal_type', 'identity')} AS acl_key",
+        "shared_folder_id AS resource_id",
+        "'shared_folder' AS resource_type",
         "path_lower",
         "path_display",
         "principal_type",
-        F.when(open_kind, text).otherwise(F.col("principal_id")).alias("principal_id"),
-        F.when(open_kind | (F.col("principal_type") == "group"), text)
-        .otherwise(F.col("email"))
-        .alias("principal_email"),
-        F.when(~open_kind, F.col("display_name")).alias("principal_display_name"),
+        "CASE WHEN principal_type <> 'other' THEN principal_id END AS principal_id",
+        "CASE WHEN principal_type NOT IN ('other', 'group') THEN email END AS principal_email",
+        "CASE WHEN principal_type <> 'other' THEN display_name END AS principal_display_name",
         "access_level",
         "is_inherited",
-        F.when(~open_kind, ~F.col("same_team")).alias("is_external"),
+        "CASE WHEN principal_type <> 'other' THEN NOT same_team END AS is_external",
     )
     return dedupe_strict(
         rows,
         ["acl_key"],
-        F.concat(
-            F.lit("Conflicting duplicate sharing records for an "),
-            F.lit("account key of resource "),
-            F.substring_index(F.col("acl_key"), "|", 1),
-        ),
+        named("Conflicting duplicate sharing records for resource ",
+              "substring_index(acl_key, '|', 1)"),
     )
 
 
 def scope_rejects(df: DataFrame, path: str, root: str = "") -> DataFrame:
     """Rows a scoped relation skips, with the reason: no path, or outside the root."""
-    col = F.col(path)
-    return df.where(~in_scope(col, root)).withColumn(
-        "reject_reason",
-        F.when(non_empty(col), F.lit("outside_root")).otherwise(F.lit("missing_path")),
-    )
+    reason = f"CASE WHEN {non_empty(path)} THEN 'outside_root' ELSE 'missing_path' END"
+    return df.where(f"NOT {in_scope(path, root)}").withColumn("reject_reason", F.expr(reason))

@@ -2,51 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filetally.functions.paths import fold, is_safe_relative, target_path
-from filetally.guards import non_empty, require_empty
+from filetally.guards import non_empty, quoted, require_empty
 from filetally.operators.keyed import duplicate_keys
 from filetally.operators.reconcile import STATUSES
 
 ACTIONABLE = ("missing", "mismatched")
-
-
-def _violation() -> Column:
-    """First broken row rule of a report record, null if it is sound."""
-    source = F.col("source")
-    acts = F.col("status").isin(*ACTIONABLE)
-    rules = [
-        (~is_safe_relative(F.col("path")), "invalid_relative_path"),
-        (~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False)), "unknown_status"),
-        (acts & source.isNull(), "missing_source"),
-        (acts & ~F.coalesce(non_empty(source.file_id), F.lit(False)), "invalid_file_id"),
-        (acts & ~F.coalesce(non_empty(source.rev), F.lit(False)), "invalid_rev"),
-        (acts & ~F.coalesce(non_empty(source.content_hash), F.lit(False)), "invalid_content_hash"),
-        (acts & ~F.coalesce(source.size >= 0, F.lit(False)), "invalid_size"),
-    ]
-    chain = F
-    for broken, name in rules:
-        chain = chain.when(broken, F.lit(name))
-    return chain.otherwise(F.lit(None).cast("string"))
+_ACTS = f"status IN ({quoted(ACTIONABLE)})"
+# First broken row rule of a report record, null if it is sound.
+_VIOLATION = f"""CASE WHEN NOT {is_safe_relative('path')} THEN 'invalid_relative_path'
+    WHEN NOT coalesce(status IN ({quoted(STATUSES)}), false) THEN 'unknown_status'
+    WHEN NOT {_ACTS} THEN NULL
+    WHEN source IS NULL THEN 'missing_source'
+    WHEN NOT {non_empty('source.file_id')} THEN 'invalid_file_id'
+    WHEN NOT {non_empty('source.rev')} THEN 'invalid_rev'
+    WHEN NOT {non_empty('source.content_hash')} THEN 'invalid_content_hash'
+    WHEN NOT coalesce(source.size >= 0, false) THEN 'invalid_size' END"""
 
 
 def report_violations(details: DataFrame) -> DataFrame:
     """``rule, rows`` for every broken rule: row rules first, then paths equal under folding."""
     by_row = (
-        details.select(_violation().alias("rule"))
-        .where(F.col("rule").isNotNull())
+        details.selectExpr(f"{_VIOLATION} AS rule")
+        .where("rule IS NOT NULL")
         .groupBy("rule")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.expr("count(1) AS rows"))
     )
-    copies = duplicate_keys(details.select(fold(F.col("path")).alias("folded")), ["folded"])
-    repeated = (
-        copies.agg(F.sum("copies").alias("rows"))
-        .where(F.col("rows").isNotNull())
-        .select(F.lit("duplicate_path").alias("rule"), "rows")
-    )
-    return by_row.unionByName(repeated)
+    copies = duplicate_keys(details.selectExpr(f"{fold('path')} AS folded"), ["folded"])
+    repeated = copies.selectExpr("'duplicate_path' AS rule", "sum(copies) AS rows")
+    return by_row.unionByName(repeated.where("rows IS NOT NULL"))
 
 
 def validate_report(details: DataFrame) -> DataFrame:
@@ -57,7 +44,7 @@ def validate_report(details: DataFrame) -> DataFrame:
 
 def repair_actions(details: DataFrame) -> DataFrame:
     """Report rows plus ``actionable``: missing and mismatched act, the rest is skipped."""
-    return details.withColumn("actionable", F.col("status").isin(*ACTIONABLE))
+    return details.withColumn("actionable", F.expr(_ACTS))
 
 
 def check_drift(actions: DataFrame, current: DataFrame, root: str) -> DataFrame:
@@ -66,45 +53,34 @@ def check_drift(actions: DataFrame, current: DataFrame, root: str) -> DataFrame:
     ``current`` is the present source listing, one row per file id. Only acting rows are
     joined; the others pass by, so rows without a source never meet in one task.
     """
-    listed = current.where(F.col("entry_type") == "file").select(
-        F.col("id").alias("_id"),
-        F.col("path_lower").alias("_path"),
-        F.col("rev").alias("_rev"),
-        F.col("size").alias("_size"),
-        F.col("content_hash").alias("_hash"),
-    )
-    acting = actions.where("actionable")
-    joined = acting.join(listed, F.col("source.file_id") == F.col("_id"), "left")
-    source = F.col("source")
-    same = (
-        source.rev.eqNullSafe(F.col("_rev"))
-        & source.size.eqNullSafe(F.col("_size"))
-        & source.content_hash.eqNullSafe(F.col("_hash"))
-        & F.col("_path").eqNullSafe(fold(target_path(root, F.col("path"))))
+    listed = current.where("entry_type = 'file'").selectExpr(
+        "id AS file_id", "struct(rev, size, content_hash, path_lower) AS now"
     )
-    checked = joined.withColumn("drifted", F.col("_id").isNull() | ~same).drop(*listed.columns)
-    return checked.unionByName(
-        actions.where(~F.col("actionable")).withColumn("drifted", F.lit(False))
+    acting = actions.where("actionable").withColumn("file_id", F.expr("source.file_id"))
+    expected = fold(target_path(root, "path"))
+    drifted = f"""now IS NULL OR NOT (now <=> struct(source.rev AS rev, source.size AS size,
+        source.content_hash AS content_hash, {expected} AS path_lower))"""
+    checked = acting.join(listed, "file_id", "left").withColumn("drifted", F.expr(drifted))
+    return checked.drop("file_id", "now").unionByName(
+        actions.where("NOT actionable").withColumn("drifted", F.lit(False))
     )
 
 
 def repair_outcomes(checked: DataFrame) -> DataFrame:
     """``path, action, source_status``; a drifted row is an error and stops no other row."""
-    action = (
-        F.when(~F.col("actionable"), F.lit("skipped"))
-        .when(F.col("drifted"), F.lit("error"))
-        .when(F.col("status") == "missing", F.lit("uploaded"))
-        .otherwise(F.lit("overwritten"))
+    return checked.selectExpr(
+        "path",
+        "CASE WHEN NOT actionable THEN 'skipped' WHEN drifted THEN 'error' "
+        "WHEN status = 'missing' THEN 'uploaded' ELSE 'overwritten' END AS action",
+        "status AS source_status",
     )
-    return checked.select("path", action.alias("action"), F.col("status").alias("source_status"))
 
 
 def repair_summary(outcomes: DataFrame) -> DataFrame:
-    action = F.col("action")
-    return outcomes.agg(
-        F.lit("summary").alias("type"),
-        F.count_if(action == "uploaded").alias("uploaded"),
-        F.count_if(action == "overwritten").alias("overwritten"),
-        F.count_if(action == "skipped").alias("skipped"),
-        F.count_if(action == "error").alias("errors"),
+    return outcomes.selectExpr(
+        "'summary' AS type",
+        "count_if(action = 'uploaded') AS uploaded",
+        "count_if(action = 'overwritten') AS overwritten",
+        "count_if(action = 'skipped') AS skipped",
+        "count_if(action = 'error') AS errors",
     )

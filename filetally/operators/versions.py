@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filetally.errors import ConfigurationError
 from filetally.functions.paths import extension
 from filetally.functions.times import to_utc
-from filetally.guards import non_empty, passes
+from filetally.guards import non_empty, passes, quoted
 from filetally.schemas import CONTRACTS, EXTRACTION_STATE
 
 # Suffixes that can be converted to Markdown.
@@ -46,31 +46,18 @@ MODES = ("incremental", "full_refresh")
 MEBIBYTE = 1024 * 1024
 
 
-def with_transferable(df: DataFrame, max_mb: int, size: str = "size") -> DataFrame:
+def with_transferable(df: DataFrame, max_mb: int) -> DataFrame:
     """Mark, never drop, files above the cap: an oversized file still counts as present."""
-    return df.withColumn("transferable", F.col(size) <= max_mb * MEBIBYTE)
-
-
-def bytes_differ(a: str, b: str) -> Column:
-    """Revision or content hash differ between two structs (or column prefixes)."""
-    return ~(
-        F.col(f"{a}.rev").eqNullSafe(F.col(f"{b}.rev"))
-        & F.col(f"{a}.content_hash").eqNullSafe(F.col(f"{b}.content_hash"))
-    )
+    return df.withColumn("transferable", F.expr(f"size <= {max_mb * MEBIBYTE}"))
 
 
 def classify(current: DataFrame, state: DataFrame) -> DataFrame:
     """``current`` plus ``change``: new, changed or unchanged; a rename alone is unchanged."""
-    known = state.select("file_id", F.struct("rev", "content_hash").alias("prior"))
-    joined = current.withColumn("now", F.struct("rev", "content_hash")).join(
-        known, "file_id", "left"
-    )
-    return joined.withColumn(
-        "change",
-        F.when(F.col("prior").isNull(), F.lit("new"))
-        .when(bytes_differ("now", "prior"), F.lit("changed"))
-        .otherwise(F.lit("unchanged")),
-    ).drop("prior", "now")
+    known = state.selectExpr("file_id", "struct(rev, content_hash) AS prior")
+    change = """CASE WHEN prior IS NULL THEN 'new'
+        WHEN NOT (struct(rev, content_hash) <=> prior) THEN 'changed' ELSE 'unchanged' END"""
+    joined = current.join(known, "file_id", "left")
+    return joined.withColumn("change", F.expr(change)).drop("prior")
 
 
 def allowed_suffixes(suffixes: list[str]) -> list[str]:
@@ -107,18 +94,19 @@ def extraction_candidates(
     if mode not in MODES:
         raise ConfigurationError("mode must be incremental or full_refresh.")
     cap = extraction_bounds(max_mb)
-    eligible = extension(F.col("name")).isin(*allowed_suffixes(suffixes)) & (F.col("size") <= cap)
-    known = non_empty(F.col("file_id")) & non_empty(F.col("rev")) & non_empty(F.col("content_hash"))
+    eligible = f"{extension('name')} IN ({quoted(allowed_suffixes(suffixes))})"
+    identified = passes(
+        non_empty("file_id", "rev", "content_hash"),
+        "'An eligible file has no stable id, rev or content hash.'",
+    )
     # One CASE, so the identity check can never be moved ahead of the eligibility test.
-    chosen = files.where(F.col("size") <= cap).where(
-        F.when(F.coalesce(eligible, F.lit(False)),
-               passes(known, "An eligible file has no stable id, rev or content hash."))
-        .otherwise(F.lit(False))
+    chosen = files.where(f"size <= {cap}").where(
+        f"CASE WHEN size <= {cap} AND {eligible} THEN {identified} ELSE false END"
     )
     if mode == "full_refresh" or state is None:
         return chosen
-    done = state.select("file_id", "rev", "content_hash")
-    return chosen.join(done, ["file_id", "rev", "content_hash"], "left_anti")
+    key = ["file_id", "rev", "content_hash"]
+    return chosen.join(state.select(*key), key, "left_anti")
 
 
 def file_contents(candidates: DataFrame, results: DataFrame) -> DataFrame:
@@ -128,65 +116,51 @@ def file_contents(candidates: DataFrame, results: DataFrame) -> DataFrame:
     ``failed``, ``timed_out``, or ``other`` for a status the service does not explain.
     """
     key = ["file_id", "rev", "content_hash"]
-    status, kind, code = F.col("status"), F.col("r_type"), F.col("r_code")
-    outcome = results.select(
+    outcome = results.selectExpr(
         *key,
-        F.when(status == "complete", F.lit("succeeded")).otherwise(status).alias("status"),
-        F.col("markdown").alias("r_markdown"),
-        F.col("error_type").alias("r_type"),
-        F.col("error_code").alias("r_code"),
-        F.col("error_message").alias("r_message"),
-    )
-    joined = candidates.join(outcome, key)
-    of_file = F.coalesce(kind.isin(*FILE_ERRORS), F.lit(False))
-    systemic = F.coalesce(code.isin(*SYSTEMIC_CODES), F.lit(False))
-    valid = (
-        F.when(status == "succeeded",
-               passes(F.col("r_markdown").isNotNull(), "A successful extraction has no Markdown."))
-        .when(status.isin("timed_out", "other"), F.lit(True))
-        .when((status == "failed") & of_file, F.lit(True))
-        .when((status == "failed") & systemic,
-              F.raise_error(F.concat(F.lit("Extraction failed with systemic error "), code))
-              .cast("boolean"))
-        .otherwise(F.raise_error(F.lit("Unexpected extraction outcome.")).cast("boolean"))
-    )
-    # A candidate column takes part, so results of other versions are never tested.
-    checked = joined.where(F.when(F.length("name") >= 0, valid).otherwise(valid))
-    failed, late, unknown = status == "failed", status == "timed_out", status == "other"
-    message = F.when(
-        failed,
-        F.when((kind == "user_error") & F.col("r_message").isNotNull(), F.col("r_message"))
-        .otherwise(F.concat(F.lit("Extraction failed: "), kind, F.lit("."))),
-    ).when(late, F.coalesce(F.col("r_message"), F.lit("Extraction timed out."))).when(
-        unknown, F.lit("Extraction returned an unknown status.")
+        "struct(CASE status WHEN 'complete' THEN 'succeeded' ELSE status END AS status, "
+        "markdown, error_type AS type, error_code AS code, error_message AS message) AS r",
     )
+    no_markdown = passes("r.markdown IS NOT NULL", "'A successful extraction has no Markdown.'")
+    # ``name`` is a candidate's column: it keeps this test above the join, so results of
+    # other versions are never tested.
+    valid = f"""CASE
+        WHEN name IS NULL AND r IS NULL THEN false
+        WHEN r.status = 'succeeded' THEN {no_markdown}
+        WHEN r.status IN ('timed_out', 'other') THEN true
+        WHEN r.status = 'failed' AND r.type IN ({quoted(FILE_ERRORS)}) THEN true
+        WHEN r.status = 'failed' AND r.code IN ({quoted(SYSTEMIC_CODES)}) THEN CAST(raise_error(
+          concat('Extraction failed with systemic error ', r.code)) AS BOOLEAN)
+        ELSE CAST(raise_error('Unexpected extraction outcome.') AS BOOLEAN) END"""
     made = {
-        "client_modified": to_utc(F.col("client_modified")),
-        "server_modified": to_utc(F.col("server_modified")),
-        "content_format": F.lit("markdown"),
-        "markdown": F.when(status == "succeeded", F.col("r_markdown")),
-        "extraction_status": F.when(unknown, F.lit("failed")).otherwise(status),
-        "error_type": F.when(failed, kind).when(late, F.lit("timeout"))
-        .when(unknown, F.lit("unknown_status")),
-        "error_code": F.when(failed, code),
-        "error_details": F.when(
-            failed,
-            F.struct(
-                kind.alias("type"),
-                F.when(kind == "user_error", F.col("r_message")).alias("message"),
-            ),
-        ),
-        "error_message": message,
+        "client_modified": to_utc("client_modified"),
+        "server_modified": to_utc("server_modified"),
+        "content_format": "'markdown'",
+        "markdown": "CASE WHEN r.status = 'succeeded' THEN r.markdown END",
+        "extraction_status": "CASE r.status WHEN 'other' THEN 'failed' ELSE r.status END",
+        "error_type": "CASE r.status WHEN 'failed' THEN r.type WHEN 'timed_out' THEN 'timeout' "
+        "WHEN 'other' THEN 'unknown_status' END",
+        "error_code": "CASE WHEN r.status = 'failed' THEN r.code END",
+        "error_details": "CASE WHEN r.status = 'failed' THEN struct(r.type AS type, "
+        "CASE WHEN r.type = 'user_error' THEN r.message END AS message) END",
+        "error_message": "CASE r.status WHEN 'failed' THEN CASE WHEN r.type = 'user_error' "
+        "AND r.message IS NOT NULL THEN r.message "
+        "ELSE concat('Extraction failed: ', r.type, '.') END "
+        "WHEN 'timed_out' THEN coalesce(r.message, 'Extraction timed out.') "
+        "WHEN 'other' THEN 'Extraction returned an unknown status.' END",
     }
-    return checked.select(
-        *[made.get(c, F.col(c)).alias(c) for c in CONTRACTS["file_contents"].schema.names]
+    columns = CONTRACTS["file_contents"].schema.names
+    return (
+        candidates.join(outcome, key)
+        .where(valid)
+        .selectExpr(*[f"{made[c]} AS {c}" if c in made else c for c in columns])
     )
 
 
 def advance_extraction_state(state: DataFrame, records: DataFrame) -> DataFrame:
     """Store the version of succeeded and failed rows; timed-out files stay due."""
-    settled = records.where(F.col("extraction_status").isin("succeeded", "failed")).select(
-        "file_id", "rev", "content_hash", F.col("path_lower").alias("path")
+    settled = records.where("extraction_status IN ('succeeded', 'failed')").selectExpr(
+        "file_id", "rev", "content_hash", "path_lower AS path"
     )
     kept = state.join(settled.select("file_id"), "file_id", "left_anti")
     return kept.select(*EXTRACTION_STATE.names).unionByName(settled)

@@ -2,69 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filetally.functions.paths import target_path
 from filetally.session import materialize
 
-ERRORS = (
-    "error_source_unavailable",
-    "error_source_changed",
-    "error_destination_exists",
-    "error_target_changed",
-)
-
-
-def _outcome() -> Column:
-    """The outcome table over ``_old``/``_new`` (the target's row at each path, if any)."""
-    absent, taken = F.col("_old").isNull(), F.col("_new").isNotNull()
-    same = F.col("_old_hash").eqNullSafe(F.col("old_content_hash"))
-    arrived = taken & (
-        F.col("_new_hash").eqNullSafe(F.col("old_content_hash"))
-        | F.col("_new_hash").eqNullSafe(F.col("new_content_hash"))
-    )
-    move = (
-        F.when(absent & arrived, F.lit("already_moved"))
-        .when(absent, F.lit("error_source_unavailable"))
-        .when(~same, F.lit("error_source_changed"))
-        .when(taken, F.lit("error_destination_exists"))
-        .otherwise(F.lit("moved"))
-    )
-    delete = (
-        F.when(absent, F.lit("already_absent"))
-        .when(~same, F.lit("error_target_changed"))
-        .otherwise(F.lit("deleted"))
-    )
-    return F.when(F.col("operation") == "move", move).otherwise(delete)
+_SAME = "_old_hash <=> old_content_hash"
+_ARRIVED = "(_new_hash <=> old_content_hash OR _new_hash <=> new_content_hash)"
+# The outcome table over ``_old``/``_new``, the target's row at each path, if any.
+_OUTCOME = f"""CASE WHEN operation = 'delete' THEN CASE
+      WHEN _old IS NULL THEN 'already_absent'
+      WHEN NOT ({_SAME}) THEN 'error_target_changed' ELSE 'deleted' END
+    WHEN _old IS NULL AND _new IS NOT NULL AND {_ARRIVED} THEN 'already_moved'
+    WHEN _old IS NULL THEN 'error_source_unavailable'
+    WHEN NOT ({_SAME}) THEN 'error_source_changed'
+    WHEN _new IS NOT NULL THEN 'error_destination_exists' ELSE 'moved' END"""
 
 
 def _resolve(ops: DataFrame, target: DataFrame) -> DataFrame:
     """Outcome of operations that do not touch each other's paths: two equi-joins by path."""
-    olds = target.select(F.col("path").alias("_old"), F.col("content_hash").alias("_old_hash"))
-    news = target.select(F.col("path").alias("_new"), F.col("content_hash").alias("_new_hash"))
-    joined = ops.join(olds, F.col("from_path") == F.col("_old"), "left").join(
-        news, F.col("to_path") == F.col("_new"), "left"
+    olds = target.selectExpr("path AS _old", "content_hash AS _old_hash")
+    news = target.selectExpr("path AS _new", "content_hash AS _new_hash")
+    joined = ops.join(olds, F.expr("from_path = _old"), "left").join(
+        news, F.expr("to_path = _new"), "left"
     )
-    return joined.withColumn("outcome", _outcome()).select(*ops.columns, "outcome")
+    return joined.selectExpr(*ops.columns, f"{_OUTCOME} AS outcome")
 
 
 def _touches(ops: DataFrame) -> DataFrame:
     """``path, idx, signature`` for each path an operation names."""
-    return ops.select(
-        "idx",
-        "signature",
-        F.explode(F.array_compact(F.array("from_path", "to_path"))).alias("path"),
+    return ops.selectExpr(
+        "idx", "signature", "explode(array_compact(array(from_path, to_path))) AS path"
     )
 
 
 def target_after(target: DataFrame, resolved: DataFrame) -> DataFrame:
     """The index once the resolved operations have taken effect."""
-    took = resolved.where(F.col("outcome").isin("moved", "deleted"))
-    arrived = took.where(F.col("outcome") == "moved").select(
-        F.col("to_path").alias("path"), F.col("old_content_hash").alias("content_hash")
+    took = resolved.where("outcome IN ('moved', 'deleted')")
+    arrived = took.where("outcome = 'moved'").selectExpr(
+        "to_path AS path", "old_content_hash AS content_hash"
     )
-    left = target.join(took.select(F.col("from_path").alias("path")), "path", "left_anti")
+    left = target.join(took.selectExpr("from_path AS path"), "path", "left_anti")
     return left.select("path", "content_hash").unionByName(arrived)
 
 
@@ -76,24 +55,12 @@ def _ready(pending: DataFrame) -> DataFrame:
     pairing operations that share a path.
     """
     touches = _touches(pending)
-    heads = touches.groupBy("path").agg(F.min_by("signature", "idx").alias("head"))
+    heads = touches.groupBy("path").agg(F.expr("min_by(signature, idx) AS head"))
     tagged = touches.join(heads, "path")
-    limits = (
-        tagged.where(F.col("signature") != F.col("head"))
-        .groupBy("path")
-        .agg(F.min("idx").alias("limit"))
-    )
-    free = (
-        tagged.join(limits, "path", "left")
-        .withColumn(
-            "free",
-            (F.col("signature") == F.col("head"))
-            & (F.col("limit").isNull() | (F.col("idx") < F.col("limit"))),
-        )
-        .groupBy("idx")
-        .agg(F.min("free").alias("ready"))
-    )
-    return pending.join(free, "idx")
+    limits = tagged.where("signature <> head").groupBy("path").agg(F.expr("min(idx) AS bound"))
+    free = "min(signature = head AND (bound IS NULL OR idx < bound)) AS ready"
+    verdicts = tagged.join(limits, "path", "left").groupBy("idx").agg(F.expr(free))
+    return pending.join(verdicts, "idx")
 
 
 def apply_operations(operations: DataFrame, target: DataFrame, root: str) -> DataFrame:
@@ -105,57 +72,40 @@ def apply_operations(operations: DataFrame, target: DataFrame, root: str) -> Dat
     settled in rounds by index, each over the still pending operations only; a round's
     results are written to the shared folder, so lineage stays short and survives losses.
     """
-    signature = F.sha2(
-        F.to_json(F.struct("operation", "old_path", "old_content_hash", "new_path",
-                           "new_content_hash")),
-        256,
-    )
     keep = operations.columns
-    ops = operations.withColumns(
-        {
-            "from_path": target_path(root, F.col("old_path")),
-            "to_path": F.when(F.col("operation") == "move", target_path(root, F.col("new_path"))),
-            "signature": signature,
-        }
-    )
-    shared = (
-        _touches(ops).groupBy("path").agg(F.count_distinct("idx").alias("n")).where("n > 1")
+    body = "struct(operation, old_path, old_content_hash, new_path, new_content_hash)"
+    ops = operations.selectExpr(
+        "*",
+        f"{target_path(root, 'old_path')} AS from_path",
+        f"CASE WHEN operation = 'move' THEN {target_path(root, 'new_path')} END AS to_path",
+        f"sha2(to_json({body}), 256) AS signature",
     )
+    touches = _touches(ops)
+    shared = touches.groupBy("path").agg(F.expr("min(idx) < max(idx) AS is_shared"))
     entangled = (
-        _touches(ops).join(shared.select("path"), "path", "left_semi").select("idx").distinct()
+        touches.join(shared.where("is_shared"), "path", "left_semi").select("idx").distinct()
     )
     alone = _resolve(ops.join(entangled, "idx", "left_anti"), target)
+    done = alone.selectExpr(*keep, "outcome", "false AS needed_ordering")
     pending = materialize(ops.join(entangled, "idx", "left_semi"), "pending-operations")
-    done = alone.select(*keep, "outcome", F.lit(False).alias("needed_ordering"))
     if pending.isEmpty():
         return done
     paths = _touches(pending).select("path").distinct()
     index = materialize(
         target.select("path", "content_hash").join(paths, "path", "left_semi"), "target-index"
     )
+    again = """CASE WHEN idx = first_idx THEN lead WHEN lead = 'moved' THEN 'already_moved'
+        WHEN lead = 'deleted' THEN 'already_absent' ELSE lead END AS outcome"""
     while not pending.isEmpty():
         marked = materialize(_ready(pending), "ready-operations")
         ready = marked.where("ready").drop("ready")
-        first = ready.groupBy("signature").agg(F.min("idx").alias("first_idx"))
-        leads = ready.join(
-            first.select(F.col("first_idx").alias("idx")), "idx", "left_semi"
-        )
+        first = ready.groupBy("signature").agg(F.expr("min(idx) AS first_idx"))
+        leads = ready.join(first.selectExpr("first_idx AS idx"), "idx", "left_semi")
         resolved = materialize(_resolve(leads, index), "resolved-operations")
-        again = (
-            F.when(F.col("lead") == "moved", F.lit("already_moved"))
-            .when(F.col("lead") == "deleted", F.lit("already_absent"))
-            .otherwise(F.col("lead"))
-        )
-        results = ready.join(first, "signature").join(
-            resolved.select("signature", F.col("outcome").alias("lead")), "signature"
-        )
-        results = results.withColumn(
-            "outcome", F.when(F.col("idx") == F.col("first_idx"), F.col("lead")).otherwise(again)
-        )
-        settled = materialize(
-            results.select(*keep, "outcome", F.lit(True).alias("needed_ordering")), "settled"
-        )
-        done = done.unionByName(settled)
+        leading = resolved.selectExpr("signature", "idx AS first_idx", "outcome AS lead")
+        results = ready.join(leading, "signature")
+        settled = results.selectExpr(*keep, again, "true AS needed_ordering")
+        done = done.unionByName(materialize(settled, "settled-operations"))
         index = materialize(target_after(index, resolved), "target-index")
-        pending = marked.where(~F.col("ready")).drop("ready")
+        pending = marked.where("NOT ready").drop("ready")
     return done

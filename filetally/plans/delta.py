@@ -27,11 +27,11 @@ def split_delta(
     oversized file does not consume its tombstone.
     """
     changed = migration_inventory(listing, root, max_mb, globs).where("transferable")
-    shown = F.coalesce(F.nullif(F.col("path_display"), F.lit("")), F.col("path_lower"))
     tombstones = (
-        listing.where(F.col("entry_type") == "deleted")
-        .where(shown.isNotNull() & (shown != ""))
-        .select(transfer_path(shown, shown, root).alias("path"))
+        listing.where("entry_type = 'deleted'")
+        .selectExpr("coalesce(nullif(path_display, ''), path_lower) AS shown")
+        .where("shown <> ''")
+        .selectExpr(f"{transfer_path('shown', 'shown', root)} AS path")
     )
     return changed, tombstones
 
@@ -66,40 +66,29 @@ def plan_delta(
     current = checked_versions(changed)
     if "transferable" not in current.columns:
         current = current.withColumn("transferable", F.lit(True))
-    names = ["path", "rev", "content_hash", "size", "transferable"]
-    now = current.select("file_id", F.struct(*names).alias("now"))
+    now = current.selectExpr(
+        "file_id", "struct(path, rev, content_hash, size, transferable) AS now"
+    )
     touched = state.files.join(now.select("file_id"), "file_id", "left_semi")
-    stored = touched.select("file_id", F.struct("path", "rev", "content_hash").alias("prior"))
+    stored = touched.selectExpr("file_id", "struct(path, rev, content_hash) AS prior")
     paired = now.join(stored, "file_id", "left")
-    planned = decisions(paired, "now", "prior", rename_policy, F.lit(False))
+    planned = decisions(paired, rename_policy, "false")
     if delete_policy != "delete":
         return Plan(planned, state)
 
-    consumed = paired.where(F.col("now.path") != F.col("prior.path")).select(
-        fold(F.col("prior.path")).alias("folded")
-    )
+    consumed = paired.where("now.path <> prior.path").selectExpr(f"{fold('prior.path')} AS folded")
     dead = (
-        tombstones.select(fold(F.col("path")).alias("folded"))
+        tombstones.selectExpr(f"{fold('path')} AS folded")
         .distinct()
         .join(consumed, "folded", "left_anti")
     )
-    hits = state.files.withColumn("folded", fold(F.col("path"))).join(dead, "folded")
-    text = F.lit(None).cast("string")
-    deletes = (
-        hits.groupBy("folded")
-        .agg(F.max_by(F.struct("file_id", "path", "content_hash"), "file_id").alias("s"))
-        .select(
-            F.col("s.file_id").alias("file_id"),
-            F.lit("delete").alias("operation"),
-            F.col("s.path").alias("old_path"),
-            F.col("s.content_hash").alias("old_content_hash"),
-            text.alias("new_path"),
-            text.alias("new_content_hash"),
-            F.lit(False).alias("transfer"),
-            text.alias("path"),
-            text.alias("rev"),
-            text.alias("content_hash"),
-            F.lit(None).cast("long").alias("size"),
-        )
+    hits = state.files.selectExpr("*", f"{fold('path')} AS folded").join(dead, "folded")
+    greatest = "max_by(struct(file_id, path, content_hash), file_id) AS s"
+    deletes = hits.groupBy("folded").agg(F.expr(greatest)).selectExpr(
+        "s.file_id AS file_id",
+        "'delete' AS operation",
+        "s.path AS old_path",
+        "s.content_hash AS old_content_hash",
+        "false AS transfer",
     )
-    return Plan(planned.unionByName(deletes), state)
+    return Plan(planned.unionByName(deletes, allowMissingColumns=True), state)

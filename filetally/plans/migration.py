@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from filetally.errors import ConfigurationError
 from filetally.functions.paths import is_safe_relative, matches_globs, transfer_path
@@ -33,16 +32,15 @@ class Plan:
     @property
     def operations(self) -> DataFrame:
         """Control rows; moves come before deletes, each by file id (``phase`` orders them)."""
-        return self.decisions.where(F.col("operation").isNotNull()).select(
-            F.when(F.col("operation") == "move", F.lit(0)).otherwise(F.lit(1)).alias("phase"),
-            *OPERATION.names,
+        return self.decisions.where("operation IS NOT NULL").selectExpr(
+            "CASE operation WHEN 'move' THEN 0 ELSE 1 END AS phase", *OPERATION.names
         )
 
     @property
     def transfers(self) -> DataFrame:
         """Files to transfer, at the path they are to be written to."""
-        return self.decisions.where("transfer").select(
-            F.lit(2).alias("phase"), "file_id", "path", "rev", "content_hash", "size"
+        return self.decisions.where("transfer").selectExpr(
+            "2 AS phase", "file_id", "path", "rev", "content_hash", "size"
         )
 
 
@@ -59,70 +57,64 @@ def migration_inventory(
     listing: DataFrame, root: str, max_mb: int = 1024, globs: list[str] | None = None
 ) -> DataFrame:
     """Files of a listing as planner input: transfer path, version, ``transferable`` mark."""
-    path = transfer_path(F.col("path_display"), F.col("name"), root)
-    rows = listing.where(F.col("entry_type") == "file").select(
-        F.col("id").alias("file_id"),
-        path.alias("path"),
+    rows = listing.where("entry_type = 'file'").selectExpr(
+        "id AS file_id",
+        f"{transfer_path('path_display', 'name', root)} AS path",
         "rev",
         "content_hash",
         "size",
-        *(["ordinal"] if "ordinal" in listing.columns else []),
+        *[c for c in ("ordinal",) if c in listing.columns],
     )
-    return with_transferable(rows.where(matches_globs(F.col("path"), globs or [])), max_mb)
+    return with_transferable(rows.where(matches_globs("path", globs or [])), max_mb)
 
 
 def checked_versions(files: DataFrame) -> DataFrame:
     """Fail on a file without identity or with an unsafe path."""
-    identified = (
-        non_empty(F.col("file_id")) & non_empty(F.col("rev")) & non_empty(F.col("content_hash"))
-    )
+    identified = non_empty("file_id", "rev", "content_hash")
     return require(
         files,
-        identified & is_safe_relative(F.col("path")),
-        F.when(identified, F.lit("A file has an invalid path.")).otherwise(
-            F.lit("File metadata requires non-empty id, rev and content_hash.")
-        ),
+        f"{identified} AND {is_safe_relative('path')}",
+        f"CASE WHEN {identified} THEN 'A file has an invalid path.' "
+        "ELSE 'File metadata requires non-empty id, rev and content_hash.' END",
     )
 
 
-def decisions(
-    paired: DataFrame, now: str, prior: str, rename_policy: str, delete: Column
-) -> DataFrame:
-    """The planning truth table over a pairing of current files and state rows.
+def decisions(paired: DataFrame, rename_policy: str, delete: str) -> DataFrame:
+    """The planning truth table over pairs of a current file ``now`` and a state row ``prior``.
 
-    ``delete`` says where a state row is to be deleted; the other outcomes follow from
+    ``delete`` is SQL for where a state row is to be deleted; the other outcomes follow from
     presence, path (case-sensitive) and byte version. A changed file whose rename is
     ignored keeps its stored path.
     """
-    current, stored = F.col(now), F.col(prior)
-    is_new = current.isNotNull() & stored.isNull()
-    both = current.isNotNull() & stored.isNotNull()
-    renamed = both & (current.path != stored.path)
-    changed = both & (
-        (current.rev != stored.rev) | (current.content_hash != stored.content_hash)
+    both = "now IS NOT NULL AND prior IS NOT NULL"
+    moves = "renamed" if rename_policy == "propagate" else "false"
+    facts = paired.selectExpr(
+        "file_id",
+        "now",
+        "prior",
+        "now IS NOT NULL AND prior IS NULL AS is_new",
+        f"coalesce({both} AND now.path <> prior.path, false) AS renamed",
+        f"coalesce({both} AND (now.rev <> prior.rev "
+        "OR now.content_hash <> prior.content_hash), false) AS changed",
     )
-    moves = renamed if rename_policy == "propagate" else F.lit(False)
-    operation = F.when(moves, F.lit("move")).when(delete, F.lit("delete"))
-    path = F.when(is_new | moves, current.path).otherwise(stored.path)
-    acts = F.col("operation").isNotNull()
-    transfer = (is_new | changed) & current.transferable
-    return (
-        paired.withColumn("operation", operation)
-        .withColumn("transfer", F.coalesce(transfer, F.lit(False)))
-        .where(acts | F.col("transfer"))
-        .select(
-            "file_id",
-            "operation",
-            F.when(acts, stored.path).alias("old_path"),
-            F.when(acts, stored.content_hash).alias("old_content_hash"),
-            F.when(F.col("operation") == "move", current.path).alias("new_path"),
-            F.when(F.col("operation") == "move", current.content_hash).alias("new_content_hash"),
-            "transfer",
-            F.when(F.col("transfer"), path).alias("path"),
-            F.when(F.col("transfer"), current.rev).alias("rev"),
-            F.when(F.col("transfer"), current.content_hash).alias("content_hash"),
-            F.when(F.col("transfer"), current["size"]).alias("size"),
-        )
+    chosen = facts.selectExpr(
+        "*",
+        f"CASE WHEN {moves} THEN 'move' WHEN {delete} THEN 'delete' END AS operation",
+        "(is_new OR changed) AND coalesce(now.transferable, false) AS transfer",
+    ).where("operation IS NOT NULL OR transfer")
+    return chosen.selectExpr(
+        "file_id",
+        "operation",
+        "CASE WHEN operation IS NOT NULL THEN prior.path END AS old_path",
+        "CASE WHEN operation IS NOT NULL THEN prior.content_hash END AS old_content_hash",
+        "CASE WHEN operation = 'move' THEN now.path END AS new_path",
+        "CASE WHEN operation = 'move' THEN now.content_hash END AS new_content_hash",
+        "transfer",
+        f"CASE WHEN transfer THEN CASE WHEN is_new OR {moves} THEN now.path ELSE prior.path END "
+        "END AS path",
+        "CASE WHEN transfer THEN now.rev END AS rev",
+        "CASE WHEN transfer THEN now.content_hash END AS content_hash",
+        "CASE WHEN transfer THEN now.size END AS size",
     )
 
 

@@ -5,11 +5,9 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from filetally.errors import ContractError
-from filetally.guards import require
-from filetally.operators.keyed import pair_by_key
+from filetally.operators.keyed import named, pair_by_key, unique_sides
 from filetally.plans.migration import Plan, check_policies, checked_versions, decisions
 from filetally.sources.state import Scope, State
 
@@ -23,7 +21,7 @@ def _scoped_state(state: State, scope: Scope, propagates: bool) -> State:
             "The state has no traversal scope or another one; disable propagation for one "
             "fresh inventory."
         )
-    return replace(state, files=state.files.where(F.lit(False)), scope=scope, layout=3)
+    return replace(state, files=state.files.limit(0), scope=scope, layout=3)
 
 
 def plan_snapshot(
@@ -45,11 +43,9 @@ def plan_snapshot(
     current = checked_versions(inventory).select(
         "file_id", "path", "rev", "content_hash", "size", "transferable"
     )
-    paired = pair_by_key(current, state.files, ["file_id"])
-    paired = require(
-        paired,
-        (F.col("left_rows") <= 1) & (F.col("right_rows") <= 1),
-        F.concat(F.lit("Inventory contains duplicate file_id "), F.col("file_id")),
-    )
-    gone = F.col("left").isNull() & F.lit(delete_policy == "delete")
-    return Plan(decisions(paired, "left", "right", rename_policy, gone), state)
+    paired = unique_sides(
+        pair_by_key(current, state.files, ["file_id"]),
+        named("Inventory contains duplicate file_id ", "file_id"),
+    ).selectExpr("file_id", "left AS now", "right AS prior")
+    gone = "now IS NULL" if delete_policy == "delete" else "false"
+    return Plan(decisions(paired, rename_policy, gone), state)

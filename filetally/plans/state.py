@@ -15,49 +15,34 @@ def next_state(state: DataFrame, operations: DataFrame, transferred: DataFrame)
     Order is operations, then files, so a deleted id that is transferred again stays. The
     three inputs share one exchange on ``file_id``. An operation on an unknown id fails.
     """
-    version = "struct<path:string,rev:string,content_hash:string>"
-    nothing = {
-        "stored": F.lit(None).cast(version),
-        "moved": F.lit(None).cast("string"),
-        "deleted": F.lit(None).cast("boolean"),
-        "sent": F.lit(None).cast(version),
-    }
-
-    def row(df: DataFrame, **given) -> DataFrame:
-        return df.select("file_id", *[given.get(n, c).alias(n) for n, c in nothing.items()])
-
-    body = F.struct("path", "rev", "content_hash")
     parts = (
-        row(state, stored=body)
+        state.selectExpr("file_id", "struct(path, rev, content_hash) AS stored")
         .unionByName(
-            row(
-                operations,
-                moved=F.when(F.col("operation") == "move", F.col("new_path")),
-                deleted=F.when(F.col("operation") == "delete", F.lit(True)),
-            )
+            operations.selectExpr(
+                "file_id",
+                "CASE WHEN operation = 'move' THEN new_path END AS moved",
+                "CASE WHEN operation = 'delete' THEN true END AS deleted",
+            ),
+            allowMissingColumns=True,
+        )
+        .unionByName(
+            transferred.selectExpr("file_id", "struct(path, rev, content_hash) AS sent"),
+            allowMissingColumns=True,
         )
-        .unionByName(row(transferred, sent=body))
     )
     folded = parts.groupBy("file_id").agg(
-        *[F.any_value(n, ignoreNulls=True).alias(n) for n in nothing]
+        *[F.expr(f"any_value({c}, true) AS {c}") for c in ("stored", "moved", "deleted", "sent")]
     )
     folded = require(
         folded,
-        F.col("stored").isNotNull() | (F.col("moved").isNull() & F.col("deleted").isNull()),
-        "A move or delete does not match the state.",
-    )
-    stored = F.col("stored")
-    kept = F.when(
-        F.col("deleted").isNull(),
-        F.struct(
-            F.coalesce(F.col("moved"), stored.path).alias("path"),
-            stored.rev.alias("rev"),
-            stored.content_hash.alias("content_hash"),
-        ),
+        "stored IS NOT NULL OR (moved IS NULL AND deleted IS NULL)",
+        "'A move or delete does not match the state.'",
     )
+    kept = """CASE WHEN deleted IS NULL THEN struct(coalesce(moved, stored.path) AS path,
+        stored.rev AS rev, stored.content_hash AS content_hash) END"""
     return (
-        folded.select("file_id", F.coalesce(F.col("sent"), kept).alias("v"))
-        .where(F.col("v").isNotNull())
+        folded.selectExpr("file_id", f"coalesce(sent, {kept}) AS v")
+        .where("v IS NOT NULL")
         .select("file_id", "v.*")
         .select(*TRANSFER_STATE.names)
     )

@@ -16,31 +16,26 @@ def transfer_records(transfers: DataFrame, staged: DataFrame) -> DataFrame:
     ``file_id, rev, content``. A file that vanished, changed revision, or has another byte
     count is skipped. Digest and length are taken before the join, so bytes never shuffle.
     """
-    delivered = staged.select(
+    delivered = staged.selectExpr(
         "file_id",
-        F.col("rev").alias("_rev"),
-        F.octet_length("content").cast("long").alias("_bytes"),
-        F.sha2("content", 256).alias("_digest"),
+        "struct(rev, CAST(octet_length(content) AS BIGINT) AS bytes, "
+        "sha2(content, 256) AS digest) AS got",
     )
+    outcome = """CASE WHEN got.bytes IS NULL THEN 'skipped_unavailable'
+        WHEN NOT (got.rev <=> rev) THEN 'skipped_changed'
+        WHEN NOT (got.bytes <=> size) THEN 'skipped_byte_count' ELSE 'transferred' END"""
     joined = transfers.join(delivered, "file_id", "left")
-    outcome = (
-        F.when(F.col("_bytes").isNull(), F.lit("skipped_unavailable"))
-        .when(~F.col("_rev").eqNullSafe(F.col("rev")), F.lit("skipped_changed"))
-        .when(~F.col("_bytes").eqNullSafe(F.col("size")), F.lit("skipped_byte_count"))
-        .otherwise(F.lit("transferred"))
-    )
-    client, server = F.col("client_modified"), F.col("server_modified")
-    return joined.withColumn("outcome", outcome).select(
+    return joined.withColumn("outcome", F.expr(outcome)).selectExpr(
         "file_id",
-        F.col("path").alias("relative_path"),
+        "path AS relative_path",
         "path_lower",
         "path_display",
         "rev",
         "content_hash",
         "size",
-        F.when(F.col("outcome") == "transferred", F.col("_digest")).alias("sha256"),
-        to_utc(client).alias("client_modified"),
-        to_utc(server).alias("server_modified"),
-        format_utc(last_modified(server, client)).alias("last_modified"),
+        "CASE WHEN outcome = 'transferred' THEN got.digest END AS sha256",
+        f"{to_utc('client_modified')} AS client_modified",
+        f"{to_utc('server_modified')} AS server_modified",
+        f"{format_utc(last_modified('server_modified', 'client_modified'))} AS last_modified",
         "outcome",
     )

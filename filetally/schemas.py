@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 STRING, LONG, BOOLEAN = T.StringType(), T.LongType(), T.BooleanType()
@@ -13,6 +14,18 @@ def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+def complete(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the shape of ``schema``; columns it lacks become null."""
+    present = set(df.columns)
+    return df.selectExpr(
+        *[
+            f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) "
+            f"AS {f.name}"
+            for f in schema.fields
+        ]
+    )
+
+
 PROPERTY_GROUPS = T.ArrayType(
     struct(template_id=STRING, fields=T.ArrayType(struct(name=STRING, value=STRING)))
 )

@@ -7,12 +7,13 @@ reach the Parquet scan; land large listings that way.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filetally.errors import ConfigurationError
 from filetally.functions.paths import validate_root
-from filetally.schemas import LISTING_PAGE, LISTING_ROW
+from filetally.guards import quote
+from filetally.schemas import LISTING_PAGE, LISTING_ROW, complete
 
 LAYOUTS = {"pages": LISTING_PAGE, "rows": LISTING_ROW}
 
@@ -25,21 +26,9 @@ def _schema(layout: str):
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """One row per entry, numbered through the whole listing."""
-    return pages.select(
-        "page",
-        F.col("first_ordinal"),
-        F.posexplode("entries").alias("position", "entry"),
-    ).select("page", (F.col("first_ordinal") + F.col("position")).alias("ordinal"), "entry.*")
-
-
-def _below(path_lower: Column, root: str, recursive: bool) -> Column:
-    """Strictly below ``root``: a prefix test the scan can use, plus a depth test if asked."""
-    base = root.rstrip("/").lower()
-    below = path_lower.startswith(f"{base}/")
-    if recursive:
-        return below
-    rest = F.substring(path_lower, len(base) + 2, 2**31 - 1)
-    return below & ~rest.contains("/")
+    return pages.selectExpr(
+        "page", "first_ordinal", "posexplode(entries) AS (position, entry)"
+    ).selectExpr("page", "first_ordinal + position AS ordinal", "entry.*")
 
 
 def scope_listing(
@@ -47,13 +36,17 @@ def scope_listing(
 ) -> DataFrame:
     """Keep what a listing call for ``root`` would return.
 
-    With an empty root a recursive listing keeps every entry, whatever its path.
+    With an empty root a recursive listing keeps every entry, whatever its path. The root
+    is a prefix test on the stored lower-case path, which the scan can use; depth is a
+    second test on the remainder.
     """
-    base = validate_root(root.rstrip("/"))
+    base = validate_root(root.rstrip("/")).lower()
     if base or not recursive:
-        listing = listing.where(_below(F.col("path_lower"), base, recursive))
+        listing = listing.where(f"startswith(path_lower, {quote(base + '/')})")
+    if not recursive:
+        listing = listing.where(f"NOT contains(substring(path_lower, {len(base) + 2}), '/')")
     if not include_deleted:
-        listing = listing.where(F.col("entry_type") != "deleted")
+        listing = listing.where("entry_type <> 'deleted'")
     return listing
 
 
@@ -99,13 +92,7 @@ def stream_listing(
 
 def as_listing_rows(df: DataFrame) -> DataFrame:
     """Complete a narrower relation to the ``rows`` layout with null columns."""
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in LISTING_ROW.fields
-        ]
-    )
+    return complete(df, LISTING_ROW)
 
 
 def land_listing(rows: DataFrame, path: str, page_size: int = 2000) -> None:
@@ -113,22 +100,17 @@ def land_listing(rows: DataFrame, path: str, page_size: int = 2000) -> None:
 
     Pages are cut by ordinal, so a page is a bounded group by construction.
     """
-    entry = [c for c in LISTING_ROW.names if c not in ("page", "ordinal")]
+    names = [c for c in LISTING_ROW.names if c not in ("page", "ordinal")]
+    numbered = f"array_sort(collect_list(struct(ordinal, struct({', '.join(names)}) AS entry)))"
     pages = (
-        rows.withColumn("page", F.floor(F.col("ordinal") / page_size).cast("long"))
+        rows.withColumn("page", F.expr(f"CAST(floor(ordinal / {page_size}) AS BIGINT)"))
         .groupBy("page")
-        .agg(
-            F.min("ordinal").alias("first_ordinal"),
-            F.array_sort(F.collect_list(F.struct("ordinal", *entry))).alias("numbered"),
-        )
-        .select(
-            "page",
-            "first_ordinal",
-            F.concat(F.lit("page-"), F.col("page").cast("string")).alias("cursor"),
-            F.lit(None).cast("boolean").alias("has_more"),
-            F.transform("numbered", lambda e: F.struct(*[e[c].alias(c) for c in entry])).alias(
-                "entries"
-            ),
-        )
+        .agg(F.expr("min(ordinal) AS first_ordinal"), F.expr(f"{numbered} AS numbered"))
     )
-    pages.write.parquet(path)
+    pages.selectExpr(
+        "page",
+        "first_ordinal",
+        "concat('page-', page) AS cursor",
+        "CAST(NULL AS BOOLEAN) AS has_more",
+        "numbered.entry AS entries",
+    ).write.parquet(path)

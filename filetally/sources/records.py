@@ -33,44 +33,39 @@ def plan_writes(
     or by an earlier record, a ``conflict`` that also ends the run.
     """
     _policy(policy)
-    rows = validated.select("idx", "destination_path", F.col("error").isNotNull().alias("bad"))
-    good = rows.where(~F.col("bad"))
-    if policy == "overwrite":
-        conflict = F.lit(False)
-        marked = rows.withColumn("conflict", conflict)
-    else:
-        # A path's first record is the only one that may be written to it.
-        first = good.groupBy("destination_path").agg(F.min("idx").alias("idx"))
+    marked = validated.selectExpr(
+        "idx", "destination_path", "error IS NOT NULL AS bad", "false AS conflict"
+    )
+    if policy == "fail":
+        # A path's first sound record is the only one that may be written to it.
+        first = marked.where("NOT bad").groupBy("destination_path").agg(F.expr("min(idx) AS idx"))
         if existing is not None:
-            taken = existing.select(F.col("destination_path")).distinct()
+            taken = existing.select("destination_path").distinct()
             first = first.join(taken, "destination_path", "left_anti")
-        allowed = first.select("idx", F.lit(True).alias("allowed"))
-        marked = rows.join(allowed, "idx", "left").withColumn(
-            "conflict", ~F.col("bad") & F.col("allowed").isNull()
+        allowed = first.selectExpr("idx", "true AS allowed")
+        marked = marked.join(allowed, "idx", "left").selectExpr(
+            "idx", "destination_path", "bad", "NOT bad AND allowed IS NULL AS conflict"
         )
     # A scalar subquery: the index the run ended at, null if it did not.
-    stop = marked.where(F.col("bad") | F.col("conflict")).agg(F.min("idx")).scalar()
-    staged = marked.withColumn("stop", stop).withColumn(
-        "outcome",
-        F.when(F.col("stop").isNull() | (F.col("idx") < F.col("stop")), F.lit("written"))
-        .when(F.col("idx") > F.col("stop"), F.lit("not_reached"))
-        .when(F.col("bad"), F.lit("invalid"))
-        .otherwise(F.lit("conflict")),
-    ).select("idx", "destination_path", "outcome")
+    stop = marked.where("bad OR conflict").agg(F.expr("min(idx)")).scalar()
+    outcome = """CASE WHEN stop IS NULL OR idx < stop THEN 'written'
+        WHEN idx > stop THEN 'not_reached' WHEN bad THEN 'invalid' ELSE 'conflict' END"""
+    staged = marked.withColumn("stop", stop).selectExpr(
+        "idx", "destination_path", f"{outcome} AS outcome"
+    )
     if policy == "fail":
         return staged
     last = (
-        staged.where(F.col("outcome") == "written")
+        staged.where("outcome = 'written'")
         .groupBy("destination_path")
-        .agg(F.max("idx").alias("idx"))
-        .select("idx", F.lit(True).alias("last"))
+        .agg(F.expr("max(idx) AS idx"))
+        .selectExpr("idx", "true AS last")
     )
-    return staged.join(last, "idx", "left").select(
+    return staged.join(last, "idx", "left").selectExpr(
         "idx",
         "destination_path",
-        F.when((F.col("outcome") == "written") & F.col("last").isNull(), F.lit("superseded"))
-        .otherwise(F.col("outcome"))
-        .alias("outcome"),
+        "CASE WHEN outcome = 'written' AND last IS NULL THEN 'superseded' ELSE outcome END "
+        "AS outcome",
     )
 
 
@@ -91,14 +86,14 @@ def write_records(
     """
     plan = plan_writes(validated, existing, policy)
     if fail_closed:
-        bad = plan.where(F.col("outcome").isin("invalid", "conflict"))
+        bad = plan.where("outcome IN ('invalid', 'conflict')")
         require_empty(bad, "Records are invalid or in conflict; nothing was written.")
-    winners = plan.where(F.col("outcome") == "written").select("idx")
+    winners = plan.where("outcome = 'written'").select("idx")
     columns = ["idx", "destination_path", "content", "sha256", "modified_at"]
     (
         validated.select(*columns)
         .join(winners, "idx", "left_semi")
-        .withColumn("bucket", F.pmod(F.xxhash64("destination_path"), F.lit(buckets)).cast("int"))
+        .withColumn("bucket", F.expr(f"CAST(pmod(xxhash64(destination_path), {buckets}) AS INT)"))
         .write.mode("overwrite")
         .partitionBy("bucket")
         .parquet(target)

@@ -10,7 +10,6 @@ from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filetally.errors import ContractError
@@ -43,9 +42,9 @@ def read_report(spark: SparkSession, path: str) -> Report:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = reader.json(path)
-    rows = rows.where(passes(F.col("_corrupt_record").isNull(), "Report must be valid JSON lines."))
-    is_summary = F.coalesce(F.col("type") == "summary", F.lit(False))
+    rows = rows.where(passes("_corrupt_record IS NULL", "'Report must be valid JSON lines.'"))
+    is_summary = "coalesce(type = 'summary', false)"
     summary = rows.where(is_summary).select(*SUMMARY.names)
     if len(summary.select("type").take(2)) != 1:
         raise ContractError("Report must hold exactly one summary record.")
-    return Report(rows.where(~is_summary).select(*REPORT.names), summary)
+    return Report(rows.where(f"NOT {is_summary}").select(*REPORT.names), summary)

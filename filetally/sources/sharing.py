@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from filetally.schemas import LINK, MEMBER_ROW, MEMBERS, SHARED_FOLDER
 
@@ -21,45 +20,48 @@ def read_members(spark: SparkSession, path: str, file_format: str = "parquet") -
     return flatten_members(spark.read.schema(MEMBERS).format(file_format).load(path))
 
 
-def flatten_members(pages: DataFrame) -> DataFrame:
-    """One row per member of any list; a page is scanned once, its lists are concatenated.
+def _member(principal: str, **given: str) -> str:
+    """SQL struct of one member ``m`` in the shape every list is brought to."""
+    values = {
+        "principal_type": f"'{principal}'",
+        "access_level": "m.access_type",
+        "is_inherited": "m.is_inherited",
+        **given,
+    }
+    fields = [f for f in MEMBER_ROW.fields if f.name != "shared_folder_id"]
+    return ", ".join(
+        f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in fields
+    )
 
-    An invitation contributes its address only when it was made by e-mail.
-    """
-    text, flag = F.lit(None).cast("string"), F.lit(None).cast("boolean")
 
-    def row(kind, access, identity, email, display, same_team, member_class):
-        values = [F.lit(kind), identity, email, display, same_team, access.access_type,
-                  access.is_inherited, member_class]
-        names = [f.name for f in MEMBER_ROW.fields if f.name != "shared_folder_id"]
-        return F.struct(*[v.alias(n) for n, v in zip(names, values, strict=True)])
+_ACCOUNT = {
+    "principal_id": "m.user.account_id",
+    "display_name": "m.user.display_name",
+    "same_team": "m.user.same_team",
+}
+_LISTS = {
+    "users": _member("user", email="m.user.email", **_ACCOUNT),
+    "groups": _member(
+        "group",
+        principal_id="m.group.group_id",
+        display_name="m.group.group_name",
+        same_team="m.group.same_team",
+    ),
+    # An invitation contributes its address only when it was made by e-mail.
+    "invitees": _member(
+        "invitee",
+        email="CASE WHEN m.invitee.tag = 'email' THEN m.invitee.email END",
+        **_ACCOUNT,
+    ),
+    "others": _member("other", kind="m.kind"),
+}
 
-    users = F.transform(
-        "users",
-        lambda m: row(
-            "user", m, m.user.account_id, m.user.email, m.user.display_name, m.user.same_team, text
-        ),
-    )
-    groups = F.transform(
-        "groups",
-        lambda m: row(
-            "group", m, m.group.group_id, text, m.group.group_name, m.group.same_team, text
-        ),
-    )
-    invitees = F.transform(
-        "invitees",
-        lambda m: row(
-            "invitee",
-            m,
-            m.user.account_id,
-            F.when(m.invitee.tag == "email", m.invitee.email),
-            m.user.display_name,
-            m.user.same_team,
-            text,
-        ),
-    )
-    others = F.transform("others", lambda m: row("other", m, text, text, text, flag, m.kind))
-    lists = [F.coalesce(part, F.array()) for part in (users, groups, invitees, others)]
-    return pages.select("shared_folder_id", F.explode(F.concat(*lists)).alias("m")).select(
-        "shared_folder_id", "m.*"
+
+def flatten_members(pages: DataFrame) -> DataFrame:
+    """One row per member of any list; a page is scanned once, its lists are concatenated."""
+    lists = ", ".join(
+        f"coalesce(transform({name}, m -> struct({shape})), array())"
+        for name, shape in _LISTS.items()
     )
+    return pages.selectExpr("shared_folder_id", f"inline(concat({lists}))")

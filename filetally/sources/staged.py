@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 MEBIBYTE = 1024 * 1024
 # Fixed value: the staging limit of 1.5 GB bounds what one row may hold.
@@ -22,11 +21,9 @@ def read_staged(
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(path)
     cap = max_mb * MEBIBYTE
-    plain = F.regexp_replace("path", r"^file:/+", "/")
-    small = files.where(F.col("length") <= cap).select(
-        plain.alias("path"), "length", "content"
-    )
-    large = files.where(F.col("length") > cap).select(
-        plain.alias("path"), "length", F.lit(None).cast("binary").alias("content")
+    plain = "regexp_replace(path, '^file:/+', '/') AS path"
+    small = files.where(f"length <= {cap}").selectExpr(plain, "length", "content")
+    large = files.where(f"length > {cap}").selectExpr(
+        plain, "length", "CAST(NULL AS BINARY) AS content"
     )
     return small.unionByName(large)

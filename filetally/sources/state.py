@@ -70,19 +70,19 @@ def empty_state(spark: SparkSession, schema: T.StructType = TRANSFER_STATE) -> S
     return State(spark.createDataFrame([], schema))
 
 
-def state_rule(kind: str):
-    """Condition each row of a state table has to meet."""
-    rule = non_empty(F.col("file_id")) & non_empty(F.col("rev")) & non_empty(F.col("content_hash"))
+def _state_rule(kind: str) -> str:
+    """Filter that fails the job on a row a state table must not hold."""
+    rule = non_empty("file_id", "rev", "content_hash")
     if kind == "transfer":
-        rule = rule & non_empty(F.col("path")) & is_safe_relative(F.col("path"))
-    return F.coalesce(rule, F.lit(False))
+        rule = f"{rule} AND {is_safe_relative('path')}"
+    return passes(rule, f"'{kind} state has an invalid row.'")
 
 
 def write_state(state: State, path: str, version: int, kind: str = "transfer") -> None:
     """Write one version; the header row, written last, commits it."""
     spark = state.files.sparkSession
     schema = TRANSFER_STATE if kind == "transfer" else EXTRACTION_STATE
-    rows = state.files.where(passes(state_rule(kind), f"{kind} state has an invalid row."))
+    rows = state.files.where(_state_rule(kind))
     rows.select(*schema.names).write.mode("overwrite").parquet(f"{path}/files/version={version}")
     scope = state.scope or Scope("", True)
     layout = TRANSFER_VERSION if kind == "transfer" else EXTRACTION_VERSION
@@ -156,7 +156,7 @@ def read_state_json(spark: SparkSession, path: str, kind: str = "transfer") -> S
         .select("file_id", "v.path", "v.rev", "v.content_hash")
         .select(*schema.names)
         .repartition("file_id")
-        .where(passes(state_rule(kind), f"{kind} state has an invalid row."))
+        .where(_state_rule(kind))
     )
     cursor = header.cursor if header.version == TRANSFER_VERSION else None
     return State(files, scope, cursor, header.version)
