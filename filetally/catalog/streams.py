@@ -21,7 +21,7 @@ from filetally.streaming import (
 def _landed(spark, rows, label):
     """Listing rows landed as a few files by page range, as a feed would deliver them."""
     path = scratch(spark, label)
-    rows.repartitionByRange(4, "page").sortWithinPartitions("ordinal").write.parquet(path)
+    rows.repartitionByRange(2, "page").sortWithinPartitions("ordinal").write.parquet(path)
     return stream_listing(spark, path, layout="rows")
 
 

@@ -1,7 +1,10 @@
-"""Fail-closed checks that stay inside the plan.
+"""Fail-closed checks that stay inside the plan, where they were written.
 
-A check in a projected column disappears when the column is pruned; a check in a filter
-cannot, so every guard below is a filter whose condition raises.
+A check in a projected column disappears when the column is pruned, so every guard is a
+filter whose condition raises. As a deterministic filter it would still wander: pushed below
+a join, or inferred for the other side of one, it fails on rows that were never to be tested;
+and a filter added later, pushed below it, would hide rows from it. Asking for the partition
+number in the failing branch makes the condition non-deterministic, which pins it in place.
 """
 
 from __future__ import annotations
@@ -21,15 +24,14 @@ def quoted(values) -> str:
     return ", ".join(quote(v) for v in values)
 
 
+def fails(message: str) -> str:
+    """Boolean SQL that raises ``message``, which is SQL too and can name the row's key."""
+    return f"(spark_partition_id() < 0 OR CAST(raise_error({message}) AS BOOLEAN))"
+
+
 def passes(condition: str, message: str) -> str:
-    """SQL that is true where ``condition`` holds and raises where it is false or null.
-
-    ``message`` is SQL as well, so it can name the key of the offending row.
-    """
-    return (
-        f"CASE WHEN coalesce({condition}, false) THEN true "
-        f"ELSE CAST(raise_error({message}) AS BOOLEAN) END"
-    )
+    """SQL that is true where ``condition`` holds and raises where it is false or null."""
+    return f"CASE WHEN coalesce({condition}, false) THEN true ELSE {fails(message)} END"
 
 
 def require(df: DataFrame, condition: str, message: str) -> DataFrame:

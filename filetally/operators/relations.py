@@ -79,8 +79,6 @@ def file_properties(listing: DataFrame, templates: DataFrame) -> DataFrame:
         "file_id", "file_name", "path_lower", "path_display", "g.template_id AS template_id",
         "explode(g.fields) AS f",
     )
-    # One condition over both columns: on its own, the test of the file ID would be pushed
-    # below the explode and fail for files that carry no property at all.
     rows = require(
         rows,
         non_empty("file_id", "f.name"),
@@ -162,11 +160,10 @@ def sharing_acl(folders: DataFrame, members: DataFrame, root: str = "") -> DataF
         "display_name", "same_team", "access_level", "is_inherited",
     )
     # Inner join with one row per folder: a hot folder only makes the members side uneven,
-    # which adaptive execution splits. The condition needs a folder column, so that members
-    # of folders out of scope are never tested.
+    # which adaptive execution splits. Only members of folders in scope are tested.
     joined = require(
         listed.join(scoped, "shared_folder_id"),
-        "identity IS NOT NULL AND path_lower <> ''",
+        "identity IS NOT NULL",
         "concat('A shared-folder ', principal_type, ' has no stable identity.')",
     )
     rows = joined.selectExpr(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from filetally.errors import ConfigurationError
 from filetally.functions.paths import extension
 from filetally.functions.times import to_utc
-from filetally.guards import non_empty, passes, quoted
+from filetally.guards import fails, non_empty, passes, quoted
 from filetally.schemas import CONTRACTS, EXTRACTION_STATE
 
 # Suffixes that can be converted to Markdown.
@@ -99,10 +99,7 @@ def extraction_candidates(
         non_empty("file_id", "rev", "content_hash"),
         "'An eligible file has no stable id, rev or content hash.'",
     )
-    # One CASE, so the identity check can never be moved ahead of the eligibility test.
-    chosen = files.where(f"size <= {cap}").where(
-        f"CASE WHEN size <= {cap} AND {eligible} THEN {identified} ELSE false END"
-    )
+    chosen = files.where(f"size <= {cap} AND {eligible}").where(identified)
     if mode == "full_refresh" or state is None:
         return chosen
     key = ["file_id", "rev", "content_hash"]
@@ -122,16 +119,13 @@ def file_contents(candidates: DataFrame, results: DataFrame) -> DataFrame:
         "markdown, error_type AS type, error_code AS code, error_message AS message) AS r",
     )
     no_markdown = passes("r.markdown IS NOT NULL", "'A successful extraction has no Markdown.'")
-    # ``name`` is a candidate's column: it keeps this test above the join, so results of
-    # other versions are never tested.
+    systemic = fails("concat('Extraction failed with systemic error ', r.code)")
     valid = f"""CASE
-        WHEN name IS NULL AND r IS NULL THEN false
         WHEN r.status = 'succeeded' THEN {no_markdown}
         WHEN r.status IN ('timed_out', 'other') THEN true
         WHEN r.status = 'failed' AND r.type IN ({quoted(FILE_ERRORS)}) THEN true
-        WHEN r.status = 'failed' AND r.code IN ({quoted(SYSTEMIC_CODES)}) THEN CAST(raise_error(
-          concat('Extraction failed with systemic error ', r.code)) AS BOOLEAN)
-        ELSE CAST(raise_error('Unexpected extraction outcome.') AS BOOLEAN) END"""
+        WHEN r.status = 'failed' AND r.code IN ({quoted(SYSTEMIC_CODES)}) THEN {systemic}
+        ELSE {fails("'Unexpected extraction outcome.'")} END"""
     made = {
         "client_modified": to_utc("client_modified"),
         "server_modified": to_utc("server_modified"),
@@ -157,10 +151,15 @@ def file_contents(candidates: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
-def advance_extraction_state(state: DataFrame, records: DataFrame) -> DataFrame:
-    """Store the version of succeeded and failed rows; timed-out files stay due."""
-    settled = records.where("extraction_status IN ('succeeded', 'failed')").selectExpr(
+def settled_versions(records: DataFrame) -> DataFrame:
+    """State rows of succeeded and failed records; timed-out files stay due."""
+    return records.where("extraction_status IN ('succeeded', 'failed')").selectExpr(
         "file_id", "rev", "content_hash", "path_lower AS path"
     )
+
+
+def advance_extraction_state(state: DataFrame, records: DataFrame) -> DataFrame:
+    """The whole next state. It only grows: a vanished file keeps its last version."""
+    settled = settled_versions(records)
     kept = state.join(settled.select("file_id"), "file_id", "left_anti")
     return kept.select(*EXTRACTION_STATE.names).unionByName(settled)

@@ -4,7 +4,7 @@ from filetally.plans.apply import apply_operations, target_after
 from filetally.plans.delta import deduplicate_changes, plan_delta, split_delta
 from filetally.plans.migration import Plan, migration_inventory, plan_migration
 from filetally.plans.snapshot import plan_snapshot
-from filetally.plans.state import next_state
+from filetally.plans.state import next_state, state_changes
 from filetally.plans.transfers import transfer_records
 
 __all__ = [
@@ -17,6 +17,7 @@ __all__ = [
     "plan_migration",
     "plan_snapshot",
     "split_delta",
+    "state_changes",
     "target_after",
     "transfer_records",
 ]

@@ -9,11 +9,10 @@ from filetally.guards import require
 from filetally.schemas import TRANSFER_STATE
 
 
-def next_state(state: DataFrame, operations: DataFrame, transferred: DataFrame) -> DataFrame:
-    """Moves rename and keep the version, deletes drop, transfers store the new version.
+def _folded(state: DataFrame, operations: DataFrame, transferred: DataFrame) -> DataFrame:
+    """``file_id, v`` for every id of the three inputs; ``v`` is null where it is dropped.
 
-    Order is operations, then files, so a deleted id that is transferred again stays. The
-    three inputs share one exchange on ``file_id``. An operation on an unknown id fails.
+    The inputs share one exchange on ``file_id``.
     """
     parts = (
         state.selectExpr("file_id", "struct(path, rev, content_hash) AS stored")
@@ -40,9 +39,26 @@ def next_state(state: DataFrame, operations: DataFrame, transferred: DataFrame)
     )
     kept = """CASE WHEN deleted IS NULL THEN struct(coalesce(moved, stored.path) AS path,
         stored.rev AS rev, stored.content_hash AS content_hash) END"""
-    return (
-        folded.selectExpr("file_id", f"coalesce(sent, {kept}) AS v")
-        .where("v IS NOT NULL")
-        .select("file_id", "v.*")
-        .select(*TRANSFER_STATE.names)
-    )
+    return folded.selectExpr("file_id", f"coalesce(sent, {kept}) AS v")
+
+
+def next_state(state: DataFrame, operations: DataFrame, transferred: DataFrame) -> DataFrame:
+    """Moves rename and keep the version, deletes drop, transfers store the new version.
+
+    Order is operations, then files, so a deleted id that is transferred again stays. An
+    operation on an unknown id fails.
+    """
+    folded = _folded(state, operations, transferred).where("v IS NOT NULL")
+    return folded.select("file_id", "v.*").select(*TRANSFER_STATE.names)
+
+
+def state_changes(state: DataFrame, operations: DataFrame, transferred: DataFrame) -> DataFrame:
+    """Only the rows ``next_state`` would change, with ``removed`` for dropped ids.
+
+    The state is filtered to the ids the plan names, so its bulk is neither shuffled nor
+    written again.
+    """
+    named = operations.select("file_id").unionByName(transferred.select("file_id")).distinct()
+    touched = state.join(named, "file_id", "left_semi")
+    folded = _folded(touched, operations, transferred)
+    return folded.selectExpr("file_id", "v.path", "v.rev", "v.content_hash", "v IS NULL AS removed")

@@ -72,19 +72,16 @@ def stream_listing(
     include_deleted: bool = True,
     layout: str = "pages",
     file_format: str = "parquet",
-    files_per_trigger: int = 1,
+    files_per_trigger: int | None = 1,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """The same rows as a stream of landed files; the query's checkpoint is the cursor.
 
-    One file per trigger makes a micro-batch one landed page file.
+    One file per trigger makes a micro-batch one landed page file; None takes all there are.
     """
-    reader = (
-        spark.readStream.schema(_schema(layout))
-        .format(file_format)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .options(**(options or {}))
-    )
+    reader = spark.readStream.schema(_schema(layout)).format(file_format).options(**(options or {}))
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     landed = reader.load(path)
     rows = flatten_pages(landed) if layout == "pages" else landed
     return scope_listing(rows, root, recursive, include_deleted)

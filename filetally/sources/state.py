@@ -1,8 +1,10 @@
-"""Version state: a keyed Parquet table plus a one-row header that commits it.
+"""Version state: a keyed Parquet table plus one-row headers that commit its versions.
 
-Each write is a new version below the same path. The header is written last, so a reader
-never sees a half-written version, and repeating a write of the same version is a no-op
-in effect. Headers are one row per version and bounded; file rows stay distributed.
+A version is either complete or holds only the rows that changed since the one before, so
+a small batch writes little however large the state is; every so many versions a complete
+one starts over. The header is written last, so a reader never sees a half-written version,
+and repeating the write of a version changes nothing. Headers are one row per version and
+bounded; file rows stay distributed.
 """
 
 from __future__ import annotations
@@ -17,13 +19,18 @@ from pyspark.sql import types as T
 from filetally.errors import ContractError
 from filetally.functions.paths import is_safe_relative
 from filetally.guards import non_empty, passes
+from filetally.operators.keyed import dedupe_replay
 from filetally.schemas import EXTRACTION_STATE, TRANSFER_STATE
 
 # Current layout versions of the two kinds of state.
 TRANSFER_VERSION = 3
 EXTRACTION_VERSION = 1
 
-HEADER = "version long, layout int, scope_path string, recursive boolean, cursor string"
+HEADER = (
+    "version long, base long, layout int, scope_path string, recursive boolean, cursor string"
+)
+# Changed-rows versions a reader has to lay over a complete one, at most.
+COMPACT_EVERY = 20
 
 
 @dataclass(frozen=True)
@@ -45,7 +52,8 @@ class State:
     scope: Scope | None = None
     cursor: str | None = None
     layout: int = TRANSFER_VERSION
-    version: int = -1
+    version: int | None = None
+    base: int | None = None
 
     @property
     def legacy(self) -> bool:
@@ -78,15 +86,35 @@ def _state_rule(kind: str) -> str:
     return passes(rule, f"'{kind} state has an invalid row.'")
 
 
-def write_state(state: State, path: str, version: int, kind: str = "transfer") -> None:
-    """Write one version; the header row, written last, commits it."""
+def _schema(kind: str) -> T.StructType:
+    return TRANSFER_STATE if kind == "transfer" else EXTRACTION_STATE
+
+
+def write_state(
+    state: State,
+    path: str,
+    version: int,
+    kind: str = "transfer",
+    changes: DataFrame | None = None,
+) -> None:
+    """Write one version; the header row, written last, commits it.
+
+    ``changes`` are the rows that differ from ``state.version`` (see ``state_changes``);
+    with them only these are written, unless a complete version is due.
+    """
     spark = state.files.sparkSession
-    schema = TRANSFER_STATE if kind == "transfer" else EXTRACTION_STATE
-    rows = state.files.where(_state_rule(kind))
-    rows.select(*schema.names).write.mode("overwrite").parquet(f"{path}/files/version={version}")
+    names = _schema(kind).names
+    partial = changes is not None and state.base is not None
+    partial = partial and version - state.base < COMPACT_EVERY
+    if partial:
+        rows = changes.where(f"removed OR {_state_rule(kind)}").select(*names, "removed")
+    else:
+        rows = state.files.where(_state_rule(kind)).selectExpr(*names, "false AS removed")
+    rows.write.mode("overwrite").parquet(f"{path}/files/version={version}")
     scope = state.scope or Scope("", True)
     layout = TRANSFER_VERSION if kind == "transfer" else EXTRACTION_VERSION
-    header = [(version, layout, scope.path, scope.recursive, state.cursor)]
+    base = state.base if partial else version
+    header = [(version, base, layout, scope.path, scope.recursive, state.cursor)]
     spark.createDataFrame(header, HEADER).coalesce(1).write.mode("overwrite").parquet(
         f"{path}/headers/of={version}"
     )
@@ -96,7 +124,7 @@ def read_state(
     spark: SparkSession, path: str, kind: str = "transfer", before: int | None = None
 ) -> State:
     """Newest committed version, or the newest below ``before``; empty state if none."""
-    schema = TRANSFER_STATE if kind == "transfer" else EXTRACTION_STATE
+    schema = _schema(kind)
     try:
         headers = spark.read.schema(HEADER).parquet(f"{path}/headers")
     except AnalysisException as error:
@@ -105,17 +133,29 @@ def read_state(
         return empty_state(spark, schema)
     if before is not None:
         headers = headers.where(F.col("version") < before)
-    newest = headers.orderBy(F.desc("version")).select("version", "layout", "scope_path",
-                                                       "recursive", "cursor").first()
+    newest = headers.orderBy(F.desc("version")).drop("of").first()
     if newest is None:
         return empty_state(spark, schema)
     supported = (1, 2, TRANSFER_VERSION) if kind == "transfer" else (EXTRACTION_VERSION,)
     if newest.layout not in supported:
         raise ContractError("state has an unsupported version.")
-    files = spark.read.schema(schema).parquet(f"{path}/files/version={newest.version}")
+    laid_over = headers.where(
+        (F.col("version") > newest.base) & (F.col("version") <= newest.version)
+    )
+    partials = [row.version for row in laid_over.select("version").take(COMPACT_EVERY)]
+    stored = T.StructType([*schema.fields, T.StructField("removed", T.BooleanType())])
+    reader = spark.read.schema(stored).option("basePath", f"{path}/files")
+    files = reader.parquet(f"{path}/files/version={newest.base}").select(*schema.names)
+    if partials:
+        changed = reader.parquet(*[f"{path}/files/version={v}" for v in sorted(partials)])
+        latest = dedupe_replay(changed, ["file_id"], ["version"])
+        # What changed is small next to the base: the anti join is left to its measured size.
+        files = files.join(latest.select("file_id"), "file_id", "left_anti").unionByName(
+            latest.where("NOT removed").select(*schema.names)
+        )
     return State(
         files, Scope(newest.scope_path, newest.recursive), newest.cursor, newest.layout,
-        newest.version,
+        newest.version, newest.base,
     )
 
 
@@ -150,7 +190,7 @@ def read_state_json(spark: SparkSession, path: str, kind: str = "transfer") -> S
         scope = Scope(header.scope.path, header.scope.recursive)
     if kind == "transfer" and header.version == TRANSFER_VERSION and not header.cursor:
         raise ContractError("transfer state requires a non-empty cursor.")
-    schema = TRANSFER_STATE if kind == "transfer" else EXTRACTION_STATE
+    schema = _schema(kind)
     files = (
         parsed.select(F.explode("files").alias("file_id", "v"))
         .select("file_id", "v.path", "v.rev", "v.content_hash")

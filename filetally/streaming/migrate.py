@@ -1,29 +1,32 @@
 """Incremental migration and extraction as micro-batches over landed pages.
 
 Per batch: plan against the newest state before this batch, write the decisions, write the
-state last. State versions carry the batch id, so a repeated batch reads the same state it
-read the first time and writes the same version again.
+state last, and of the state only what changed. State versions carry the batch id, so a
+repeated batch reads the same state it read the first time and writes the same version again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
+from filetally.errors import ContractError
 from filetally.guards import require_empty
 from filetally.operators.keyed import dedupe_replay
 from filetally.operators.versions import (
     advance_extraction_state,
     extraction_candidates,
     file_contents,
+    settled_versions,
 )
 from filetally.plans.delta import deduplicate_changes, plan_delta, split_delta
 from filetally.plans.migration import Plan, migration_inventory
 from filetally.plans.snapshot import plan_snapshot
-from filetally.plans.state import next_state
-from filetally.sources.state import Scope, State, read_state, write_state
+from filetally.plans.state import next_state, state_changes
+from filetally.sources.state import Scope, read_state, write_state
 
 
 def migrate_batch(
@@ -38,42 +41,49 @@ def migrate_batch(
     globs: list[str] | None = None,
     transfer: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """One batch: snapshot when there is no state to resume from, else a delta.
+    """One batch: everything is new when there is no state yet, else it is a delta.
+
+    A batch is planned as one delta, so a rename and the tombstone of its old path belong in
+    one batch: land them in one file, or let a trigger take all files.
 
     ``transfer`` does the copying: it gets the transfer rows and returns those that
     succeeded. If one did not, progress is withheld: the batch fails before its state is
     written, and a restart plans and transfers it again.
     """
     spark = batch.sparkSession
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        """Write a batch's intermediate once, in its own folder, and go on from there."""
+        folder = f"{target}/{name}/batch_id={batch_id}"
+        df.write.mode("overwrite").parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+
     state = read_state(spark, f"{target}/state", before=batch_id)
+    policies = {"rename_policy": rename_policy, "delete_policy": delete_policy}
     if state.can_resume:
         changed, tombstones = split_delta(batch, scope.path, max_mb, globs)
-        plan = plan_delta(
-            deduplicate_changes(changed), tombstones, state, scope=scope,
-            rename_policy=rename_policy, delete_policy=delete_policy,
-        )
+        changed = stored(deduplicate_changes(changed), "changes")
+        plan = plan_delta(changed, stored(tombstones, "tombstones"), state, scope=scope, **policies)
+    elif state.version is not None:
+        raise ContractError("The state has no cursor; commit a complete snapshot first.")
     else:
         inventory = migration_inventory(batch, scope.path, max_mb, globs)
-        plan = plan_snapshot(
-            deduplicate_changes(inventory), state, scope=scope,
-            rename_policy=rename_policy, delete_policy=delete_policy,
-        )
-    folder = f"{target}/decisions/batch_id={batch_id}"
-    plan.decisions.write.mode("overwrite").parquet(folder)
-    written = Plan(spark.read.schema(plan.decisions.schema).parquet(folder), plan.state)
-    sent = written.transfers
+        plan = plan_snapshot(deduplicate_changes(inventory), state, scope=scope, **policies)
+    plan = Plan(stored(plan.decisions, "decisions"), plan.state)
+    sent = plan.transfers
     if transfer is not None:
-        done = f"{target}/transferred/batch_id={batch_id}"
-        transfer(sent).write.mode("overwrite").parquet(done)
-        delivered = spark.read.parquet(done)
+        delivered = stored(transfer(sent), "transferred")
         require_empty(
             sent.join(delivered, "file_id", "left_anti"),
             f"Transfers of batch {batch_id} failed; its state was not advanced.",
         )
         sent = delivered
-    folded = next_state(plan.state.files, written.operations, sent)
-    advanced = plan.state.advanced(folded, f"batch-{batch_id}", scope)
-    write_state(advanced, f"{target}/state", batch_id)
+    files, operations = plan.state.files, plan.operations
+    advanced = plan.state.advanced(
+        next_state(files, operations, sent), f"batch-{batch_id}", scope
+    )
+    changes = state_changes(files, operations, sent) if state.can_resume else None
+    write_state(advanced, f"{target}/state", batch_id, changes=changes)
 
 
 def start_migration_stream(
@@ -113,8 +123,9 @@ def extract_batch(
     records = file_contents(candidates, extract(candidates))
     records.write.mode("overwrite").parquet(folder)
     written = spark.read.schema(records.schema).parquet(folder)
-    files = advance_extraction_state(state.files, written)
-    write_state(State(files, layout=1), f"{target}/state", batch_id, kind="extraction")
+    complete = replace(state, files=advance_extraction_state(state.files, written), layout=1)
+    changes = settled_versions(written).selectExpr("*", "false AS removed")
+    write_state(complete, f"{target}/state", batch_id, kind="extraction", changes=changes)
 
 
 def start_extraction_stream(
