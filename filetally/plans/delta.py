@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filetally.errors import ContractError
 from filetally.functions.paths import fold, transfer_path
+from filetally.guards import NEVER
 from filetally.operators.keyed import dedupe_replay
 from filetally.plans.migration import (
     Plan,
@@ -72,7 +73,7 @@ def plan_delta(
     touched = state.files.join(now.select("file_id"), "file_id", "left_semi")
     stored = touched.selectExpr("file_id", "struct(path, rev, content_hash) AS prior")
     paired = now.join(stored, "file_id", "left")
-    planned = decisions(paired, rename_policy, "false")
+    planned = decisions(paired, rename_policy, NEVER)
     if delete_policy != "delete":
         return Plan(planned, state)
 

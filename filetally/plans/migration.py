@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from filetally.errors import ConfigurationError
 from filetally.functions.paths import is_safe_relative, matches_globs, transfer_path
-from filetally.guards import non_empty, require
+from filetally.guards import NEVER, non_empty, require
 from filetally.operators.versions import with_transferable
 from filetally.schemas import OPERATION
 from filetally.sources.state import State
@@ -87,7 +87,7 @@ def decisions(paired: DataFrame, rename_policy: str, delete: str) -> DataFrame:
     ignored keeps its stored path.
     """
     both = "now IS NOT NULL AND prior IS NOT NULL"
-    moves = "renamed" if rename_policy == "propagate" else "false"
+    moves = "renamed" if rename_policy == "propagate" else NEVER
     facts = paired.selectExpr(
         "file_id",
         "now",

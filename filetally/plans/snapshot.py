@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 
 from filetally.errors import ContractError
+from filetally.guards import NEVER
 from filetally.operators.keyed import named, pair_by_key, unique_sides
 from filetally.plans.migration import Plan, check_policies, checked_versions, decisions
 from filetally.sources.state import Scope, State
@@ -47,5 +48,5 @@ def plan_snapshot(
         pair_by_key(current, state.files, ["file_id"]),
         named("Inventory contains duplicate file_id ", "file_id"),
     ).selectExpr("file_id", "left AS now", "right AS prior")
-    gone = "now IS NULL" if delete_policy == "delete" else "false"
+    gone = "now IS NULL" if delete_policy == "delete" else NEVER
     return Plan(decisions(paired, rename_policy, gone), state)
