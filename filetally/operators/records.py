@@ -109,11 +109,11 @@ def missing_folders(
     return needed.join(existing.select("folder"), "folder", "left_anti")
 
 
-# Plain path of a local staging URL or a bare path; '+' is literal in a path but a space to
-# the decoder.
-_LOCATION = """CASE WHEN staging_file_url RLIKE '^file:' THEN try_url_decode(replace(
-    regexp_replace(staging_file_url, '^file:(//(localhost)?)?(?=/)', ''), '+', '%2B'))
-    ELSE staging_file_url END"""
+# No scheme and no host, or a file URL without host or with localhost.
+_LOCAL = r"^(?![A-Za-z][A-Za-z0-9+.-]*:|//)|^file:(///|//localhost/|/(?!/))"
+# Percent-decoded path of such a URL; '+' is literal in a path but a space to the decoder.
+_LOCATION = """coalesce(try_url_decode(replace(regexp_replace(
+    staging_file_url, '^file:(//(localhost)?)?(?=/)', ''), '+', '%2B')), staging_file_url)"""
 
 
 def verify_staged(
@@ -132,7 +132,7 @@ def verify_staged(
     given = "coalesce(length(sha256) = 64, false)"
     rules = [
         (f"NOT {non_empty('staging_file_url')}", "missing_staging_url"),
-        ("NOT (staging_file_url RLIKE '^(/|file:(//(localhost)?)?/)')", "not_a_local_url"),
+        (f"NOT (staging_file_url RLIKE {quote(_LOCAL)})", "not_a_local_url"),
         ("staged IS NULL", "staged_file_unavailable"),
         (f"NOT {non_empty('relative_path')}", "missing_relative_path"),
         (f"NOT {is_safe_relative('relative_path')}", "invalid_relative_path"),
