@@ -36,6 +36,18 @@ class _FoldRules(NamedTuple):
     single_to: str
     suffixes: tuple[tuple[str, str], ...]
     expanding: str
+    plain: str
+
+
+def _ranges(codes: list[int], gap: int = 48) -> str:
+    """A character class that covers ``codes``; near ones share a range, so it has few parts."""
+    parts: list[list[int]] = []
+    for code in sorted(codes):
+        if parts and code - parts[-1][1] <= gap:
+            parts[-1][1] = code
+        else:
+            parts.append([code, code])
+    return "[" + "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in parts) + "]"
 
 
 @lru_cache(maxsize=1)
@@ -44,35 +56,44 @@ def _fold_rules() -> _FoldRules:
 
     After ``lower`` a character folds to itself, to one other character (``translate``),
     or to several; the latter are grouped by the tail they gain, so that one regular
-    expression per tail plus the same ``translate`` covers them.
+    expression per tail plus the same ``translate`` covers them. The two of Western
+    European text, sharp s and micro sign, are replaced before any of that.
     """
     single: dict[str, str] = {}
     tails: dict[str, list[str]] = {}
     for code in range(0x80, 0x110000):
         char = chr(code)
         folded = char.casefold()
-        if folded == char or char.lower() != char:
+        if folded == char or char.lower() != char or char in "ßµ":
             continue
         single[char] = folded[0]
         if len(folded) > 1:
             tails.setdefault(folded[1:], []).append(char)
     groups = tuple((tail, "".join(chars)) for tail, chars in tails.items())
+    expanding = _ranges([ord(c) for _, chars in groups for c in chars])
+    first = min(map(ord, single))
     return _FoldRules(
-        "".join(single), "".join(single.values()), groups, "".join(chars for _, chars in groups)
+        "".join(single), "".join(single.values()), groups, expanding, f"[^\\x{{0}}-\\x{{{first - 1:x}}}]"
     )
 
 
 def fold(col: str) -> str:
-    """Full Unicode case folding. ASCII values, told by their length, only pay for ``lower``."""
+    """Full Unicode case folding.
+
+    ASCII values, told by their length, only pay for ``lower``; Western European ones for a
+    search for one range of characters besides.
+    """
     rules = _fold_rules()
-    lowered = f"lower({col})"
+    lowered = f"replace(replace(lower({col}), 'ß', 'ss'), 'µ', 'μ')"
     expanded = lowered
     for tail, chars in rules.suffixes:
         expanded = f"regexp_replace({expanded}, {quote(f'([{chars}])')}, {quote(f'$1{tail}')})"
     return (
-        f"CASE WHEN octet_length({col}) = char_length({col}) THEN {lowered} ELSE translate("
-        f"CASE WHEN {lowered} RLIKE {quote(f'[{rules.expanding}]')} THEN {expanded} "
-        f"ELSE {lowered} END, {quote(rules.single_from)}, {quote(rules.single_to)}) END"
+        f"CASE WHEN octet_length({col}) = char_length({col}) THEN lower({col}) "
+        f"WHEN NOT {lowered} RLIKE {quote(rules.plain)} THEN {lowered} "
+        f"ELSE translate(CASE WHEN {lowered} RLIKE {quote(rules.expanding)} "
+        f"THEN {expanded} ELSE {lowered} END, {quote(rules.single_from)}, "
+        f"{quote(rules.single_to)}) END"
     )
 
 
