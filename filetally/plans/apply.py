@@ -30,11 +30,7 @@ def _resolve(ops: DataFrame, target: DataFrame) -> DataFrame:
     return joined.selectExpr(*ops.columns, f"{_OUTCOME} AS outcome")
 
 
-def _touches(ops: DataFrame) -> DataFrame:
-    """``path, idx, signature`` for each path an operation names."""
-    return ops.selectExpr(
-        "idx", "signature", "explode(array_compact(array(from_path, to_path))) AS path"
-    )
+_PATHS = "explode(array_compact(array(from_path, to_path))) AS path"
 
 
 def target_after(target: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -47,20 +43,32 @@ def target_after(target: DataFrame, resolved: DataFrame) -> DataFrame:
     return left.select("path", "content_hash").unionByName(arrived)
 
 
-def _ready(pending: DataFrame) -> DataFrame:
-    """Mark the operations no earlier pending one stands in the way of.
+def _order(evaluated: DataFrame) -> DataFrame:
+    """Mark as ``blocked`` what an earlier pending operation may still change.
 
-    On every path only the first signature may go, up to the first operation with another
-    one: that admits all replays of one operation together, in partial aggregates, without
-    pairing operations that share a path.
+    ``evaluated`` holds outcomes against the present index. Only an operation that takes
+    effect, or is itself blocked and so may come to take effect, stands in the way of later
+    ones on its paths. The first such index per path is one partial aggregate; it is
+    repeated until no further operation turns out blocked. Operations that share a path
+    are never paired with each other.
     """
-    touches = _touches(pending)
-    heads = touches.groupBy("path").agg(F.expr("min_by(signature, idx) AS head"))
-    tagged = touches.join(heads, "path")
-    limits = tagged.where("signature <> head").groupBy("path").agg(F.expr("min(idx) AS bound"))
-    free = "min(signature = head AND (bound IS NULL OR idx < bound)) AS ready"
-    verdicts = tagged.join(limits, "path", "left").groupBy("idx").agg(F.expr(free))
-    return pending.join(verdicts, "idx")
+    marked = evaluated.selectExpr(
+        "*", "outcome IN ('moved', 'deleted') AS effective", "false AS blocked"
+    )
+    known = 0
+    while True:
+        touches = marked.selectExpr("idx", "effective OR blocked AS barrier", _PATHS)
+        first = touches.where("barrier").groupBy("path").agg(F.expr("min(idx) AS first_barrier"))
+        verdicts = (
+            touches.join(first, "path", "left")
+            .groupBy("idx")
+            .agg(F.expr("max(coalesce(first_barrier < idx, false)) AS blocked"))
+        )
+        marked = materialize(marked.drop("blocked").join(verdicts, "idx"), "ordered-operations")
+        blocked = marked.where("blocked").count()
+        if blocked == known:
+            return marked
+        known = blocked
 
 
 def apply_operations(operations: DataFrame, target: DataFrame, root: str) -> DataFrame:
@@ -68,19 +76,19 @@ def apply_operations(operations: DataFrame, target: DataFrame, root: str) -> Dat
 
     ``operations`` carries a unique ``idx``; ``target`` is ``path, content_hash`` with
     absolute paths, one row per path. Operations that share no path with another one, the
-    normal case, are resolved in one set-based pass. The rest (chains, swaps, replays) is
-    settled in rounds by index, each over the still pending operations only; a round's
-    results are written to the shared folder, so lineage stays short and survives losses.
+    normal case, are resolved in one set-based pass. The rest (chains, swaps, replays, many
+    moves to one place) is settled in rounds. A round settles all that no earlier effect can
+    reach, so their number follows how often one path really changes and not how many
+    operations name it. Each round is written to the shared folder, so lineage stays short
+    and survives losses.
     """
     keep = operations.columns
-    body = "struct(operation, old_path, old_content_hash, new_path, new_content_hash)"
     ops = operations.selectExpr(
         "*",
         f"{target_path(root, 'old_path')} AS from_path",
         f"CASE WHEN operation = 'move' THEN {target_path(root, 'new_path')} END AS to_path",
-        f"sha2(to_json({body}), 256) AS signature",
     )
-    touches = _touches(ops)
+    touches = ops.selectExpr("idx", _PATHS)
     shared = touches.groupBy("path").agg(F.expr("min(idx) < max(idx) AS is_shared"))
     entangled = (
         touches.join(shared.where("is_shared"), "path", "left_semi").select("idx").distinct()
@@ -90,22 +98,14 @@ def apply_operations(operations: DataFrame, target: DataFrame, root: str) -> Dat
     pending = materialize(ops.join(entangled, "idx", "left_semi"), "pending-operations")
     if pending.isEmpty():
         return done
-    paths = _touches(pending).select("path").distinct()
+    paths = pending.selectExpr(_PATHS).distinct()
     index = materialize(
         target.select("path", "content_hash").join(paths, "path", "left_semi"), "target-index"
     )
-    again = """CASE WHEN idx = first_idx THEN lead WHEN lead = 'moved' THEN 'already_moved'
-        WHEN lead = 'deleted' THEN 'already_absent' ELSE lead END AS outcome"""
     while not pending.isEmpty():
-        marked = materialize(_ready(pending), "ready-operations")
-        ready = marked.where("ready").drop("ready")
-        first = ready.groupBy("signature").agg(F.expr("min(idx) AS first_idx"))
-        leads = ready.join(first.selectExpr("first_idx AS idx"), "idx", "left_semi")
-        resolved = materialize(_resolve(leads, index), "resolved-operations")
-        leading = resolved.selectExpr("signature", "idx AS first_idx", "outcome AS lead")
-        results = ready.join(leading, "signature")
-        settled = results.selectExpr(*keep, again, "true AS needed_ordering")
-        done = done.unionByName(materialize(settled, "settled-operations"))
-        index = materialize(target_after(index, resolved), "target-index")
-        pending = marked.where("NOT ready").drop("ready")
+        marked = _order(_resolve(pending, index))
+        settled = marked.where("NOT blocked")
+        done = done.unionByName(settled.selectExpr(*keep, "outcome", "true AS needed_ordering"))
+        index = materialize(target_after(index, settled), "target-index")
+        pending = marked.where("blocked").select(*pending.columns)
     return done

@@ -299,6 +299,9 @@ def in_sequence(target, ops):
     [op("move", "1", "a", "z")] * 5 + [op("delete", "2", "z")] * 3 + [op("move", "1", "a", "z")],
     [op("delete", "1", "a"), op("delete", "1", "a", old_content_hash="x"), op("delete", "1", "a"),
      op("move", "9", "solo", "elsewhere")],
+    [op("move", "1", "a", "b2"), op("move", "2", "b2", "x"), op("move", "3", "b", "x"),
+     op("delete", "4", "x")],
+    [op("move", str(i), n, "x") for i, n in enumerate(["q", "a", "b", "solo", "a", "r"])],
 ])
 def test_operations_sharing_paths_equal_sequential_application(rows, case):
     target = {"a": "h1", "b": "h1", "solo": "h1"}
