@@ -166,9 +166,8 @@ def reconcile_order_status(spark, sf):
 
 
 def _stored(spark, sf):
-    rows = report(spark, sf)
     path = scratch(spark, "report")
-    write_report(rows, summarize(rows), path)
+    write_report(report(spark, sf), path)
     return read_report(spark, path)
 
 

@@ -152,17 +152,25 @@ def reconcile(source: Inventory, destination: Inventory) -> DataFrame:
     )
 
 
+# Totals of a report; metadata mismatches are counted over all rows, errors included.
+SUMMARY_COUNTERS = [
+    "count(1) AS total_paths",
+    *[f"count_if(status = '{s}') AS {s}" for s in STATUSES[:-1]],
+    "count_if(status = 'error') AS errors",
+    "count_if(metadata.client_modified.status = 'mismatched') AS client_modified",
+]
+
+
+def as_summary(totals: DataFrame) -> DataFrame:
+    """The summary record of counted totals."""
+    counted = [counter.split(" AS ")[1] for counter in SUMMARY_COUNTERS[:-1]]
+    nested = "struct(client_modified) AS metadata_mismatches"
+    return totals.selectExpr("'summary' AS type", *counted, nested)
+
+
 def summarize(report: DataFrame) -> DataFrame:
-    """Totals per status in one pass; metadata mismatches are counted over all rows."""
-    counted = [f"count_if(status = '{s}') AS {s}" for s in STATUSES[:-1]]
-    mismatches = "count_if(metadata.client_modified.status = 'mismatched')"
-    return report.selectExpr(
-        "'summary' AS type",
-        "count(1) AS total_paths",
-        *counted,
-        "count_if(status = 'error') AS errors",
-        f"struct({mismatches} AS client_modified) AS metadata_mismatches",
-    )
+    """Totals per status and metadata mismatches, in one pass."""
+    return as_summary(report.selectExpr(*SUMMARY_COUNTERS))
 
 
 def reconcile_tables(

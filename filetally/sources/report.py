@@ -9,42 +9,63 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filetally.errors import ContractError
 from filetally.guards import passes
+from filetally.operators.reconcile import SUMMARY_COUNTERS, as_summary
 from filetally.schemas import REPORT, SUMMARY
 
+FLAT_SUMMARY = ", ".join(f"{counter.split(' AS ')[1]} long" for counter in SUMMARY_COUNTERS)
+
 
 class Report(NamedTuple):
     details: DataFrame
     summary: DataFrame
 
 
-def write_report(details: DataFrame, summary: DataFrame, path: str) -> None:
-    """Range-partitioned sort for the details, then the summary, whose presence completes it."""
+def write_report(details: DataFrame, path: str) -> None:
+    """Write the details sorted, then the summary, whose presence completes the report.
+
+    The totals are observed while the sorted details pass by on their way to the sink, so
+    the comparison runs once.
+    """
     ordered = details.orderBy("sort_key").drop("sort_key")
-    ordered.write.mode("overwrite").json(f"{path}/details")
-    summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    totals = Observation("report")
+    counters = [F.expr(counter) for counter in SUMMARY_COUNTERS]
+    ordered.observe(totals, *counters).write.mode("overwrite").json(f"{path}/details")
+    flat = details.sparkSession.createDataFrame([totals.get], FLAT_SUMMARY)
+    as_summary(flat).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
 
 
-def read_report(spark: SparkSession, path: str) -> Report:
-    """Parse with declared types; a line that does not fit fails the job that reads it."""
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a report with declared types; one that does not fit fails the job."""
     fields = {f.name: f for f in [*REPORT.fields, *SUMMARY.fields]}
     schema = T.StructType([*fields.values(), T.StructField("_corrupt_record", T.StringType())])
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", "_corrupt_record"
+    lines = (
+        spark.read.schema(schema)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .json(path)
     )
+    return lines.where(passes("_corrupt_record IS NULL", "'Report must be valid JSON lines.'"))
+
+
+def read_report(spark: SparkSession, path: str) -> Report:
+    """Details and summary; the latter must be exactly one row.
+
+    Of the two-dataset form only the summary is read here, whatever the details' size.
+    """
     try:
-        rows = reader.json([f"{path}/details", f"{path}/summary"])
+        summary, details = _rows(spark, f"{path}/summary"), _rows(spark, f"{path}/details")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = reader.json(path)
-    rows = rows.where(passes("_corrupt_record IS NULL", "'Report must be valid JSON lines.'"))
+        summary = details = _rows(spark, path)
     is_summary = "coalesce(type = 'summary', false)"
-    summary = rows.where(is_summary).select(*SUMMARY.names)
+    summary = summary.where(is_summary).select(*SUMMARY.names)
     if len(summary.select("type").take(2)) != 1:
         raise ContractError("Report must hold exactly one summary record.")
-    return Report(rows.where(f"NOT {is_summary}").select(*REPORT.names), summary)
+    return Report(details.where(f"NOT {is_summary}").select(*REPORT.names), summary)

@@ -12,8 +12,9 @@ from filetally.session import builder  # noqa: E402
 def spark(tmp_path_factory):
     session = (
         builder("filetally-tests")
-        .master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .master("local[2]")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
