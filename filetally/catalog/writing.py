@@ -11,7 +11,7 @@ from filetally.operators.records import (
     validate_records,
     verify_staged,
 )
-from filetally.session import scratch
+from filetally.session import materialize, scratch
 from filetally.sources.records import plan_writes, write_records
 from filetally.sources.staged import read_staged
 
@@ -31,7 +31,8 @@ _RECORDS = r"""v AS (SELECT *, CASE
 
 
 def _validated(spark, sf, policy="preserve"):
-    records = fixture(spark, sf, "fx_records")
+    """Records landed as a table first, the way they reach the destination."""
+    records = materialize(fixture(spark, sf, "fx_records"), "landed-records")
     return validate_records(
         records, "/Exports", max_mb=1, streams=["documents"], metadata_policy=policy
     )

@@ -35,10 +35,12 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names, else a local one for tests."""
+    """Folder every executor can reach: the one the cluster names, in local mode a new one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ConfigurationError("spark.checkpoint.dir must name a folder all executors reach.")
     local = tempfile.mkdtemp(prefix="filetally-")
     spark.conf.set("spark.checkpoint.dir", local)
     return local

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from filetally.errors import ConfigurationError
 from filetally.guards import require_empty
+from filetally.session import materialize
 
 CONFLICT_POLICIES = ("overwrite", "fail")
 
@@ -33,9 +34,11 @@ def plan_writes(
     or by an earlier record, a ``conflict`` that also ends the run.
     """
     _policy(policy)
-    marked = validated.selectExpr(
+    narrow = validated.selectExpr(
         "idx", "destination_path", "error IS NOT NULL AS bad", "false AS conflict"
     )
+    # Written once, because it is read several times and validation decodes and hashes.
+    marked = materialize(narrow, "record-verdicts")
     if policy == "fail":
         # A path's first sound record is the only one that may be written to it.
         first = marked.where("NOT bad").groupBy("destination_path").agg(F.expr("min(idx) AS idx"))
@@ -84,7 +87,7 @@ def write_records(
     partitioned by a hash bucket of the path, so a replayed run replaces whole buckets of
     its own run folder and converges on the same content.
     """
-    plan = plan_writes(validated, existing, policy)
+    plan = materialize(plan_writes(validated, existing, policy), "write-plan")
     if fail_closed:
         bad = plan.where("outcome IN ('invalid', 'conflict')")
         require_empty(bad, "Records are invalid or in conflict; nothing was written.")

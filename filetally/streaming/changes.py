@@ -17,11 +17,12 @@ ORDER = ["page", "ordinal"]
 
 
 def start_change_stream(
-    listing: DataFrame, target: str, checkpoint: str, mapper=None
+    listing: DataFrame, target: str, checkpoint: str, mapper=None, trigger: dict | None = None
 ) -> StreamingQuery:
     """Append each page's change-log rows, with their page and ordinal, below ``target``.
 
-    ``mapper`` may reshape a batch (DataFrame to DataFrame) before it is written.
+    ``mapper`` may reshape a batch (DataFrame to DataFrame) before it is written. Without a
+    ``trigger`` the query takes what has landed and ends.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -32,7 +33,7 @@ def start_change_stream(
     return (
         log.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 

@@ -87,7 +87,12 @@ def migrate_batch(
 
 
 def start_migration_stream(
-    listing: DataFrame, target: str, checkpoint: str, scope: Scope, **options
+    listing: DataFrame,
+    target: str,
+    checkpoint: str,
+    scope: Scope,
+    trigger: dict | None = None,
+    **options,
 ) -> StreamingQuery:
     """Plan and commit every landed page; the checkpoint commits after the state."""
 
@@ -97,7 +102,7 @@ def start_migration_stream(
     return (
         listing.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -135,6 +140,7 @@ def start_extraction_stream(
     extract: Callable[[DataFrame], DataFrame],
     suffixes: list[str],
     max_mb: int = 10,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Extract new versions of landed pages; timed-out files stay due for a later batch."""
 
@@ -144,6 +150,6 @@ def start_extraction_stream(
     return (
         listing.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
