@@ -13,6 +13,7 @@ from filetally.functions.paths import relative_path
 from filetally.functions.times import format_utc, to_instant
 from filetally.guards import require
 from filetally.operators.keyed import assert_unique, named, pair_by_key, unique_sides
+from filetally.session import require_utc
 
 STATUSES = ("matched", "missing", "mismatched", "extra_destination", "error")
 
@@ -55,6 +56,7 @@ def side_inventory(listing: DataFrame, root: str, side: str) -> Inventory:
     """
     if side not in ("source", "destination"):
         raise ConfigurationError("side must be source or destination.")
+    require_utc(listing.sparkSession)
     paths = relative_path("path_lower", "path_display", root)
     keyed = listing.where("entry_type = 'file'").selectExpr(
         "*", f"{paths.normalized} AS normalized", f"{paths.display} AS display"

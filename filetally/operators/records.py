@@ -11,6 +11,7 @@ from filetally.errors import ConfigurationError
 from filetally.functions.paths import ancestors, is_safe_relative, parent, target_path
 from filetally.functions.times import RFC3339, format_utc, has_offset, to_instant
 from filetally.guards import non_empty, quote, quoted, require_empty
+from filetally.session import require_utc
 
 METADATA_POLICIES = ("preserve", "ignore")
 LARGEST_RECORD_MB = 64
@@ -63,6 +64,7 @@ def validate_records(
     ):
         raise ConfigurationError(f"max_mb must be between 1 and {LARGEST_RECORD_MB}.")
     _policy(metadata_policy)
+    require_utc(df.sparkSession)
     strict = f"content_base64 RLIKE {quote(BASE64)} AND length(content_base64) % 4 = 0"
     pads = (
         "CASE WHEN endswith(content_base64, '==') THEN 2 "
@@ -127,6 +129,7 @@ def verify_staged(
     that is not 64 characters long is ignored.
     """
     _policy(metadata_policy)
+    require_utc(refs.sparkSession)
     found = staged.selectExpr(
         "path AS location", "struct(length, sha2(content, 256) AS digest) AS staged"
     )

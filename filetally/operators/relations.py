@@ -13,6 +13,7 @@ from filetally.functions.times import to_utc
 from filetally.guards import non_empty, require
 from filetally.operators.keyed import dedupe_strict, named
 from filetally.schemas import CONTRACTS
+from filetally.session import require_utc
 
 FILE_ONLY = ["rev", "client_modified", "server_modified", "size", "content_hash",
              "is_downloadable"]
@@ -101,6 +102,7 @@ def file_properties(listing: DataFrame, templates: DataFrame) -> DataFrame:
 
 def shared_links(links: DataFrame, root: str = "") -> DataFrame:
     """Links whose target lies in ``root``; without a target path a link is never in scope."""
+    require_utc(links.sparkSession)
     kind = "CASE WHEN kind IN ('file', 'folder') THEN kind ELSE 'other' END"
     hidden = "CAST(NULL AS STRING) AS path_display"
     p = "link_permissions"

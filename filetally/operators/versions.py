@@ -10,6 +10,7 @@ from filetally.functions.paths import extension
 from filetally.functions.times import to_utc
 from filetally.guards import fails, non_empty, passes, quoted
 from filetally.schemas import CONTRACTS, EXTRACTION_STATE
+from filetally.session import require_utc
 
 # Suffixes that can be converted to Markdown.
 MARKDOWN_SUFFIXES = (
@@ -112,6 +113,7 @@ def file_contents(candidates: DataFrame, results: DataFrame) -> DataFrame:
     ``results`` carries a poll status per version: ``succeeded`` (or ``complete``),
     ``failed``, ``timed_out``, or ``other`` for a status the service does not explain.
     """
+    require_utc(candidates.sparkSession)
     key = ["file_id", "rev", "content_hash"]
     outcome = results.selectExpr(
         *key,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filetally.functions.times import format_utc, last_modified, to_utc
+from filetally.session import require_utc
 
 
 def transfer_records(transfers: DataFrame, staged: DataFrame) -> DataFrame:
@@ -16,6 +17,7 @@ def transfer_records(transfers: DataFrame, staged: DataFrame) -> DataFrame:
     ``file_id, rev, content``. A file that vanished, changed revision, or has another byte
     count is skipped. Digest and length are taken before the join, so bytes never shuffle.
     """
+    require_utc(transfers.sparkSession)
     delivered = staged.selectExpr(
         "file_id",
         "struct(rev, CAST(octet_length(content) AS BIGINT) AS bytes, "

@@ -78,14 +78,12 @@ def write_records(
     policy: str = "overwrite",
     existing: DataFrame | None = None,
     fail_closed: bool = True,
-    buckets: int = 64,
 ) -> DataFrame:
-    """Write the winning records as Parquet below ``target`` and return the plan.
+    """Write the winning records of a run as Parquet to its folder and return the plan.
 
     ``fail_closed`` refuses to write anything when a record is invalid or in conflict;
-    otherwise the records before the first failing one are written. The output is
-    partitioned by a hash bucket of the path, so a replayed run replaces whole buckets of
-    its own run folder and converges on the same content.
+    otherwise the records before the first failing one are written. A replayed run
+    replaces its folder and converges on the same content.
     """
     plan = materialize(plan_writes(validated, existing, policy), "write-plan")
     if fail_closed:
@@ -93,12 +91,6 @@ def write_records(
         require_empty(bad, "Records are invalid or in conflict; nothing was written.")
     winners = plan.where("outcome = 'written'").select("idx")
     columns = ["idx", "destination_path", "content", "sha256", "modified_at"]
-    (
-        validated.select(*columns)
-        .join(winners, "idx", "left_semi")
-        .withColumn("bucket", F.expr(f"CAST(pmod(xxhash64(destination_path), {buckets}) AS INT)"))
-        .write.mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(target)
-    )
+    written = validated.select(*columns).join(winners, "idx", "left_semi")
+    written.write.mode("overwrite").parquet(target)
     return plan

@@ -29,15 +29,16 @@ class Report(NamedTuple):
 def write_report(details: DataFrame, path: str) -> None:
     """Write the details sorted, then the summary, whose presence completes the report.
 
+    ``path`` has to be new: over an older report, its summary would vouch for half a new one.
     The totals are observed while the sorted details pass by on their way to the sink, so
     the comparison runs once.
     """
     ordered = details.orderBy("sort_key").drop("sort_key")
     totals = Observation("report")
     counters = [F.expr(counter) for counter in SUMMARY_COUNTERS]
-    ordered.observe(totals, *counters).write.mode("overwrite").json(f"{path}/details")
+    ordered.observe(totals, *counters).write.json(f"{path}/details")
     flat = details.sparkSession.createDataFrame([totals.get], FLAT_SUMMARY)
-    as_summary(flat).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    as_summary(flat).coalesce(1).write.json(f"{path}/summary")
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
