@@ -25,7 +25,8 @@ SIDES = "fx_source fx_destination"
 _UTC = "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
 _AT = INSTANT.format("client_modified")
 # Report rows in SQL: two keyed sides, a full outer join, and the rows outside the root.
-REPORT = f"""s AS (SELECT *, lower(substr(path_display, 14)) AS k, substr(path_display, 14) AS shown,
+REPORT = f"""s AS (SELECT *, lower(substr(path_display, 14)) AS k,
+    substr(path_display, 14) AS shown,
     {_AT} AS at FROM fx_source
     WHERE starts_with(path_display, '/Source-Root/')),
   d AS (SELECT *, lower(substr(path_display, 19)) AS k, substr(path_display, 19) AS shown,

@@ -68,7 +68,8 @@ def ignored_timestamps(spark, sf):
     )
 
 
-_SHARED = """t AS (SELECT idx, 'f/' || CAST(idx % 97 AS VARCHAR) AS path FROM v WHERE error IS NULL)"""
+_SHARED = """t AS (SELECT idx, 'f/' || CAST(idx % 97 AS VARCHAR) AS path FROM v
+    WHERE error IS NULL)"""
 
 
 def _sound(spark, sf):

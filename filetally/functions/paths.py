@@ -71,10 +71,8 @@ def _fold_rules() -> _FoldRules:
             tails.setdefault(folded[1:], []).append(char)
     groups = tuple((tail, "".join(chars)) for tail, chars in tails.items())
     expanding = _ranges([ord(c) for _, chars in groups for c in chars])
-    first = min(map(ord, single))
-    return _FoldRules(
-        "".join(single), "".join(single.values()), groups, expanding, f"[^\\x{{0}}-\\x{{{first - 1:x}}}]"
-    )
+    plain = f"[^\\x{{0}}-\\x{{{min(map(ord, single)) - 1:x}}}]"
+    return _FoldRules("".join(single), "".join(single.values()), groups, expanding, plain)
 
 
 def fold(col: str) -> str:

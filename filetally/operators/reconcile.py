@@ -95,7 +95,8 @@ _CLIENT_MODIFIED = """CASE WHEN left IS NULL OR right IS NULL THEN 'not_comparab
     WHEN NOT right.has_client_modified THEN 'destination_missing'
     WHEN left.client_modified IS NULL OR right.client_modified IS NULL THEN 'not_comparable'
     WHEN left.client_modified = right.client_modified THEN 'matched' ELSE 'mismatched' END"""
-_CONTENT = "struct(status, CASE reason WHEN 'matched' THEN 'content_match' ELSE reason END AS reason)"
+_CONTENT = """struct(status,
+    CASE reason WHEN 'matched' THEN 'content_match' ELSE reason END AS reason)"""
 # Presence of the path; a rename is never guessed from equal content.
 _NAMESPACE = """struct(CASE WHEN status IN ('mismatched', 'error') THEN 'not_comparable'
     ELSE status END AS status,

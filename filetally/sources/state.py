@@ -65,7 +65,9 @@ class State:
         """A stored cursor allows a delta; anything else needs a snapshot."""
         return self.cursor is not None and not self.legacy
 
-    def advanced(self, files: DataFrame, cursor: str | None, scope: Scope, errors: int = 0) -> State:
+    def advanced(
+        self, files: DataFrame, cursor: str | None, scope: Scope, errors: int = 0
+    ) -> State:
         """Next state; the cursor moves only when not a single row failed."""
         if errors or cursor is None:
             cursor = self.cursor
