@@ -29,7 +29,7 @@ from filetally.llm.common import fold, materialize, texts
 from filetally.llm.text import batch_of, buffer_of, column, first_places, runs, slices, words
 
 CHUNK = 4 << 20
-LIMIT = 0.1  # added to every count
+ADDED = 0.1  # to every count
 END = "< >"  # the end token; it holds a space, so no word equals it
 
 CHUNKS = pa.schema(
@@ -82,7 +82,7 @@ def tokenise(batches):
             in_training = np.repeat(trained[first:end], sizes)
             lower = part.copy()
             lower[(part >= 65) & (part <= 90)] += 32
-            wide = len(kinds) > 65535
+            wide = len(kinds) > 1 << 16
             yield batch_of(
                 CHUNKS,
                 chunk=[secrets.randbits(63)],
@@ -90,7 +90,7 @@ def tokenise(batches):
                 trained=[trained[first:end].tolist()],
                 sizes=[sizes.astype(np.int32)],
                 wide=[wide],
-                codes=[codes.astype(np.uint32 if wide else np.uint16).tobytes()],
+                codes=[packed(codes, wide)],
                 words=pa.ListArray.from_arrays(
                     pa.array([0, len(kinds)], pa.int32()),
                     slices(lower, starts[places], ends[places]),
@@ -99,6 +99,19 @@ def tokenise(batches):
             )
 
 
+def packed(codes: np.ndarray, wide: bool) -> bytes:
+    """Compressed codes, one plane per byte: frequent words come early, so high bytes repeat."""
+    planes = [(codes >> shift).astype(np.uint8) for shift in ((0, 8, 16) if wide else (0, 8))]
+    return pa.compress(np.concatenate(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, count: int, wide: bool) -> np.ndarray:
+    width = 3 if wide else 2
+    raw = pa.decompress(data, decompressed_size=count * width, codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(width, count)
+    return sum(plane.astype(np.int64) << (8 * k) for k, plane in enumerate(planes))
+
+
 def word_classes(names: pa.Array, frequent: list[str], shape: Shape) -> np.ndarray:
     """Class of each word: its rank if it is frequent, else by its last letters and mark."""
     data, bounds = buffer_of(names)
@@ -120,7 +133,7 @@ def word_classes(names: pa.Array, frequent: list[str], shape: Shape) -> np.ndarr
 def streams(row, kinds: np.ndarray, shape: Shape):
     """Class, context class and skip bucket of every token of a chunk, ends included."""
     sizes = np.asarray(row["sizes"], np.int64)
-    codes = np.frombuffer(row["codes"], np.uint32 if row["wide"] else np.uint16)
+    codes = unpacked(row["codes"], int(sizes.sum()), row["wide"])
     stops = np.cumsum(sizes + 1) - 1
     here = np.zeros(len(codes) + len(sizes), np.int64)
     inner = np.ones(len(here), dtype=bool)
@@ -154,21 +167,17 @@ def context_counter(frequent: list[str], shape: Shape):
     return run
 
 
-CLASS_SUMS = pa.schema([("kind", pa.int64()), ("total", pa.int64()), ("distinct", pa.int64())])
+KINDS = pa.schema([("word", pa.string()), ("n", pa.int64()), ("kind", pa.int16())])
 
 
-def class_summer(frequent: list[str], shape: Shape):
-    """Function for ``mapInArrow``: token and word counts by class, of dictionary rows."""
+def classifier(frequent: list[str], shape: Shape):
+    """Function for ``mapInArrow``: dictionary rows with the class of each word."""
 
     def run(batches):
-        total = np.zeros(shape.classes, np.int64)
-        distinct = np.zeros(shape.classes, np.int64)
         for batch in batches:
-            kinds = word_classes(column(batch, "word"), frequent, shape)
-            n = column(batch, "n").to_numpy(zero_copy_only=False).astype(np.int64)
-            total += np.bincount(kinds, weights=n, minlength=shape.classes).astype(np.int64)
-            distinct += np.bincount(kinds, minlength=shape.classes)
-        yield batch_of(CLASS_SUMS, kind=np.arange(shape.classes), total=total, distinct=distinct)
+            names = column(batch, "word")
+            kinds = word_classes(names, frequent, shape)
+            yield batch_of(KINDS, word=names, n=column(batch, "n"), kind=kinds.astype(np.int16))
 
     return run
 
@@ -248,22 +257,22 @@ SCORES_SQL = (
 )
 
 
-def scorer(table, sums, frequent, tokens, distinct, ended, shape: Shape):
+def scorer(table, sums, tokens, distinct, ended, shape: Shape):
     """Function for ``cogroup``: scores of a chunk's texts, given its words' counts."""
     totals, kinds_seen = sums
 
     def run(chunk: pa.Table, counts: pa.Table) -> pa.Table:
         out = []
-        of_word = np.zeros(max(1, sum(len(w) for w in column(chunk, "words"))), np.float64)
-        of_word[counts.column("place").to_numpy()] = counts.column("n").to_numpy()
+        place = counts.column("place").to_numpy()
+        known = np.zeros(len(place), np.float64)
+        kinds = np.zeros(len(place), np.int64)
+        known[place] = counts.column("n").to_numpy()
+        kinds[place] = counts.column("kind").to_numpy()
         for row in chunk.to_pylist():
-            names = pa.array(row["words"], pa.string())
-            known = of_word[: len(names)]
-            kinds = word_classes(names, frequent, shape)
             here, back, skip, inner, codes, sizes, stops = streams(row, kinds, shape)
-            base = np.log10((known + LIMIT) / (tokens + LIMIT * (distinct + 1)))
-            within = np.log10((known + LIMIT) / (totals[kinds] + LIMIT * (kinds_seen[kinds] + 1)))
-            base_end = np.log10((ended + LIMIT) / (tokens + LIMIT * (distinct + 1)))
+            base = np.log10((known + ADDED) / (tokens + ADDED * (distinct + 1)))
+            within = np.log10((known + ADDED) / (totals[kinds] + ADDED * (kinds_seen[kinds] + 1)))
+            base_end = np.log10((ended + ADDED) / (tokens + ADDED * (distinct + 1)))
             token_base = np.full(len(here), base_end)
             token_base[inner] = base[codes]
             token_score = table[back * shape.skips + skip, here].astype(np.float64)
@@ -307,17 +316,21 @@ def score_documents(docs: DataFrame, parts: int = 10, shape: Shape = Shape()) ->
         F.sum(F.expr("aggregate(trained, 0L, (n, t) -> n + cast(t AS long))"))
     ).first()[0] or 0
     dictionary = materialize(
-        places.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "lm-dictionary"
+        places.groupBy("word").agg(F.sum("n").alias("n")), "lm-dictionary"
     )
-    tokens, distinct = dictionary.agg(F.sum("n"), F.count("*")).first()
+    learned = dictionary.where("n > 0")
+    tokens, distinct = learned.agg(F.sum("n"), F.count("*")).first()
     tokens, distinct = (tokens or 0) + ended, distinct + int(ended > 0)
     frequent = [
-        r.word for r in dictionary.orderBy(F.desc("n"), "word").limit(shape.frequent).collect()
+        r.word for r in learned.orderBy(F.desc("n"), "word").limit(shape.frequent).collect()
     ]
+    classed = dictionary.mapInArrow(
+        classifier(frequent, shape), "word string, n long, kind smallint"
+    )
     sums = (
-        dictionary.mapInArrow(class_summer(frequent, shape), "kind long, total long, distinct long")
+        classed.where("n > 0")
         .groupBy("kind")
-        .agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"))
+        .agg(F.sum("n").alias("total"), F.count("*").alias("distinct"))
         .collect()
     )
     totals, kinds_seen = np.zeros(shape.classes), np.zeros(shape.classes)
@@ -335,14 +348,15 @@ def score_documents(docs: DataFrame, parts: int = 10, shape: Shape = Shape()) ->
 
     counted = (
         places.select("chunk", "place", "word")
-        .join(dictionary, "word")
-        .select(F.col("chunk").alias("of_chunk"), "place", "n")
+        .join(classed, "word")
+        .select(F.col("chunk").alias("of_chunk"), "place", "n", "kind")
     )
     scored = (
-        chunks.groupBy("chunk")
+        chunks.select("chunk", "ids", "trained", "sizes", "wide", "codes")
+        .groupBy("chunk")
         .cogroup(counted.groupBy("of_chunk"))
         .applyInArrow(
-            scorer(table, (totals, kinds_seen), frequent, tokens, distinct, ended, shape),
+            scorer(table, (totals, kinds_seen), tokens, distinct, ended, shape),
             SCORES_SQL,
         )
     )
