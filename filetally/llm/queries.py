@@ -3,7 +3,19 @@
 from __future__ import annotations
 
 from filetally.llm.common import read
+from filetally.llm.language import identify_languages
 from filetally.llm.language_model import score_documents
+from filetally.llm.toxicity import score_toxicity
+
+
+def op2_language_id(spark, tables):
+    """Language of every document by words first, then shorter n-grams."""
+    return identify_languages(read(spark, tables, "documents"))
+
+
+def op8_toxicity(spark, tables):
+    """Toxicity of every document by calibrated boosted trees."""
+    return score_toxicity(read(spark, tables, "documents"), read(spark, tables, "labels"))
 
 
 def op10_language_model(spark, tables):
@@ -11,6 +23,6 @@ def op10_language_model(spark, tables):
     return score_documents(read(spark, tables, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_language_model,)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op8_toxicity, op10_language_model)}
 
 SQL_CHECKS: dict[str, str] = {}

@@ -77,12 +77,12 @@ def fingerprints(data, starts, ends, fold=LOWER):
     if not len(starts):
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        power = np.full(len(data), MULTIPLIER, np.uint64)
+        power = np.full(len(data) + 1, MULTIPLIER, np.uint64)
         power[0] = 1
         np.cumprod(power, out=power)
         total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((fold[data].astype(np.uint64) + np.uint64(1)) * power, out=total[1:])
-        inverse = np.full(len(data), INVERSE, np.uint64)
+        np.cumsum((fold[data].astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
+        inverse = np.full(len(data) + 1, INVERSE, np.uint64)  # an empty word may start at the end
         inverse[0] = 1
         np.cumprod(inverse, out=inverse)
         return mix((total[ends] - total[starts]) * inverse[starts])
