@@ -57,7 +57,7 @@ class Shape:
     frequent: int = 63  # words that are classes of their own
     endings: int = 64  # classes of all other words
     skips: int = 16  # buckets of the class two words before
-    pairs: int = 4096  # buckets of context pairs
+    pairs: int = 1024  # buckets of context pairs
     rounds: int = 12
     prior: float = 2.0  # expected counts are smoothed by this much
 
@@ -197,48 +197,55 @@ def class_scores(contexts: np.ndarray, weights: np.ndarray, shape: Shape) -> np.
     return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
 
 
-GRADIENT = pa.schema([("observed", pa.binary()), ("expected", pa.binary())])
+GRADIENT = pa.schema([("sums", pa.binary())])
 
 
-def gradient_of(weights: np.ndarray, shape: Shape):
-    """Function for ``mapInArrow``: feature counts observed and expected in a partition."""
+def feature_sums(weights: np.ndarray | None, shape: Shape, rows: int):
+    """Function for ``mapInArrow``: feature counts of a partition, expected under the weights.
+
+    Without weights they are the observed ones. The difference of both is the gradient.
+    """
 
     def run(batches):
-        observed = np.zeros_like(weights)
-        expected = np.zeros_like(weights)
+        sums = np.zeros((rows, shape.classes))
         for batch in batches:
             context = column(batch, "context").to_numpy()
             kinds, n = column(batch, "kind").to_numpy(), column(batch, "n").to_numpy()
             present, row = np.unique(context, return_inverse=True)
             table = np.zeros((len(present), shape.classes))
             np.add.at(table, (row, kinds), n)
-            model = np.exp(class_scores(present, weights, shape)) * table.sum(1, keepdims=True)
+            if weights is not None:
+                model = np.exp(class_scores(present, weights, shape))
+                table = model * table.sum(1, keepdims=True)
             for f in features(present, shape):
-                np.add.at(observed, f, table)
-                np.add.at(expected, f, model)
-        yield batch_of(GRADIENT, observed=[observed.tobytes()], expected=[expected.tobytes()])
+                np.add.at(sums, f, table)
+        yield batch_of(GRADIENT, sums=[sums.astype(np.float32).tobytes()])
 
     return run
 
 
-def train(contexts: DataFrame, shape: Shape, parts: int = 8) -> np.ndarray:
+def train(contexts: DataFrame, shape: Shape, parts: int = 4) -> np.ndarray:
     """Weights after ``rounds`` gradient passes over the partitions of the context table.
 
-    A step divides a feature's gradient by its expected count, which bounds it and lets rare
-    features move as fast as frequent ones; ``prior`` keeps unseen ones near zero.
+    A step divides a feature's gradient by its counts, which bounds it and lets rare features
+    move as fast as frequent ones; ``prior`` keeps unseen ones near zero. A pass returns one
+    table of feature sums per partition, whose size the shape bounds.
     """
     rows = 1 + shape.classes + shape.skips + shape.pairs
-    weights = np.zeros((rows, shape.classes))
-    step = 1.0 / 4  # four features are active at once
     contexts = materialize(contexts.repartition(parts, "context"), "lm-contexts")
+
+    def summed(weights):
+        done = contexts.mapInArrow(feature_sums(weights, shape, rows), "sums binary").collect()
+        return sum(np.frombuffer(p.sums, np.float32).astype(float) for p in done).reshape(
+            rows, shape.classes
+        )
+
+    observed = summed(None)
+    weights = np.zeros((rows, shape.classes), np.float32)
     for _ in range(shape.rounds):
-        parts_done = contexts.mapInArrow(
-            gradient_of(weights, shape), "observed binary, expected binary"
-        ).collect()
-        observed = sum(np.frombuffer(p.observed) for p in parts_done).reshape(weights.shape)
-        expected = sum(np.frombuffer(p.expected) for p in parts_done).reshape(weights.shape)
-        gradient = observed - expected
-        weights = weights + step * 4 * gradient / (observed + expected + 2 * shape.prior)
+        expected = summed(weights)
+        step = (observed - expected) / (observed + expected + 2 * shape.prior)
+        weights = (weights + step).astype(np.float32)
     return weights
 
 
