@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from filetally.llm.common import read
+from filetally.llm import decontaminate, quality_rules
 from filetally.llm.language import identify_languages
 from filetally.llm.language_model import score_documents
 from filetally.llm.toxicity import score_toxicity
@@ -13,16 +14,39 @@ def op2_language_id(spark, tables):
     return identify_languages(read(spark, tables, "documents"))
 
 
+def op4_quality_rules(spark, tables):
+    """Measures and verdict of line-first cleaning for every document."""
+    return quality_rules.assess(read(spark, tables, "documents")).drop("clean_text")
+
+
 def op8_toxicity(spark, tables):
     """Toxicity of every document by calibrated boosted trees."""
     return score_toxicity(read(spark, tables, "documents"), read(spark, tables, "labels"))
 
 
+def op9_decontamination(spark, tables):
+    """Benchmark items found in every document, and whether they contaminate it."""
+    docs, benchmark = read(spark, tables, "documents"), read(spark, tables, "benchmark")
+    return decontaminate.find_contamination(docs, benchmark).drop("items")
+
+
 def op10_language_model(spark, tables):
     """Log10 probability of every document under the maximum-entropy model."""
     return score_documents(read(spark, tables, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op8_toxicity, op10_language_model)}
-
-SQL_CHECKS: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_language_id,
+        op4_quality_rules,
+        op8_toxicity,
+        op9_decontamination,
+        op10_language_model,
+    )
+}
+
+SQL_CHECKS: dict[str, str] = {
+    "op4_quality_rules": quality_rules.SQL,
+    "op9_decontamination": decontaminate.SQL,
+}
