@@ -7,6 +7,9 @@ prefix: only where a document has it can the window occur, at one known offset.
 positional bounds drop windows that would reach over the text's ends, and the words at the
 place are compared one by one.
 
+The outer forms of explode are used because the plain ones have Spark add a filter on the
+array's size, which repeats the tokenisation for every element.
+
 Documents stay in place: they are exploded and probed against the benchmark in one generated
 stage, and only documents and hits leave it. The benchmark side is broadcast in blocks of at
 most ``BLOCK`` windows, one pass over the documents each, so its size is bounded however large
@@ -62,7 +65,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 def prefixes(windows: DataFrame, counts: DataFrame, size: int) -> DataFrame:
     """The rarest shingle of each window and its offset."""
     spread = windows.select(
-        "window", "words", F.posexplode(shingles_of(size)).alias("offset", "shingle")
+        "window", "words", F.posexplode_outer(shingles_of(size)).alias("offset", "shingle")
     )
     rarity = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "offset")
     return (
@@ -82,7 +85,7 @@ def occurrences(docs: DataFrame, windows: DataFrame, size: int) -> DataFrame:
         .distinct()
     )
     counts = materialize(
-        spread.select(F.explode("shingles").alias("shingle"))
+        spread.select(F.explode_outer("shingles").alias("shingle"))
         .join(F.broadcast(wanted), "shingle")
         .groupBy("shingle")
         .agg(F.count("*").alias("n")),
@@ -94,7 +97,7 @@ def occurrences(docs: DataFrame, windows: DataFrame, size: int) -> DataFrame:
     fits = (start >= 0) & (start + length <= F.col("n_words"))
     same = F.slice("words", F.greatest(start, F.lit(0)) + 1, length) == F.col("wanted")
     placed = spread.select(
-        "doc_id", "digest", "n_words", "words", F.posexplode("shingles").alias("place", "shingle")
+        "doc_id", "digest", "n_words", "words", F.posexplode_outer("shingles").alias("place", "shingle")
     )
     return (
         placed.join(prefix, (placed.shingle == prefix.shingle) & fits & same)
