@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from filetally.llm.common import read
-from filetally.llm import decontaminate, quality_rules
+from filetally.llm import decontaminate, ngram_join, quality_rules
 from filetally.llm.language import identify_languages
 from filetally.llm.language_model import score_documents
 from filetally.llm.toxicity import score_toxicity
 
 
+def op1_ngram_join(spark, tables):
+    """Component of every document under the join of three-word shingles at 0.9."""
+    rule = ngram_join.Rule(words=3, percent=90)
+    return ngram_join.near_duplicates(read(spark, tables, "documents"), rule)
+
+
 def op2_language_id(spark, tables):
     """Language of every document by words first, then shorter n-grams."""
     return identify_languages(read(spark, tables, "documents"))
@@ -38,6 +44,7 @@ def op10_language_model(spark, tables):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_ngram_join,
         op2_language_id,
         op4_quality_rules,
         op8_toxicity,
@@ -47,6 +54,7 @@ QUERIES = {
 }
 
 SQL_CHECKS: dict[str, str] = {
+    "op1_ngram_join": ngram_join.SQL,
     "op4_quality_rules": quality_rules.SQL,
     "op9_decontamination": decontaminate.SQL,
 }
