@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from filetally.llm.common import read
-from filetally.llm import decontaminate, ngram_join, quality_rules
+from filetally.llm import chat, decontaminate, mixing, ngram_join, quality_rules
 from filetally.llm.language import identify_languages
 from filetally.llm.language_model import score_documents
 from filetally.llm.toxicity import score_toxicity
@@ -20,11 +20,21 @@ def op2_language_id(spark, tables):
     return identify_languages(read(spark, tables, "documents"))
 
 
+def op3_mixing(spark, tables):
+    """Training order of the documents with no source seen more than 1.25 times."""
+    return mixing.mix_sources(read(spark, tables, "documents"))
+
+
 def op4_quality_rules(spark, tables):
     """Measures and verdict of line-first cleaning for every document."""
     return quality_rules.assess(read(spark, tables, "documents")).drop("clean_text")
 
 
+def op5_chat_format(spark, tables):
+    """Rendered conversations that are no snapshot of a longer one."""
+    return chat.format_chats(read(spark, tables, "conversations"))
+
+
 def op8_toxicity(spark, tables):
     """Toxicity of every document by calibrated boosted trees."""
     return score_toxicity(read(spark, tables, "documents"), read(spark, tables, "labels"))
@@ -46,7 +56,9 @@ QUERIES = {
     for f in (
         op1_ngram_join,
         op2_language_id,
+        op3_mixing,
         op4_quality_rules,
+        op5_chat_format,
         op8_toxicity,
         op9_decontamination,
         op10_language_model,
@@ -55,6 +67,8 @@ QUERIES = {
 
 SQL_CHECKS: dict[str, str] = {
     "op1_ngram_join": ngram_join.SQL,
+    "op3_mixing": mixing.SQL,
     "op4_quality_rules": quality_rules.SQL,
+    "op5_chat_format": chat.SQL,
     "op9_decontamination": decontaminate.SQL,
 }
