@@ -1,16 +1,77 @@
-"""From raw documents to a weighted training order; every stage works on what the last kept."""
+"""From raw documents to a weighted training order, in five stages.
+
+``STAGES`` lists them as (name, function). A function takes (spark, docs, sf_dir), where docs
+are the rows that its predecessor kept, and returns a DataFrame; it is written as Parquet and
+read again as the next one's docs. All but the last return the columns of documents, with texts
+unchanged. ``ORACLE_SQL`` is None, as SQL cannot express the boosted trees of the first stage;
+the tests hold the stages against brute force.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from filetally.llm.common import materialize, read
+from filetally.llm.decontaminate import find_contamination
+from filetally.llm.mixing import mix_sources
+from filetally.llm.ngram_join import Rule, near_duplicates
+from filetally.llm.quality_rules import assess
+from filetally.llm.toxicity import score_toxicity
 
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """The stages one after another, each written as Parquet and read again."""
-    from filetally.llm.common import materialize, read
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own, so that verdicts find their row whatever its id is."""
+    row = F.struct("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    return docs.withColumn("row_key", F.xxhash64(row, F.lit("row")))
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is not rejected; rows without an id are never rejected by it."""
+    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not call toxic."""
+    scores = score_toxicity(docs, read(spark, sf_dir, "labels"))
+    return _without(docs, scores.where("predicted = 1"))
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return _without(docs, assess(docs).where("NOT kept"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id."""
+    found = near_duplicates(docs, Rule(words=5, percent=80))
+    return _without(docs, found.where("doc_id <> component_id"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by benchmark items."""
+    found = find_contamination(docs, read(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("contaminated"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training order, with sources at their target weights."""
+    return mix_sources(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality rules", drop_low_quality),
+    ("near duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix),
+]
+
 
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another, from the documents of ``sf_dir``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")

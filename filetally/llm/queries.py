@@ -6,6 +6,8 @@ from filetally.llm.common import read
 from filetally.llm import chat, decontaminate, mixing, ngram_join, quality_rules
 from filetally.llm.language import identify_languages
 from filetally.llm.language_model import score_documents
+from filetally.llm.licenses import scan_licenses
+from filetally.llm.quality_model import score_quality
 from filetally.llm.toxicity import score_toxicity
 
 
@@ -35,6 +37,16 @@ def op5_chat_format(spark, tables):
     return chat.format_chats(read(spark, tables, "conversations"))
 
 
+def op6_quality_model(spark, tables):
+    """Quality of every document by pooled word vectors and a small network."""
+    return score_quality(read(spark, tables, "documents"), read(spark, tables, "labels"))
+
+
+def op7_license_scan(spark, tables):
+    """Matched spans of license templates in every document."""
+    return scan_licenses(read(spark, tables, "documents"))
+
+
 def op8_toxicity(spark, tables):
     """Toxicity of every document by calibrated boosted trees."""
     return score_toxicity(read(spark, tables, "documents"), read(spark, tables, "labels"))
@@ -59,6 +71,8 @@ QUERIES = {
         op3_mixing,
         op4_quality_rules,
         op5_chat_format,
+        op6_quality_model,
+        op7_license_scan,
         op8_toxicity,
         op9_decontamination,
         op10_language_model,
