@@ -9,8 +9,9 @@ and never lists all pairs of a group:
    their first ``n - ceil(percent * n / 100) + 1`` shingles; these make the index lists, whose
    entries carry the position in the set. If the first shared shingle stands at ``i`` and
    ``j``, the sets differ in at least ``i + j`` shingles, which skips most of a list.
-3. In every list, each set is compared with the list's leader only (the set with the fewest
-   rare shingles before it). Linked sets are merged to components.
+3. In every list, each set is compared with the list's leader only: the set whose rarest
+   shingle is most common, as the original of many copies has none of their changes. Linked
+   sets are merged to components.
 4. What is left are pairs of different components. Lists within one component are skipped, and
    so is the block of entries whose positions are both behind half the allowed difference. An
    entry's answer is derived from its leader's: with overlaps ``o`` known for both sets, they
@@ -18,7 +19,8 @@ and never lists all pairs of a group:
    rest is compared exactly, and the components are merged again.
 
 The number of compared pairs is about one per list and set, for groups of any size, plus the
-pairs of step 4 that no bound settles. Sets are compared by 64-bit shingle fingerprints.
+pairs of step 4 that no bound settles. Sets are built on 64-bit shingle fingerprints, of which
+48 bits are compared: for sets of 400 a chance match has a probability below 1e-9.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ from filetally.llm.text import PIECE, batch_of, buffer_of, column, mix, runs, wo
 SLOT_BITS = 20  # size of the count sketch and of what is broadcast of it: one byte a slot
 SKETCH_PARTS = 64
 FILTER_BITS = 23  # size of the broadcast filter of wanted ids
+MOST_BROADCAST = 1_000_000  # rows of two columns; larger tables are joined by a shuffle
+KEPT_BYTES = 6  # of a fingerprint, when sets are compared
 
 
 @dataclass(frozen=True)
@@ -129,10 +133,11 @@ PREFIXES = pa.schema(
         ("n", pa.int64()),
         ("low", pa.int64()),
         ("high", pa.int64()),
+        ("level", pa.int64()),
         ("prefix", pa.list_(pa.int64())),
     ]
 )
-PREFIXES_SQL = "doc_id long, n long, low long, high long, prefix array<long>"
+PREFIXES_SQL = "doc_id long, n long, low long, high long, level long, prefix array<long>"
 
 
 def signature(members: np.ndarray) -> tuple[int, int]:
@@ -149,7 +154,7 @@ def prefix_maker(rule: Rule, levels: np.ndarray):
     def run(batches):
         for batch in batches:
             data, bounds = buffer_of(column(batch, "text"))
-            sizes, low, high, prefix = [], [], [], []
+            sizes, low, high, rarest, prefix = [], [], [], [], []
             for _, members in shingle_sets(data, bounds, rule.words):
                 count = rule.prefix(len(members))
                 level = levels[members >> np.uint64(64 - SLOT_BITS)]
@@ -158,9 +163,11 @@ def prefix_maker(rule: Rule, levels: np.ndarray):
                 sizes.append(len(members))
                 low.append(a)
                 high.append(b)
+                rarest.append(int(level.min(initial=63)))
                 prefix.append(members[order].view(np.int64))
+            ids = column(batch, "doc_id")
             yield batch_of(
-                PREFIXES, doc_id=column(batch, "doc_id"), n=sizes, low=low, high=high, prefix=prefix
+                PREFIXES, doc_id=ids, n=sizes, low=low, high=high, level=rarest, prefix=prefix
             )
 
     return run
@@ -181,6 +188,18 @@ def id_filter(batches):
     yield batch_of(FILTER, bits=[pa.compress(np.packbits(bits).tobytes(), codec="zstd", asbytes=True)])
 
 
+def stored(members: np.ndarray) -> bytes:
+    """The upper bytes of each fingerprint, which keep their order."""
+    return members.view(np.uint8).reshape(-1, 8)[:, 8 - KEPT_BYTES :].tobytes()
+
+
+def restored(data: pa.Scalar) -> np.ndarray:
+    raw = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, KEPT_BYTES)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, 8 - KEPT_BYTES :] = raw
+    return out.view(np.uint64).ravel()
+
+
 SETS = pa.schema([("set_id", pa.int64()), ("members", pa.binary())])
 
 
@@ -193,7 +212,7 @@ def set_maker(rule: Rule, packed: bytes):
             ids = column(batch, "doc_id").to_numpy()
             batch = batch.filter(pa.array(bits[id_slots(ids)]))
             data, bounds = buffer_of(column(batch, "text"))
-            members = [m.tobytes() for _, m in shingle_sets(data, bounds, rule.words)]
+            members = [stored(m) for _, m in shingle_sets(data, bounds, rule.words)]
             yield batch_of(SETS, set_id=column(batch, "doc_id"), members=members)
 
     return run
@@ -209,7 +228,7 @@ def compare(batches):
     for batch in batches:
         rows = {c: [] for c in ("size_a", "size_b", "overlap")}
         for x, y in zip(column(batch, "members_a"), column(batch, "members_b"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            x, y = restored(x), restored(y)
             at = np.minimum(np.searchsorted(y, x), len(y) - 1)
             rows["size_a"].append(len(x))
             rows["size_b"].append(len(y))
@@ -217,29 +236,29 @@ def compare(batches):
         yield batch_of(OVERLAPS, a=column(batch, "a"), b=column(batch, "b"), **rows)
 
 
-def overlaps(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """Exact overlap of each pair ``(a, b)`` of ids, with ``linked``; one row a pair.
+def sets_of(ids: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """``(set_id, members)`` of the ids, made anew from their texts.
 
-    Sets are made anew from the texts that the pairs name. A filter of fixed size keeps most
-    other texts from being shuffled; what it lets through by chance, the join drops.
+    A filter of fixed size keeps most other texts from being shuffled; what it lets through by
+    chance finds no partner in the join.
     """
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     bits = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in ids.coalesce(8).mapInArrow(id_filter, "bits binary").collect():
         raw = pa.decompress(r.bits, decompressed_size=len(bits), codec="zstd", asbytes=True)
         bits |= np.frombuffer(raw, np.uint8)
-    made = docs.where("doc_id IS NOT NULL").mapInArrow(
+    return docs.where("doc_id IS NOT NULL").mapInArrow(
         set_maker(rule, bits.tobytes()), "set_id long, members binary"
     )
-    sets = materialize(
-        made.join(ids.distinct(), made.set_id == ids.id, "left_semi"), "ngram-sets"
-    )
-    right = sets.select(F.col("set_id").alias("b"), F.col("members").alias("members_b"))
-    left = sets.select(F.col("set_id").alias("a"), F.col("members").alias("members_a"))
+
+
+def overlaps(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Exact overlap of each pair ``(a, b)`` of ids, with ``linked``."""
+    right = sets_of(pairs.select(F.col("b").alias("id")), docs, rule)
+    left = sets_of(pairs.select(F.col("a").alias("id")), docs, rule)
     compared = (
         pairs.select("a", "b")
-        .join(right, "b")
-        .join(left, "a")
+        .join(right.selectExpr("set_id AS b", "members AS members_b"), "b")
+        .join(left.selectExpr("set_id AS a", "members AS members_a"), "a")
         .select("a", "b", "members_a", "members_b")
         .mapInArrow(compare, "a long, b long, size_a long, size_b long, overlap long")
     )
@@ -247,6 +266,12 @@ def overlaps(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     return compared.withColumn("linked", 100 * F.col("overlap") >= rule.percent * union)
 
 
+def light(df: DataFrame, label: str) -> DataFrame:
+    """The table written, and marked for broadcast if it is small enough."""
+    df = materialize(df, label)
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(id, root)`` of every linked id; the root is the smallest id that links reach.
 
@@ -298,28 +323,41 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     key = ["low", "high", "n"]
     named = rows.where("doc_id IS NOT NULL AND n > 0")
     classes = materialize(
-        named.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")),
+        named.groupBy(*key).agg(
+            F.min("doc_id").alias("rep"),
+            F.first("level").alias("level"),
+            F.first("prefix").alias("prefix"),
+        ),
         "ngram-classes",
     )
 
+    # An entry is three numbers: level, size and place share one, as most bytes go through here.
     entries = (
-        classes.select("rep", "n", F.posexplode_outer("prefix").alias("place", "token"))
+        classes.select("rep", "level", "n", F.posexplode_outer("prefix").alias("place", "token"))
         .where("token IS NOT NULL")
+        .selectExpr("token", "rep", "(level << 56) + (n << 28) + place AS spot")
         .repartition("token")
     )
-    lead = F.col("place") * F.lit(1 << 31) + F.pmod(F.xxhash64("rep"), F.lit(1 << 31))
+    lead = F.expr("((63 - (spot >> 56)) << 31) + pmod(xxhash64(rep), 1L << 31)")
     lists = (
         entries.groupBy("token")
         .agg(
             F.count("*").alias("length"),
             F.min_by("rep", lead).alias("leader"),
-            F.min_by("n", lead).alias("leader_n"),
-            F.min_by("place", lead).alias("leader_place"),
+            F.min_by("spot", lead).alias("leader_spot"),
         )
         .where("length > 1")
         .drop("length")
     )
-    shared = materialize(entries.join(lists, "token"), "ngram-lists")
+    shared = materialize(entries.join(lists, "token"), "ngram-lists").selectExpr(
+        "token",
+        "rep",
+        "(spot >> 28) & 268435455 AS n",
+        "spot & 268435455 AS place",
+        "leader",
+        "(leader_spot >> 28) & 268435455 AS leader_n",
+        "leader_spot & 268435455 AS leader_place",
+    )
 
     def close(n_x, n_y, i, j):
         need = rule.least_overlap(n_x, n_y)
@@ -333,16 +371,15 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         "ngram-leader-pairs",
     )
     first = materialize(overlaps(to_leader, docs, rule), "ngram-leader-overlaps")
-    roots = components(first.where("linked"))
+    roots = light(components(first.where("linked")).withColumnRenamed("id", "rep"), "ngram-roots")
 
-    rooted = shared.join(roots.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-        "root", F.coalesce("root", "rep")
-    )
-    mixed = (
+    rooted = shared.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    mixed = light(
         rooted.groupBy("token")
         .agg(F.min("root").alias("least"), F.max("root").alias("most"))
         .where("least < most")
-        .select("token")
+        .select("token"),
+        "ngram-mixed",
     )
     known = first.groupBy(F.col("a").alias("leader"), F.col("b").alias("rep")).agg(
         F.max("overlap").alias("overlap")
