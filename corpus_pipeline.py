@@ -17,43 +17,55 @@ from filetally.llm.decontaminate import find_contamination
 from filetally.llm.mixing import mix_sources
 from filetally.llm.ngram_join import Rule, near_duplicates
 from filetally.llm.quality_rules import assess
-from filetally.llm.toxicity import score_toxicity
+from filetally.llm.toxicity import keep_clean
 
 ORACLE_SQL = None
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a key of their own, so that verdicts find their row whatever its id is."""
-    row = F.struct("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)))
-    return docs.withColumn("row_key", F.xxhash64(row, F.lit("row")))
+MOST_BROADCAST = 1_000_000  # rejected keys; more than these are joined by a shuffle
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is not rejected; rows without an id are never rejected by it."""
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti")
+def _without(docs: DataFrame, key: str, rejected: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``key`` (an expression of it) is not among the rejected ones.
+
+    A null key is never rejected. Texts stay in place as long as the keys can be broadcast.
+    """
+    keys = materialize(rejected.toDF("rejected").distinct(), "pipeline-rejected")
+    if keys.count() <= MOST_BROADCAST:
+        keys = F.broadcast(keys)
+    return docs.join(keys, F.expr(f"{key} = rejected"), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not call toxic."""
-    scores = score_toxicity(docs, read(spark, sf_dir, "labels"))
-    return _without(docs, scores.where("predicted = 1"))
+    return keep_clean(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _without(docs, assess(docs).where("NOT kept"))
+    judged = materialize(assess(docs).select("digest", "kept"), "pipeline-quality")
+    return _without(docs, "xxhash64(text)", judged.where("NOT kept").select("digest"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Rows that repeat an id are one document, of which one row stays; rows without an id stay.
+    """
     found = near_duplicates(docs, Rule(words=5, percent=80))
-    return _without(docs, found.where("doc_id <> component_id"))
+    one = _without(docs, "doc_id", found.where("doc_id <> component_id").select("doc_id"))
+    repeated = one.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    again = materialize(repeated.select("doc_id"), "pipeline-repeated")
+    if again.isEmpty():
+        return one
+    first = one.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.join(again, "doc_id", "left_anti").unionByName(first)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
     found = find_contamination(docs, read(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    return _without(docs, "xxhash64(text)", found.where("contaminated").select("digest"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

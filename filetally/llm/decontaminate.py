@@ -109,7 +109,7 @@ def occurrences(docs: DataFrame, windows: DataFrame, size: int) -> DataFrame:
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) with the benchmark items found in them.
 
-    Columns: doc_id, n_words, n_hit (words inside any occurrence), n_items, items (array of the
+    Columns: doc_id, digest (xxhash64 of the text), n_words, n_hit (words inside any occurrence), n_items, items (array of the
     item ids as strings, sorted), items_sha256, contaminated (a hit, and at least one word of
     20). Every row gives one row; rows equal in id and text have equal results. Null and empty
     texts have no words and are clean; an empty benchmark leaves all clean; items without words
@@ -134,7 +134,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     counted = tokenised.select("doc_id", "digest", "n_words")
     nothing = F.array().cast("array<string>")
     if found is None:
-        whole = counted.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), nothing.alias("items"))
+        whole = counted.select("doc_id", "digest", "n_words", F.lit(0).cast("long").alias("n_hit"), nothing.alias("items"))
     else:
         hits = materialize(found, "decontaminate-hits")
         key = ["doc_id", "digest"]
@@ -165,12 +165,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             "left",
         ).select(
             "doc_id",
+            "digest",
             "n_words",
             F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("items", nothing).alias("items"),
         )
     return whole.select(
         "doc_id",
+        "digest",
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),

@@ -57,21 +57,25 @@ def line_fails(line: Column, rules: Rules) -> Column:
 def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """All rows of ``docs`` (doc_id, text) with their measures, verdict and cleaned text.
 
-    Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    Columns: doc_id, digest (xxhash64 of the text), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept, n_failed_lines, clean_chars, clean_text. Rows are judged one by one, so repeated rows
     and repeated ids give one row each. A null text counts as an empty one: no words, base
     failed, not kept, empty cleaned text. Two different windows of one text are taken for equal
-    if their 64-bit hashes are; for 20,000 words that has a probability below 1e-10.
+    if their 64-bit hashes are; for 20,000 words that has a probability below 1e-10. Write the
+    result before filtering on it: Spark pushes a filter below the measures and would then
+    evaluate them again for every use.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select("doc_id", text.alias("text")).select(
+    split = docs.select("doc_id", F.xxhash64("text").alias("digest"), text.alias("text")).select(
         "doc_id",
+        "digest",
         "text",
         F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)).alias("lines"),
     )
     hashed = split.select(
         "doc_id",
+        "digest",
         F.size("words").cast("long").alias("n_words"),
         chars_without(F.col("text"), SPACES).cast("long").alias("word_chars"),
         chars_without(F.col("text"), NOT_SYMBOL).cast("long").alias("n_symbols"),
@@ -108,6 +112,7 @@ def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
     cleaned = measured.select(
         "doc_id",
+        "digest",
         "n_words",
         "word_chars",
         "n_symbols",

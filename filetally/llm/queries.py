@@ -29,7 +29,7 @@ def op3_mixing(spark, tables):
 
 def op4_quality_rules(spark, tables):
     """Measures and verdict of line-first cleaning for every document."""
-    return quality_rules.assess(read(spark, tables, "documents")).drop("clean_text")
+    return quality_rules.assess(read(spark, tables, "documents")).drop("clean_text", "digest")
 
 
 def op5_chat_format(spark, tables):
@@ -55,7 +55,7 @@ def op8_toxicity(spark, tables):
 def op9_decontamination(spark, tables):
     """Benchmark items found in every document, and whether they contaminate it."""
     docs, benchmark = read(spark, tables, "documents"), read(spark, tables, "benchmark")
-    return decontaminate.find_contamination(docs, benchmark).drop("items")
+    return decontaminate.find_contamination(docs, benchmark).drop("items", "digest")
 
 
 def op10_language_model(spark, tables):

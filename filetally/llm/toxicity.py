@@ -358,3 +358,22 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> Da
     return marked.mapInArrow(scorer(model), SCORES_SQL).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Rows of ``docs`` that the model does not call toxic, with all their columns.
+
+    The verdict is taken where the row is, so nothing is shuffled; rows without id or text are
+    judged like others.
+    """
+    model = learn(texts(docs), labels, limit)
+
+    def run(batches):
+        abuse, second = lexicon(ABUSE), lexicon(SECOND_PERSON)
+        for batch in batches:
+            if model is not None:
+                score = model.probability(matrix_of(batch, abuse, second))
+                batch = batch.filter(pa.array(score < 0.5))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
