@@ -20,7 +20,9 @@ and never lists all pairs of a group:
 
 Before sets are compared, 256 parity bits of each (of its shingles by hash bucket) are: every
 bit in which they differ is a shingle that only one of the sets has. This drops no link and
-settles nearly all pairs that are almost similar enough, at 32 bytes a set.
+settles nearly all pairs that are almost similar enough, at 32 bytes a set. Large sets fill
+all parity bits, so what is left is held against the counts of 128 buckets as well: these
+differ in sum by no more than the sets do.
 
 The number of compared pairs is about one per list and set, for groups of any size, plus the
 pairs of step 4 that no bound settles. Sets are built on 64-bit shingle fingerprints, of which
@@ -42,7 +44,7 @@ from filetally.llm.text import PIECE, batch_of, buffer_of, column, mix, runs, wo
 SLOT_BITS = 22  # size of the count sketch and of what is broadcast of it: one byte a slot
 SKETCH_PARTS = 64
 FILTER_BITS = 23  # size of the broadcast filter of wanted ids
-MOST_BROADCAST = 1_000_000  # rows of two columns; larger tables are joined by a shuffle
+MOST_BROADCAST = 1_000_000  # rows of up to five numbers; larger tables are joined by a shuffle
 KEPT_BYTES = 6  # of a fingerprint, when sets are compared
 
 
@@ -139,12 +141,13 @@ PREFIXES = pa.schema(
         ("high", pa.int64()),
         ("level", pa.int64()),
         *[(f"p{k}", pa.int64()) for k in range(4)],
+        ("counts", pa.binary()),
         ("prefix", pa.list_(pa.int64())),
     ]
 )
 PREFIXES_SQL = (
     "doc_id long, n long, low long, high long, level long, p0 long, p1 long, p2 long,"
-    " p3 long, prefix array<long>"
+    " p3 long, counts binary, prefix array<long>"
 )
 PARITY = [f"p{k}" for k in range(4)]
 
@@ -163,13 +166,41 @@ def parity(members: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
+def bucket_counts(members: np.ndarray) -> bytes:
+    """Shingles in each of 128 buckets, as bytes; a count of over 255 is 255."""
+    buckets = (members >> np.uint64(8)) & np.uint64(127)
+    counts = np.bincount(buckets.astype(np.int64), minlength=128)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def near_in_counts(percent: int):
+    """Function for ``mapInArrow``: the pairs whose bucket counts allow a link."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = (
+                np.frombuffer(b"".join(column(batch, c).to_pylist()), np.uint8).reshape(-1, 128)
+                for c in ("x_counts", "y_counts")
+            )
+            total = column(batch, "x_n").to_numpy() + column(batch, "y_n").to_numpy()
+            most = total - 2 * -(-percent * total // (100 + percent))
+            kept = np.abs(x.astype(np.int64) - y).sum(axis=1) <= most
+            kept = batch.filter(pa.array(kept))
+            yield batch_of(PAIRS, a=column(kept, "a"), b=column(kept, "b"))
+
+    return run
+
+
 def prefix_maker(rule: Rule, levels: np.ndarray):
     """Function for ``mapInArrow``: size, signature and index shingles of each text's set."""
 
     def run(batches):
         for batch in batches:
             data, bounds = buffer_of(column(batch, "text"))
-            sizes, low, high, rarest, prefix, bits = [], [], [], [], [], []
+            sizes, low, high, rarest, prefix, bits, counts = ([] for _ in range(7))
             for _, members in shingle_sets(data, bounds, rule.words):
                 count = rule.prefix(len(members))
                 level = levels[members >> np.uint64(64 - SLOT_BITS)]
@@ -181,11 +212,11 @@ def prefix_maker(rule: Rule, levels: np.ndarray):
                 rarest.append(int(level.min(initial=63)))
                 prefix.append(members[order].view(np.int64))
                 bits.append(parity(members))
+                counts.append(bucket_counts(members))
             ids = column(batch, "doc_id")
             bits = dict(zip(PARITY, np.array(bits).reshape(-1, 4).T, strict=True))
-            yield batch_of(
-                PREFIXES, doc_id=ids, n=sizes, low=low, high=high, level=rarest, prefix=prefix, **bits
-            )
+            bits |= {"level": rarest, "counts": counts, "prefix": prefix}
+            yield batch_of(PREFIXES, doc_id=ids, n=sizes, low=low, high=high, **bits)
 
     return run
 
@@ -343,7 +374,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         named.groupBy(*key).agg(
             F.min("doc_id").alias("rep"),
             F.first("level").alias("level"),
-            *[F.first(p).alias(p) for p in PARITY],
+            *[F.first(p).alias(p) for p in [*PARITY, "counts"]],
             F.first("prefix").alias("prefix"),
         ),
         "ngram-classes",
@@ -385,9 +416,19 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         return " + ".join(f"bit_count({x}_{p} ^ {y}_{p})" for p in PARITY)
 
     def sides(name, id_name):
-        return classes.select(
-            F.col("rep").alias(id_name), F.col("n").alias(f"{name}_n"), *[F.col(p).alias(f"{name}_{p}") for p in PARITY]
+        own = [F.col(c).alias(f"{name}_{c}") for c in ["n", *PARITY, "counts"]]
+        return classes.select(F.col("rep").alias(id_name), *own)
+
+    def likely(pairs, label):
+        """Pairs that neither parity bits nor bucket counts rule out."""
+        pairs = light(pairs, f"{label}-met")
+        near = (
+            sides("x", "a")
+            .join(pairs, "a")
+            .join(sides("y", "b"), "b")
+            .where(f"{apart('x', 'y')} <= {differ}")
         )
+        return light(near.mapInArrow(near_in_counts(rule.percent), "a long, b long").distinct(), label)
 
     differ = f"x_n + y_n - 2 * {rule.least_overlap('x_n', 'y_n')}"
     met = (
@@ -396,14 +437,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .select(F.col("leader").alias("a"), F.col("rep").alias("b"))
         .distinct()
     )
-    to_leader = materialize(
-        met.join(sides("x", "a"), "a")
-        .join(sides("y", "b"), "b")
-        .where(f"{apart('x', 'y')} <= {differ}")
-        .select("a", "b")
-        .distinct(),
-        "ngram-leader-pairs",
-    )
+    to_leader = likely(met, "ngram-leader-pairs")
     first = materialize(overlaps(to_leader, docs, rule), "ngram-leader-overlaps")
     roots = light(components(first.where("linked")).withColumnRenamed("id", "rep"), "ngram-roots")
 
@@ -415,14 +449,18 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .select("token"),
         "ngram-mixed",
     )
-    known = first.groupBy(F.col("a").alias("leader"), F.col("b").alias("rep")).agg(
-        F.max("overlap").alias("overlap")
+    known = light(
+        first.groupBy(F.col("a").alias("leader"), F.col("b").alias("rep")).agg(
+            F.max("overlap").alias("overlap")
+        ),
+        "ngram-known",
     )
+    bits = light(classes.select("rep", *PARITY), "ngram-parity")
     own = F.when(F.col("rep") == F.col("leader"), F.col("n")).otherwise(F.col("overlap"))
     left_over = materialize(
         rooted.join(mixed, "token", "left_semi")
         .join(known, ["leader", "rep"], "left")
-        .join(classes.select("rep", *PARITY), "rep")
+        .join(bits, "rep")
         .select("token", "rep", "n", "place", "root", own.alias("overlap"), *PARITY),
         "ngram-mixed-lists",
     )
@@ -445,7 +483,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .distinct()
     )
     seen = first.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
-    rest = materialize(candidates.join(seen, ["a", "b"], "left_anti"), "ngram-rest-pairs")
+    rest = likely(candidates.join(seen, ["a", "b"], "left_anti"), "ngram-rest-pairs")
     second = materialize(overlaps(rest, docs, rule), "ngram-rest-overlaps")
     second = second.where("linked").select("a", "b")
 
