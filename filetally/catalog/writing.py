@@ -171,12 +171,19 @@ def verified_staged_files(spark, sf):
     return verify_staged(refs, staged, "/Exports").select("idx", "error", "destination_path")
 
 
-@query()
+@query(
+    """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey,
+      CAST(octet_length(encode(n_name)) + 1 AS BIGINT) AS length, sha256(n_name || chr(10)) AS sha256
+    FROM nation"""
+)
 def staged_files(spark, sf):
-    """The table files themselves as staged files, with size and digest."""
-    files = read_staged(spark, sf, pattern="*.parquet")
+    """Every nation's name staged as a file of its own, with size and digest."""
+    folder = scratch(spark, "staged")
+    names = spark.read.parquet(f"{sf}/nation.parquet").select("n_nationkey", "n_name")
+    names.write.partitionBy("n_nationkey").text(folder)
+    files = read_staged(spark, folder, pattern="part-*.txt")
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("name"),
+        F.regexp_extract("path", "n_nationkey=([0-9]+)/", 1).cast("long").alias("n_nationkey"),
         "length",
         F.sha2("content", 256).alias("sha256"),
     )

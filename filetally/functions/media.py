@@ -34,7 +34,7 @@ def media_suffix(name: str) -> str:
     for short, full in SHORT_SUFFIXES.items():
         base = f"regexp_replace({base}, {quote(rf'(?i)(?<=.)\{short}\z')}, {quote(full)})"
     base = f"regexp_replace({base}, {quote(rf'(?<=.){ENCODINGS}')}, '')"
-    return f"lower(regexp_extract({base}, {quote(r'^\.*[^.].*(\.[^.]*)\z')}, 1))"
+    return f"lower(regexp_extract({base}, {quote(r'(?s)^\.*[^.].*(\.[^.]*)\z')}, 1))"
 
 
 def with_media_type(df: DataFrame, name: str = "name", into: str = "media_type") -> DataFrame:

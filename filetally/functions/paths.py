@@ -188,7 +188,7 @@ def parent(path: str) -> str:
 
 def extension(name: str) -> str:
     """Lower-cased last suffix with its dot; '' for none (``.bashrc``, ``a.``, ``a``)."""
-    return f"lower(regexp_extract({name}, {quote(r'^.+(\.[^./]+)\z')}, 1))"
+    return f"lower(regexp_extract({name}, {quote(r'(?s)^.+(\.[^./]+)\z')}, 1))"
 
 
 def glob_pattern(globs: list[str]) -> str:
@@ -197,7 +197,7 @@ def glob_pattern(globs: list[str]) -> str:
     ``*`` and ``?`` stay within a segment, ``**`` crosses segments (``**/`` also matches no
     segment at all), ``[..]`` and ``[!..]`` are character sets.
     """
-    return r"\A(?:" + "|".join(_glob_expression(glob) for glob in globs) + r")\z"
+    return r"(?s)\A(?:" + "|".join(_glob_expression(glob) for glob in globs) + r")\z"
 
 
 def _glob_expression(glob: str) -> str:

@@ -11,6 +11,8 @@ from filetally.guards import quote
 
 _CLOCK = r"\d{2}:\d{2}(:\d{2}([.,]\d+)?)?"
 _OFFSET = r"(Z|[+-]\d{2}:\d{2})"
+# The place after the minutes of a time without seconds.
+_NO_SECONDS = r"(?<=[T ]\d{2}:\d{2})(?=Z|[+-]|\z)"
 WITH_OFFSET = rf"\A\d{{4}}-\d{{2}}-\d{{2}}[T ]{_CLOCK}{_OFFSET}\z"
 ANY_OFFSET = rf"\A\d{{4}}-\d{{2}}-\d{{2}}([T ]{_CLOCK}{_OFFSET}?)?\z"
 # Records for writing demand the 'T' separator.
@@ -25,15 +27,14 @@ def to_instant(col: str, naive: str) -> str:
     """Timestamp of a raw string; null for a malformed one.
 
     ``naive`` says what a value without offset is: ``null`` or ``assume_utc``. The latter
-    relies on the session zone, which is UTC.
+    relies on the session zone, which is UTC. The parser wants seconds, so a time of minute
+    precision gets them.
     """
     accepted = {"null": WITH_OFFSET, "assume_utc": ANY_OFFSET}
     if naive not in accepted:
         raise ConfigurationError("naive must be keep, null or assume_utc.")
-    return (
-        f"CASE WHEN {col} RLIKE {quote(accepted[naive])} "
-        f"THEN try_to_timestamp(translate({col}, ',', '.')) END"
-    )
+    full = f"regexp_replace(translate({col}, ',', '.'), {quote(_NO_SECONDS)}, ':00')"
+    return f"CASE WHEN {col} RLIKE {quote(accepted[naive])} THEN try_to_timestamp({full}) END"
 
 
 def format_utc(instant: str) -> str:

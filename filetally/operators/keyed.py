@@ -1,8 +1,10 @@
 """Keyed building blocks: strict and replay dedup, unique keys, two-sided pairing.
 
-All of them are one partially aggregated ``groupBy``: copies of a hot key collapse on the
-map side, so a key that holds a third of all rows reaches its reducer as one row per map
-task. No window is used, since a window would gather the whole group in one task.
+Dedup is one partially aggregated ``groupBy``: copies of a hot key collapse on the map side,
+so a key that holds a third of all rows reaches its reducer as one row per map task. As the
+buffers are structs, Spark sorts before each half of the aggregate. Pairing expects unique
+keys, where a map-side half would sort and reduce nothing, so it is dealt out first and sorted
+once. No window is used, since a window would gather the whole group in one task.
 """
 
 from __future__ import annotations
@@ -60,15 +62,15 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def pair_by_key(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """Full outer pairing of two keyed relations: ``key, left, right, left_rows, right_rows``.
 
-    Union plus one aggregate instead of a full outer join: one exchange carries both sides,
-    the copies per side come for free, so a duplicate-key check needs no pass of its own,
-    and hot duplicates collapse before the shuffle (a full outer join cannot split skew).
+    Union plus one aggregate instead of a full outer join: one exchange carries both sides
+    and the copies per side come for free, so a duplicate-key check needs no pass of its own.
+    Rows are dealt out by key first; both halves of the aggregate then use the same sort.
     Sides without a row for the key are null structs.
     """
     a = left.selectExpr(*key, f"{_row(left, key)} AS left")
     b = right.selectExpr(*key, f"{_row(right, key)} AS right")
     both = a.unionByName(b, allowMissingColumns=True)
-    return both.groupBy(*key).agg(
+    return both.repartition(*key).groupBy(*key).agg(
         F.expr("any_value(left, true) AS left"),
         F.expr("any_value(right, true) AS right"),
         F.expr("count(left) AS left_rows"),

@@ -22,7 +22,9 @@ class Inventory(NamedTuple):
     """One side's files, one row each: usable paths and path issues together.
 
     ``issue`` tells the two apart; ``sort_key`` is the normalized path, or the place of an
-    issue in the listing. Keeping both in one relation means one scan per side. Duplicate
+    issue in the listing. Places can be missing or repeated, so ``issue_no`` numbers issues
+    apart from them (0 for a usable path), and every issue keeps a row of its own.
+    Keeping both in one relation means one scan per side. Duplicate
     paths are checked by ``reconcile`` in its own aggregate, or by ``files`` for one side.
     """
 
@@ -32,7 +34,7 @@ class Inventory(NamedTuple):
     @property
     def files(self) -> DataFrame:
         """Items keyed by normalized path; a duplicate path fails the job."""
-        usable = self.rows.where("NOT issue").drop("issue")
+        usable = self.rows.where("NOT issue").drop("issue", "issue_no")
         usable = usable.withColumnRenamed("sort_key", "normalized_path")
         return assert_unique(
             usable, ["normalized_path"], _duplicate(self.side, "normalized_path")
@@ -41,7 +43,8 @@ class Inventory(NamedTuple):
     @property
     def issues(self) -> DataFrame:
         """Rows outside the root or with an unsafe path."""
-        return self.rows.where("issue").drop("issue").withColumnRenamed("display_path", "path")
+        issues = self.rows.where("issue").drop("issue", "issue_no")
+        return issues.withColumnRenamed("display_path", "path")
 
 
 def _duplicate(side: str, key: str) -> str:
@@ -63,6 +66,8 @@ def side_inventory(listing: DataFrame, root: str, side: str) -> Inventory:
     )
     rows = keyed.selectExpr(
         "normalized IS NULL AS issue",
+        "CASE WHEN normalized IS NULL THEN monotonically_increasing_id() + 1 "
+        "ELSE 0 END AS issue_no",
         f"coalesce(normalized, format_string('~invalid-{side}-%08d', ordinal)) AS sort_key",
         "CASE WHEN normalized IS NULL THEN coalesce(nullif(path_display, ''), "
         "nullif(path_lower, ''), id) ELSE display END AS display_path",
@@ -118,7 +123,7 @@ def reconcile(source: Inventory, destination: Inventory) -> DataFrame:
     A single exchange on the path serves the comparison and both duplicate checks. The
     rows are not sorted here; ``write_report`` sorts once, at the sink.
     """
-    paired = pair_by_key(source.rows, destination.rows, ["issue", "sort_key"])
+    paired = pair_by_key(source.rows, destination.rows, ["issue", "issue_no", "sort_key"])
     paired = require(
         paired,
         "issue OR (left_rows <= 1 AND right_rows <= 1)",

@@ -125,16 +125,22 @@ def verify_staged(
 ) -> DataFrame:
     """Check file references against staged files; ``error`` names the first broken rule.
 
-    Digests are computed next to the bytes and only the narrow result is shuffled. A digest
-    that is not 64 characters long is ignored.
+    Lengths come from a scan without bytes. Digests are computed next to the bytes and joined
+    to the references that give one; without such references no byte is read. A digest that is
+    not 64 characters long is ignored.
     """
     _policy(metadata_policy)
     require_utc(refs.sparkSession)
-    found = staged.selectExpr(
-        "path AS location", "struct(length, sha2(content, 256) AS digest) AS staged"
-    )
-    joined = refs.withColumn("location", F.expr(_LOCATION)).join(found, "location", "left")
     given = "coalesce(length(sha256) = 64, false)"
+    found = staged.selectExpr("path AS location", "struct(length) AS staged")
+    located = refs.withColumn("location", F.expr(_LOCATION)).join(found, "location", "left")
+    named = located.where(given).select("location").distinct()
+    digests = (
+        staged.selectExpr("path AS location", "sha2(content, 256) AS digest")
+        .join(named, "location", "left_semi")
+        .selectExpr("location", "struct(digest) AS read")
+    )
+    joined = located.join(digests, "location", "left")
     rules = [
         (f"NOT {non_empty('staging_file_url')}", "missing_staging_url"),
         (f"NOT (staging_file_url RLIKE {quote(_LOCAL)})", "not_a_local_url"),
@@ -143,14 +149,15 @@ def verify_staged(
         (f"NOT {is_safe_relative('relative_path')}", "invalid_relative_path"),
         (_not("file_size_bytes >= 0"), "invalid_size"),
         ("staged.length <> file_size_bytes", "size_mismatch"),
-        (f"{given} AND {_not('staged.digest = sha256')}", "sha256_mismatch"),
+        (f"{given} AND read.digest IS NULL", "digest_unavailable"),
+        (f"{given} AND {_not('read.digest = sha256')}", "sha256_mismatch"),
     ]
     if metadata_policy == "preserve":
         unusable = (
             f"client_modified IS NOT NULL AND (NOT {has_offset('client_modified')} "
             f"OR {to_instant('client_modified', 'null')} IS NULL)"
         )
-        rules.insert(-1, (unusable, "invalid_client_modified"))
+        rules.insert(-2, (unusable, "invalid_client_modified"))
     checked = joined.withColumn("error", F.expr(_first_broken(rules)))
     return checked.selectExpr(
         *[c for c in refs.columns if c not in ("sha256", "client_modified")],

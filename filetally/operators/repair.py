@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filetally.functions.paths import fold, is_safe_relative, target_path
 from filetally.guards import non_empty, quoted, require_empty
-from filetally.operators.keyed import duplicate_keys
+from filetally.operators.keyed import dedupe_strict, duplicate_keys
 from filetally.operators.reconcile import STATUSES
 
 ACTIONABLE = ("missing", "mismatched")
@@ -56,6 +56,7 @@ def check_drift(actions: DataFrame, current: DataFrame, root: str) -> DataFrame:
     listed = current.where("entry_type = 'file'").selectExpr(
         "id AS file_id", "struct(rev, size, content_hash, path_lower) AS now"
     )
+    listed = dedupe_strict(listed, ["file_id"], "'conflicting rows of a file in the listing'")
     acting = actions.where("actionable").withColumn("file_id", F.expr("source.file_id"))
     expected = fold(target_path(root, "path"))
     drifted = f"""now IS NULL OR NOT (now <=> struct(source.rev AS rev, source.size AS size,

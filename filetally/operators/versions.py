@@ -9,6 +9,7 @@ from filetally.errors import ConfigurationError
 from filetally.functions.paths import extension
 from filetally.functions.times import to_utc
 from filetally.guards import fails, non_empty, passes, quoted
+from filetally.operators.keyed import dedupe_strict
 from filetally.schemas import CONTRACTS, EXTRACTION_STATE
 from filetally.session import require_utc
 
@@ -111,7 +112,8 @@ def file_contents(candidates: DataFrame, results: DataFrame) -> DataFrame:
     """Records for candidates with an outcome; systemic failures fail the job.
 
     ``results`` carries a poll status per version: ``succeeded`` (or ``complete``),
-    ``failed``, ``timed_out``, or ``other`` for a status the service does not explain.
+    ``failed``, ``timed_out``, or ``other`` for a status the service does not explain. Equal
+    results of a version count once; differing ones fail the job.
     """
     require_utc(candidates.sparkSession)
     key = ["file_id", "rev", "content_hash"]
@@ -147,7 +149,7 @@ def file_contents(candidates: DataFrame, results: DataFrame) -> DataFrame:
     }
     columns = CONTRACTS["file_contents"].schema.names
     return (
-        candidates.join(outcome, key)
+        candidates.join(dedupe_strict(outcome, key, "'conflicting extraction results'"), key)
         .where(valid)
         .selectExpr(*[f"{made[c]} AS {c}" if c in made else c for c in columns])
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filetally.functions.times import format_utc, last_modified, to_utc
+from filetally.operators.keyed import dedupe_strict
 from filetally.session import require_utc
 
 
@@ -15,7 +16,8 @@ def transfer_records(transfers: DataFrame, staged: DataFrame) -> DataFrame:
     ``transfers`` is a plan's transfer list joined to the listing's provenance columns
     (``path_lower, path_display, client_modified, server_modified``); ``staged`` holds
     ``file_id, rev, content``. A file that vanished, changed revision, or has another byte
-    count is skipped. Digest and length are taken before the join, so bytes never shuffle.
+    count is skipped. Digest and length are taken before the join, so bytes never shuffle;
+    equal staged rows of a file count once, differing ones fail the job.
     """
     require_utc(transfers.sparkSession)
     delivered = staged.selectExpr(
@@ -26,6 +28,7 @@ def transfer_records(transfers: DataFrame, staged: DataFrame) -> DataFrame:
     outcome = """CASE WHEN got.bytes IS NULL THEN 'skipped_unavailable'
         WHEN NOT (got.rev <=> rev) THEN 'skipped_changed'
         WHEN NOT (got.bytes <=> size) THEN 'skipped_byte_count' ELSE 'transferred' END"""
+    delivered = dedupe_strict(delivered, ["file_id"], "'conflicting staged files'")
     joined = transfers.join(delivered, "file_id", "left")
     return joined.withColumn("outcome", F.expr(outcome)).selectExpr(
         "file_id",

@@ -1,8 +1,9 @@
 """Sink for validated file records under the two conflict policies.
 
-Content is never sorted or aggregated: which record wins a path is settled on narrow rows,
-and only winners carry their bytes through one equi-join on the record index, a key that
-cannot be skewed however many records share a path.
+Content is never sorted or aggregated: which record wins a path is settled on narrow rows.
+Bytes meet the plan in one anti join with the indexes that are not written. Where these are
+few, they are broadcast by their measured size and the bytes stay in place; else the join is
+on the record index, a key that cannot be skewed however many records share a path.
 """
 
 from __future__ import annotations
@@ -89,8 +90,8 @@ def write_records(
     if fail_closed:
         bad = plan.where("outcome IN ('invalid', 'conflict')")
         require_empty(bad, "Records are invalid or in conflict; nothing was written.")
-    winners = plan.where("outcome = 'written'").select("idx")
+    unwritten = plan.where("outcome <> 'written'").select("idx")
     columns = ["idx", "destination_path", "content", "sha256", "modified_at"]
-    written = validated.select(*columns).join(winners, "idx", "left_semi")
+    written = validated.select(*columns).join(unwritten, "idx", "left_anti")
     written.write.mode("overwrite").parquet(target)
     return plan

@@ -4,26 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-MEBIBYTE = 1024 * 1024
-# Fixed value: the staging limit of 1.5 GB bounds what one row may hold.
-LARGEST_STAGED_MB = 1430
+# Fixed value: a binary value in a row holds so many bytes at most.
+LARGEST_VALUE = 2**31 - 1
 
 
-def read_staged(
-    spark: SparkSession, path: str, max_mb: int = LARGEST_STAGED_MB, pattern: str | None = None
-) -> DataFrame:
+def read_staged(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """``path`` (plain, without scheme), ``length`` and ``content`` of every staged file.
 
-    Files above the cap keep their row with a null content: they are present, not readable.
+    A file that no row can hold keeps its row with a null content: it is present, and a check
+    of its digest reports that it could not be read.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(path)
-    cap = max_mb * MEBIBYTE
     plain = "regexp_replace(path, '^file:/+', '/') AS path"
-    small = files.where(f"length <= {cap}").selectExpr(plain, "length", "content")
-    large = files.where(f"length > {cap}").selectExpr(
+    whole = files.where(f"length <= {LARGEST_VALUE}").selectExpr(plain, "length", "content")
+    large = files.where(f"length > {LARGEST_VALUE}").selectExpr(
         plain, "length", "CAST(NULL AS BINARY) AS content"
     )
-    return small.unionByName(large)
+    return whole.unionByName(large)

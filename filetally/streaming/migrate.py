@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from filetally.errors import ContractError
@@ -26,6 +27,7 @@ from filetally.plans.delta import deduplicate_changes, plan_delta, split_delta
 from filetally.plans.migration import Plan, migration_inventory
 from filetally.plans.snapshot import plan_snapshot
 from filetally.plans.state import next_state, state_changes
+from filetally.session import materialize
 from filetally.sources.state import Scope, read_state, write_state
 
 
@@ -107,6 +109,17 @@ def start_migration_stream(
     )
 
 
+def _pending(spark: SparkSession, target: str, batch_id: int, like: DataFrame) -> DataFrame:
+    """Listing rows whose extraction had timed out when the batch before ended."""
+    reader = spark.read.schema(like.schema)
+    try:
+        return reader.parquet(f"{target}/pending/batch_id={batch_id - 1}")
+    except AnalysisException as missing:  # the first batch, or a target from before this table
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return like.where("false")
+
+
 def extract_batch(
     batch: DataFrame,
     batch_id: int,
@@ -115,7 +128,11 @@ def extract_batch(
     suffixes: list[str],
     max_mb: int = 10,
 ) -> None:
-    """One batch: candidates, their outcomes, then the advanced state."""
+    """One batch: candidates, their outcomes, then the advanced state.
+
+    Candidates are the batch's versions and those that timed out before; the latter are kept
+    in ``pending`` with the batch that left them, so they need not be landed again.
+    """
     spark = batch.sparkSession
     state = read_state(spark, f"{target}/state", kind="extraction", before=batch_id)
     latest = dedupe_replay(
@@ -123,11 +140,20 @@ def extract_batch(
         ["file_id"],
         ["ordinal"],
     )
-    candidates = extraction_candidates(latest, state.files, suffixes, max_mb)
+    waiting = _pending(spark, target, batch_id, latest)
+    due = latest.unionByName(waiting.join(latest.select("file_id"), "file_id", "left_anti"))
+    candidates = materialize(
+        extraction_candidates(due, state.files, suffixes, max_mb), "extraction-candidates"
+    )
     folder = f"{target}/file_contents/batch_id={batch_id}"
     records = file_contents(candidates, extract(candidates))
     records.write.mode("overwrite").parquet(folder)
     written = spark.read.schema(records.schema).parquet(folder)
+    version = ["file_id", "rev", "content_hash"]
+    timed_out = written.where("extraction_status = 'timed_out'").select(*version)
+    due.join(timed_out, version, "left_semi").write.mode("overwrite").parquet(
+        f"{target}/pending/batch_id={batch_id}"
+    )
     complete = replace(state, files=advance_extraction_state(state.files, written), layout=1)
     changes = settled_versions(written).selectExpr("*", "false AS removed")
     write_state(complete, f"{target}/state", batch_id, kind="extraction", changes=changes)

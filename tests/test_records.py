@@ -1,6 +1,5 @@
 import base64
 import hashlib
-import shutil
 
 import pytest
 
@@ -202,15 +201,23 @@ def test_staged_file_rules(rows, staging, changes, error):
         assert (row.error, row.client_modified) == (None, None)
 
 
-def test_staged_files_above_the_cap_are_present_without_content(spark, tmp_path):
-    (tmp_path / "big.bin").write_bytes(b"x" * (1024 * 1024 + 1))
-    shutil.copy(tmp_path / "big.bin", tmp_path / "small.bin")
+def test_staged_files_of_any_size_are_read(spark, tmp_path):
+    (tmp_path / "big.bin").write_bytes(b"x" * (3 * 1024 * 1024 + 1))
     (tmp_path / "small.bin").write_bytes(b"x")
-    got = {r.path.rsplit("/", 1)[1]: r for r in read_staged(spark, str(tmp_path), max_mb=1).collect()}
-    assert got["big.bin"].content is None and got["big.bin"].length == 1024 * 1024 + 1
+    got = {r.path.rsplit("/", 1)[1]: r for r in read_staged(spark, str(tmp_path)).collect()}
+    assert len(got["big.bin"].content) == got["big.bin"].length == 3 * 1024 * 1024 + 1
     assert bytes(got["small.bin"].content) == b"x"
 
 
+def test_a_file_that_no_row_can_hold_is_no_digest_mismatch(rows, staging):
+    folder, staged = staging
+    unread = staged.selectExpr("path", "length", "CAST(NULL AS BINARY) AS content")
+    refs = rows(STAGED_REFERENCE, reference(folder))
+    assert verify_staged(refs, unread, "").first().error == "digest_unavailable"
+    refs = rows(STAGED_REFERENCE, reference(folder, sha256=None))
+    assert verify_staged(refs, unread, "").first().error is None
+
+
 MOVE = {"operation": "move", "file_id": "i", "old_path": "a", "old_content_hash": "h",
         "new_path": "b", "new_content_hash": "h"}
 
