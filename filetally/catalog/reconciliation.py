@@ -208,8 +208,9 @@ def repair_report_violations(spark, sf):
 
 
 def _outcomes(spark, sf):
-    """Repair of the valid part of the report against a source listing that has moved on."""
-    valid = validate_report(report(spark, sf).where(~F.col("path").startswith("/")))
+    """Repair of the valid part of the stored report against a listing that has moved on."""
+    stored = _stored(spark, sf).details
+    valid = validate_report(stored.where(~F.col("path").startswith("/")))
     listing = file_listing(spark, sf, "fx_source")
     number = F.col("ordinal")
     now = listing.withColumn(

@@ -23,7 +23,7 @@ SHA256 = r"\A[0-9a-f]{64}\z"
 
 def _policy(policy: str) -> str:
     if policy not in METADATA_POLICIES:
-        raise ConfigurationError("metadata_policy must be preserve or ignore.")
+        raise ConfigurationError(f"metadata policy {policy!r} is none of {METADATA_POLICIES}.")
     return policy
 
 

@@ -75,9 +75,9 @@ def allowed_suffixes(suffixes: list[str]) -> list[str]:
 def extraction_bounds(max_mb: int = 10, timeout_seconds: int = 300) -> int:
     """Check both bounds and return the size cap in bytes."""
     if isinstance(max_mb, bool) or not isinstance(max_mb, int) or not 1 <= max_mb <= 50:
-        raise ConfigurationError("max_mb must be between 1 and 50.")
+        raise ConfigurationError("max_mb takes a whole number from 1 to 50.")
     if not isinstance(timeout_seconds, int) or not 10 <= timeout_seconds <= 600:
-        raise ConfigurationError("timeout_seconds must be between 10 and 600.")
+        raise ConfigurationError("timeout_seconds takes a whole number from 10 to 600.")
     return max_mb * MEBIBYTE
 
 

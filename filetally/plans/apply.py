@@ -21,11 +21,15 @@ _OUTCOME = f"""CASE WHEN operation = 'delete' THEN CASE
 
 
 def _resolve(ops: DataFrame, target: DataFrame) -> DataFrame:
-    """Outcome of operations that do not touch each other's paths: two equi-joins by path."""
+    """Outcome of operations that do not touch each other's paths: two equi-joins by path.
+
+    A delete has no new path. It gets a key of its own, which is no absolute path and so matches
+    nothing, as null keys would all meet in one task.
+    """
     olds = target.selectExpr("path AS _old", "content_hash AS _old_hash")
     news = target.selectExpr("path AS _new", "content_hash AS _new_hash")
     joined = ops.join(olds, F.expr("from_path = _old"), "left").join(
-        news, F.expr("to_path = _new"), "left"
+        news, F.expr("coalesce(to_path, concat('delete ', idx)) = _new"), "left"
     )
     return joined.selectExpr(*ops.columns, f"{_OUTCOME} AS outcome")
 

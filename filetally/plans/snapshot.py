@@ -22,7 +22,8 @@ def _scoped_state(state: State, scope: Scope, propagates: bool) -> State:
             "The state has no traversal scope or another one; disable propagation for one "
             "fresh inventory."
         )
-    return replace(state, files=state.files.limit(0), scope=scope, layout=3)
+    nothing = state.files.sparkSession.createDataFrame([], state.files.schema)
+    return replace(state, files=nothing, scope=scope, layout=3)
 
 
 def plan_snapshot(

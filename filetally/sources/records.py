@@ -20,7 +20,7 @@ CONFLICT_POLICIES = ("overwrite", "fail")
 
 def _policy(policy: str) -> str:
     if policy not in CONFLICT_POLICIES:
-        raise ConfigurationError("conflict_policy must be overwrite or fail.")
+        raise ConfigurationError(f"conflict policy {policy!r} is none of {CONFLICT_POLICIES}.")
     return policy
 
 

@@ -30,8 +30,9 @@ def write_report(details: DataFrame, path: str) -> None:
     """Write the details sorted, then the summary, whose presence completes the report.
 
     ``path`` has to be new: over an older report, its summary would vouch for half a new one.
-    The totals are observed while the sorted details pass by on their way to the sink, so
-    the comparison runs once.
+    The totals are observed while the sorted details pass by on their way to the sink and need
+    no pass of their own. Spark samples the details first to choose the sort ranges, so pass
+    a written relation if computing them is dear.
     """
     ordered = details.orderBy("sort_key").drop("sort_key")
     totals = Observation("report")

@@ -140,11 +140,12 @@ def read_state(
         return empty_state(spark, schema)
     supported = (1, 2, TRANSFER_VERSION) if kind == "transfer" else (EXTRACTION_VERSION,)
     if newest.layout not in supported:
-        raise ContractError("state has an unsupported version.")
+        raise ContractError("No reader for the layout of this state.")
     laid_over = headers.where(
         (F.col("version") > newest.base) & (F.col("version") <= newest.version)
     )
-    partials = [row.version for row in laid_over.select("version").take(COMPACT_EVERY)]
+    # A complete version ends every range of partial ones, so the range is short.
+    partials = [row.version for row in laid_over.select("version").collect()]
     stored = T.StructType([*schema.fields, T.StructField("removed", T.BooleanType())])
     reader = spark.read.schema(stored).option("basePath", f"{path}/files")
     files = reader.parquet(f"{path}/files/version={newest.base}").select(*schema.names)
@@ -184,14 +185,14 @@ def read_state_json(spark: SparkSession, path: str, kind: str = "transfer") -> S
     ).first()
     supported = (1, 2, TRANSFER_VERSION) if kind == "transfer" else (EXTRACTION_VERSION,)
     if header is None or header.bad or header.no_files or header.version not in supported:
-        raise ContractError(f"{kind} state document is not valid.")
+        raise ContractError(f"This is no {kind} state: version or files do not fit.")
     scope = None
     if kind == "transfer" and header.version > 1:
         if header.scope is None or header.scope.path is None or header.scope.recursive is None:
-            raise ContractError("transfer state requires a scope object.")
+            raise ContractError("A transfer state from layout 2 on names its scope.")
         scope = Scope(header.scope.path, header.scope.recursive)
     if kind == "transfer" and header.version == TRANSFER_VERSION and not header.cursor:
-        raise ContractError("transfer state requires a non-empty cursor.")
+        raise ContractError("A transfer state of the newest layout carries a cursor.")
     schema = _schema(kind)
     files = (
         parsed.select(F.explode("files").alias("file_id", "v"))

@@ -49,8 +49,8 @@ def migrate_batch(
     one batch: land them in one file, or let a trigger take all files.
 
     ``transfer`` does the copying: it gets the transfer rows and returns those that
-    succeeded. If one did not, progress is withheld: the batch fails before its state is
-    written, and a restart plans and transfers it again.
+    succeeded. If one did not, the batch fails before its state and cursor are written, but what
+    was delivered is kept: a restart plans the batch again and asks only for the rest.
     """
     spark = batch.sparkSession
 
@@ -74,12 +74,16 @@ def migrate_batch(
     plan = Plan(stored(plan.decisions, "decisions"), plan.state)
     sent = plan.transfers
     if transfer is not None:
-        delivered = stored(transfer(sent), "transferred")
+        version = ["file_id", "path", "rev", "content_hash"]
+        folder = f"{target}/transferred/batch_id={batch_id}"
+        before = _written(spark, folder, sent).select(*version).distinct()
+        due = stored(sent.join(before, version, "left_anti"), "due")
+        transfer(due).select(*due.columns).write.mode("append").parquet(folder)
+        delivered = _written(spark, folder, sent).select(*version).distinct()
         require_empty(
-            sent.join(delivered, "file_id", "left_anti"),
+            sent.join(delivered, version, "left_anti"),
             f"Transfers of batch {batch_id} failed; its state was not advanced.",
         )
-        sent = delivered
     files, operations = plan.state.files, plan.operations
     advanced = plan.state.advanced(
         next_state(files, operations, sent), f"batch-{batch_id}", scope
@@ -109,12 +113,11 @@ def start_migration_stream(
     )
 
 
-def _pending(spark: SparkSession, target: str, batch_id: int, like: DataFrame) -> DataFrame:
-    """Listing rows whose extraction had timed out when the batch before ended."""
-    reader = spark.read.schema(like.schema)
+def _written(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
+    """The table in ``folder`` with the columns of ``like``; no rows if it is not there yet."""
     try:
-        return reader.parquet(f"{target}/pending/batch_id={batch_id - 1}")
-    except AnalysisException as missing:  # the first batch, or a target from before this table
+        return spark.read.schema(like.schema).parquet(folder)
+    except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return like.where("false")
@@ -140,7 +143,8 @@ def extract_batch(
         ["file_id"],
         ["ordinal"],
     )
-    waiting = _pending(spark, target, batch_id, latest)
+    # What had timed out when the batch before ended.
+    waiting = _written(spark, f"{target}/pending/batch_id={batch_id - 1}", latest)
     due = latest.unionByName(waiting.join(latest.select("file_id"), "file_id", "left_anti"))
     candidates = materialize(
         extraction_candidates(due, state.files, suffixes, max_mb), "extraction-candidates"

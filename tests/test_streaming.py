@@ -96,10 +96,21 @@ def test_incremental_migration(feed, spark, tmp_path):
     assert run(PAGES[0]) == {"id:a": ("a.pdf", "r1"), "id:b": ("b.pdf", "r1")}
     assert run(PAGES[1]) == {"id:a": ("a.pdf", "r2")}
     moved = [entry(4, "id:a", "/R/new.pdf", "r2"), entry(5, None, "/R/a.pdf", kind="deleted")]
-    with pytest.raises(StreamingQueryException):  # a transfer fails: no progress
-        run([*moved, entry(6, "id:c", "/R/c.pdf")], transfer=lambda due: due.limit(0))
+    asked = []
+
+    def only(wanted):
+        def transfer(due):
+            asked.append(sorted(r.file_id for r in due.collect()))
+            return due.where(f"file_id = '{wanted}'")
+        return transfer
+
+    added = [entry(6, "id:c", "/R/c.pdf"), entry(7, "id:d", "/R/d.pdf")]
+    with pytest.raises(StreamingQueryException):  # one transfer fails: no progress of the state
+        run([*moved, *added], transfer=only("id:c"))
     assert versions(spark, f"{target}/state") == {"id:a": ("a.pdf", "r2")}
-    assert run(transfer=lambda due: due) == {"id:a": ("new.pdf", "r2"), "id:c": ("c.pdf", "r1")}
+    assert run(transfer=only("id:d")) == {
+        "id:a": ("new.pdf", "r2"), "id:c": ("c.pdf", "r1"), "id:d": ("d.pdf", "r1")}
+    assert asked == [["id:c", "id:d"], ["id:d"]]  # what was delivered is not asked for again
     state = read_state(spark, f"{target}/state")
     assert (state.version, state.base, state.cursor) == (2, 0, "batch-2")
     decided = spark.read.parquet(f"{target}/decisions").where("batch_id = 2").collect()
