@@ -57,8 +57,8 @@ def line_fails(line: Column, rules: Rules) -> Column:
 def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """All rows of ``docs`` (doc_id, text) with their measures, verdict and cleaned text.
 
-    Columns: doc_id, digest (xxhash64 of the text), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    kept, n_failed_lines, clean_chars, clean_text. Rows are judged one by one, so repeated rows
+    Columns: doc_id, digest (xxhash64 of the text), n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, kept, n_failed_lines, clean_chars, clean_text. Rows are judged one by one, so repeated rows
     and repeated ids give one row each. A null text counts as an empty one: no words, base
     failed, not kept, empty cleaned text. Two different windows of one text are taken for equal
     if their 64-bit hashes are; for 20,000 words that has a probability below 1e-10. Write the
@@ -166,6 +166,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
     AND 100 * (word_chars - clean_chars) <= 50 * word_chars AS kept,
-  n_failed_lines, CAST(clean_chars AS BIGINT) AS clean_chars
+  CAST(n_failed_lines AS BIGINT) AS n_failed_lines, CAST(clean_chars AS BIGINT) AS clean_chars
 FROM measured
 """.replace("{boilerplate}", BOILERPLATE)
