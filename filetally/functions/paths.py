@@ -1,7 +1,8 @@
 """Path scope, relative paths, folding and globs, as SQL text.
 
-Everything but ``ancestors`` avoids higher-order functions, which would take a whole
-projection out of whole-stage codegen; segment rules are written as regular expressions.
+Segment rules are written as regular expressions, as higher-order functions take a whole
+projection out of whole-stage codegen. ``ancestors`` and ``fold`` use one: folding as nested
+replacements made code that was too large to compile and ran interpreted.
 """
 
 from __future__ import annotations
@@ -79,13 +80,18 @@ def fold(col: str) -> str:
     """Full Unicode case folding.
 
     ASCII values, told by their length, only pay for ``lower``; Western European ones for a
-    search for one range of characters besides.
+    search for one range of characters besides. The rest goes through one replacement per
+    tail.
     """
     rules = _fold_rules()
     lowered = f"replace(replace(lower({col}), 'ß', 'ss'), 'µ', 'μ')"
-    expanded = lowered
-    for tail, chars in rules.suffixes:
-        expanded = f"regexp_replace({expanded}, {quote(f'([{chars}])')}, {quote(f'$1{tail}')})"
+    tails = ", ".join(
+        f"struct({quote(f'([{chars}])')} AS chars, {quote(f'$1{tail}')} AS gain)"
+        for tail, chars in rules.suffixes
+    )
+    expanded = (
+        f"reduce(array({tails}), {lowered}, (text, t) -> regexp_replace(text, t.chars, t.gain))"
+    )
     return (
         f"CASE WHEN octet_length({col}) = char_length({col}) THEN lower({col}) "
         f"WHEN NOT {lowered} RLIKE {quote(rules.plain)} THEN {lowered} "

@@ -16,6 +16,7 @@ from filetally.plans.migration import (
     decisions,
     migration_inventory,
 )
+from filetally.session import materialize
 from filetally.sources.state import Scope, State
 
 
@@ -72,7 +73,8 @@ def plan_delta(
     )
     touched = state.files.join(now.select("file_id"), "file_id", "left_semi")
     stored = touched.selectExpr("file_id", "struct(path, rev, content_hash) AS prior")
-    paired = now.join(stored, "file_id", "left")
+    # Written once, because decisions and consumed tombstones both read it.
+    paired = materialize(now.join(stored, "file_id", "left"), "delta-pairs")
     planned = decisions(paired, rename_policy, NEVER)
     if delete_policy != "delete":
         return Plan(planned, state)
