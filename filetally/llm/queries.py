@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from filetally.llm.common import read
-from filetally.llm import chat, decontaminate, mixing, ngram_join, quality_rules
+from filetally.llm import chat, decontaminate, importance, mixing, ngram_join, prefix_trie
+from filetally.llm import quality_rules, suffix_dedup
 from filetally.llm.language import identify_languages
 from filetally.llm.language_model import score_documents
 from filetally.llm.licenses import scan_licenses
@@ -63,6 +64,22 @@ def op10_language_model(spark, tables):
     return score_documents(read(spark, tables, "documents"))
 
 
+def op11_suffix_dedup(spark, tables):
+    """Bytes of every document that no earlier one has in a repeat of 50 bytes."""
+    return suffix_dedup.digest_columns(suffix_dedup.remove_repeats(read(spark, tables, "documents")))
+
+
+def op12_prefix_trie(spark, tables):
+    """Distinct prefixes of the rebuilt conversations, with what sharing them saves."""
+    return prefix_trie.prefix_trie(read(spark, tables, "conversations"))
+
+
+def op13_importance_resampling(spark, tables):
+    """Documents drawn by likeness to the benchmark, with weight, score and rank."""
+    docs, target = read(spark, tables, "documents"), read(spark, tables, "benchmark")
+    return importance.resample(docs, target).drop("n_words")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +93,9 @@ QUERIES = {
         op8_toxicity,
         op9_decontamination,
         op10_language_model,
+        op11_suffix_dedup,
+        op12_prefix_trie,
+        op13_importance_resampling,
     )
 }
 
@@ -85,4 +105,7 @@ SQL_CHECKS: dict[str, str] = {
     "op4_quality_rules": quality_rules.SQL,
     "op5_chat_format": chat.SQL,
     "op9_decontamination": decontaminate.SQL,
+    "op11_suffix_dedup": suffix_dedup.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
+    "op13_importance_resampling": importance.SQL,
 }
