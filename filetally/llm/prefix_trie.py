@@ -378,7 +378,7 @@ def prefix_trie(turns: DataFrame) -> DataFrame:
     Columns: conv_id (smallest member), depth, parent_conv_id, n_convs, n_children, n_leaves,
     saved_tokens, ends_sha256. One conversation's turns (48 bytes each) have to fit in a row.
     """
-    unique = sequences(rebuilt(turns))
+    unique = materialize(sequences(rebuilt(turns)), "trie-sequences")
     shards = unique.repartitionByRange("digests")
     nodes = materialize(shards.mapInArrow(shard_nodes, NODES_SQL), "trie-nodes")
     borders = (
