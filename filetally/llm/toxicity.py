@@ -3,6 +3,12 @@
 Features are rates over the whole text: words of the abuse lexicon and their variety, the
 same after undoing obfuscation (digits and signs for letters, marks inside words), abuse near
 the second person, the densest stretch, capitals, exclamation and repeated punctuation.
+
+A hand-written list knows few languages, so a second lexicon is learned from the labelled
+texts: words, and beginnings of words, weighted by a lower bound of the log-odds of standing in
+a toxic text. Its density, count and largest weight are features like the others. A training
+text is measured by a lexicon learned from the other three of four parts, so none is scored by
+its own label.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filetally.llm.common import fold, texts
+from filetally.llm.common import fold, materialize, texts
 from filetally.llm.sample import LIMIT, labelled_texts
 from filetally.llm.text import (
     LOWER,
@@ -30,6 +36,11 @@ from filetally.llm.text import (
 PIECE = 1 << 20
 NEAR = 5  # words between an insult and a second-person word
 STRETCH = 64  # words of the densest stretch
+PARTS = 4  # of the labelled texts, for the learned lexicon
+BEGINNING = 5  # bytes of a word's beginning
+LEAST_TEXTS = 3  # toxic texts that a learned entry stands in
+LEAST_WEIGHT = 0.5  # of a learned entry
+ERRORS = 1.5  # standard errors by which its log-odds are lowered
 
 # Word lists: insults and contempt, and the second person, in the corpus languages.
 ABUSE = """
@@ -79,6 +90,12 @@ FEATURES = [
     "repeat_rate",
     "inner_sign_rate",
     "log_words",
+    "learned_rate",
+    "learned_words",
+    "learned_most",
+    "begun_rate",
+    "begun_words",
+    "begun_most",
 ]
 
 
@@ -101,17 +118,47 @@ def reduced(data, starts, ends, keep, fold):
     return fingerprints(data[kept], upto[starts], upto[ends], fold)
 
 
-def measure(data, bounds, abuse, second) -> np.ndarray:
+@dataclass
+class Learned:
+    """Sorted fingerprints of words, or of their beginnings, and their weights."""
+
+    words: tuple[np.ndarray, np.ndarray]
+    beginnings: tuple[np.ndarray, np.ndarray]
+
+
+NOTHING = (np.zeros(0, np.uint64), np.zeros(0))
+
+
+def terms(data, starts, ends):
+    """Fingerprints of the letters of each word, and of the first of them."""
+    kept = PLAIN_KEPT[data]
+    upto = np.concatenate([[0], np.cumsum(kept)])
+    low, high = upto[starts], upto[ends]
+    letters = data[kept]
+    whole = fingerprints(letters, low, high)
+    return whole, fingerprints(letters, low, np.minimum(high, low + BEGINNING))
+
+
+def weight_of(hashes: np.ndarray, entries: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Weight of each hash, 0 if it is no entry."""
+    if not len(entries[0]):
+        return np.zeros(len(hashes))
+    at = member(hashes, entries[0])
+    return np.where(at >= 0, entries[1][at], 0.0)
+
+
+def measure(data, bounds, abuse, second, learned: Learned) -> np.ndarray:
     """Feature rows of the texts of one piece."""
     count = len(bounds) - 1
     starts, ends = word_bounds(data, bounds)
     before = np.searchsorted(starts, bounds)
     total = np.diff(before)
     owner = np.repeat(np.arange(count), total)
-    plain = member(reduced(data, starts, ends, PLAIN_KEPT, LOWER), abuse)
+    whole, beginning = terms(data, starts, ends)
+    plain = member(whole, abuse)
     opened = member(reduced(data, starts, ends, OPENED_KEPT, OPENED), abuse)
     hit, open_hit = plain >= 0, (plain >= 0) | (opened >= 0)
-    you = member(reduced(data, starts, ends, PLAIN_KEPT, LOWER), second) >= 0
+    you = member(whole, second) >= 0
 
     def per(flags):
         return np.bincount(owner, flags, minlength=count)
@@ -142,6 +189,11 @@ def measure(data, bounds, abuse, second) -> np.ndarray:
     inner[1:-1] = sign[1:-1] & letters[:-2] & letters[2:]
     size = np.maximum(chars(solid), 1)
     n = np.maximum(total, 1)
+    odds = []
+    for weight in (weight_of(whole, learned.words), weight_of(beginning, learned.beginnings)):
+        most = np.zeros(count)
+        np.maximum.at(most, owner, weight)
+        odds += [per(weight) / n, per(weight > 0), most]
     return np.column_stack(
         [
             per(hit) / n,
@@ -160,17 +212,19 @@ def measure(data, bounds, abuse, second) -> np.ndarray:
             chars(again) / size,
             chars(inner) / size,
             np.log1p(total),
+            *odds,
         ]
     )
 
 
-def matrix_of(batch: pa.RecordBatch, abuse, second) -> np.ndarray:
+def matrix_of(batch: pa.RecordBatch, abuse, second, learned: Learned) -> np.ndarray:
     """Feature rows of a batch of texts."""
     data, bounds = buffer_of(column(batch, "text"))
     parts = [np.zeros((0, len(FEATURES)))]
     for first, end in runs(bounds, PIECE):
         low = bounds[first]
-        parts.append(measure(data[low : bounds[end]], bounds[first : end + 1] - low, abuse, second))
+        piece = data[low : bounds[end]], bounds[first : end + 1] - low
+        parts.append(measure(*piece, abuse, second, learned))
     return np.concatenate(parts)
 
 
@@ -263,12 +317,13 @@ def isotonic(scores, y) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     trees: Trees
     knots: tuple[np.ndarray, np.ndarray]
+    learned: Learned
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return np.interp(self.trees.margin(x), *self.knots)
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Model | None:
+def fit(x: np.ndarray, y: np.ndarray, learned: Learned) -> Model | None:
     """Trees on three rows of four, calibration on the fourth; None without both labels."""
     if len(np.unique(y)) < 2:
         return None
@@ -277,26 +332,132 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model | None:
         rest = np.zeros(len(y), dtype=bool)
     trees = boost(x[~rest], y[~rest])
     held = rest if rest.any() else ~rest
-    return Model(trees, isotonic(trees.margin(x[held]), y[held].astype(float)))
+    return Model(trees, isotonic(trees.margin(x[held]), y[held].astype(float)), learned)
 
 
-ROWS = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("x", pa.list_(pa.float64()))])
+TERMS = pa.schema(
+    [
+        ("kind", pa.int32()),  # 0 words, 1 beginnings
+        ("term", pa.int64()),
+        ("part", pa.int32()),
+        ("toxic", pa.int64()),
+        ("clean", pa.int64()),
+    ]
+)
+TERMS_SQL = "kind int, term long, part int, toxic long, clean long"
 
 
-def measured(batches):
-    abuse, second = lexicon(ABUSE), lexicon(SECOND_PERSON)
+def counted_terms(batches):
+    """How many toxic and clean texts of each part have each term."""
     for batch in batches:
-        rows = matrix_of(batch, abuse, second)
-        yield batch_of(
-            ROWS, doc_id=column(batch, "doc_id"), label=column(batch, "label"), x=rows.tolist()
-        )
+        data, bounds = buffer_of(column(batch, "text"))
+        label = column(batch, "label").to_numpy()
+        part = column(batch, "part").to_numpy().astype(np.int64)
+        for first, end in runs(bounds, PIECE):
+            low = bounds[first]
+            piece, inner = data[low : bounds[end]], bounds[first : end + 1] - low
+            starts, ends = word_bounds(piece, inner)
+            owner = first + np.searchsorted(inner, starts, "right") - 1
+            for kind, hashes in enumerate(terms(piece, starts, ends)):
+                order = np.lexsort((owner, hashes))
+                term, text = hashes[order], owner[order]
+                once = np.ones(len(term), dtype=bool)
+                once[1:] = (term[1:] != term[:-1]) | (text[1:] != text[:-1])
+                term, text = term[once], text[once]
+                key, code = np.unique(term, return_inverse=True)
+                cell = code * PARTS + part[text]
+                size = len(key) * PARTS
+                toxic = np.bincount(cell, label[text] == 1, size).astype(np.int64)
+                clean = np.bincount(cell, label[text] == 0, size).astype(np.int64)
+                used = np.flatnonzero(toxic + clean)
+                yield batch_of(
+                    TERMS,
+                    kind=np.full(len(used), kind, np.int32),
+                    term=key[used // PARTS].view(np.int64),
+                    part=(used % PARTS).astype(np.int32),
+                    toxic=toxic[used],
+                    clean=clean[used],
+                )
+
+
+def odds_of(toxic, clean, all_toxic, all_clean) -> np.ndarray:
+    """Log-odds of a term in toxic against clean texts, less some standard errors."""
+    toxic, clean = toxic + 0.5, clean + 0.5
+    ratio = np.log(toxic / (all_toxic + 1)) - np.log(clean / (all_clean + 1))
+    return ratio - ERRORS * np.sqrt(1 / toxic + 1 / clean)
+
+
+def learned_lexicons(sample: DataFrame) -> list[Learned]:
+    """Lexicon of all parts but one, for each part, and at the end that of all.
+
+    Terms are counted where the texts are and added up by term. Only those that stand in
+    ``LEAST_TEXTS`` toxic texts, and oftener than in clean ones, reach the driver; the sample
+    is bounded, and so are they.
+    """
+    cells = [
+        F.sum(F.when(F.col("part") == q, F.col(side)).otherwise(0)).alias(f"{side}{q}")
+        for side in ("toxic", "clean")
+        for q in range(PARTS)
+    ]
+    totals = sample.groupBy("label", "part").count().collect()
+    texts_of = {side: np.zeros(PARTS) for side in (1, 0)}
+    for row in totals:
+        texts_of[row.label][row.part] += row["count"]
+    toxic = sum(F.col(f"toxic{q}") for q in range(PARTS))
+    clean = sum(F.col(f"clean{q}") for q in range(PARTS))
+    oftener = toxic * float(texts_of[0].sum()) > clean * float(texts_of[1].sum())
+    rows = (
+        sample.mapInArrow(counted_terms, TERMS_SQL)
+        .groupBy("kind", "term")
+        .agg(*cells)
+        .where((toxic >= LEAST_TEXTS) & oftener)
+        .collect()
+    )
+    found = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 2 + 2 * PARTS)
+    found = found[np.argsort(found[:, 1].view(np.uint64), kind="stable")]
+    out = []
+    for left_out in [*range(PARTS), None]:
+        use = [q for q in range(PARTS) if q != left_out]
+        t = found[:, 2 : 2 + PARTS][:, use].sum(axis=1)
+        c = found[:, 2 + PARTS :][:, use].sum(axis=1)
+        weight = odds_of(t, c, texts_of[1][use].sum(), texts_of[0][use].sum())
+        lists = []
+        for kind in (0, 1):
+            kept = (found[:, 0] == kind) & (t >= LEAST_TEXTS) & (weight >= LEAST_WEIGHT)
+            lists.append((found[kept, 1].view(np.uint64), weight[kept]))
+        out.append(Learned(*lists))
+    return out
+
+
+ROWS = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("x", pa.list_(pa.float64()))])
+
+
+def measurer(lexicons: list[Learned]):
+    """Function for ``mapInArrow``: features of each text by the lexicon of the other parts."""
+
+    def run(batches):
+        abuse, second = lexicon(ABUSE), lexicon(SECOND_PERSON)
+        for batch in batches:
+            part = column(batch, "part").to_numpy()
+            for q in range(PARTS):
+                own = batch.filter(pa.array(part == q))
+                if own.num_rows:
+                    rows = matrix_of(own, abuse, second, lexicons[q])
+                    ids, label = column(own, "doc_id"), column(own, "label")
+                    yield batch_of(ROWS, doc_id=ids, label=label, x=rows.tolist())
+
+    return run
 
 
 def learn(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> Model | None:
     """Model of at most ``limit`` labelled texts outside fold 0; their feature rows are collected."""
+    part = (F.crc32(F.concat(F.lit("part "), F.col("doc_id").cast("string"))) % PARTS).cast("int")
+    sample = materialize(
+        labelled_texts(docs, labels, "toxic", limit).withColumn("part", part), "toxicity-sample"
+    )
+    lexicons = learned_lexicons(sample)
     rows = (
-        labelled_texts(docs, labels, "toxic", limit)
-        .mapInArrow(measured, "doc_id long, label int, x array<double>")
+        sample.mapInArrow(measurer(lexicons), "doc_id long, label int, x array<double>")
         .groupBy("doc_id")  # an id with several texts counts once
         .agg(F.max(F.struct("label", "x")).alias("row"))
         .select("doc_id", "row.*")
@@ -305,7 +466,7 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> Model | Non
     )
     if not rows:
         return None
-    return fit(np.array([r.x for r in rows]), np.array([r.label for r in rows]))
+    return fit(np.array([r.x for r in rows]), np.array([r.label for r in rows]), lexicons[-1])
 
 
 SCORES = pa.schema(
@@ -327,10 +488,12 @@ SCORES_SQL = (
 def scorer(model: Model | None):
     """Function for ``mapInArrow``."""
 
+    learned = Learned(NOTHING, NOTHING) if model is None else model.learned
+
     def run(batches):
         abuse, second = lexicon(ABUSE), lexicon(SECOND_PERSON)
         for batch in batches:
-            x = matrix_of(batch, abuse, second)
+            x = matrix_of(batch, abuse, second, learned)
             score = np.zeros(len(x)) if model is None else model.probability(x)
             yield batch_of(
                 SCORES,
@@ -349,8 +512,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> Da
     """Toxicity of every row of ``docs`` (doc_id, text), learned from ``labels`` (doc_id, toxic).
 
     ``held_out`` marks fold 0, of which no label is learned. Each row gives one row, repeated
-    ones included. Null and empty texts have all rates 0 and the score the model gives that;
-    ties in a feature score alike. Without labels of both kinds every score is 0. Only
+    ones included. Null and empty texts have all rates 0 and the score the model gives that,
+    very long texts are measured whole; ties in a feature score alike. Without labels of both kinds every score is 0. Only
     ``doc_id`` and ``text`` are read, so other columns cannot clash.
     """
     model = learn(texts(docs), labels, limit)
@@ -372,7 +535,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> DataFr
         abuse, second = lexicon(ABUSE), lexicon(SECOND_PERSON)
         for batch in batches:
             if model is not None:
-                score = model.probability(matrix_of(batch, abuse, second))
+                score = model.probability(matrix_of(batch, abuse, second, model.learned))
                 batch = batch.filter(pa.array(score < 0.5))
             yield batch
 
