@@ -7,7 +7,7 @@ from filetally.catalog.migration import _ELIGIBLE, SUFFIXES
 from filetally.catalog.registry import change_listing, file_listing, query
 from filetally.fixtures import fixture
 from filetally.session import scratch
-from filetally.sources.listing import stream_listing
+from filetally.sources.listing import land_listing, stream_listing, stream_pages
 from filetally.sources.state import Scope, read_state
 from filetally.streaming import (
     current_entries,
@@ -66,6 +66,61 @@ def streamed_migration_state(spark, sf):
     return read_state(spark, f"{target}/state").files
 
 
+PAGE = 500
+
+
+@query(
+    """SELECT file_id, CASE WHEN ordinal % 5 = 0 THEN 'moved/' ELSE '' END
+        || substr(path_display, 14) AS path, rev, content_hash,
+      CASE WHEN ordinal % 5 = 0 THEN 'move' END AS operation
+      FROM fx_source WHERE starts_with(path_display, '/Source-Root/')""",
+    uses="fx_source",
+)
+def streamed_migration_runs(spark, sf):
+    """Renames over a run of pages: every tombstone lands in an earlier file than its new path.
+
+    The pages of the first run are one snapshot, those of the second one delta. Each run's
+    last page lands by itself, so the batches before it have to wait.
+    """
+    target = scratch(spark, "migration-runs")
+    files = file_listing(spark, sf, "fx_source")
+    pages = files.agg(F.expr(f"max(ordinal) div {PAGE} + 1")).first()[0]
+    moved = files.where("ordinal % 5 = 0")
+    gone = moved.selectExpr(
+        "path_display", "path_lower", "name", "'deleted' AS entry_type",
+        f"{pages * PAGE} + ordinal div 5 AS ordinal",
+    )
+    back = -(-pages // 5) * PAGE
+    come = moved.selectExpr(
+        *[c for c in moved.columns if not c.startswith("path_") and c != "ordinal"],
+        "replace(path_display, '/Source-Root/', '/Source-Root/moved/') AS path_display",
+        "replace(path_lower, '/source-root/', '/source-root/moved/') AS path_lower",
+        f"{pages * PAGE + back} + ordinal div 5 AS ordinal",
+    )
+    total = come.agg(F.expr(f"max(ordinal) div {PAGE} + 1")).first()[0]
+    landed = scratch(spark, "run-pages")
+    for first, end in ((0, pages - 1), (pages - 1, pages), (pages, total - 1), (total - 1, total)):
+        every = files.unionByName(gone, allowMissingColumns=True).unionByName(come)
+        part = every.where(f"ordinal div {PAGE} >= {first} AND ordinal div {PAGE} < {end}")
+        land_listing(part, landed, PAGE, f"page NOT IN ({pages - 1}, {total - 1})")
+    start_migration_stream(
+        stream_pages(spark, landed), target, f"{target}-checkpoint", Scope("/Source-Root"),
+        rename_policy="propagate", delete_policy="delete",
+    ).awaitTermination()
+    done = spark.read.parquet(f"{target}/decisions").where("operation IS NOT NULL")
+    return read_state(spark, f"{target}/state").files.join(
+        done.select("file_id", "operation"), "file_id", "left"
+    )
+
+
+def _results(spark, sf):
+    return fixture(spark, sf, "fx_extraction_results").select(
+        "file_id", "rev", "content_hash", F.col("extraction_status").alias("status"), "markdown",
+        "error_type", F.lit(None).cast("string").alias("error_code"),
+        F.lit(None).cast("string").alias("error_message"),
+    )
+
+
 @query(
     f"""WITH {_ELIGIBLE} SELECT e.file_id, e.rev, e.content_hash, lower(e.path_display) AS path
       FROM e JOIN fx_extraction_results x USING (file_id, rev, content_hash)
@@ -75,11 +130,7 @@ def streamed_migration_state(spark, sf):
 def streamed_extraction_state(spark, sf):
     """Every page extracted; timed-out documents stay due."""
     target = scratch(spark, "extraction")
-    results = fixture(spark, sf, "fx_extraction_results").select(
-        "file_id", "rev", "content_hash", F.col("extraction_status").alias("status"), "markdown",
-        "error_type", F.lit(None).cast("string").alias("error_code"),
-        F.lit(None).cast("string").alias("error_message"),
-    )
+    results = _results(spark, sf)
     listing = _landed(spark, file_listing(spark, sf, "fx_source"), "document-pages")
     start_extraction_stream(
         listing, target, f"{target}-checkpoint", lambda due: results, SUFFIXES, 1
@@ -87,3 +138,36 @@ def streamed_extraction_state(spark, sf):
     return read_state(spark, f"{target}/state", kind="extraction").files.select(
         "file_id", "rev", "content_hash", "path"
     )
+
+
+@query(
+    f"""WITH {_ELIGIBLE} SELECT e.file_id, e.rev, e.content_hash, lower(e.path_display) AS path,
+        CASE WHEN extraction_status = 'timed_out' THEN 2 ELSE 1 END AS attempts
+      FROM e JOIN fx_extraction_results x USING (file_id, rev, content_hash)""",
+    uses="fx_source fx_extraction_results",
+)
+def streamed_extraction_retries(spark, sf):
+    """A second run, for which nothing lands, settles what timed out in the first."""
+    target = scratch(spark, "extraction-retries")
+    results = _results(spark, sf)
+    late = results.withColumn("markdown", F.coalesce("markdown", F.lit("#"))).selectExpr(
+        "* EXCEPT (status, markdown, error_type)",
+        "CASE WHEN status = 'timed_out' THEN 'succeeded' ELSE status END AS status",
+        "CASE WHEN status <> 'failed' THEN markdown END AS markdown",
+        "CASE WHEN status <> 'timed_out' THEN error_type END AS error_type",
+    )
+    folder = scratch(spark, "retried-pages")
+    files = file_listing(spark, sf, "fx_source")
+    files.coalesce(1).write.parquet(folder)
+    for answers in (results, late):
+        start_extraction_stream(
+            stream_listing(spark, folder, layout="rows"), target, f"{target}-checkpoint",
+            lambda due, answers=answers: answers.join(due.select("file_id"), "file_id", "left_semi"),
+            SUFFIXES, 1,
+        ).awaitTermination()
+    records = spark.read.parquet(f"{target}/file_contents")
+    attempts = records.groupBy("file_id").agg(F.count("*").alias("attempts"))
+    state = read_state(spark, f"{target}/state", kind="extraction").files
+    return state.join(attempts, "file_id").select(
+        "file_id", "rev", "content_hash", "path", "attempts"
+    )

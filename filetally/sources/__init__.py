@@ -1,6 +1,12 @@
 """Readers and writers of landed data, state, reports and file records."""
 
-from filetally.sources.listing import flatten_pages, land_listing, read_listing, stream_listing
+from filetally.sources.listing import (
+    flatten_pages,
+    land_listing,
+    read_listing,
+    stream_listing,
+    stream_pages,
+)
 from filetally.sources.records import plan_writes, write_records
 from filetally.sources.report import Report, read_report, write_report
 from filetally.sources.sharing import flatten_members, read_links, read_members, read_shared_folders
@@ -24,6 +30,7 @@ __all__ = [
     "read_state",
     "read_state_json",
     "stream_listing",
+    "stream_pages",
     "write_records",
     "write_report",
     "write_state",

@@ -79,12 +79,27 @@ def stream_listing(
 
     One file per trigger makes a micro-batch one landed page file; None takes all there are.
     """
+    landed = _landed_stream(spark, path, layout, file_format, files_per_trigger, options)
+    rows = flatten_pages(landed) if layout == "pages" else landed
+    return scope_listing(rows, root, recursive, include_deleted)
+
+
+def stream_pages(
+    spark: SparkSession,
+    path: str,
+    file_format: str = "parquet",
+    files_per_trigger: int | None = 1,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """Landed pages as they are, with their cursor and whether more follow."""
+    return _landed_stream(spark, path, "pages", file_format, files_per_trigger, options)
+
+
+def _landed_stream(spark, path, layout, file_format, files_per_trigger, options) -> DataFrame:
     reader = spark.readStream.schema(_schema(layout)).format(file_format).options(**(options or {}))
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    landed = reader.load(path)
-    rows = flatten_pages(landed) if layout == "pages" else landed
-    return scope_listing(rows, root, recursive, include_deleted)
+    return reader.load(path)
 
 
 def as_listing_rows(df: DataFrame) -> DataFrame:
@@ -92,10 +107,14 @@ def as_listing_rows(df: DataFrame) -> DataFrame:
     return complete(df, LISTING_ROW)
 
 
-def land_listing(rows: DataFrame, path: str, page_size: int = 2000) -> None:
+def land_listing(
+    rows: DataFrame, path: str, page_size: int = 2000, has_more: str = "CAST(NULL AS BOOLEAN)"
+) -> None:
     """Write listing rows as page rows of at most ``page_size`` entries.
 
-    Pages are cut by ordinal, so a page is a bounded group by construction.
+    Pages are cut by ordinal, so a page is a bounded group by construction. ``has_more`` is an
+    expression of ``page``; without one, pages do not say whether more follow. Pages already
+    landed in ``path`` stay.
     """
     names = [c for c in LISTING_ROW.names if c not in ("page", "ordinal")]
     numbered = f"array_sort(collect_list(struct(ordinal, struct({', '.join(names)}) AS entry)))"
@@ -108,6 +127,6 @@ def land_listing(rows: DataFrame, path: str, page_size: int = 2000) -> None:
         "page",
         "first_ordinal",
         "concat('page-', page) AS cursor",
-        "CAST(NULL AS BOOLEAN) AS has_more",
+        f"{has_more} AS has_more",
         "numbered.entry AS entries",
-    ).write.parquet(path)
+    ).write.mode("append").parquet(path)

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from filetally.errors import ContractError
+from filetally.errors import ConfigurationError, ContractError
 from filetally.guards import require_empty
 from filetally.operators.keyed import dedupe_replay
 from filetally.operators.versions import (
@@ -28,7 +29,10 @@ from filetally.plans.migration import Plan, migration_inventory
 from filetally.plans.snapshot import plan_snapshot
 from filetally.plans.state import next_state, state_changes
 from filetally.session import materialize
+from filetally.sources.listing import scope_listing
 from filetally.sources.state import Scope, read_state, write_state
+from filetally.streaming.runs import end_run, gather_run
+from filetally.streaming.written import read_written
 
 
 def migrate_batch(
@@ -42,11 +46,13 @@ def migrate_batch(
     max_mb: int = 1024,
     globs: list[str] | None = None,
     transfer: Callable[[DataFrame], DataFrame] | None = None,
+    cursor: str | None = None,
 ) -> None:
     """One batch: everything is new when there is no state yet, else it is a delta.
 
     A batch is planned as one delta, so a rename and the tombstone of its old path belong in
-    one batch: land them in one file, or let a trigger take all files.
+    one batch; a stream of pages sees to that. ``cursor`` is what the state continues from,
+    by default a name made of the batch id.
 
     ``transfer`` does the copying: it gets the transfer rows and returns those that
     succeeded. If one did not, the batch fails before its state and cursor are written, but what
@@ -76,17 +82,17 @@ def migrate_batch(
     if transfer is not None:
         version = ["file_id", "path", "rev", "content_hash"]
         folder = f"{target}/transferred/batch_id={batch_id}"
-        before = _written(spark, folder, sent).select(*version).distinct()
+        before = read_written(spark, folder, sent.schema).select(*version).distinct()
         due = stored(sent.join(before, version, "left_anti"), "due")
         transfer(due).select(*due.columns).write.mode("append").parquet(folder)
-        delivered = _written(spark, folder, sent).select(*version).distinct()
+        delivered = read_written(spark, folder, sent.schema).select(*version).distinct()
         require_empty(
             sent.join(delivered, version, "left_anti"),
             f"Transfers of batch {batch_id} failed; its state was not advanced.",
         )
     files, operations = plan.state.files, plan.operations
     advanced = plan.state.advanced(
-        next_state(files, operations, sent), f"batch-{batch_id}", scope
+        next_state(files, operations, sent), cursor or f"batch-{batch_id}", scope
     )
     changes = state_changes(files, operations, sent) if state.can_resume else None
     write_state(advanced, f"{target}/state", batch_id, changes=changes)
@@ -100,11 +106,26 @@ def start_migration_stream(
     trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Plan and commit every landed page; the checkpoint commits after the state."""
+    """Plan and commit what has landed; the checkpoint commits after the state.
+
+    ``listing`` is a stream of pages or of rows. Pages are gathered until one of them ends
+    their cursor run, whichever files they land in; the run is then planned as a whole and its
+    cursor is the state's. Rows say nothing of runs, so each batch of them is a delta.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         migrate_batch(batch, batch_id, target, scope, **options)
 
+    def run_of_pages(batch: DataFrame, batch_id: int) -> None:
+        found = gather_run(batch, batch_id, target)
+        if found is not None:
+            rows = scope_listing(found.rows, scope.path, scope.recursive)
+            migrate_batch(rows, batch_id, target, scope, cursor=found.cursor, **options)
+            end_run(found, batch.sparkSession, batch_id, target)
+
+    if "entries" in listing.columns:
+        run = run_of_pages
+
     return (
         listing.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
@@ -113,16 +134,6 @@ def start_migration_stream(
     )
 
 
-def _written(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
-    """The table in ``folder`` with the columns of ``like``; no rows if it is not there yet."""
-    try:
-        return spark.read.schema(like.schema).parquet(folder)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return like.where("false")
-
-
 def extract_batch(
     batch: DataFrame,
     batch_id: int,
@@ -134,7 +145,8 @@ def extract_batch(
     """One batch: candidates, their outcomes, then the advanced state.
 
     Candidates are the batch's versions and those that timed out before; the latter are kept
-    in ``pending`` with the batch that left them, so they need not be landed again.
+    in ``pending`` with the batch that left them, so they need not be landed again. A batch
+    without timeouts leaves no file there.
     """
     spark = batch.sparkSession
     state = read_state(spark, f"{target}/state", kind="extraction", before=batch_id)
@@ -144,7 +156,7 @@ def extract_batch(
         ["ordinal"],
     )
     # What had timed out when the batch before ended.
-    waiting = _written(spark, f"{target}/pending/batch_id={batch_id - 1}", latest)
+    waiting = read_written(spark, f"{target}/pending/batch_id={batch_id - 1}", latest.schema)
     due = latest.unionByName(waiting.join(latest.select("file_id"), "file_id", "left_anti"))
     candidates = materialize(
         extraction_candidates(due, state.files, suffixes, max_mb), "extraction-candidates"
@@ -155,9 +167,10 @@ def extract_batch(
     written = spark.read.schema(records.schema).parquet(folder)
     version = ["file_id", "rev", "content_hash"]
     timed_out = written.where("extraction_status = 'timed_out'").select(*version)
-    due.join(timed_out, version, "left_semi").write.mode("overwrite").parquet(
-        f"{target}/pending/batch_id={batch_id}"
-    )
+    left = f"{target}/pending/batch_id={batch_id}"
+    # An earlier attempt at this batch may have left some that have now been settled.
+    if not (timed_out.isEmpty() and read_written(spark, left, latest.schema).isEmpty()):
+        due.join(timed_out, version, "left_semi").write.mode("overwrite").parquet(left)
     complete = replace(state, files=advance_extraction_state(state.files, written), layout=1)
     changes = settled_versions(written).selectExpr("*", "false AS removed")
     write_state(complete, f"{target}/state", batch_id, kind="extraction", changes=changes)
@@ -172,13 +185,29 @@ def start_extraction_stream(
     max_mb: int = 10,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Extract new versions of landed pages; timed-out files stay due for a later batch."""
+    """Extract new versions of landed pages, and again what timed out before.
+
+    What a batch leaves pending is itself a source of the stream: its files wake the query
+    when no page lands, at the next run or, under a repeated trigger, in the next batch. Which
+    documents are due is read from the batch before; a newer version may have come meanwhile.
+    """
+    spark = listing.sparkSession
+    if "entries" in listing.columns:
+        raise ConfigurationError("Extraction reads rows; use stream_listing.")
+    pending = f"{target}/pending"
+    names = T.StructType([f for f in listing.schema.fields if f.name == "ordinal"])
+    spark.createDataFrame([], names).write.mode("ignore").parquet(pending)
+    woken = spark.readStream.schema(names).option("recursiveFileLookup", "true").parquet(pending)
+    landed = listing.withColumn("woken", F.lit(False)).unionByName(
+        woken.withColumn("woken", F.lit(True)), allowMissingColumns=True
+    )
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        extract_batch(batch, batch_id, target, extract, suffixes, max_mb)
+        fresh = batch.where("NOT woken").drop("woken")
+        extract_batch(fresh, batch_id, target, extract, suffixes, max_mb)
 
     return (
-        listing.writeStream.foreachBatch(run)
+        landed.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

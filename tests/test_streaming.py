@@ -5,7 +5,7 @@ from filetally.errors import ContractError
 from filetally.operators.keyed import dedupe_replay
 from filetally.operators.relations import entries
 from filetally.schemas import EXTRACTION_RESULT, LISTING_PAGE, LISTING_ROW, TRANSFER_STATE
-from filetally.sources.listing import stream_listing
+from filetally.sources.listing import stream_listing, stream_pages
 from filetally.sources.state import Scope, State, read_state, write_state
 from filetally.streaming import (
     current_entries,
@@ -32,13 +32,14 @@ PAGES = [
 def feed(rows, tmp_path):
     """Land pages one file at a time."""
 
-    def land(*pages):
+    def land(*pages, more=()):
         folder = tmp_path / "in"
         folder.mkdir(exist_ok=True)
         for page in pages:
             number = len(list(folder.iterdir()))
             landed = {"page": page[0]["page"], "first_ordinal": page[0]["ordinal"],
-                      "cursor": f"page-{number}", "entries": page}
+                      "cursor": f"page-{number}", "entries": page,
+                      "has_more": page[0]["page"] in more}
             temporary = tmp_path / f"landing-{number}"
             rows(LISTING_PAGE, landed).coalesce(1).write.parquet(str(temporary))
             part = next(temporary.glob("part-*.parquet"))
@@ -152,3 +153,66 @@ def test_incremental_extraction(feed, rows, spark, tmp_path):
     records = spark.read.parquet(f"{target}/file_contents")
     assert sorted(r.extraction_status for r in records.collect()) == [
         "succeeded", "succeeded", "succeeded", "timed_out"]
+
+
+def page_of(number, *entries):
+    return [dict(e, page=number) for e in entries]
+
+
+def test_a_run_is_planned_once_its_last_page_has_landed(feed, spark, tmp_path):
+    """The tombstone lands before the new path, and pages of a run in any order."""
+    target, checkpoint, scope = str(tmp_path / "m"), str(tmp_path / "cp"), Scope("/R")
+
+    def run(*pages, more=()):
+        start_migration_stream(stream_pages(spark, feed(*pages, more=more)), target, checkpoint,
+                               scope, rename_policy="propagate", delete_policy="delete",
+                               ).awaitTermination()
+        return versions(spark, f"{target}/state")
+
+    first = page_of(0, entry(0, "id:a", "/R/a.pdf"), entry(1, "id:b", "/R/b.pdf"))
+    second = page_of(1, entry(2, "id:c", "/R/c.pdf"), entry(3, "id:out", "/Other/x.pdf"))
+    assert run(first, more=[0]) == {}
+    whole = {"id:a": ("a.pdf", "r1"), "id:b": ("b.pdf", "r1"), "id:c": ("c.pdf", "r1")}
+    assert run(second) == whole
+    state = read_state(spark, f"{target}/state")
+    assert (state.version, state.cursor) == (1, "page-1")
+
+    gone = page_of(2, entry(4, None, "/R/a.pdf", kind="deleted"), entry(5, None, "/R/c.pdf", kind="deleted"))
+    come = page_of(3, entry(6, "id:a", "/R/sub/a.pdf"))
+    assert run(first, come, more=[0]) == whole  # a replay, and the run's page 2 is missing
+    assert run(gone, more=[2]) == {"id:a": ("sub/a.pdf", "r1"), "id:b": ("b.pdf", "r1")}
+    decided = spark.read.parquet(f"{target}/decisions").where("batch_id = 4").collect()
+    assert sorted((r.operation, r.file_id, r.transfer) for r in decided if r.operation) == [
+        ("delete", "id:c", False), ("move", "id:a", False)]
+    assert run(page_of(4, entry(7, "id:d", "/R/d.pdf")), page_of(5, entry(8, "id:d", "/R/d.pdf", "r2")),
+               more=[4])["id:d"] == ("d.pdf", "r2")
+    assert read_state(spark, f"{target}/state").cursor == "page-6"
+
+
+def test_timeouts_are_settled_without_new_pages(feed, rows, spark, tmp_path):
+    target, checkpoint = str(tmp_path / "x"), str(tmp_path / "cp")
+    asked, late = [], {"id:a", "id:b"}
+
+    def extract(due):
+        asked.append(sorted((r.file_id, r.rev) for r in due.collect()))
+        return rows(EXTRACTION_RESULT, *[
+            {"file_id": f, "rev": r, "content_hash": r,
+             "status": "timed_out" if f in late else "succeeded", "markdown": "#"}
+            for f, r in asked[-1]])
+
+    def run(*pages):
+        start_extraction_stream(stream_listing(spark, feed(*pages)), target, checkpoint, extract,
+                                [".pdf"]).awaitTermination()
+        return versions(spark, f"{target}/state", kind="extraction")
+
+    assert run(PAGES[0]) == {}
+    late.discard("id:b")
+    assert run() == {"id:b": ("/r/b.pdf", "r1")}  # nothing landed
+    late.clear()
+    # A newer version of what is pending comes with the next page: the old one is not due.
+    assert run(PAGES[1]) == {"id:b": ("/r/b.pdf", "r1"), "id:a": ("/r/a.pdf", "r2")}
+    calls = len(asked)
+    assert run()["id:a"] == ("/r/a.pdf", "r2")
+    assert [a for a in asked[calls:] if a] == []  # a last wake-up may find nothing to do
+    assert asked[0] == [("id:a", "r1"), ("id:b", "r1")]
+    assert ("id:a", "r2") in asked[-1] or ("id:a", "r2") in asked[calls - 1]
