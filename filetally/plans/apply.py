@@ -4,20 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from filetally.functions.paths import target_path
 from filetally.session import materialize
 
-_SAME = "_old_hash <=> old_content_hash"
-_ARRIVED = "(_new_hash <=> old_content_hash OR _new_hash <=> new_content_hash)"
-# The outcome table over ``_old``/``_new``, the target's row at each path, if any.
-_OUTCOME = f"""CASE WHEN operation = 'delete' THEN CASE
-      WHEN _old IS NULL THEN 'already_absent'
-      WHEN NOT ({_SAME}) THEN 'error_target_changed' ELSE 'deleted' END
-    WHEN _old IS NULL AND _new IS NOT NULL AND {_ARRIVED} THEN 'already_moved'
-    WHEN _old IS NULL THEN 'error_source_unavailable'
-    WHEN NOT ({_SAME}) THEN 'error_source_changed'
-    WHEN _new IS NOT NULL THEN 'error_destination_exists' ELSE 'moved' END"""
+CHUNKS = 256  # ranges of the order in which a path's operations are looked through
+
+EFFECTIVE = "outcome IN ('moved', 'deleted')"
+
+
+def _outcome(old: str, new: str) -> str:
+    """SQL for the outcome; ``old`` and ``new`` are structs of what is at the two paths.
+
+    ``present`` says whether anything is; a null struct is an empty path.
+    """
+    there, taken = (f"coalesce({x}.present, false)" for x in (old, new))
+    same = f"{old}.hash <=> old_content_hash"
+    arrived = f"({new}.hash <=> old_content_hash OR {new}.hash <=> new_content_hash)"
+    return f"""CASE WHEN operation = 'delete' THEN CASE
+      WHEN NOT {there} THEN 'already_absent'
+      WHEN NOT ({same}) THEN 'error_target_changed' ELSE 'deleted' END
+    WHEN NOT {there} AND {taken} AND {arrived} THEN 'already_moved'
+    WHEN NOT {there} THEN 'error_source_unavailable'
+    WHEN NOT ({same}) THEN 'error_source_changed'
+    WHEN {taken} THEN 'error_destination_exists' ELSE 'moved' END"""
 
 
 def _resolve(ops: DataFrame, target: DataFrame) -> DataFrame:
@@ -26,20 +37,21 @@ def _resolve(ops: DataFrame, target: DataFrame) -> DataFrame:
     A delete has no new path. It gets a key of its own, which is no absolute path and so matches
     nothing, as null keys would all meet in one task.
     """
-    olds = target.selectExpr("path AS _old", "content_hash AS _old_hash")
-    news = target.selectExpr("path AS _new", "content_hash AS _new_hash")
-    joined = ops.join(olds, F.expr("from_path = _old"), "left").join(
-        news, F.expr("coalesce(to_path, concat('delete ', idx)) = _new"), "left"
+    state = "struct(true AS present, content_hash AS hash)"
+    olds = target.selectExpr("path AS at_old", f"{state} AS old")
+    news = target.selectExpr("path AS at_new", f"{state} AS new")
+    joined = ops.join(olds, F.expr("from_path = at_old"), "left").join(
+        news, F.expr("coalesce(to_path, concat('delete ', idx)) = at_new"), "left"
     )
-    return joined.selectExpr(*ops.columns, f"{_OUTCOME} AS outcome")
+    return joined.selectExpr(*ops.columns, f"{_outcome('old', 'new')} AS outcome")
 
 
 _PATHS = "explode(array_compact(array(from_path, to_path))) AS path"
 
 
 def target_after(target: DataFrame, resolved: DataFrame) -> DataFrame:
-    """The index once the resolved operations have taken effect."""
-    took = resolved.where("outcome IN ('moved', 'deleted')")
+    """The index once the resolved operations, each path changed once, have taken effect."""
+    took = resolved.where(EFFECTIVE)
     arrived = took.where("outcome = 'moved'").selectExpr(
         "to_path AS path", "old_content_hash AS content_hash"
     )
@@ -47,32 +59,127 @@ def target_after(target: DataFrame, resolved: DataFrame) -> DataFrame:
     return left.select("path", "content_hash").unionByName(arrived)
 
 
-def _order(evaluated: DataFrame) -> DataFrame:
-    """Mark as ``blocked`` what an earlier pending operation may still change.
+# One row per operation and path: what it leaves there if it takes effect.
+_TOUCHES = """inline(filter(array(
+    struct('old' AS role, from_path AS path, false AS present, CAST(NULL AS STRING) AS hash),
+    struct('new' AS role, to_path AS path, true AS present, old_content_hash AS hash)
+  ), t -> t.path IS NOT NULL))"""
+
 
-    ``evaluated`` holds outcomes against the present index. Only an operation that takes
-    effect, or is itself blocked and so may come to take effect, stands in the way of later
-    ones on its paths. The first such index per path is one partial aggregate; it is
-    repeated until no further operation turns out blocked. Operations that share a path
-    are never paired with each other.
+def _before(touches: DataFrame, first: int, width: int) -> DataFrame:
+    """``touches`` with ``before``: the last effective write to the path ahead of each of them.
+
+    A path's touches are cut into ranges of the order, so that no task holds a path that many
+    operations name. Within a range the last write is a running maximum, and so it is over the
+    at most ``CHUNKS`` ranges of a path.
     """
-    marked = evaluated.selectExpr(
-        "*", "outcome IN ('moved', 'deleted') AS effective", "false AS blocked"
+    writes = touches.selectExpr(
+        "*",
+        f"(idx - {first}) div {width} AS chunk",
+        "CASE WHEN assumed THEN struct(idx AS writer, present, hash) END AS write",
     )
-    known = 0
-    while True:
-        touches = marked.selectExpr("idx", "effective OR blocked AS barrier", _PATHS)
-        first = touches.where("barrier").groupBy("path").agg(F.expr("min(idx) AS first_barrier"))
-        verdicts = (
-            touches.join(first, "path", "left")
-            .groupBy("idx")
-            .agg(F.expr("max(coalesce(first_barrier < idx, false)) AS blocked"))
+    ahead = Window.partitionBy("path", "chunk").orderBy("idx").rangeBetween(
+        Window.unboundedPreceding, -1  # not the operation's own other path, if that is the same
+    )
+    chunks = writes.groupBy("path", "chunk").agg(F.max("write").alias("last"))
+    earlier = Window.partitionBy("path").orderBy("chunk").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    carried = chunks.select("path", "chunk", F.max("last").over(earlier).alias("carried"))
+    return (
+        writes.withColumn("near", F.max("write").over(ahead))
+        .join(carried, ["path", "chunk"])
+        .selectExpr("idx", "role", "path", "coalesce(near, carried) AS before")
+    )
+
+
+def _evaluated(marked: DataFrame, index: DataFrame) -> DataFrame:
+    """Outcome of every operation if those ``assumed`` take effect and no others do.
+
+    With it come the operations that wrote what was found at the two paths, and the outcomes
+    if one of these two had not taken effect.
+    """
+    span = marked.agg(F.min("idx").alias("low"), F.max("idx").alias("high")).first()
+    first = span.low - 1  # the index is what stood there before the first operation
+    width = -(-(span.high - first + 1) // CHUNKS)
+    start = index.selectExpr(
+        f"CAST({first} AS BIGINT) AS idx", "true AS assumed", "'start' AS role", "path",
+        "true AS present", "content_hash AS hash",
+    )
+    touches = marked.selectExpr("idx", "assumed", _TOUCHES).unionByName(start)
+    found = materialize(_before(touches, first, width), "operations-before")
+    # What the writer itself found there is what would still be there without it.
+    prior = found.selectExpr("idx AS writer", "path", "before AS prior")
+    sides = (
+        found.where("role <> 'start'")
+        .withColumn("writer", F.expr("coalesce(before.writer, -1 - idx)"))
+        .join(prior, ["writer", "path"], "left")
+        .groupBy("idx")
+        .agg(
+            *[
+                F.max(F.when(F.col("role") == side, F.struct("before", "prior"))).alias(side)
+                for side in ("old", "new")
+            ]
+        )
+    )
+    by = [f"nullif({side}.before.writer, {first}) AS {side}_writer" for side in ("old", "new")]
+    outcomes = {
+        "outcome": _outcome("old.before", "new.before"),
+        "without_old": _outcome("old.prior", "new.before"),
+        "without_new": _outcome("old.before", "new.prior"),
+    }
+    return marked.join(sides, "idx").selectExpr(
+        *marked.columns, *by, *[f"{sql} AS {name}" for name, sql in outcomes.items()]
+    )
+
+
+def _followed(evaluated: DataFrame) -> DataFrame:
+    """``idx, assumed`` for the next pass: new verdicts, carried on to what hangs on them.
+
+    An operation hangs on the writer without which it would end otherwise. Its verdict is then a
+    function of that one's, ``if_so`` or ``if_not``; functions are composed along the writers by
+    pointer jumping, so a chain of n operations takes log n steps.
+    """
+    verdict, without = f"({EFFECTIVE})", "{0} IN ('moved', 'deleted')"
+    flips = {
+        side: f"{side}_writer IS NOT NULL AND ({without.format('without_' + side)}) <> {verdict}"
+        for side in ("old", "new")
+    }
+    links = evaluated.selectExpr(
+        "idx",
+        f"CASE WHEN {flips['old']} THEN old_writer WHEN {flips['new']} THEN new_writer END AS on",
+        f"{verdict} AS if_so",
+    ).selectExpr("idx", "on", "if_so", "CASE WHEN on IS NULL THEN if_so ELSE NOT if_so END AS if_not")
+    links = materialize(links, "operations-links")
+    while not links.where("on IS NOT NULL").isEmpty():
+        above = links.selectExpr("idx AS up", "on AS next", "if_so AS yes", "if_not AS no")
+        hanging = links.where("on IS NOT NULL").join(above, F.expr("on = up"))
+        jumped = hanging.selectExpr(
+            "idx", "next AS on", "CASE WHEN yes THEN if_so ELSE if_not END AS if_so",
+            "CASE WHEN no THEN if_so ELSE if_not END AS if_not",
         )
-        marked = materialize(marked.drop("blocked").join(verdicts, "idx"), "ordered-operations")
-        blocked = marked.where("blocked").count()
-        if blocked == known:
-            return marked
-        known = blocked
+        links = materialize(links.where("on IS NULL").unionByName(jumped), "operations-links")
+    return links.selectExpr("idx", "if_so AS assumed")
+
+
+def _ordered(ops: DataFrame, index: DataFrame) -> DataFrame:
+    """Outcomes of operations that share paths, as if applied one after the other by ``idx``.
+
+    All are first assumed to take effect. A pass then evaluates every operation against what the
+    assumed ones before it leave behind. If no verdict differs from what was assumed, all of
+    them are right, as each follows from those before it. Else the verdicts, carried on along
+    chains, are the next assumption; at least the first wrong one is right from then on. So the
+    number of passes follows how often a surprise changes what comes later, and not how long
+    chains are or how many operations name a path. Each step is written to the shared folder.
+    """
+    columns = ["idx", "operation", "from_path", "to_path", "old_content_hash", "new_content_hash"]
+    assumed = ops.select("idx").withColumn("assumed", F.lit(True))
+    while True:
+        marked = materialize(ops.select(*columns).join(assumed, "idx"), "operations-assumed")
+        evaluated = materialize(_evaluated(marked, index), "operations-evaluated")
+        if evaluated.where(f"assumed <> ({EFFECTIVE})").isEmpty():
+            return evaluated.select("idx", "outcome")
+        assumed = _followed(evaluated)
 
 
 def apply_operations(operations: DataFrame, target: DataFrame, root: str) -> DataFrame:
@@ -81,10 +188,7 @@ def apply_operations(operations: DataFrame, target: DataFrame, root: str) -> Dat
     ``operations`` carries a unique ``idx``; ``target`` is ``path, content_hash`` with
     absolute paths, one row per path. Operations that share no path with another one, the
     normal case, are resolved in one set-based pass. The rest (chains, swaps, replays, many
-    moves to one place) is settled in rounds. A round settles all that no earlier effect can
-    reach, so their number follows how often one path really changes and not how many
-    operations name it. Each round is written to the shared folder, so lineage stays short
-    and survives losses.
+    moves to one place) is settled in passes over all of them, see ``_ordered``.
     """
     keep = operations.columns
     ops = operations.selectExpr(
@@ -106,10 +210,5 @@ def apply_operations(operations: DataFrame, target: DataFrame, root: str) -> Dat
     index = materialize(
         target.select("path", "content_hash").join(paths, "path", "left_semi"), "target-index"
     )
-    while not pending.isEmpty():
-        marked = _order(_resolve(pending, index))
-        settled = marked.where("NOT blocked")
-        done = done.unionByName(settled.selectExpr(*keep, "outcome", "true AS needed_ordering"))
-        index = materialize(target_after(index, settled), "target-index")
-        pending = marked.where("blocked").select(*pending.columns)
-    return done
+    settled = pending.join(_ordered(pending, index), "idx")
+    return done.unionByName(settled.selectExpr(*keep, "outcome", "true AS needed_ordering"))
