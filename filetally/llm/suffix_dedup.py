@@ -36,10 +36,12 @@ from filetally.llm.text import buffer_of, mix, runs
 from filetally.session import scratch
 
 LEAST = 50  # bytes of a repeat
-GRAM = 8  # bytes of a gram
+GRAM = 24  # bytes of a gram, a multiple of 8; short grams are common to unrelated texts
 GRAMS = LEAST - GRAM + 1  # grams of a window
 LONGEST = 64  # windows of one stretch; a longer one is cut
 PER_BUCKET = 1 << 18  # stretches a bucket is meant for, before those of one document go
+KEY_BITS = 4  # keys alone are small: so many bits fewer tell their buckets apart
+PART_BYTES = 8 << 20  # of a part's texts, about; a part is worked on in one piece of memory
 PIECE = 1 << 18  # bytes worked on at once; a longer text is a piece of its own
 NO_ID = np.iinfo(np.int64).max  # stands for a null id, which is larger than all others
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -57,8 +59,12 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the ``GRAM`` bytes from each position; the last few reach into padding."""
     padded = np.zeros(len(data) + GRAM, np.uint8)
     padded[: len(data)] = data
-    blocks = np.ndarray((len(data),), np.dtype("<u8"), padded.data, strides=(1,))
-    return mix(blocks + np.uint64(MULTIPLIER))
+    out = np.full(len(data), MULTIPLIER, np.uint64)
+    with np.errstate(over="ignore"):
+        for offset in range(0, GRAM, 8):
+            blocks = np.ndarray((len(data),), np.dtype("<u8"), padded.data, offset, strides=(1,))
+            out = mix(out + blocks * np.uint64(2 * offset + 1))
+    return out
 
 
 def sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -271,22 +277,22 @@ def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
 
 
-def masked_part(table: pa.Table, replies: pa.Table, bits: int) -> Part:
+def masked_part(table: pa.Table, replies: list[dict], bits: int) -> Part:
     """The part with its stretches of shared keys, equal ones together."""
     part = Part(table)
-    masks = {r["bucket"]: r["mask"] for r in replies.to_pylist() if r["mask"] is not None}
+    masks = {r["bucket"]: r["mask"] for r in replies if r["mask"] is not None}
     part.keep_shared(masks, bits)
     part.order_distinct()
     return part
 
 
-def stretch_sender(bits: int):
+def stretch_sender(key_bits: int, bits: int):
     """Function for a cogroup: a part's distinct stretches of shared keys, by bucket."""
 
     def run(key, table, replies):
         if not table.num_rows:
             return STRETCHES.empty_table()
-        part = masked_part(table, replies, bits)
+        part = masked_part(table, replies.to_pylist(), key_bits)
         least, first, out = part.least_ids(), part.first, []
         for bucket, low, high in bucket_ranges(part.keys[first], bits):
             these = first[low:high]
@@ -482,18 +488,19 @@ def removed_ranges(part: Part, replies: list[dict], bits: int):
     return starts[first], np.maximum.reduceat(ends, first)
 
 
-def remover(bits: int):
+def remover(key_bits: int, bits: int):
     """Function for a cogroup: what is left of each document of a part."""
 
     def run(key, table, replies):
         if not table.num_rows:
             return KEPT.empty_table()
-        part = masked_part(table, replies, bits)
-        starts, ends = removed_ranges(part, replies.to_pylist(), bits)
+        answers = replies.to_pylist()
+        part = masked_part(table, answers, key_bits)
+        starts, ends = removed_ranges(part, answers, bits)
         owner = np.searchsorted(part.bounds, starts, "right") - 1
         before = np.searchsorted(owner, np.arange(table.num_rows + 1))
         kept, spans = [], []
-        whole = part.data.tobytes()
+        whole = memoryview(part.data)
         for i in range(table.num_rows):
             low, high = int(part.bounds[i]), int(part.bounds[i + 1])
             cut = [(int(s), int(e)) for s, e in zip(
@@ -515,13 +522,18 @@ def remover(bits: int):
     return run
 
 
-def bucketed(docs: DataFrame, parts: int) -> DataFrame:
-    """The documents as a table bucketed by the part they were read in, written once."""
+def bucketed(docs: DataFrame, buckets: int, split: int) -> DataFrame:
+    """The documents as a table bucketed by part, written once.
+
+    A part is one of ``split`` shares of what one task read, told apart by a row's place there.
+    """
     spark = docs.sparkSession
     name = f"suffix_dedup_{uuid.uuid4().hex}"
-    placed = texts(docs).withColumn("part", F.spark_partition_id())
-    writer = placed.write.bucketBy(parts, "part").format("parquet")
-    writer.option("path", scratch(spark, "suffix-documents")).saveAsTable(name)
+    share = F.pmod(F.monotonically_increasing_id(), F.lit(split))
+    part = F.spark_partition_id() * split + share
+    writer = texts(docs).withColumn("part", part.cast("int")).write.format("parquet")
+    writer = writer.bucketBy(buckets, "part").option("path", scratch(spark, "suffix-documents"))
+    writer.saveAsTable(name)
     return spark.table(name)
 
 
@@ -537,18 +549,21 @@ def remove_repeats(docs: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
     gives no rows. Only doc_id and text are read, so other columns cannot clash.
     """
     spark = docs.sparkSession
-    size = texts(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(1, int(np.ceil(np.log2(max(2.0, size / 22 / per_bucket)))))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stored = bucketed(docs, parts)
-    sent = stored.groupBy("part").applyInArrow(key_sender(bits), KEYS_SQL)
+    read = docs.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("text")).alias("n"))
+    size = read.agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
+    expected = 2 * (size["all"] or 0) / (GRAMS + 1)  # stretches, as keys are spread evenly
+    bits = max(1, int(np.ceil(np.log2(max(2.0, expected / per_bucket)))))
+    key_bits = max(1, bits - KEY_BITS)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = bucketed(docs, buckets, -(-(size.most or 1) // PART_BYTES))
+    sent = stored.groupBy("part").applyInArrow(key_sender(key_bits), KEYS_SQL)
     masks = materialize(
         sent.groupBy("bucket").applyInArrow(shared_keys, REPLIES_SQL), "suffix-keys"
     )
     stretches = (
         stored.groupBy("part")
         .cogroup(masks.groupBy("part"))
-        .applyInArrow(stretch_sender(bits), STRETCHES_SQL)
+        .applyInArrow(stretch_sender(key_bits, bits), STRETCHES_SQL)
     )
     found = materialize(
         stretches.groupBy("bucket").applyInArrow(older_repeats, REPLIES_SQL), "suffix-repeats"
@@ -556,7 +571,7 @@ def remove_repeats(docs: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
     return (
         stored.groupBy("part")
         .cogroup(masks.unionByName(found).groupBy("part"))
-        .applyInArrow(remover(bits), KEPT_SQL)
+        .applyInArrow(remover(key_bits, bits), KEPT_SQL)
     )
 
 
@@ -575,10 +590,10 @@ SQL = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS x FROM documents),
 chunks AS (
-  SELECT r, doc_id, at, substr(x, 2 * at + 1, 2 * (512 + 49)) AS x
-  FROM (SELECT *, unnest(range(0, len(x) // 2 - 49, 512)) AS at FROM docs)),
+  SELECT r, doc_id, base, substr(x, 2 * base + 1, 2 * (512 + 49)) AS x
+  FROM (SELECT *, unnest(range(0, len(x) // 2 - 49, 512)) AS base FROM docs)),
 windows AS (
-  SELECT r, doc_id, at + p AS p, substr(x, 2 * p + 1, 100) AS s
+  SELECT r, doc_id, base + p AS p, substr(x, 2 * p + 1, 100) AS s
   FROM (SELECT *, unnest(range(0, len(x) // 2 - 49)) AS p FROM chunks)),
 firsts AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s),
 hits AS (
