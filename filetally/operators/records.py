@@ -12,6 +12,7 @@ from filetally.functions.paths import ancestors, is_safe_relative, parent, targe
 from filetally.functions.times import RFC3339, format_utc, has_offset, to_instant
 from filetally.guards import non_empty, quote, quoted, require_empty
 from filetally.session import require_utc
+from filetally.sources.staged import file_digests
 
 METADATA_POLICIES = ("preserve", "ignore")
 LARGEST_RECORD_MB = 64
@@ -125,9 +126,10 @@ def verify_staged(
 ) -> DataFrame:
     """Check file references against staged files; ``error`` names the first broken rule.
 
-    Lengths come from a scan without bytes. Digests are computed next to the bytes and joined
-    to the references that give one; without such references no byte is read. A digest that is
-    not 64 characters long is ignored.
+    ``staged`` lists paths and lengths. Digests are needed of the present files whose references
+    give one, and only these are read, piece by piece. If ``staged`` brings ``content``, the
+    digests are computed next to the bytes instead. A digest that is not 64 characters long is
+    ignored.
     """
     _policy(metadata_policy)
     require_utc(refs.sparkSession)
@@ -135,11 +137,12 @@ def verify_staged(
     found = staged.selectExpr("path AS location", "struct(length) AS staged")
     located = refs.withColumn("location", F.expr(_LOCATION)).join(found, "location", "left")
     named = located.where(given).select("location").distinct()
-    digests = (
-        staged.selectExpr("path AS location", "sha2(content, 256) AS digest")
-        .join(named, "location", "left_semi")
-        .selectExpr("location", "struct(digest) AS read")
-    )
+    if "content" in staged.columns:
+        inside = staged.withColumnRenamed("path", "location").join(named, "location", "left_semi")
+        digests = inside.selectExpr("location", "struct(sha2(content, 256) AS digest) AS read")
+    else:
+        present = named.join(found, "location", "left_semi").withColumnRenamed("location", "path")
+        digests = file_digests(present).selectExpr("path AS location", "struct(digest) AS read")
     joined = located.join(digests, "location", "left")
     rules = [
         (f"NOT {non_empty('staging_file_url')}", "missing_staging_url"),

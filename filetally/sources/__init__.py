@@ -10,13 +10,14 @@ from filetally.sources.listing import (
 from filetally.sources.records import plan_writes, write_records
 from filetally.sources.report import Report, read_report, write_report
 from filetally.sources.sharing import flatten_members, read_links, read_members, read_shared_folders
-from filetally.sources.staged import read_staged
+from filetally.sources.staged import file_digests, read_staged
 from filetally.sources.state import Scope, State, read_state, read_state_json, write_state
 
 __all__ = [
     "Report",
     "Scope",
     "State",
+    "file_digests",
     "flatten_members",
     "flatten_pages",
     "land_listing",

@@ -1,26 +1,76 @@
-"""Staged files as rows. The bytes are only read when the digest or content is used."""
+"""Staged files as rows, and digests of files of any size.
+
+A listing of staged files reads no byte. Their content can come along as rows, as far as a row
+can hold it; digests do without: each named file is read in pieces by the task it fell to.
+"""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Fixed value: a binary value in a row holds so many bytes at most.
 LARGEST_VALUE = 2**31 - 1
+PIECE = 8 * 1024 * 1024  # bytes of a file in memory at once
 
 
-def read_staged(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def read_staged(
+    spark: SparkSession, path: str, pattern: str | None = None, content: bool = True
+) -> DataFrame:
     """``path`` (plain, without scheme), ``length`` and ``content`` of every staged file.
 
     A file that no row can hold keeps its row with a null content: it is present, and a check
-    of its digest reports that it could not be read.
+    of its digest reports that it could not be read. Without ``content`` only names and lengths
+    are listed, and a check reads the files it needs whatever their size.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(path)
     plain = "regexp_replace(path, '^file:/+', '/') AS path"
+    if not content:
+        return files.selectExpr(plain, "length")
     whole = files.where(f"length <= {LARGEST_VALUE}").selectExpr(plain, "length", "content")
     large = files.where(f"length > {LARGEST_VALUE}").selectExpr(
         plain, "length", "CAST(NULL AS BINARY) AS content"
     )
     return whole.unionByName(large)
+
+
+def file_digests(files: DataFrame, piece: int = PIECE) -> DataFrame:
+    """``path`` and SHA-256 ``digest`` of each file that ``files`` names in ``path``.
+
+    A file is one sequential read of ``piece`` bytes at a time, so none is ever a row and memory
+    does not grow with it. A path without scheme is a local one, on a folder that all executors
+    mount; others are opened by Arrow's file systems. A file that cannot be read has a null
+    digest. Files are spread by path, as many at once as there are tasks.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Imported here: a task needs Arrow, but not this library.
+        from pyarrow import fs
+
+        local = fs.LocalFileSystem()
+        for batch in batches:
+            paths, digests = batch.column(0).to_pylist(), []
+            for path in paths:
+                state = hashlib.sha256()
+                try:
+                    system, inner = (
+                        fs.FileSystem.from_uri(path) if "://" in path else (local, path)
+                    )
+                    with system.open_input_stream(inner, buffer_size=0) as stream:
+                        while part := stream.read(piece):
+                            state.update(part)
+                    digests.append(state.hexdigest())
+                except (OSError, pa.ArrowInvalid):
+                    digests.append(None)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(digests, pa.string())], ["path", "digest"]
+            )
+
+    spread = files.select("path").distinct().repartition("path")
+    return spread.mapInArrow(read, "path string, digest string")

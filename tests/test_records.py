@@ -153,12 +153,12 @@ def test_missing_folders(spark):
         "/R", "/R/a", "/R/a/b"]
 
 
-@pytest.fixture
-def staging(spark, tmp_path):
+@pytest.fixture(params=[True, False], ids=["content", "listing"])
+def staging(request, spark, tmp_path):
     folder = tmp_path / "stage + area"
     folder.mkdir()
     (folder / "one file.bin").write_bytes(TEXT)
-    return folder, read_staged(spark, str(folder))
+    return folder, read_staged(spark, str(folder), content=request.param)
 
 
 def reference(folder, **changes):
@@ -218,6 +218,35 @@ def test_a_file_that_no_row_can_hold_is_no_digest_mismatch(rows, staging):
     assert verify_staged(refs, unread, "").first().error is None
 
 
+def test_only_named_files_are_read_and_of_any_size(rows, spark, tmp_path):
+    """A file beyond what a row holds, sparse on disk, and one that vanishes before it is read."""
+    big, gone, other = (tmp_path / n for n in ("big.bin", "gone.bin", "other.bin"))
+    size = 2**31 + 5
+    with big.open("wb") as f:
+        f.truncate(size)
+    state, piece = hashlib.sha256(), bytes(1 << 20)
+    for at in range(0, size, 1 << 20):
+        state.update(piece[: size - at])
+    gone.write_bytes(b"x")
+    other.write_bytes(b"unnamed")
+    staged = read_staged(spark, str(tmp_path), content=False).cache()
+    assert staged.count() == 3
+    gone.unlink()
+    refs = rows(STAGED_REFERENCE, *[
+        reference(tmp_path, idx=i, staging_file_url=str(path), file_size_bytes=length, sha256=digest)
+        for i, (path, length, digest) in enumerate([
+            (big, size, state.hexdigest()), (big, size, "0" * 64), (gone, 1, "0" * 64),
+            (other, 7, None)])])
+    checked = verify_staged(refs, staged, "/R")
+    assert [r.error for r in checked.orderBy("idx").collect()] == [
+        None, "sha256_mismatch", "digest_unavailable", None]
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and plan.count("MapInArrow") == 1
+    other.unlink()  # no digest was asked for: it is not opened
+    assert checked.where("idx = 3").first().error is None
+    staged.unpersist()
+
+
 MOVE = {"operation": "move", "file_id": "i", "old_path": "a", "old_content_hash": "h",
         "new_path": "b", "new_content_hash": "h"}
 
