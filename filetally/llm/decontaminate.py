@@ -1,19 +1,19 @@
 """Benchmark decontamination: prefix-filtered set join with exact containment of windows.
 
 A window is 13 consecutive words of a benchmark item, or the whole of a shorter item. Its
-shingles (two words, or one where the window is a single word) are ordered by how rare they
-are in the documents. Containment needs every shingle, so the rarest alone is a sufficient
-prefix: only where a document has it can the window occur, at one known offset. Length and
-positional bounds drop windows that would reach over the text's ends, and the words at the
-place are compared one by one.
+shingles (``SHINGLE`` words, or the whole of a shorter window) are ordered by how rare they are
+in the documents. Containment needs every shingle, so the rarest alone is a sufficient prefix:
+only where a document has it can the window occur, at one known offset. Length and positional
+bounds drop windows that would reach over the text's ends; what is left is held against the
+shingles that cover the window, word for word.
+
+Documents are read and tokenised once. That pass writes one row per document and one per
+shingle of the benchmark found in it, with its place; the words are compared there, so a
+shingle's number stands for its words. Everything after works on these narrow rows. The
+benchmark's shingles are broadcast up to a number, and beyond it joined by a shuffle.
 
 The outer forms of explode are used because the plain ones have Spark add a filter on the
 array's size, which repeats the tokenisation for every element.
-
-Documents stay in place: they are exploded and probed against the benchmark in one generated
-stage, and only documents and hits leave it. The benchmark side is broadcast in blocks of at
-most ``BLOCK`` windows, one pass over the documents each, so its size is bounded however large
-the benchmark is.
 """
 
 from __future__ import annotations
@@ -25,29 +25,29 @@ from pyspark.sql.window import Window
 from filetally.llm.common import materialize, texts
 
 WINDOW = 13
-BLOCK = 200_000  # windows broadcast at once
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SHINGLE = 5
+MOST_BROADCAST = 200_000  # shingles of the benchmark; 200 bytes each at five usual words
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what no word has
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words_of(text: Column) -> Column:
-    """Words with A-Z lower-cased; plain ASCII takes the faster function with equal result."""
+    """Words with A-Z lower-cased; plain ASCII takes the faster function with equal result.
+
+    Splitting between words costs a fraction of extracting them, which copies the text's rest.
+    """
     ascii_only = F.octet_length(text) == F.length(text)
     folded = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.regexp_extract_all(F.coalesce(folded, F.lit("")), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.coalesce(folded, F.lit("")), BETWEEN), "")
 
 
-def shingles_of(size: int) -> Column:
-    """Hashes of the word shingles of ``words``, by position."""
-    parts = ", ".join(f"words[i + {k}]" for k in range(size))
-    return F.expr(
-        f"CASE WHEN size(words) < {size} THEN array() ELSE"
-        f" transform(sequence(0, size(words) - {size}), i -> xxhash64({parts})) END"
-    )
+def shingle_hash(hashes: str, at: str, size: int) -> str:
+    """Hash of ``size`` words from ``at`` on, out of the hashes of the words."""
+    return f"xxhash64({', '.join(f'{hashes}[{at} + {k}]' for k in range(size))})"
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """Distinct windows with the items they come from: ``(window, words, items)``."""
+    """``(window, item, words)``: the windows of each item, each named by its digest."""
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
         words_of(F.col("text")).alias("words"),
@@ -56,120 +56,161 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return (
         items.withColumn("start", starts)
         .select("item", F.slice("words", F.col("start") + 1, F.lit(WINDOW)).alias("words"))
-        .groupBy("words")
-        .agg(F.collect_set("item").alias("items"))
-        .withColumn("window", F.sha2(F.array_join("words", " "), 256))
+        .select(F.sha2(F.array_join("words", " "), 256).alias("window"), "item", "words")
+        .distinct()
     )
 
 
-def prefixes(windows: DataFrame, counts: DataFrame, size: int) -> DataFrame:
-    """The rarest shingle of each window and its offset."""
-    spread = windows.select(
-        "window", "words", F.posexplode_outer(shingles_of(size)).alias("offset", "shingle")
-    )
-    rarity = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "offset")
+def window_shingles(windows: DataFrame) -> DataFrame:
+    """``(window, length, offset, wanted)``: the shingles of each window, in order."""
+    size = f"least(size(words), {SHINGLE})"
     return (
-        spread.join(counts, "shingle", "left")
-        .groupBy("window", "words")
-        .agg(F.min(rarity).alias("rarest"))
-        .select("window", F.col("words").alias("wanted"), "rarest.shingle", "rarest.offset")
+        windows.select("window", "words")
+        .distinct()
+        .selectExpr(
+            "window",
+            "size(words) AS length",
+            f"posexplode(transform(sequence(1, size(words) - {size} + 1),"
+            f" i -> slice(words, i, {size}))) AS (offset, wanted)",
+        )
     )
 
 
-def occurrences(docs: DataFrame, windows: DataFrame, size: int) -> DataFrame:
-    """Hits of the windows (all of at least ``size`` words) in tokenised documents."""
-    spread = docs.withColumn("shingles", shingles_of(size))
-    wanted = (
-        windows.withColumn("shingles", shingles_of(size))
-        .select(F.explode("shingles").alias("shingle"))
-        .distinct()
-    )
-    counts = materialize(
-        spread.select(F.explode_outer("shingles").alias("shingle"))
-        .join(F.broadcast(wanted), "shingle")
-        .groupBy("shingle")
-        .agg(F.count("*").alias("n")),
-        "decontaminate-counts",
-    )
-    prefix = F.broadcast(prefixes(windows, counts, size))
-    length = F.size("wanted")
-    start = F.col("place") - F.col("offset")
-    fits = (start >= 0) & (start + length <= F.col("n_words"))
-    same = F.slice("words", F.greatest(start, F.lit(0)) + 1, length) == F.col("wanted")
-    placed = spread.select(
-        "doc_id", "digest", "n_words", "words", F.posexplode_outer("shingles").alias("place", "shingle")
+def numbered(shingles: DataFrame) -> DataFrame:
+    """``(sid, size, hash, wanted)``: distinct shingles, numbered."""
+    hashes = "transform(wanted, w -> xxhash64(w))"
+    by_size = " ".join(
+        f"WHEN {k} THEN {shingle_hash('hashes', '0', k)}" for k in range(1, SHINGLE + 1)
     )
     return (
-        placed.join(prefix, (placed.shingle == prefix.shingle) & fits & same)
-        .select("doc_id", "digest", "window", start.alias("start"), length.alias("length"))
+        shingles.select("wanted")
         .distinct()
+        .selectExpr("wanted", "size(wanted) AS size", f"{hashes} AS hashes")
+        .selectExpr(
+            "monotonically_increasing_id() AS sid", "size", f"CASE size {by_size} END AS hash", "wanted"
+        )
     )
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (doc_id, text) with the benchmark items found in them.
+def found_shingles(docs: DataFrame, shingles: DataFrame, most_broadcast: int) -> DataFrame:
+    """``(row, doc_id, digest, n_words, place, sid)`` in one pass over the documents.
 
-    Columns: doc_id, digest (xxhash64 of the text), n_words, n_hit (words inside any occurrence), n_items, items (array of the
-    item ids as strings, sorted), items_sha256, contaminated (a hit, and at least one word of
-    20). Every row gives one row; rows equal in id and text have equal results. Null and empty
-    texts have no words and are clean; an empty benchmark leaves all clean; items without words
-    are ignored, a null item id is written as ''. Windows that several items share count for
-    each. Only the named columns are read, so others cannot clash.
+    One row per document, with place -1 and no sid, and one per shingle found in it.
     """
+    count = shingles.count()
+    sizes = sorted(r.size for r in shingles.select("size").distinct().collect())
     tokenised = texts(docs).select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
         F.xxhash64("text").alias("digest"),
         words_of(F.col("text")).alias("words"),
     )
-    tokenised = tokenised.withColumn("n_words", F.size("words").cast("long"))
-    windows = materialize(item_windows(benchmark), "decontaminate-windows")
-    singles = F.size("words") == 1
-    found = None
-    for size, part in ((1, windows.where(singles)), (2, windows.where(~singles))):
-        blocks = -(-part.count() // BLOCK)
-        for k in range(blocks):
-            block = part.where(F.pmod(F.hash("window"), F.lit(blocks)) == k)
-            hits = occurrences(tokenised, block, size)
-            found = hits if found is None else found.unionByName(hits)
-    counted = tokenised.select("doc_id", "digest", "n_words")
-    nothing = F.array().cast("array<string>")
-    if found is None:
-        whole = counted.select("doc_id", "digest", "n_words", F.lit(0).cast("long").alias("n_hit"), nothing.alias("items"))
+    hashed = tokenised.selectExpr(
+        "row", "doc_id", "digest", "CAST(size(words) AS BIGINT) AS n_words", "words",
+        "transform(words, w -> xxhash64(w)) AS hashes",
+    )
+    # The document's own row is a shingle of no words, with a key that no other row has.
+    every = ["array(struct(-1 AS place, 0 AS size, row AS hash))"] + [
+        f"CASE WHEN size(hashes) < {k} THEN array() ELSE transform(sequence(0, size(hashes) - {k}),"
+        f" i -> struct(i AS place, {k} AS size, {shingle_hash('hashes', 'i', k)} AS hash)) END"
+        for k in sizes
+    ]
+    spread = hashed.selectExpr(
+        "row", "doc_id", "digest", "n_words", "words", f"inline_outer(concat({', '.join(every)}))"
+    )
+    words = "slice(words, greatest(place, 0) + 1, spread.size)"
+    if count > most_broadcast:  # the words of the place go along, not those of the text
+        spread = spread.selectExpr("* EXCEPT (words)", f"{words.replace('spread.', '')} AS here")
+        words, known = "here", shingles
     else:
-        hits = materialize(found, "decontaminate-hits")
-        key = ["doc_id", "digest"]
-        before = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-        reach = F.coalesce(F.max(F.col("start") + F.col("length")).over(before), F.lit(0))
-        fresh = F.col("start") + F.col("length") - F.greatest(F.col("start"), reach)
-        covered = (
-            hits.groupBy(*key, "start")
-            .agg(F.max("length").alias("length"))
-            .select(*key, F.greatest(fresh, F.lit(0)).alias("fresh"))
-            .groupBy(*key)
-            .agg(F.sum("fresh").alias("n_hit"))
-        )
-        named = (
-            hits.select(*key, "window")
-            .distinct()
-            .join(windows.select("window", "items"), "window")
-            .select(*key, F.explode("items").alias("item"))
-            .groupBy(*key)
-            .agg(F.array_sort(F.collect_set("item")).alias("items"))
-        )
-        of_doc = covered.join(named, (covered.doc_id.eqNullSafe(named.doc_id)) & (covered.digest == named.digest)).select(
-            covered.doc_id.alias("hit_id"), covered.digest.alias("hit_digest"), "n_hit", "items"
-        )
-        whole = counted.join(
-            of_doc,
-            counted.doc_id.eqNullSafe(of_doc.hit_id) & (counted.digest == of_doc.hit_digest),
-            "left",
-        ).select(
-            "doc_id",
-            "digest",
-            "n_words",
-            F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-            F.coalesce("items", nothing).alias("items"),
-        )
+        known = F.broadcast(shingles)
+    same = F.expr(f"spread.hash = known.hash AND spread.size = known.size AND {words} = wanted")
+    return (
+        spread.alias("spread")
+        .join(known.alias("known"), same, "left")
+        .where("sid IS NOT NULL OR place = -1")
+        .select("row", "doc_id", "digest", "n_words", "place", "sid")
+    )
+
+
+def occurrences(found: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``(row, window, start, length)``: every place where a whole window stands."""
+    counts = found.where("sid IS NOT NULL").groupBy("sid").agg(F.count("*").alias("n"))
+    rarity = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "sid", "offset")
+    prefix = (
+        pieces.join(counts, "sid", "left")
+        .groupBy("window", "length")
+        .agg(F.min(rarity).alias("rarest"))
+        .selectExpr("window", "length", "rarest.sid AS sid", "rarest.offset AS offset")
+    )
+    candidates = (
+        found.join(prefix, "sid")
+        .selectExpr("row", "n_words", "window", "length", "place - offset AS start")
+        .where("start >= 0 AND start + length <= n_words")
+    )
+    # Every SHINGLE-th shingle and the last one cover all words of the window.
+    cover = pieces.where(f"offset % {SHINGLE} = 0 OR offset = length - {SHINGLE}").selectExpr(
+        "window AS of", "offset", "sid", "count(*) OVER (PARTITION BY window) AS needed"
+    )
+    wanted = candidates.join(cover, F.expr("window = of")).selectExpr(
+        "row", "window", "start", "length", "needed", "start + offset AS place", "sid"
+    )
+    there = found.where("sid IS NOT NULL").select("row", "place", "sid")
+    return (
+        wanted.join(there, ["row", "place", "sid"])
+        .groupBy("row", "window", "start", "length")
+        .agg(F.count("*").alias("n"), F.first("needed").alias("needed"))
+        .where("n = needed")
+        .select("row", "window", "start", "length")
+    )
+
+
+def find_contamination(
+    docs: DataFrame, benchmark: DataFrame, most_broadcast: int = MOST_BROADCAST
+) -> DataFrame:
+    """Rows of ``docs`` (doc_id, text) with the benchmark items found in them.
+
+    Columns: doc_id, digest (xxhash64 of the text), n_words, n_hit (words inside any
+    occurrence), n_items, items (array of the item ids as strings, sorted), items_sha256,
+    contaminated (a hit, and at least one word of 20). Every row gives one row; rows equal in id
+    and text have equal results. Null and empty texts have no words and are clean, very long
+    ones are searched whole; an empty table gives no rows and an empty benchmark leaves all
+    clean; items without words are ignored, a null item id is written as ''. Windows that
+    several items share count for each. Only the named columns are read, so others cannot clash.
+    """
+    windows = materialize(item_windows(benchmark), "decontaminate-windows")
+    parts = window_shingles(windows)
+    shingles = materialize(numbered(parts), "decontaminate-shingles")
+    pieces = materialize(
+        parts.join(shingles.select("sid", "wanted"), "wanted").drop("wanted"), "decontaminate-pieces"
+    )
+    found = materialize(found_shingles(docs, shingles, most_broadcast), "decontaminate-found")
+    hits = materialize(occurrences(found, pieces), "decontaminate-hits")
+    before = Window.partitionBy("row").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max(F.col("start") + F.col("length")).over(before), F.lit(0))
+    fresh = F.col("start") + F.col("length") - F.greatest(F.col("start"), reach)
+    covered = (
+        hits.groupBy("row", "start")
+        .agg(F.max("length").alias("length"))
+        .select("row", F.greatest(fresh, F.lit(0)).alias("fresh"))
+        .groupBy("row")
+        .agg(F.sum("fresh").alias("n_hit"))
+    )
+    named = (
+        hits.select("row", "window")
+        .distinct()
+        .join(windows.select("window", "item"), "window")
+        .groupBy("row")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+    )
+    of_doc = covered.join(named, "row")
+    whole = (
+        found.where("place = -1")
+        .select("row", "doc_id", "digest", "n_words")
+        .join(of_doc, "row", "left")
+        .withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
+        .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    )
     return whole.select(
         "doc_id",
         "digest",

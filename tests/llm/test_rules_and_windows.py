@@ -112,9 +112,12 @@ def test_contamination_equals_brute_force(spark, docs, odd_rows):
         (35, "words word-word sword"),
     ]
     bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, words string")
-    found = find_contamination(docs(*rows), bench).collect()
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    assert sorted((tuple(r[n] for n in names) for r in found), key=str) == contamination(rows, items)
+    for most_broadcast in (1000, 0):  # at 0 the shingles are joined by a shuffle
+        found = find_contamination(docs(*rows), bench, most_broadcast).collect()
+        got = sorted((tuple(r[n] for n in names) for r in found), key=str)
+        assert got == contamination(rows, items)
+    assert find_contamination(docs().limit(0), bench).collect() == []
 
 
 def test_an_empty_benchmark_leaves_all_clean(spark, docs, odd_rows):
