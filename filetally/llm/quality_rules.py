@@ -17,16 +17,33 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD = r"[^\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]"
 SPACES = r"[\x20\x09-\x0D]+"
 NOT_SYMBOL = r"[^#*$%&|<>]+"
 # Phrases of site furniture, in the corpus languages.
-BOILERPLATE = (
-    r"(?i)(cookie|javascript|all rights reserved|privacy policy|terms of (use|service)|"
-    r"click here|read more|sign (in|up)|log in|subscribe|newsletter|lorem ipsum|"
-    r"alle rechte vorbehalten|impressum|tous droits réservés|mentions légales|"
-    r"todos los derechos reservados|aviso legal)"
-)
+PHRASES = [
+    "cookie",
+    "javascript",
+    "all rights reserved",
+    "privacy policy",
+    "terms of use",
+    "terms of service",
+    "click here",
+    "read more",
+    "sign in",
+    "sign up",
+    "log in",
+    "subscribe",
+    "newsletter",
+    "lorem ipsum",
+    "alle rechte vorbehalten",
+    "impressum",
+    "tous droits réservés",
+    "mentions légales",
+    "todos los derechos reservados",
+    "aviso legal",
+]
+BOILERPLATE = f"(?i)({'|'.join(PHRASES)})"
 
 
 @dataclass(frozen=True)
@@ -44,14 +61,35 @@ def chars_without(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, ""))
 
 
+def words_of(text: Column) -> Column:
+    """Words of a text. Splitting costs a fraction of extracting, which copies the text's rest."""
+    return F.array_remove(F.split(text, SPACES), "")
+
+
+def may_have_phrase(text: Column) -> Column:
+    """False for most texts, whose lines need not be searched for phrases."""
+    low, found = F.lower(text), F.lit(False)
+    for phrase in PHRASES:
+        found = found | low.contains(phrase)
+    return found
+
+
 def line_fails(line: Column, rules: Rules) -> Column:
-    """The line breaks one of the three rules."""
+    """The line breaks the punctuation or the navigation rule."""
     symbols = chars_without(line, NOT_SYMBOL)
     punctuation = (
-        (F.regexp_count(line, F.lit(WORD)) >= rules.long_line) & ~line.rlike(r"[.!?…;:。！？]")
+        (F.size(words_of(line)) >= rules.long_line) & ~line.rlike(r"[.!?…;:。！？]")
     ) | (100 * symbols > rules.most_symbols * chars_without(line, SPACES))
-    navigation = chars_without(line, r"[^|»›•·]+") >= rules.separators
-    return punctuation | navigation | line.rlike(BOILERPLATE)
+    separators = F.length(line) - chars_without(line, r"[|»›•·]")
+    return punctuation | (separators >= rules.separators)
+
+
+def clean_lines(rules: Rules) -> Column:
+    """The lines that break no rule; phrases are looked for only in texts that have some."""
+    return F.when(
+        F.col("phrases"),
+        F.filter("lines", lambda x: ~line_fails(x, rules) & ~x.rlike(BOILERPLATE)),
+    ).otherwise(F.filter("lines", lambda x: ~line_fails(x, rules)))
 
 
 def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -70,10 +108,11 @@ def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         "doc_id",
         "digest",
         "text",
-        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
+        words_of(F.col("text")).alias("words"),
+        may_have_phrase(F.col("text")).alias("phrases"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)).alias("lines"),
     )
-    hashed = split.select(
+    hashed = split.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).select(
         "doc_id",
         "digest",
         F.size("words").cast("long").alias("n_words"),
@@ -81,10 +120,10 @@ def assess(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         chars_without(F.col("text"), NOT_SYMBOL).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").alias("n_lines"),
-        F.filter("lines", lambda x: ~line_fails(x, rules)).alias("clean"),
+        clean_lines(rules).alias("clean"),
         F.expr(
             "CASE WHEN size(words) < 3 THEN array() ELSE transform(sequence(0, size(words) - 3),"
-            " i -> xxhash64(words[i], words[i + 1], words[i + 2])) END"
+            " i -> xxhash64(hashes[i], hashes[i + 1], hashes[i + 2])) END"
         ).alias("windows"),
     )
     # Most texts repeat no window; only the others pay for the sort.
