@@ -2,8 +2,10 @@
 
 ``STAGES`` lists them as (name, function). A function takes (spark, docs, sf_dir), where docs
 are the rows that its predecessor kept, and returns a DataFrame; it is written as Parquet and
-read again as the next one's docs. All but the last return the columns of documents, with texts
-unchanged. ``ORACLE_SQL`` is None, as SQL cannot express the boosted trees of the first stage;
+read again as the next one's docs. All but the last return the columns of documents, whatever
+these are, with texts unchanged; rows of one id and text share their fate, except that of near
+duplicates one stays. Rows without id or text are judged like others, very long texts whole,
+and an empty table passes through as one. ``ORACLE_SQL`` is None, as SQL cannot express the boosted trees of the first stage;
 the tests hold the stages against brute force.
 """
 
@@ -22,38 +24,49 @@ from filetally.llm.toxicity import keep_clean
 ORACLE_SQL = None
 
 
-MOST_BROADCAST = 1_000_000  # rejected keys; more than these are joined by a shuffle
+MOST_BROADCAST = 1_000_000  # rejected rows' keys, of 16 bytes; more are joined by a shuffle
 
 
-def _without(docs: DataFrame, key: str, rejected: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``key`` (an expression of it) is not among the rejected ones.
+def _without(docs: DataFrame, rejected: DataFrame, most_broadcast: int) -> DataFrame:
+    """Rows of ``docs`` that are not among ``rejected`` (doc_id, digest of the text).
 
-    A null key is never rejected. Texts stay in place as long as the keys can be broadcast.
+    A verdict follows from a row's text. Id and digest have to agree, a null id with a null id,
+    so a clean text can only be taken for a rejected one of the same id.
     """
-    keys = materialize(rejected.toDF("rejected").distinct(), "pipeline-rejected")
-    if keys.count() <= MOST_BROADCAST:
+    keys = rejected.selectExpr("doc_id AS rejected_id", "digest AS rejected_digest").distinct()
+    keys = materialize(keys, "pipeline-rejected")
+    if keys.count() <= most_broadcast:  # texts stay in place
         keys = F.broadcast(keys)
-    return docs.join(keys, F.expr(f"{key} = rejected"), "left_anti")
+    same = F.expr("doc_id <=> rejected_id AND xxhash64(text) <=> rejected_digest")
+    return docs.join(keys, same, "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not call toxic."""
+    """Documents that the toxicity model does not call toxic, judged where they are."""
     return keep_clean(docs, read(spark, sf_dir, "labels"))
 
 
-def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    judged = materialize(assess(docs).select("digest", "kept"), "pipeline-quality")
-    return _without(docs, "xxhash64(text)", judged.where("NOT kept").select("digest"))
+def drop_low_quality(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, most_broadcast: int = MOST_BROADCAST
+) -> DataFrame:
+    """Documents that the quality rules keep; null and empty texts are none."""
+    judged = materialize(assess(docs).select("doc_id", "digest", "kept"), "pipeline-quality")
+    return _without(docs, judged.where("NOT kept"), most_broadcast)
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_duplicates(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, most_broadcast: int = MOST_BROADCAST
+) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
     Rows that repeat an id are one document, of which one row stays; rows without an id stay.
     """
     found = near_duplicates(docs, Rule(words=5, percent=80))
-    one = _without(docs, "doc_id", found.where("doc_id <> component_id").select("doc_id"))
+    copies = found.where("doc_id <> component_id").selectExpr("doc_id AS copy").distinct()
+    copies = materialize(copies, "pipeline-copies")
+    if copies.count() <= most_broadcast:
+        copies = F.broadcast(copies)
+    one = docs.join(copies, F.expr("doc_id = copy"), "left_anti")
     repeated = one.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     again = materialize(repeated.select("doc_id"), "pipeline-repeated")
     if again.isEmpty():
@@ -62,10 +75,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return one.join(again, "doc_id", "left_anti").unionByName(first)
 
 
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_contaminated(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, most_broadcast: int = MOST_BROADCAST
+) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
     found = find_contamination(docs, read(spark, sf_dir, "benchmark"))
-    return _without(docs, "xxhash64(text)", found.where("contaminated").select("digest"))
+    return _without(docs, found.where("contaminated"), most_broadcast)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
