@@ -4,17 +4,26 @@ from pyspark.sql import functions as F
 
 from filetally.catalog.inventory import _ENTRY, _ENTRY_COLUMNS
 from filetally.catalog.migration import _ELIGIBLE, SUFFIXES
+from filetally.catalog.writing import _GATE, _RECORDS
 from filetally.catalog.registry import change_listing, file_listing, query
 from filetally.fixtures import fixture
 from filetally.session import scratch
 from filetally.sources.listing import land_listing, stream_listing, stream_pages
 from filetally.sources.state import Scope, read_state
+from filetally.operators.records import validate_records
 from filetally.streaming import (
     current_entries,
+    entry_view,
     read_changes,
+    read_checkpoints,
+    read_ledger,
+    read_records,
     start_change_stream,
     start_extraction_stream,
+    start_gate_stream,
     start_migration_stream,
+    start_record_stream,
+    start_view_stream,
 )
 
 
@@ -171,3 +180,83 @@ def streamed_extraction_retries(spark, sf):
     return state.join(attempts, "file_id").select(
         "file_id", "rev", "content_hash", "path", "attempts"
     )
+
+
+@query(
+    f"""WITH e AS ({_ENTRY}), ranked AS (SELECT *, row_number() OVER (PARTITION BY entry_key
+        ORDER BY ordinal DESC) AS rn FROM e)
+      SELECT {', '.join(_ENTRY_COLUMNS)} FROM ranked WHERE rn = 1""",
+    uses="fx_change_log",
+)
+def streamed_entry_view(spark, sf):
+    """Latest row per key, kept up to date page by page in the buckets of its keys."""
+    target = scratch(spark, "entry-view")
+    listing = _landed(spark, change_listing(spark, sf), "view-pages")
+    view = entry_view(listing, target, buckets=16)
+    start_view_stream(listing, view, f"{target}-checkpoint").awaitTermination()
+    return view.read(spark).select(*_ENTRY_COLUMNS)
+
+
+def _in_order(spark, rows, label, column, parts):
+    """A stream of rows that landed in ``parts`` files by ranges of a column."""
+    folder = scratch(spark, label)
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    width = -(-(high - low + 1) // parts)
+    for k in range(parts):
+        part = rows.where(F.col(column).between(low + k * width, low + (k + 1) * width - 1))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query(
+    f"""WITH {_RECORDS}, t AS (SELECT idx, error IS NULL AS sound,
+        CASE WHEN error IS NULL THEN concat('/Exports/', path) END AS path,
+        md5(from_base64(content_base64)) AS m FROM v),
+      s AS (SELECT min(idx) AS stop FROM t WHERE NOT sound),
+      w AS (SELECT *, CASE WHEN stop IS NULL OR idx < stop THEN 'written' WHEN idx = stop
+        THEN 'invalid' ELSE 'not_reached' END AS outcome FROM t, s)
+      SELECT idx, path AS destination_path, CASE WHEN outcome = 'written' AND idx < max(idx) FILTER
+          (outcome = 'written') OVER (PARTITION BY path) THEN 'superseded' ELSE outcome END AS outcome
+      FROM w""",
+    uses="fx_records",
+)
+def streamed_records(spark, sf):
+    """Every record, sound or not, through the sink in three batches: the ledger."""
+    target = scratch(spark, "record-stream")
+    raw = _in_order(spark, fixture(spark, sf, "fx_records"), "landed-records", "idx", 3)
+    checked = validate_records(raw, "/Exports", max_mb=1, streams=["documents"])
+    start_record_stream(checked, target, f"{target}-checkpoint").awaitTermination()
+    return read_ledger(spark, target)
+
+
+@query(
+    f"""WITH {_RECORDS}, t AS (SELECT idx, 'f/' || CAST(idx % 97 AS VARCHAR) AS path FROM v
+        WHERE error IS NULL)
+      SELECT max(t.idx) AS idx, t.path AS destination_path,
+      max_by(md5(from_base64(v.content_base64)), t.idx) AS content_md5
+      FROM t JOIN v USING (idx) GROUP BY t.path""",
+    uses="fx_records",
+)
+def streamed_files(spark, sf):
+    """Sound records sent to 97 paths in three batches: later batches supersede earlier ones."""
+    target = scratch(spark, "file-stream")
+    raw = _in_order(spark, fixture(spark, sf, "fx_records"), "landed-files", "idx", 3)
+    checked = validate_records(raw, "/Exports", max_mb=1, streams=["documents"])
+    sound = checked.where("error IS NULL").withColumn(
+        "destination_path", F.concat(F.lit("f/"), (F.col("idx") % 97).cast("string"))
+    )
+    start_record_stream(sound, target, f"{target}-checkpoint").awaitTermination()
+    return read_records(spark, target).select(
+        "idx", "destination_path", F.md5("content").alias("content_md5")
+    )
+
+
+@query(_GATE, uses="fx_write_log")
+def streamed_checkpoints(spark, sf):
+    """Checkpoints released as the log arrives, in three batches."""
+    target = scratch(spark, "gate")
+    log = _in_order(spark, fixture(spark, sf, "fx_write_log"), "landed-log", "idx", 3)
+    start_gate_stream(log, target, f"{target}-checkpoint").awaitTermination()
+    return read_checkpoints(spark, target).select(
+        F.col("run").cast("long").alias("run"), "idx", "path", "released"
+    )

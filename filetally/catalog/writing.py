@@ -107,6 +107,25 @@ def conflicting_writes(spark, sf):
     return plan_writes(_sound(spark, sf), policy="fail")
 
 
+@query(
+    f"""WITH {_RECORDS}, t AS (SELECT idx, error IS NOT NULL AS bad,
+        CASE WHEN error IS NULL THEN concat('/Exports/', path) END AS path FROM v),
+      f AS (SELECT *, NOT bad AND (path IN (SELECT concat('/Exports/', path) FROM fx_records
+          WHERE idx % 50 = 49) OR row_number() OVER (PARTITION BY path, bad ORDER BY idx) > 1)
+        AS taken FROM t),
+      s AS (SELECT min(idx) AS stop FROM f WHERE bad OR taken)
+      SELECT idx, path AS destination_path, CASE WHEN stop IS NULL OR idx < stop THEN 'written'
+        WHEN idx > stop THEN 'not_reached' WHEN bad THEN 'invalid' ELSE 'conflict' END AS outcome
+      FROM f, s""",
+    uses="fx_records",
+)
+def writes_into_a_filled_target(spark, sf):
+    """Fail policy over every record, sound or not, with paths that the target holds already."""
+    held = fixture(spark, sf, "fx_records").where("idx % 50 = 49")
+    existing = held.select(F.concat(F.lit("/Exports/"), "path").alias("destination_path"))
+    return plan_writes(_validated(spark, sf), existing, "fail")
+
+
 @query(
     """SELECT DISTINCT folder FROM (SELECT concat('/Exports/', split_part(path, '/', 1)) AS folder
         FROM fx_version_state
@@ -220,12 +239,12 @@ def validated_operations(spark, sf):
     return validate_operations(ops).select("idx", "error")
 
 
-@query(
-    """SELECT run, idx, path, released FROM (SELECT *, coalesce(bool_or(failed AND kind = 'record')
+_GATE = """SELECT run, idx, path, released FROM (SELECT *, coalesce(bool_or(failed AND kind = 'record')
         OVER (PARTITION BY run ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-        false) = false AS released FROM fx_write_log) WHERE kind = 'state'""",
-    uses="fx_write_log",
-)
+        false) = false AS released FROM fx_write_log) WHERE kind = 'state'"""
+
+
+@query(_GATE, uses="fx_write_log")
 def checkpoint_gate(spark, sf):
     return releasable_checkpoints(fixture(spark, sf, "fx_write_log")).select(
         "run", "idx", "path", "released"

@@ -16,6 +16,7 @@ from filetally.guards import require_empty
 from filetally.session import materialize
 
 CONFLICT_POLICIES = ("overwrite", "fail")
+WRITTEN = ["idx", "destination_path", "content", "sha256", "modified_at"]
 
 
 def _policy(policy: str) -> str:
@@ -91,7 +92,6 @@ def write_records(
         bad = plan.where("outcome IN ('invalid', 'conflict')")
         require_empty(bad, "Records are invalid or in conflict; nothing was written.")
     unwritten = plan.where("outcome <> 'written'").select("idx")
-    columns = ["idx", "destination_path", "content", "sha256", "modified_at"]
-    written = validated.select(*columns).join(unwritten, "idx", "left_anti")
+    written = validated.select(*WRITTEN).join(unwritten, "idx", "left_anti")
     written.write.mode("overwrite").parquet(target)
     return plan

@@ -12,6 +12,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from filetally.operators.keyed import dedupe_replay
 from filetally.operators.relations import entries
+from filetally.session import materialize
+from filetally.sources.keyed_table import KeyedTable
 
 ORDER = ["page", "ordinal"]
 
@@ -56,3 +58,30 @@ def current_entries(changes: DataFrame) -> DataFrame:
     never rewrites what earlier batches wrote.
     """
     return dedupe_replay(changes, ["entry_key"], ORDER)
+
+
+def entry_view(listing: DataFrame, path: str, buckets: int = 64) -> KeyedTable:
+    """The table of latest change-log rows that ``start_view_stream`` keeps for ``listing``."""
+    return KeyedTable(path, entries_with_order(listing).schema, ["entry_key"], ORDER, buckets)
+
+
+def start_view_stream(
+    listing: DataFrame, view: KeyedTable, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the latest row per key up to date: a page touches the buckets of its keys alone.
+
+    ``current_entries`` collapses the whole log on each read; this reads what is kept. Replayed
+    pages change nothing, and later rows win by order, whichever batch brings them.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        rows = materialize(batch, "view-batch")
+        view.merge(rows, batch_id)
+
+    return (
+        entries_with_order(listing)
+        .writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

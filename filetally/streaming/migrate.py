@@ -32,7 +32,7 @@ from filetally.session import materialize
 from filetally.sources.listing import scope_listing
 from filetally.sources.state import Scope, read_state, write_state
 from filetally.streaming.runs import end_run, gather_run
-from filetally.streaming.written import read_written
+from filetally.sources.written import read_written
 
 
 def migrate_batch(

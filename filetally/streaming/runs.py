@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from filetally.schemas import LISTING_PAGE, LONG, STRING, struct
 from filetally.sources.listing import flatten_pages
-from filetally.streaming.written import read_written
+from filetally.sources.written import read_written
 
 ENDED = struct(closed=LONG, cursor=STRING, batch_id=LONG)
 STORED = T.StructType([*LISTING_PAGE.fields, T.StructField("batch_id", LONG)])
