@@ -19,7 +19,7 @@ from filetally.operators.repair import (
     validate_report,
 )
 from filetally.session import scratch
-from filetally.sources.report import read_report, write_report
+from filetally.sources.report import order_violations, read_report, report_lines, write_report
 
 SIDES = "fx_source fx_destination"
 _UTC = "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
@@ -189,6 +189,19 @@ def stored_report(spark, sf):
     )
 
 
+@query(
+    f"""WITH {REPORT}, n AS (SELECT *, row_number() OVER (ORDER BY sort_key) AS line FROM r)
+      SELECT line, 'file' AS type, path, status FROM n
+      UNION ALL SELECT count(*) + 1, 'summary', NULL, NULL FROM n""",
+    uses=SIDES,
+)
+def stored_lines(spark, sf):
+    """Every line of the stored report with its number: sorted details, then the summary."""
+    path = scratch(spark, "report-lines")
+    write_report(report(spark, sf), path)
+    return report_lines(spark, path).select("line", "type", "path", "status")
+
+
 @query(f"WITH {REPORT} SELECT {_COUNTS} FROM r", uses=SIDES)
 def stored_summary(spark, sf):
     return _flat_summary(_stored(spark, sf).summary)
@@ -207,6 +220,24 @@ def repair_report_violations(spark, sf):
     return report_violations(report(spark, sf))
 
 
+@query(
+    f"""WITH {REPORT} SELECT 'row_after_summary' AS rule, count(*) AS rows FROM r
+      WHERE sort_key >= 'fr' HAVING count(*) > 0""",
+    uses=SIDES,
+)
+def repair_report_order(spark, sf):
+    """A report in one file whose summary stands before rows that sort behind it."""
+    path = scratch(spark, "disordered-report")
+    rows = report(spark, sf).select("sort_key", "type", "path", "status")
+    summary = spark.createDataFrame([("fr", "summary")], "sort_key string, type string")
+    every = rows.unionByName(summary, allowMissingColumns=True)
+    # One file is what is looked at here, and its sorted lines reach it by one task.
+    every.repartition(1).sortWithinPartitions("sort_key", F.desc("type")).drop(
+        "sort_key"
+    ).write.json(path)
+    return order_violations(report_lines(spark, path))
+
+
 def _outcomes(spark, sf):
     """Repair of the valid part of the stored report against a listing that has moved on."""
     stored = _stored(spark, sf).details

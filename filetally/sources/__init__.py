@@ -8,7 +8,13 @@ from filetally.sources.listing import (
     stream_pages,
 )
 from filetally.sources.records import plan_writes, write_records
-from filetally.sources.report import Report, read_report, write_report
+from filetally.sources.report import (
+    Report,
+    order_violations,
+    read_report,
+    report_lines,
+    write_report,
+)
 from filetally.sources.sharing import flatten_members, read_links, read_members, read_shared_folders
 from filetally.sources.staged import file_digests, read_staged
 from filetally.sources.state import Scope, State, read_state, read_state_json, write_state
@@ -21,6 +27,7 @@ __all__ = [
     "flatten_members",
     "flatten_pages",
     "land_listing",
+    "order_violations",
     "plan_writes",
     "read_links",
     "read_listing",
@@ -30,6 +37,7 @@ __all__ = [
     "read_staged",
     "read_state",
     "read_state_json",
+    "report_lines",
     "stream_listing",
     "stream_pages",
     "write_records",

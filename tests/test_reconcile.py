@@ -257,3 +257,53 @@ def test_drift_and_outcomes(rows):
     }
     assert repair_summary(outcomes).first().asDict() == {
         "type": "summary", "uploaded": 1, "overwritten": 1, "skipped": 2, "errors": 5}
+
+
+def test_lines_are_numbered_through_all_files_and_blocks(spark, tmp_path):
+    """A single file read in many blocks, and details in several files."""
+    from filetally.sources.report import order_violations, report_lines
+
+    rows = [f'{{"type": "file", "path": "p{k:04d}", "status": "matched"}}' for k in range(300)]
+    summary = '{"type": "summary", "files": 300}'
+    single = tmp_path / "single.jsonl"
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        for at, behind in ((300, 0), (120, 180), (0, 300)):
+            single.write_text("\n".join([*rows[:at], summary, *rows[at:]]) + "\n")
+            lines = report_lines(spark, str(single))
+            assert lines.rdd.getNumPartitions() > 5
+            got = [(r.line, r.path) for r in lines.orderBy("line").collect()]
+            expected = [f"p{k:04d}" for k in range(300)]
+            expected.insert(at, None)
+            assert got == list(enumerate(expected, 1))
+            found = [tuple(r) for r in order_violations(lines).collect()]
+            assert found == ([("row_after_summary", behind)] if behind else [])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    folder = tmp_path / "two"
+    details = spark.createDataFrame([(f"p{k:04d}", "file") for k in range(50)], "path string, type string")
+    details.repartitionByRange(4, "path").sortWithinPartitions("path").write.json(f"{folder}/details")
+    spark.createDataFrame([("summary",)], "type string").write.json(f"{folder}/summary")
+    got = [r.path for r in report_lines(spark, str(folder)).orderBy("line").collect()]
+    assert got == [f"p{k:04d}" for k in range(50)] + [None]
+
+
+def test_issues_without_a_place_keep_their_rows_in_a_stable_order(spark, rows, tmp_path):
+    from filetally.schemas import LISTING_ROW
+    from filetally.sources.report import report_lines, write_report
+
+    def outside(ordinal, file_id, path="/Elsewhere/x"):
+        return {"page": 0, "ordinal": ordinal, "entry_type": "file", "id": file_id, "name": "x",
+                "path_display": path, "path_lower": path.lower(), "rev": "r", "size": 1,
+                "content_hash": "h"}
+
+    files = [outside(None, "id:c"), outside(None, "id:a"), outside(7, "id:b"), outside(7, "id:d")]
+    for k, order in enumerate((files, files[::-1])):
+        listing = rows(LISTING_ROW, *order).repartition(3)
+        made = reconcile(side_inventory(listing, "/S", "source"),
+                         side_inventory(rows(LISTING_ROW), "/D", "destination"))
+        path = str(tmp_path / str(k))
+        write_report(made, path)
+        lines = report_lines(spark, path).where("type = 'file'").orderBy("line").collect()
+        assert [r.source.file_id for r in lines if r.source] == ["id:a", "id:c", "id:b", "id:d"]
