@@ -2,9 +2,12 @@
 
 Words are runs of letters, A-Z lower-cased. A word of the model scores the logarithm of its
 frequency in each language. Any other word backs off to its character n-grams, longest first:
-the first length of which an n-gram was seen scores the word by their mean. Counts cover all
-training texts; the model keeps the ``words`` most frequent words and hashed n-gram tables of
-``buckets`` cells, which bound its size whatever the corpus (words beyond are unseen words).
+the first length of which an n-gram was seen scores the word by the mean of those seen. Words
+and n-grams are counted exactly, by 64-bit fingerprints, and "seen" means at least once.
+
+The classifier is fitted on about ``rows`` labelled texts of each language, picked by a hash, or
+on all where there are fewer. That bounds the model, whatever the corpus, and by language, so
+that rare ones are learned as well.
 """
 
 from __future__ import annotations
@@ -17,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filetally.llm.common import fold, materialize, texts
-from filetally.llm.text import batch_of, buffer_of, column, first_places, runs, slices, words
+from filetally.llm.common import fold, texts
+from filetally.llm.text import batch_of, buffer_of, column, first_places, mix, runs, slices, words
 
 CHUNK = 4 << 20
 NOT_LETTER = np.ones(256, dtype=bool)
@@ -31,20 +34,32 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Shape:
-    words: int = 65_536
+    rows: int = 5_000  # labelled texts of each language to learn from
     orders: tuple[int, ...] = (5, 4, 3, 2, 1)
-    buckets: int = 1 << 14
     smoothing: float = 0.5
 
 
+@dataclass
+class Table:
+    """Sorted fingerprints and the log frequency of each, by language."""
+
+    hashes: np.ndarray
+    scores: np.ndarray
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each fingerprint, or -1."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+
 @dataclass
 class Model:
     languages: list[str]
-    hashes: np.ndarray  # sorted fingerprints of the known words
-    scores: np.ndarray  # log frequency of each, by language
-    grams: np.ndarray  # log frequency by order, bucket and language
-    seen: np.ndarray  # by order and bucket
-    shape: Shape
+    words: Table
+    grams: list[Table]  # by order
+    orders: tuple[int, ...]
 
 
 WORD_COUNTS = pa.schema([("word", pa.string()), ("tongue", pa.int32()), ("n", pa.int64())])
@@ -79,8 +94,8 @@ def word_counter(count: int):
     return run
 
 
-def gram_cells(names: list[str], order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word number and bucket of every n-gram of the words, their bounds marked."""
+def gram_hashes(names: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word number and fingerprint of every n-gram of the words, their bounds marked."""
     chars = np.frombuffer(("\n" + "\n".join(names) + "\n").encode("utf-32-le"), np.uint32)
     mark = chars == 10
     upto = np.concatenate([[0], np.cumsum(mark)])
@@ -92,108 +107,110 @@ def gram_cells(names: list[str], order: int, buckets: int) -> tuple[np.ndarray,
     with np.errstate(over="ignore"):
         key = np.full(len(first), order, np.uint64)
         for k in range(order):
-            key = (key + chars[first + k]) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
-    owner = upto[first + 1] - 1
-    return owner, (key % np.uint64(buckets)).astype(np.int64)
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + chars[first + k])
+    return upto[first + 1] - 1, key
+
 
+GRAM_COUNTS = pa.schema(
+    [("kind", pa.int32()), ("hash", pa.int64()), ("tongue", pa.int32()), ("n", pa.int64())]
+)
+GRAM_SQL = "kind int, hash long, tongue int, n long"
 
-GRAM_COUNTS = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
 
+def gram_counter(count: int, orders: tuple[int, ...]):
+    """Function for ``mapInArrow``: counts by fingerprint and language of dictionary rows.
 
-def gram_counter(count: int, shape: Shape):
-    """Function for ``mapInArrow``: counts by (order, bucket, language) of dictionary rows."""
+    ``kind`` is the number of an order, or -1 for the words themselves.
+    """
 
     def run(batches):
-        total = np.zeros(len(shape.orders) * shape.buckets * count)
         for batch in batches:
-            names = column(batch, "word").to_pylist()
-            tongue = column(batch, "tongue").to_numpy()
+            spelled = column(batch, "word")
+            names = spelled.to_pylist()
+            tongue = column(batch, "tongue").to_numpy().astype(np.int64)
             n = column(batch, "n").to_numpy()
-            for k, order in enumerate(shape.orders):
-                owner, bucket = gram_cells(names, order, shape.buckets)
-                cell = (k * shape.buckets + bucket) * count + tongue[owner]
-                total += np.bincount(cell, weights=n[owner], minlength=len(total))
-        cells = np.flatnonzero(total)
-        yield batch_of(GRAM_COUNTS, cell=cells, n=total[cells].astype(np.int64))
+            data, bounds = buffer_of(spelled)
+            whole = words(data, bounds, space=NOT_LETTER)[0]
+            found = [(-1, np.arange(len(names)), whole)]
+            found += [(k, *gram_hashes(names, order)) for k, order in enumerate(orders)]
+            for kind, owner, hashes in found:
+                codes, kinds = pd.factorize(hashes)
+                cell = codes * count + tongue[owner]
+                total = np.bincount(cell, n[owner], len(kinds) * count)
+                used = np.flatnonzero(total)
+                yield batch_of(
+                    GRAM_COUNTS,
+                    kind=np.full(len(used), kind, np.int32),
+                    hash=kinds[used // count].view(np.int64),
+                    tongue=(used % count).astype(np.int32),
+                    n=total[used].astype(np.int64),
+                )
 
     return run
 
 
+def sampled(labelled: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` texts of each language, or all of fewer, the same on every run."""
+    sizes = labelled.groupBy("lang").count()
+    share = sizes.selectExpr("lang AS of", f"least(1, {rows} / count) AS share")
+    share = F.broadcast(share)  # one row a language
+    dice = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    return labelled.join(share, F.expr("lang = of")).where(dice < F.col("share"))
+
+
 def learn(labelled: DataFrame, shape: Shape = Shape()) -> Model | None:
-    """Model of the texts of ``labelled`` (text, lang); None without a usable row.
+    """Model of the texts of ``labelled`` (doc_id, text, lang); None without a usable row.
 
-    The languages and the model tables are collected; both are bounded, the former by being
-    the classes to choose from.
+    Words and n-grams of the sampled texts are counted by Spark and collected, as are the
+    languages; the sample bounds the former, being classes to choose from the latter.
     """
-    labelled = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
+    labelled = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
     languages = sorted(r.lang for r in labelled.select("lang").distinct().collect())
     if not languages:
         return None
     count = len(languages)
     number = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")) - 1
-    counts = materialize(
-        labelled.select("text", number.cast("int").alias("tongue"))
+    dictionary = (
+        sampled(labelled, shape.rows)
+        .select("text", number.cast("int").alias("tongue"))
         .mapInArrow(word_counter(count), "word string, tongue int, n long")
         .groupBy("word", "tongue")
-        .agg(F.sum("n").alias("n")),
-        "language-words",
-    )
-    by_word = counts.groupBy("word").agg(
-        *[F.sum(F.when(F.col("tongue") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(count)],
-        F.sum("n").alias("total"),
+        .agg(F.sum("n").alias("n"))
     )
-    known = by_word.where("total > 1").orderBy(F.desc("total"), "word").limit(shape.words).collect()
-    totals = np.zeros(count)
-    for r in counts.groupBy("tongue").agg(F.sum("n").alias("n")).collect():
-        totals[r.tongue] = r.n
-    table = np.array([[r[f"n{k}"] for k in range(count)] for r in known], float).reshape(-1, count)
-    spelled = pa.array([r.word for r in known], pa.string())
-    data, bounds = buffer_of(spelled)
-    hashes = words(data, bounds, space=NOT_LETTER)[0]
-    order = np.argsort(hashes)
-    base = totals + shape.smoothing * (len(known) + 1)
-    scores = np.log((table + shape.smoothing) / base)
-
-    cells = np.zeros(len(shape.orders) * shape.buckets * count)
-    for r in (
-        counts.mapInArrow(gram_counter(count, shape), "cell long, n long")
-        .groupBy("cell")
+    counts = (
+        dictionary.mapInArrow(gram_counter(count, shape.orders), GRAM_SQL)
+        .groupBy("kind", "hash", "tongue")
         .agg(F.sum("n").alias("n"))
-        .collect()
-    ):
-        cells[r.cell] = r.n
-    cells = cells.reshape(len(shape.orders), shape.buckets, count)
-    each = cells.sum(axis=1, keepdims=True) + shape.smoothing * shape.buckets
-    return Model(
-        languages,
-        hashes[order],
-        scores[order].astype(np.float32),
-        np.log((cells + shape.smoothing) / each).astype(np.float32),
-        cells.sum(axis=2) > 0,
-        shape,
+        .toArrow()
     )
+    kind, hashes, tongue, n = (counts.column(c).to_numpy() for c in ("kind", "hash", "tongue", "n"))
+    tables = []
+    for k in range(-1, len(shape.orders)):
+        own = kind == k
+        found, code = np.unique(hashes[own].view(np.uint64), return_inverse=True)
+        cells = np.zeros((len(found), count))
+        cells[code, tongue[own]] = n[own]
+        each = cells.sum(axis=0) + shape.smoothing * (len(found) + 1)
+        tables.append(Table(found, np.log((cells + shape.smoothing) / each).astype(np.float32)))
+    return Model(languages, tables[0], tables[1:], shape.orders)
 
 
 def word_scores(hashes: np.ndarray, names: pa.Array, model: Model) -> np.ndarray:
-    """Score of each distinct word by language."""
+    """Score of each distinct word by language; a word without any seen n-gram scores 0."""
     out = np.zeros((len(hashes), len(model.languages)), np.float64)
-    at = np.searchsorted(model.hashes, hashes)
-    found = np.zeros(len(hashes), dtype=bool)
-    inside = at < len(model.hashes)
-    found[inside] = model.hashes[at[inside]] == hashes[inside]
-    out[found] = model.scores[at[found]]
+    at = model.words.find(hashes)
+    found = at >= 0
+    out[found] = model.words.scores[at[found]]
     rest = np.flatnonzero(~found)
-    for k, order in enumerate(model.shape.orders):
+    for table, order in zip(model.grams, model.orders, strict=True):
         if not len(rest):
             break
-        spelled = names.take(pa.array(rest)).to_pylist()
-        owner, bucket = gram_cells(spelled, order, model.shape.buckets)
-        seen = model.seen[k][bucket]
-        owner, bucket = owner[seen], bucket[seen]
+        owner, grams = gram_hashes(names.take(pa.array(rest)).to_pylist(), order)
+        at = table.find(grams)
+        owner, at = owner[at >= 0], at[at >= 0]
         hits = np.bincount(owner, minlength=len(rest))
         for j in range(len(model.languages)):
-            sums = np.bincount(owner, weights=model.grams[k][bucket, j], minlength=len(rest))
+            sums = np.bincount(owner, weights=table.scores[at, j], minlength=len(rest))
             out[rest, j] = np.where(hits > 0, sums / np.maximum(hits, 1), out[rest, j])
         rest = rest[hits == 0]
     return out
@@ -260,7 +277,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
     Each row gives one row, repeated ones included. A null text and one without a letter (empty
     ones among them) are ``und`` with score 0, as is everything without a model. Equal scores
-    go to the language first in alphabetical order. Words are never cut, whatever their length.
+    go to the language first in alphabetical order. Texts and words are never cut, whatever
+    their length, an empty table gives no rows, and only the named columns are read, so others
+    cannot clash.
     """
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
     return docs.select("doc_id", "held_out", "text", lettered).mapInArrow(

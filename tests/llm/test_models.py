@@ -75,6 +75,58 @@ def test_language_id(docs, odd_rows):
     assert by_id[4].lang_pred in ALPHABETS
 
 
+def test_language_id_backs_off_to_what_was_seen(docs):
+    """Scores of single words, by hand: known ones, and those of which less and less was seen."""
+    import pyarrow as pa
+
+    from filetally.llm.language import NOT_LETTER, Shape, learn, word_scores
+    from filetally.llm.text import buffer_of, words
+
+    rows = [(1, "Alpha alpha beta, alp", "aa", None), (2, "gamma alpha", "bb", None)]
+    model = learn(docs(*rows), Shape())
+    tongues = {"aa": ["alpha", "alpha", "beta", "alp"], "bb": ["gamma", "alpha"]}
+
+    def grams(word, n):
+        marked = f"|{word}|" if n > 1 else word
+        return [marked[k : k + n] for k in range(len(marked) - n + 1)]
+
+    def log_frequency(item, of):
+        every = {lang: [x for w in ws for x in of(w)] for lang, ws in tongues.items()}
+        kinds = set().union(*every.values())
+        if item not in kinds:
+            return None
+        return [math.log((every[k].count(item) + 0.5) / (len(every[k]) + 0.5 * (len(kinds) + 1)))
+                for k in ("aa", "bb")]
+
+    def expected(word):
+        known = log_frequency(word, lambda w: [w])
+        if known:
+            return known, 0
+        for n in (5, 4, 3, 2, 1):
+            found = [log_frequency(g, lambda w: grams(w, n)) for g in grams(word, n)]
+            found = [f for f in found if f]
+            if found:
+                return np.mean(found, axis=0).tolist(), n
+        return [0.0, 0.0], None
+
+    asked = ["alpha", "alphabet", "alpe", "betxx", "xal", "xbx", "tm", "mxt", "xyz", "жук"]
+    names = pa.array(asked)
+    data, bounds = buffer_of(names)
+    got = word_scores(words(data, bounds, space=NOT_LETTER)[0], names, model)
+    hand = [expected(w) for w in asked]
+    assert np.allclose(got, [score for score, _ in hand], atol=1e-5)
+    assert {n for _, n in hand} >= {0, 5, 4, 2, 1, None}  # every step of the way down
+
+
+def test_language_id_learns_from_a_bounded_sample(docs):
+    from filetally.llm.language import Shape, sampled
+
+    rows = [(k, f"text {k}", "aa" if k % 10 else "bb", None) for k in range(2000)]
+    kept = Counter(r.lang for r in sampled(docs(*rows), 100).collect())
+    assert 60 < kept["aa"] < 150 and 60 < kept["bb"] < 150
+    assert sampled(docs(*rows), 10**6).count() == 2000
+
+
 def test_language_id_without_labels(docs):
     found = identify_languages(docs((1, "some text"), (2, None))).collect()
     assert [r.lang_pred for r in found] == ["und", "und"]
