@@ -3,6 +3,7 @@
 from filetally.catalog.registry import QUERIES, SQL_CHECKS
 from filetally.catalog import (  # noqa: F401  (importing registers the queries)
     columns,
+    edges,
     inventory,
     migration,
     reconciliation,

@@ -81,6 +81,18 @@ def extraction_bounds(max_mb: int = 10, timeout_seconds: int = 300) -> int:
     return max_mb * MEBIBYTE
 
 
+def skipped_documents(files: DataFrame, suffixes: list[str], max_mb: int = 10) -> DataFrame:
+    """An account of convertible files over the size cap: ``file_id, name, size, reason``.
+
+    Files of other suffixes are no documents and not listed.
+    """
+    cap = extraction_bounds(max_mb)
+    wanted = f"{extension('name')} IN ({quoted(allowed_suffixes(suffixes))})"
+    return files.where(wanted).where(f"NOT coalesce(size <= {cap}, false)").selectExpr(
+        "file_id", "name", "size", "'too_large' AS reason"
+    )
+
+
 def extraction_candidates(
     files: DataFrame,
     state: DataFrame | None,

@@ -68,6 +68,20 @@ def migration_inventory(
     return with_transferable(rows.where(matches_globs("path", globs or [])), max_mb)
 
 
+def skipped_files(
+    listing: DataFrame, root: str, max_mb: int = 1024, globs: list[str] | None = None
+) -> DataFrame:
+    """An account of the files that no plan transfers: ``file_id, path, size, reason``.
+
+    ``too_large`` is over the cap or of unknown size. Files outside the globs are no part of
+    the migration and not listed.
+    """
+    inventory = migration_inventory(listing, root, max_mb, globs)
+    return inventory.where("NOT coalesce(transferable, false)").selectExpr(
+        "file_id", "path", "size", "'too_large' AS reason"
+    )
+
+
 def checked_versions(files: DataFrame) -> DataFrame:
     """Fail on a file without identity or with an unsafe path."""
     identified = non_empty("file_id", "rev", "content_hash")

@@ -23,9 +23,10 @@ from filetally.operators.versions import (
     extraction_candidates,
     file_contents,
     settled_versions,
+    skipped_documents,
 )
 from filetally.plans.delta import deduplicate_changes, plan_delta, split_delta
-from filetally.plans.migration import Plan, migration_inventory
+from filetally.plans.migration import Plan, migration_inventory, skipped_files
 from filetally.plans.snapshot import plan_snapshot
 from filetally.plans.state import next_state, state_changes
 from filetally.session import materialize
@@ -52,7 +53,7 @@ def migrate_batch(
 
     A batch is planned as one delta, so a rename and the tombstone of its old path belong in
     one batch; a stream of pages sees to that. ``cursor`` is what the state continues from,
-    by default a name made of the batch id.
+    by default a name made of the batch id. Files over the size cap are listed in ``skipped``.
 
     ``transfer`` does the copying: it gets the transfer rows and returns those that
     succeeded. If one did not, the batch fails before its state and cursor are written, but what
@@ -66,6 +67,7 @@ def migrate_batch(
         df.write.mode("overwrite").parquet(folder)
         return spark.read.schema(df.schema).parquet(folder)
 
+    stored(skipped_files(batch, scope.path, max_mb, globs), "skipped")
     state = read_state(spark, f"{target}/state", before=batch_id)
     policies = {"rename_policy": rename_policy, "delete_policy": delete_policy}
     if state.can_resume:
@@ -146,7 +148,7 @@ def extract_batch(
 
     Candidates are the batch's versions and those that timed out before; the latter are kept
     in ``pending`` with the batch that left them, so they need not be landed again. A batch
-    without timeouts leaves no file there.
+    without timeouts leaves no file there. Documents over the size cap are listed in ``skipped``.
     """
     spark = batch.sparkSession
     state = read_state(spark, f"{target}/state", kind="extraction", before=batch_id)
@@ -158,6 +160,9 @@ def extract_batch(
     # What had timed out when the batch before ended.
     waiting = read_written(spark, f"{target}/pending/batch_id={batch_id - 1}", latest.schema)
     due = latest.unionByName(waiting.join(latest.select("file_id"), "file_id", "left_anti"))
+    skipped_documents(latest, suffixes, max_mb).write.mode("overwrite").parquet(
+        f"{target}/skipped/batch_id={batch_id}"
+    )
     candidates = materialize(
         extraction_candidates(due, state.files, suffixes, max_mb), "extraction-candidates"
     )
