@@ -1,5 +1,7 @@
 """Version classification, extraction and migration planning over the benchmark tables."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from filetally.catalog.registry import file_listing, query
@@ -20,6 +22,7 @@ from filetally.plans import (
     transfer_records,
 )
 from filetally.session import scratch
+from filetally.sources.keyed_state import KeyedState
 from filetally.sources.state import Scope, State, read_state, write_state
 
 SCOPE = Scope("/Source-Root", True)
@@ -112,6 +115,28 @@ def delta_operations(spark, sf):
     return _delta(spark, sf, "propagate").operations
 
 
+@query(
+    f"""WITH {_PAIRED}, {_DELETES}
+      SELECT 0 AS phase, 'move' AS operation, file_id, old_path, old_hash AS old_content_hash,
+        now_path AS new_path, now_hash AS new_content_hash FROM p WHERE renamed
+      UNION ALL SELECT 1, 'delete', file_id, old_path, old_content_hash, NULL, NULL FROM dead""",
+    uses=_DELTA,
+)
+def keyed_delta_operations(spark, sf):
+    """The delta planned from a state in buckets, of which it reads those that it names."""
+    state = _state(spark, sf)
+    keyed = KeyedState(scratch(spark, "keyed-state"))
+    keyed.merge(state.files.withColumn("removed", F.lit(False)), 0)
+    changed = migration_inventory(file_listing(spark, sf, "fx_source"), "/Source-Root").drop(
+        "ordinal"
+    )
+    tombstones = fixture(spark, sf, "fx_tombstones")
+    return plan_delta(
+        changed, tombstones, replace(state, files=keyed.named(changed, tombstones)), scope=SCOPE,
+        rename_policy="propagate", delete_policy="delete",
+    ).operations
+
+
 @query(f"WITH {_PAIRED} {_TRANSFERS.format(moves='false')}", uses=PLANNED)
 def delta_transfers(spark, sf):
     return _delta(spark, sf, "ignore").transfers.drop("phase")

@@ -1,5 +1,7 @@
 """Readers and writers of landed data, state, reports and file records."""
 
+from filetally.sources.keyed_state import KeyedState
+from filetally.sources.keyed_table import KeyedTable
 from filetally.sources.listing import (
     flatten_pages,
     land_listing,
@@ -20,6 +22,8 @@ from filetally.sources.staged import file_digests, read_staged
 from filetally.sources.state import Scope, State, read_state, read_state_json, write_state
 
 __all__ = [
+    "KeyedState",
+    "KeyedTable",
     "Report",
     "Scope",
     "State",

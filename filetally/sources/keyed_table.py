@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +31,10 @@ class KeyedTable:
     key: Sequence[str]
     order: Sequence[str]
     buckets: int = 64
+    spread: Sequence[str] | None = None  # the columns of the key that choose the bucket
 
-    def bucket_of(self) -> F.Column:
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets))
+    def bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*(self.spread or self.key)), F.lit(self.buckets))
 
     def _versions(self, spark: SparkSession, before: int | None) -> dict[int, int]:
         """Newest batch of each bucket, at most one entry a bucket."""
@@ -55,11 +56,15 @@ class KeyedTable:
         return spark.read.schema(self.schema).parquet(*folders)
 
     def lookup(self, keys: DataFrame, before: int | None = None) -> DataFrame:
-        """The latest rows of ``keys``, read from their buckets alone."""
+        """The latest rows of ``keys``, read from their buckets alone.
+
+        ``keys`` has the columns of the key, or at least those that choose the bucket.
+        """
         spark = keys.sparkSession
+        given = [c for c in self.key if c in keys.columns]
         named = keys.select(self.bucket_of().alias("bucket")).distinct().collect()
         found = self.read(spark, before, sorted(r.bucket for r in named))
-        return found.join(keys.select(*self.key).distinct(), list(self.key), "left_semi")
+        return found.join(keys.select(*given).distinct(), given, "left_semi")
 
     def merge(self, rows: DataFrame, batch_id: int) -> None:
         """Lay the rows over what earlier batches left, in the buckets of their keys."""

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,14 +19,20 @@ from filetally.errors import ContractError
 from filetally.functions.paths import is_safe_relative
 from filetally.guards import non_empty, passes
 from filetally.operators.keyed import dedupe_replay
-from filetally.schemas import EXTRACTION_STATE, TRANSFER_STATE
+from filetally.schemas import BOOLEAN, EXTRACTION_STATE, LONG, STRING, TRANSFER_STATE, struct
+from filetally.sources.written import read_written
 
 # Current layout versions of the two kinds of state.
 TRANSFER_VERSION = 3
 EXTRACTION_VERSION = 1
 
-HEADER = (
-    "version long, base long, layout int, scope_path string, recursive boolean, cursor string"
+HEADER = struct(
+    version=LONG,
+    base=LONG,
+    layout=T.IntegerType(),
+    scope_path=STRING,
+    recursive=BOOLEAN,
+    cursor=STRING,
 )
 # Changed-rows versions a reader has to lay over a complete one, at most.
 COMPACT_EVERY = 20
@@ -104,7 +109,6 @@ def write_state(
     ``changes`` are the rows that differ from ``state.version`` (see ``state_changes``);
     with them only these are written, unless a complete version is due.
     """
-    spark = state.files.sparkSession
     names = _schema(kind).names
     partial = changes is not None and state.base is not None
     partial = partial and version - state.base < COMPACT_EVERY
@@ -113,9 +117,17 @@ def write_state(
     else:
         rows = state.files.where(_state_rule(kind)).selectExpr(*names, "false AS removed")
     rows.write.mode("overwrite").parquet(f"{path}/files/version={version}")
+    write_header(state, path, version, kind, state.base if partial else version)
+
+
+def write_header(
+    state: State, path: str, version: int, kind: str = "transfer", base: int | None = None
+) -> None:
+    """The one row that commits a version: how far and over what it was taken."""
+    spark = state.files.sparkSession
     scope = state.scope or Scope("", True)
     layout = TRANSFER_VERSION if kind == "transfer" else EXTRACTION_VERSION
-    base = state.base if partial else version
+    base = version if base is None else base
     header = [(version, base, layout, scope.path, scope.recursive, state.cursor)]
     spark.createDataFrame(header, HEADER).coalesce(1).write.mode("overwrite").parquet(
         f"{path}/headers/of={version}"
@@ -127,20 +139,9 @@ def read_state(
 ) -> State:
     """Newest committed version, or the newest below ``before``; empty state if none."""
     schema = _schema(kind)
-    try:
-        headers = spark.read.schema(HEADER).parquet(f"{path}/headers")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty_state(spark, schema)
-    if before is not None:
-        headers = headers.where(F.col("version") < before)
-    newest = headers.orderBy(F.desc("version")).drop("of").first()
+    headers, newest = _headers(spark, path, kind, before)
     if newest is None:
         return empty_state(spark, schema)
-    supported = (1, 2, TRANSFER_VERSION) if kind == "transfer" else (EXTRACTION_VERSION,)
-    if newest.layout not in supported:
-        raise ContractError("No reader for the layout of this state.")
     laid_over = headers.where(
         (F.col("version") > newest.base) & (F.col("version") <= newest.version)
     )
@@ -162,6 +163,27 @@ def read_state(
     )
 
 
+def read_header(spark: SparkSession, path: str, files: DataFrame, before: int | None = None) -> State:
+    """The newest committed version with rows that are kept elsewhere."""
+    newest = _headers(spark, path, "transfer", before)[1]
+    if newest is None:
+        return State(files)
+    scope = Scope(newest.scope_path, newest.recursive)
+    return State(files, scope, newest.cursor, newest.layout, newest.version, newest.base)
+
+
+def _headers(spark: SparkSession, path: str, kind: str, before: int | None):
+    """All headers below ``before`` and the newest of them, None if there is none."""
+    headers = read_written(spark, f"{path}/headers", HEADER)
+    if before is not None:
+        headers = headers.where(F.col("version") < before)
+    newest = headers.orderBy(F.desc("version")).first()
+    supported = (1, 2, TRANSFER_VERSION) if kind == "transfer" else (EXTRACTION_VERSION,)
+    if newest is not None and newest.layout not in supported:
+        raise ContractError("No reader for the layout of this state.")
+    return headers, newest
+
+
 def read_state_json(spark: SparkSession, path: str, kind: str = "transfer") -> State:
     """Load state stored as one JSON document with a map of files.
 

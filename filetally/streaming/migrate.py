@@ -29,9 +29,11 @@ from filetally.plans.delta import deduplicate_changes, plan_delta, split_delta
 from filetally.plans.migration import Plan, migration_inventory, skipped_files
 from filetally.plans.snapshot import plan_snapshot
 from filetally.plans.state import next_state, state_changes
+from filetally.schemas import TRANSFER_STATE
 from filetally.session import materialize
 from filetally.sources.listing import scope_listing
-from filetally.sources.state import Scope, read_state, write_state
+from filetally.sources.keyed_state import KeyedState
+from filetally.sources.state import Scope, read_header, read_state, write_header, write_state
 from filetally.streaming.runs import end_run, gather_run
 from filetally.sources.written import read_written
 
@@ -48,12 +50,15 @@ def migrate_batch(
     globs: list[str] | None = None,
     transfer: Callable[[DataFrame], DataFrame] | None = None,
     cursor: str | None = None,
+    keyed: bool = False,
 ) -> None:
     """One batch: everything is new when there is no state yet, else it is a delta.
 
     A batch is planned as one delta, so a rename and the tombstone of its old path belong in
     one batch; a stream of pages sees to that. ``cursor`` is what the state continues from,
     by default a name made of the batch id. Files over the size cap are listed in ``skipped``.
+    A ``keyed`` state is kept in buckets, of which a batch reads and writes those of the ids and
+    paths it names.
 
     ``transfer`` does the copying: it gets the transfer rows and returns those that
     succeeded. If one did not, the batch fails before its state and cursor are written, but what
@@ -68,12 +73,20 @@ def migrate_batch(
         return spark.read.schema(df.schema).parquet(folder)
 
     stored(skipped_files(batch, scope.path, max_mb, globs), "skipped")
-    state = read_state(spark, f"{target}/state", before=batch_id)
+    table = KeyedState(f"{target}/state")
+    if keyed:
+        nothing = spark.createDataFrame([], TRANSFER_STATE)
+        state = read_header(spark, f"{target}/state", nothing, before=batch_id)
+    else:
+        state = read_state(spark, f"{target}/state", before=batch_id)
     policies = {"rename_policy": rename_policy, "delete_policy": delete_policy}
     if state.can_resume:
         changed, tombstones = split_delta(batch, scope.path, max_mb, globs)
         changed = stored(deduplicate_changes(changed), "changes")
-        plan = plan_delta(changed, stored(tombstones, "tombstones"), state, scope=scope, **policies)
+        tombstones = stored(tombstones, "tombstones")
+        if keyed:
+            state = replace(state, files=table.named(changed, tombstones, batch_id))
+        plan = plan_delta(changed, tombstones, state, scope=scope, **policies)
     elif state.version is not None:
         raise ContractError("The state has no cursor; commit a complete snapshot first.")
     else:
@@ -93,8 +106,13 @@ def migrate_batch(
             f"Transfers of batch {batch_id} failed; its state was not advanced.",
         )
     files, operations = plan.state.files, plan.operations
+    after = cursor or f"batch-{batch_id}"
+    if keyed:
+        table.merge(state_changes(files, operations, sent), batch_id)
+        write_header(plan.state.advanced(files, after, scope), f"{target}/state", batch_id)
+        return
     advanced = plan.state.advanced(
-        next_state(files, operations, sent), cursor or f"batch-{batch_id}", scope
+        next_state(files, operations, sent), after, scope
     )
     changes = state_changes(files, operations, sent) if state.can_resume else None
     write_state(advanced, f"{target}/state", batch_id, changes=changes)

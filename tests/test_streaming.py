@@ -1,12 +1,14 @@
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import types as T
 
 from filetally.errors import ContractError
 from filetally.operators.keyed import dedupe_replay
 from filetally.operators.relations import entries
 from filetally.schemas import EXTRACTION_RESULT, LISTING_PAGE, LISTING_ROW, TRANSFER_STATE
 from filetally.sources.listing import stream_listing, stream_pages
-from filetally.sources.state import Scope, State, read_state, write_state
+from filetally.sources.keyed_state import KeyedState
+from filetally.sources.state import Scope, State, read_header, read_state, write_state
 from filetally.streaming import (
     current_entries,
     read_changes,
@@ -84,14 +86,21 @@ def versions(spark, path, **kwargs):
     return {r.file_id: (r.path, r.rev) for r in read_state(spark, path, **kwargs).files.collect()}
 
 
-def test_incremental_migration(feed, spark, tmp_path):
+@pytest.mark.parametrize("keyed", [False, True])
+def test_incremental_migration(feed, spark, tmp_path, keyed):
     target, checkpoint, scope = str(tmp_path / "m"), str(tmp_path / "cp"), Scope("/R")
 
     def run(*pages, **options):
         source = feed(*pages)
         start_migration_stream(stream_listing(spark, source), target, checkpoint, scope,
                                rename_policy="propagate", delete_policy="delete",
-                               **options).awaitTermination()
+                               keyed=keyed, **options).awaitTermination()
+        return state()
+
+    def state():
+        if keyed:
+            files = KeyedState(f"{target}/state").files(spark)
+            return {r.file_id: (r.path, r.rev) for r in files.collect()}
         return versions(spark, f"{target}/state")
 
     assert run(PAGES[0]) == {"id:a": ("a.pdf", "r1"), "id:b": ("b.pdf", "r1")}
@@ -108,12 +117,12 @@ def test_incremental_migration(feed, spark, tmp_path):
     added = [entry(6, "id:c", "/R/c.pdf"), entry(7, "id:d", "/R/d.pdf")]
     with pytest.raises(StreamingQueryException):  # one transfer fails: no progress of the state
         run([*moved, *added], transfer=only("id:c"))
-    assert versions(spark, f"{target}/state") == {"id:a": ("a.pdf", "r2")}
+    assert state() == {"id:a": ("a.pdf", "r2")}
     assert run(transfer=only("id:d")) == {
         "id:a": ("new.pdf", "r2"), "id:c": ("c.pdf", "r1"), "id:d": ("d.pdf", "r1")}
     assert asked == [["id:c", "id:d"], ["id:d"]]  # what was delivered is not asked for again
-    state = read_state(spark, f"{target}/state")
-    assert (state.version, state.base, state.cursor) == (2, 0, "batch-2")
+    head = read_header(spark, f"{target}/state", None)
+    assert (head.version, head.base, head.cursor) == (2, 2 if keyed else 0, "batch-2")
     decided = spark.read.parquet(f"{target}/decisions").where("batch_id = 2").collect()
     assert sorted((r.operation, r.file_id, r.transfer) for r in decided if r.operation) == [
         ("move", "id:a", False)]
@@ -216,3 +225,29 @@ def test_timeouts_are_settled_without_new_pages(feed, rows, spark, tmp_path):
     assert [a for a in asked[calls:] if a] == []  # a last wake-up may find nothing to do
     assert asked[0] == [("id:a", "r1"), ("id:b", "r1")]
     assert ("id:a", "r2") in asked[-1] or ("id:a", "r2") in asked[calls - 1]
+
+
+def test_a_keyed_state_reads_the_buckets_a_delta_names(rows, spark, tmp_path):
+    table = KeyedState(str(tmp_path / "keyed"), buckets=16)
+    FILES = T.StructType([*TRANSFER_STATE.fields, T.StructField("removed", T.BooleanType())])
+
+    def row(k, path=None, removed=False):
+        return {"file_id": f"id:{k}", "path": path or f"Dir/File-{k}", "rev": "r",
+                "content_hash": "h", "removed": removed}
+
+    table.merge(rows(FILES, *[row(k) for k in range(200)]), 0)
+    table.merge(rows(FILES, row(3, "moved/Straße"), row(4, removed=True), row(5, "dir/file-5")), 1)
+    table.merge(rows(FILES, row(3, "moved/Straße"), row(4, removed=True), row(5, "dir/file-5")), 1)
+    assert table.files(spark).count() == 199
+
+    def named(ids, paths):
+        found = table.named(
+            spark.createDataFrame([(f"id:{k}",) for k in ids], "file_id string"),
+            spark.createDataFrame([(p,) for p in paths], "path string"))
+        return {r.file_id: r.path for r in found.collect()}, found.inputFiles()
+
+    got, read = named([7, 4], ["DIR/FILE-9", "Dir/File-3", "MOVED/STRASSE", "dir/File-5", "none"])
+    assert got == {"id:7": "Dir/File-7", "id:9": "Dir/File-9", "id:3": "moved/Straße",
+                   "id:5": "dir/file-5"}
+    data = [f for f in read if "/by_id/rows/" in f]
+    assert 0 < len(data) <= 5 and not [f for f in read if "/by_path/" in f]
