@@ -209,3 +209,21 @@ def test_license_scan(docs, odd_rows):
     assert 0.9 < header.coverage < 1 and header.span.startswith("licensed under")
     assert [r.template for r in found if r.doc_id == 22] == ["CC-BY-NC-4.0"] * 3
     assert scan_licenses(docs().limit(0)).collect() == []
+
+
+def test_toxicity_learns_words_that_only_the_labels_reveal(docs, labels):
+    """Invented words, one of three to a toxic text and some in other spellings of its ending."""
+    marks, rows = [], []
+    for k in range(600):
+        words = prose(9000 + k, 50 + k % 30).split(" ")
+        toxic = int(k % 6 == 0)
+        if toxic:
+            words[::12] = [("grumpfel", "wozzakin", "schnäbt")[k // 6 % 3] + "eo"[j % 2]
+                           for j in range(len(words[::12]))]
+        rows.append((k, " ".join(words)))
+        marks.append((k, 1, toxic))
+    found = {r.doc_id: r for r in score_toxicity(docs(*rows), labels(*marks)).collect()}
+    held = [(found[k].predicted, toxic) for k, _, toxic in marks if crc(k) % 5 == 0]
+    caught = [p for p, toxic in held if toxic]
+    assert len(caught) > 10 and sum(caught) >= 0.9 * len(caught)
+    assert not any(p for p, toxic in held if not toxic)
