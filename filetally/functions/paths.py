@@ -80,8 +80,8 @@ def fold(col: str) -> str:
     """Full Unicode case folding.
 
     ASCII values, told by their length, only pay for ``lower``; Western European ones for a
-    search for one range of characters besides. The rest goes through one replacement per
-    tail.
+    search for one range of characters besides, before they are lowered. The rest goes through
+    one replacement per tail.
     """
     rules = _fold_rules()
     lowered = f"replace(replace(lower({col}), 'ß', 'ss'), 'µ', 'μ')"
@@ -94,7 +94,7 @@ def fold(col: str) -> str:
     )
     return (
         f"CASE WHEN octet_length({col}) = char_length({col}) THEN lower({col}) "
-        f"WHEN NOT {lowered} RLIKE {quote(rules.plain)} THEN {lowered} "
+        f"WHEN NOT {col} RLIKE {quote(rules.plain)} THEN {lowered} "
         f"ELSE translate(CASE WHEN {lowered} RLIKE {quote(rules.expanding)} "
         f"THEN {expanded} ELSE {lowered} END, {quote(rules.single_from)}, "
         f"{quote(rules.single_to)}) END"

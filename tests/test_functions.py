@@ -182,3 +182,14 @@ def test_media_types(spark):
 
 def test_literals_are_quoted(column):
     assert column(["/it's/a"], lambda c: fn.in_scope(c, "/It's")) == [True]
+
+
+def test_what_is_told_plain_before_lowering_folds_by_lowering():
+    """Below the first character with a folding of its own, lowering and two replacements do."""
+    from filetally.functions.paths import _fold_rules
+
+    first = min(map(ord, _fold_rules().single_from))
+    assert first > 0x140
+    for code in range(first):
+        lowered = chr(code).lower().replace("ß", "ss").replace("µ", "μ")
+        assert lowered == chr(code).casefold()
