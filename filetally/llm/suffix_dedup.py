@@ -356,11 +356,11 @@ def repeat_intervals(common, left, least, shortest: int = LEAST):
                 stack.append([now, begin, smallest, before])
 
 
-def bucket_repeats(data: np.ndarray, bounds: np.ndarray, least: np.ndarray):
-    """Repeats between distinct stretches that are older than those stretches.
+def bucket_repeats(data: np.ndarray, bounds: np.ndarray, least: np.ndarray, every: bool = False):
+    """Repeats between distinct stretches: arrays stretch, offset, size, smallest id.
 
-    Returns arrays stretch, offset, size, id: of each suffix only the repeats that have a
-    smaller id than any longer one it begins with.
+    With ``every`` there is an entry for each occurrence of each maximal repeat. Else only what
+    removal needs: of each suffix the repeats older than its stretch, and than any longer one.
     """
     sizes = np.diff(bounds)
     windows = sizes - LEAST + 1
@@ -384,7 +384,9 @@ def bucket_repeats(data: np.ndarray, bounds: np.ndarray, least: np.ndarray):
         for length, low, high, smallest in repeat_intervals(
             common.tolist(), left.tolist(), least[owner].tolist()
         ):
-            late = low + np.flatnonzero(oldest[low:high] > smallest)
+            late = np.arange(low, high)
+            if not every:
+                late = late[oldest[low:high] > smallest]
             if len(late):
                 oldest[late] = smallest
                 out[0].append(owner[late])
@@ -394,8 +396,19 @@ def bucket_repeats(data: np.ndarray, bounds: np.ndarray, least: np.ndarray):
     return [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
 
 
-def older_repeats(key, table):
-    """For ``applyInArrow``: the reply of a bucket to each part's stretches."""
+def repeat_finder(every: bool):
+    """Function for ``applyInArrow``: the reply of a bucket to each part's stretches.
+
+    With ``every`` repeat, ``least`` of a stretch that only one part has is ``NO_ID``.
+    """
+
+    def run(key, table):
+        return found_repeats(table, every)
+
+    return run
+
+
+def found_repeats(table: pa.Table, every: bool) -> pa.Table:
     rows = table.to_pylist()
     sizes = [np.frombuffer(r["sizes"], np.uint8).astype(np.int64) for r in rows]
     count = [len(s) for s in sizes]
@@ -411,7 +424,9 @@ def older_repeats(key, table):
     np.minimum.at(least, code, claimed)
     _, bounds, data = sent.dictionary.buffers()
     bounds = np.frombuffer(bounds, np.int64)[: len(least) + 1]
-    found = bucket_repeats(np.frombuffer(data, np.uint8)[: bounds[-1]], bounds, least)
+    found = bucket_repeats(np.frombuffer(data, np.uint8)[: bounds[-1]], bounds, least, every)
+    if every:
+        least = np.where(np.bincount(code, minlength=len(least)) > 1, least, NO_ID)
     order = np.argsort(found[0], kind="stable")
     stretch, offset, size, older = (c[order] for c in found)
     out, at = [], 0
@@ -446,36 +461,41 @@ KEPT = pa.schema(
 KEPT_SQL = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
 
 
-def removed_ranges(part: Part, replies: list[dict], bits: int):
-    """Start and end of every repeat that an earlier document has, in the part's bytes."""
-    groups = np.append(part.first, len(part.starts))
-    starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-
-    def add(group, offset, size, older):
-        """Occurrences of stretches, with a repeat each, in documents after ``older``."""
-        many = groups[group + 1] - groups[group]
-        index = np.arange(many.sum()) + np.repeat(groups[group] - np.cumsum(many) + many, many)
-        late = part.ids[part.owner[index]] > np.repeat(older, many)
-        begin = part.starts[index[late]] + np.repeat(offset, many)[late]
-        starts.append(begin)
-        ends.append(begin + np.repeat(size, many)[late])
+def part_entries(part: Part, replies: list[dict], bits: int):
+    """Repeats within the part's groups of equal stretches: group, offset, size, smallest id.
 
+    For each bucket first the stretches as a whole, then what was found inside them.
+    """
     by_bucket = {r["bucket"]: r for r in replies if r["least"] is not None}
     for bucket, low, high in bucket_ranges(part.keys[part.first], bits):
         r = by_bucket[bucket]
         whole = np.arange(low, high)
-        add(
-            whole,
-            np.zeros(high - low, np.int64),
-            part.windows[part.first[whole]] + LEAST - 1,
-            np.frombuffer(r["least"], np.int64),
-        )
-        add(
+        sizes = part.windows[part.first[whole]] + LEAST - 1
+        yield whole, np.zeros(high - low, np.int64), sizes, np.frombuffer(r["least"], np.int64)
+        yield (
             low + np.frombuffer(r["at"], np.uint32).astype(np.int64),
             np.frombuffer(r["offset"], np.uint8).astype(np.int64),
             np.frombuffer(r["size"], np.uint8).astype(np.int64),
             np.frombuffer(r["older"], np.int64),
         )
+
+
+def occurrences_of(part: Part, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of each group one after another, and how many each has."""
+    groups = np.append(part.first, len(part.starts))
+    many = groups[group + 1] - groups[group]
+    return np.arange(many.sum()) + np.repeat(groups[group] - np.cumsum(many) + many, many), many
+
+
+def removed_ranges(part: Part, replies: list[dict], bits: int):
+    """Start and end of every repeat that an earlier document has, in the part's bytes."""
+    starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for group, offset, size, older in part_entries(part, replies, bits):
+        index, many = occurrences_of(part, group)
+        late = part.ids[part.owner[index]] > np.repeat(older, many)
+        begin = part.starts[index[late]] + np.repeat(offset, many)[late]
+        starts.append(begin)
+        ends.append(begin + np.repeat(size, many)[late])
     starts, ends = np.concatenate(starts), np.concatenate(ends)
     order = np.argsort(starts, kind="stable")
     starts, ends = starts[order], ends[order]
@@ -488,6 +508,39 @@ def removed_ranges(part: Part, replies: list[dict], bits: int):
     return starts[first], np.maximum.reduceat(ends, first)
 
 
+OCCURRENCES = pa.schema([("repeat", pa.binary()), ("doc_id", pa.int64()), ("start", pa.int64())])
+OCCURRENCES_SQL = "repeat binary, doc_id long, start long"
+
+
+def occurrence_lister(key_bits: int, bits: int):
+    """Function for a cogroup: every occurrence of every maximal repeat in a part."""
+
+    def run(key, table, replies):
+        if not table.num_rows:
+            return OCCURRENCES.empty_table()
+        answers = replies.to_pylist()
+        part = masked_part(table, answers, key_bits)
+        ids = table.column("doc_id").combine_chunks().cast(pa.int64())
+        out = [OCCURRENCES.empty_table()]
+        for k, (group, offset, size, least) in enumerate(part_entries(part, answers, bits)):
+            index, many = occurrences_of(part, group)
+            if k % 2 == 0:  # a whole stretch is a repeat if it occurs again, here or elsewhere
+                again = np.repeat((many > 1) | (least != NO_ID), many)
+            else:
+                again = np.ones(len(index), dtype=bool)
+            begin = (part.starts[index] + np.repeat(offset, many))[again]
+            sizes, owner = np.repeat(size, many)[again], part.owner[index][again]
+            ends = np.cumsum(sizes)
+            data = pa.py_buffer(gathered(part.data, begin, sizes).tobytes())
+            limits = pa.py_buffer(np.append(0, ends).astype(np.int32))
+            repeats = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, limits, data])
+            columns = [repeats, ids.take(pa.array(owner)), pa.array(begin - part.bounds[owner])]
+            out.append(pa.table(columns, schema=OCCURRENCES))
+        return pa.concat_tables(out)
+
+    return run
+
+
 def remover(key_bits: int, bits: int):
     """Function for a cogroup: what is left of each document of a part."""
 
@@ -537,17 +590,8 @@ def bucketed(docs: DataFrame, buckets: int, split: int) -> DataFrame:
     return spark.table(name)
 
 
-def remove_repeats(docs: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
-    """Each document without the bytes that an earlier document has, too.
-
-    Removed is every byte covered by a string of ``LEAST`` bytes that also starts in a row of
-    ``docs`` (doc_id, text) with a smaller doc_id, judged on the whole input. Columns: doc_id,
-    n_bytes, spans (removed ranges of bytes, maximal and in order) and kept (the remaining
-    bytes). A null text is empty; texts of fewer bytes are kept whole, long ones are worked on
-    whole. A null id is larger than all others. Rows of one id are compared with smaller ids
-    only, so they never remove each other, and equal rows have equal results. An empty table
-    gives no rows. Only doc_id and text are read, so other columns cannot clash.
-    """
+def exchanged(docs: DataFrame, per_bucket: int, every: bool):
+    """The stored documents, the buckets' replies, and the bits that tell buckets apart."""
     spark = docs.sparkSession
     read = docs.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("text")).alias("n"))
     size = read.agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
@@ -566,15 +610,47 @@ def remove_repeats(docs: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
         .applyInArrow(stretch_sender(key_bits, bits), STRETCHES_SQL)
     )
     found = materialize(
-        stretches.groupBy("bucket").applyInArrow(older_repeats, REPLIES_SQL), "suffix-repeats"
+        stretches.groupBy("bucket").applyInArrow(repeat_finder(every), REPLIES_SQL),
+        "suffix-repeats",
     )
+    return stored, masks.unionByName(found), key_bits, bits
+
+
+def remove_repeats(docs: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
+    """Each document without the bytes that an earlier document has, too.
+
+    Removed is every byte covered by a string of ``LEAST`` bytes that also starts in a row of
+    ``docs`` (doc_id, text) with a smaller doc_id, judged on the whole input. Columns: doc_id,
+    n_bytes, spans (removed ranges of bytes, maximal and in order) and kept (the remaining
+    bytes). A null text is empty; texts of fewer bytes are kept whole, long ones are worked on
+    whole. A null id is larger than all others. Rows of one id are compared with smaller ids
+    only, so they never remove each other, and equal rows have equal results. An empty table
+    gives no rows. Only doc_id and text are read, so other columns cannot clash.
+    """
+    stored, replies, key_bits, bits = exchanged(docs, per_bucket, every=False)
     return (
         stored.groupBy("part")
-        .cogroup(masks.unionByName(found).groupBy("part"))
+        .cogroup(replies.groupBy("part"))
         .applyInArrow(remover(key_bits, bits), KEPT_SQL)
     )
 
 
+def repeat_groups(docs: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
+    """Maximal repeats of at least ``LEAST`` bytes with all their occurrences, within documents, too.
+
+    One row for each occurrence: repeat (its bytes), doc_id, start. Repeats are maximal within
+    stretches, so one of more bytes than a stretch shows as several that overlap. A group has
+    rows as it has occurrences, nested repeats at most as many as a stretch has windows. Null
+    and short texts have none. Only doc_id and text are read.
+    """
+    stored, replies, key_bits, bits = exchanged(docs, per_bucket, every=True)
+    return (
+        stored.groupBy("part")
+        .cogroup(replies.groupBy("part"))
+        .applyInArrow(occurrence_lister(key_bits, bits), OCCURRENCES_SQL)
+    )
+
+
 def digest_columns(kept: DataFrame) -> DataFrame:
     """Counts and digest of what was removed and kept, one row per document."""
     return kept.selectExpr(

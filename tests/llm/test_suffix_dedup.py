@@ -7,7 +7,13 @@ import numpy as np
 import pytest
 
 from filetally.llm import suffix_dedup
-from filetally.llm.suffix_dedup import digest_columns, remove_repeats, repeat_intervals, suffix_array
+from filetally.llm.suffix_dedup import (
+    digest_columns,
+    remove_repeats,
+    repeat_groups,
+    repeat_intervals,
+    suffix_array,
+)
 
 from .conftest import prose
 
@@ -115,3 +121,32 @@ def test_intervals_are_the_maximal_repeats(seed):
     expected = maximal_repeats(texts, 2)
     assert {s: at for s, (at, _) in found.items()} == expected
     assert all(known == min(i for i, _ in at) for at, known in found.values())
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_groups_have_all_occurrences(docs, monkeypatch, parts):
+    """Copies with changes: each repeat is named wherever it stands, and their union is whole."""
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 3000)
+    whole, other = prose(50, 60), prose(51, 25)
+    rows = [(k, whole[: 40 * k] + f"<{k}>" + whole[40 * k :]) for k in range(8)]
+    rows += [(20, other + " / " + other), (21, prose(52, 80)), (22, other), (22, other), (23, None)]
+    made = repeat_groups(docs(*rows).repartition(parts), 50).collect()
+    groups = {}
+    for r in made:
+        groups.setdefault(bytes(r.repeat), set()).add((r.doc_id, r.start))
+    texts = {i: (t or "").encode() for i, t in rows}
+    assert len(made) >= sum(map(len, groups.values())) > 0
+    covered = {i: set() for i in texts}
+    for repeat, at in groups.items():
+        everywhere = {
+            (i, p) for i, t in texts.items() for p in range(len(t)) if t.startswith(repeat, p)
+        }
+        assert len(repeat) >= 50 and at == everywhere
+        assert len(at) > 1 or at == {(22, 0)}  # the id of two equal rows
+        for i, p in at:
+            covered[i].update(range(p, p + len(repeat)))
+    for i, t in texts.items():
+        windows = [p for p in range(len(t) - 49) if sum(
+            o.startswith(t[p : p + 50], q) for j, o in texts.items() for q in range(len(o))) > 1 or i == 22]
+        assert covered[i] == {b for p in windows for b in range(p, p + 50)}
+    assert repeat_groups(docs().limit(0)).collect() == []
