@@ -3,10 +3,20 @@
 from pyspark.sql import functions as F
 
 from filetally import functions as fn
-from filetally.catalog.migration import SUFFIXES
-from filetally.catalog.registry import file_listing, query
+from filetally.catalog.inventory import (
+    _ACL,
+    _LINKS,
+    _PROPERTIES,
+    _acl,
+    _landed_folders,
+    _landed_links,
+    _properties,
+)
+from filetally.catalog.migration import _CONTENTS, EXTRACTED, SUFFIXES, _contents
+from filetally.catalog.registry import change_listing, file_listing, query
 from filetally.fixtures import fixture, table
-from filetally.operators.contract import check_state
+from filetally.operators import relations
+from filetally.operators.contract import check_contract, check_state
 from filetally.operators.records import validate_records
 from filetally.operators.versions import skipped_documents
 from filetally.plans.migration import skipped_files
@@ -114,3 +124,56 @@ def extraction_state_contract(spark, sf):
         F.when(~F.col("path").startswith("gone/"), F.col("path")).alias("path"),
     )
     return check_state(state.select("file_id", "rev", "content_hash", "path"), "extraction")
+
+
+@query(
+    f"""WITH {_PROPERTIES}, {_LINKS}, {_ACL}, {_CONTENTS}
+      SELECT * FROM (VALUES
+        ('entries', 6, (SELECT count(*) FROM fx_change_log WHERE entry_type = 'folder')),
+        ('files', 2, (SELECT count(*) FROM fx_source WHERE size % 2 = 0)),
+        ('folders', 2, (SELECT count(*) FROM fx_change_log WHERE entry_type = 'folder'
+          AND ends_with(name, '3'))),
+        ('file_properties', 5, (SELECT count(*) FROM p WHERE field_name = 'size')),
+        ('shared_links', 10, (SELECT count(*) FROM l WHERE link_type = 'folder')),
+        ('shared_folders', 2, (SELECT count(*) FROM fx_shared_folders WHERE access_type = 'viewer')),
+        ('sharing_acl', 6, (SELECT count(*) FROM acl WHERE principal_type = 'group')),
+        ('file_contents', 7, (SELECT count(*) FROM f WHERE extraction_status = 'failed')))
+        AS v(stream, rules, violations)""",
+    uses=" ".join(
+        dict.fromkeys(
+            "fx_change_log fx_source fx_properties fx_templates fx_links fx_members"
+            f" fx_shared_folders {EXTRACTED}".split()
+        )
+    ),
+)
+def stream_contracts(spark, sf):
+    """The declared contract of every stream, each with one of its rules broken on purpose."""
+
+    def broken(rows, column, bad, value=None):
+        """The column changed where ``bad`` holds; nothing else is touched."""
+        return rows.withColumn(column, F.when(F.expr(bad), F.lit(value)).otherwise(F.col(column)))
+
+    changes = change_listing(spark, sf)
+    links = relations.shared_links(_landed_links(spark, sf), "/web")
+    streams = {
+        "entries": broken(relations.entries(changes), "operation", "entry_type = 'folder'", "touch"),
+        "files": broken(relations.files(file_listing(spark, sf, "fx_source")), "name", "size % 2 = 0"),
+        "folders": broken(relations.folders(changes), "id", "endswith(name, '3')"),
+        "file_properties": broken(_properties(spark, sf), "field_name", "field_name = 'size'"),
+        "shared_links": broken(links, "link_type", "link_type = 'folder'", "directory"),
+        "shared_folders": broken(
+            relations.shared_folders(_landed_folders(spark, sf)), "name", "access_type = 'viewer'"
+        ),
+        "sharing_acl": broken(_acl(spark, sf), "principal_type", "principal_type = 'group'", "crowd"),
+        "file_contents": broken(
+            _contents(spark, sf), "extraction_status", "extraction_status = 'failed'", "broken"
+        ),
+    }
+    found = None
+    for stream, rows in streams.items():
+        counts = check_contract(rows, stream).agg(
+            F.count("*").alias("rules"), F.sum("violations").alias("violations")
+        )
+        counted = counts.select(F.lit(stream).alias("stream"), "rules", "violations")
+        found = counted if found is None else found.unionByName(counted)
+    return found
