@@ -33,7 +33,7 @@ from filetally.llm.text import (
     word_bounds,
 )
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 NEAR = 5  # words between an insult and a second-person word
 STRETCH = 64  # words of the densest stretch
 PARTS = 4  # of the labelled texts, for the learned lexicon
@@ -187,6 +187,9 @@ def measure(data, bounds, abuse, second, learned: Learned) -> np.ndarray:
     again[1:] = sign[1:] & (data[1:] == data[:-1])
     inner = np.zeros(len(data), dtype=bool)
     inner[1:-1] = sign[1:-1] & letters[:-2] & letters[2:]
+    filled = np.diff(bounds) > 0  # what touches another text is no neighbour
+    firsts, lasts = bounds[:-1][filled], bounds[1:][filled] - 1
+    again[firsts] = inner[firsts] = inner[lasts] = False
     size = np.maximum(chars(solid), 1)
     n = np.maximum(total, 1)
     odds = []

@@ -227,3 +227,21 @@ def test_toxicity_learns_words_that_only_the_labels_reveal(docs, labels):
     caught = [p for p, toxic in held if toxic]
     assert len(caught) > 10 and sum(caught) >= 0.9 * len(caught)
     assert not any(p for p, toxic in held if not toxic)
+
+
+def test_toxicity_features_do_not_depend_on_neighbours():
+    import pyarrow as pa
+
+    from filetally.llm.toxicity import (
+        ABUSE, NOTHING, SECOND_PERSON, Learned, lexicon, matrix_of,
+    )
+
+    rows = ["!!a", "b!", "!", "", "a", "!b", None, "you IDIOT!!", "!!", "st0pid x.y", "é.", "ü"]
+    known = lexicon(ABUSE), lexicon(SECOND_PERSON), Learned(NOTHING, NOTHING)
+
+    def measured(texts):
+        return matrix_of(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), *known)
+
+    alone = np.concatenate([measured([t]) for t in rows])
+    assert np.allclose(measured(rows), alone)
+    assert np.allclose(measured(rows[::-1])[::-1], alone)
