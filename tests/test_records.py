@@ -13,7 +13,7 @@ from filetally.operators.records import (
 )
 from filetally.schemas import FILE_RECORD, OPERATION, STAGED_REFERENCE
 from filetally.sources.records import plan_writes, write_records
-from filetally.sources.staged import read_staged
+from filetally.sources.staged import file_digests, read_staged, write_staged
 
 TEXT = b"hello world"
 DIGEST = hashlib.sha256(TEXT).hexdigest()
@@ -270,3 +270,41 @@ def test_checkpoint_gate(spark):
         "run int, idx int, kind string, failed boolean")
     got = {(r.run, r.idx): r.released for r in releasable_checkpoints(log).collect()}
     assert got == {(1, 1): True, (1, 3): False, (1, 5): False, (2, 0): True}
+
+
+def test_rows_staged_as_files_are_listed_and_read_by_the_tasks(spark, tmp_path):
+    texts = {f"a=%{i} é.txt": f"text {i}\n".encode() for i in range(40)} | {"empty.txt": b""}
+    staged = spark.createDataFrame(list(texts.items()), "name string, content binary")
+    for _ in range(2):  # a repeated task writes the same again
+        assert write_staged(staged, f"file://{tmp_path}") == 41
+    (tmp_path / "_hidden").mkdir()
+    (tmp_path / "_hidden" / "empty.txt").write_bytes(b"x")
+    listed = read_staged(spark, str(tmp_path), content=False)
+    assert listed.inputFiles() and not any("folder=" in f for f in listed.inputFiles())
+    got = {r.path: r.length for r in listed.collect()}
+    assert {p.rsplit("/", 1)[1]: n for p, n in got.items()} == {
+        name: len(content) for name, content in texts.items()
+    }
+    digests = file_digests(listed)
+    assert digests.rdd.getNumPartitions() == 2  # as many as there are tasks, however short
+    assert {r.path.rsplit("/", 1)[1]: r.digest for r in digests.collect()} == {
+        name: hashlib.sha256(content).hexdigest() for name, content in texts.items()
+    }
+
+
+def test_names_are_listed_as_sparks_reader_lists_them(spark, tmp_path):
+    names = ["part-1.txt", "part-12.txt", "part-a.csv", "part-(1).txt", "a^b.txt", "a,b.txt", "x]",
+             "line\nbreak.txt", ".hidden.txt", "_hidden.txt", "_a=b.txt", "copy.txt._COPYING_"]
+    for folder in ("", "_skipped", ".skipped", "k=1/deep", "empty"):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        for name in names if folder != "empty" else ():
+            (tmp_path / folder / name).write_text(name)
+    patterns = [None, "part-*.txt", "part-?.txt", "part-[0-9].txt", "part-[!0-9]*", "*.{csv,txt}",
+                "a^b.txt", "{a^b,copy}.txt", "part-(1).txt", r"part-\?.txt", "a,b*", "*]"]
+    for pattern in patterns:
+        sparks, tasks = (
+            {(r.path, r.length) for r in read_staged(spark, str(tmp_path), pattern, c)
+             .select("path", "length").collect()}
+            for c in (True, False)
+        )
+        assert tasks == sparks, pattern
