@@ -166,11 +166,12 @@ def streamed_extraction_retries(spark, sf):
         "CASE WHEN status <> 'timed_out' THEN error_type END AS error_type",
     )
     folder = scratch(spark, "retried-pages")
-    files = file_listing(spark, sf, "fx_source")
-    files.coalesce(1).write.parquet(folder)
+    file_listing(spark, sf, "fx_source").write.parquet(folder)
     for answers in (results, late):
+        # All that has landed is one batch, so what times out in it is left to the second run.
+        listing = stream_listing(spark, folder, layout="rows", files_per_trigger=None)
         start_extraction_stream(
-            stream_listing(spark, folder, layout="rows"), target, f"{target}-checkpoint",
+            listing, target, f"{target}-checkpoint",
             lambda due, answers=answers: answers.join(due.select("file_id"), "file_id", "left_semi"),
             SUFFIXES, 1,
         ).awaitTermination()
