@@ -27,11 +27,18 @@ from filetally.streaming import (
 )
 
 
+LANDED = 250_000  # rows of a landed file: what a task sorts at once
+
+
 def _landed(spark, rows, label):
-    """Listing rows landed as a few files by page range, as a feed would deliver them."""
+    """Listing rows landed as files by page range, as a feed would deliver them, in two batches.
+
+    Their number follows the rows, so that a file holds as many whatever the size of the feed.
+    """
     path = scratch(spark, label)
-    rows.repartitionByRange(2, "page").sortWithinPartitions("ordinal").write.parquet(path)
-    return stream_listing(spark, path, layout="rows")
+    files = max(2, -(-rows.count() // LANDED))
+    rows.repartitionByRange(files, "page").sortWithinPartitions("ordinal").write.parquet(path)
+    return stream_listing(spark, path, layout="rows", files_per_trigger=-(-files // 2))
 
 
 def _changes(spark, sf):

@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from filetally.catalog import streams
+from filetally.catalog import QUERIES, streams
 from filetally.session import shared_folder
 
 
@@ -40,3 +40,15 @@ def test_retried_documents_land_as_one_batch_of_several_files(spark, tables):
         f: 2 if n % 13 == 5 and n % 11 != 3 else 1 for f, n in ((f, int(f[3:])) for f in got)
     }
     assert 2 in got.values()
+
+
+@pytest.mark.parametrize("name, label, batch_form", [
+    ("streamed_changes", "change-pages", "change_entries")])
+def test_files_of_a_feed_follow_its_rows(spark, tables, monkeypatch, name, label, batch_form):
+    monkeypatch.setattr(streams, "LANDED", 200, raising=False)
+    got = sorted(map(tuple, getattr(streams, name)(spark, tables).collect()))
+    assert got == sorted(map(tuple, QUERIES[batch_form](spark, tables).collect()))
+    files = landed(spark, label)
+    pages = [{r.page for r in spark.read.parquet(str(f)).select("page").distinct().collect()}
+             for f in files]
+    assert len(files) == 6 and sum(map(len, pages)) == 12  # a page is in one file
