@@ -44,7 +44,8 @@ def test_retried_documents_land_as_one_batch_of_several_files(spark, tables):
 
 @pytest.mark.parametrize("name, label, batch_form", [
     ("streamed_changes", "change-pages", "change_entries"),
-    ("streamed_current_entries", "change-pages", "current_entries")])
+    ("streamed_current_entries", "change-pages", "current_entries"),
+    ("streamed_entry_view", "view-pages", "current_entries")])
 def test_files_of_a_feed_follow_its_rows(spark, tables, monkeypatch, name, label, batch_form):
     monkeypatch.setattr(streams, "LANDED", 200, raising=False)
     got = sorted(map(tuple, getattr(streams, name)(spark, tables).collect()))
