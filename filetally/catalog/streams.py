@@ -206,14 +206,18 @@ def streamed_entry_view(spark, sf):
 
 
 def _in_order(spark, rows, label, column, parts):
-    """A stream of rows that landed in ``parts`` files by ranges of a column."""
+    """Land ``parts`` ranges of a column one after the other; a stream of rows after each.
+
+    A run of the stream takes what has landed since the one before as one batch, so a range may
+    land in as many files as its tasks write.
+    """
     folder = scratch(spark, label)
     low, high = rows.agg(F.min(column), F.max(column)).first()
     width = -(-(high - low + 1) // parts)
     for k in range(parts):
         part = rows.where(F.col(column).between(low + k * width, low + (k + 1) * width - 1))
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        part.write.mode("append").parquet(folder)
+        yield spark.readStream.schema(rows.schema).parquet(folder)
 
 
 @query(
@@ -231,9 +235,9 @@ def _in_order(spark, rows, label, column, parts):
 def streamed_records(spark, sf):
     """Every record, sound or not, through the sink in three batches: the ledger."""
     target = scratch(spark, "record-stream")
-    raw = _in_order(spark, fixture(spark, sf, "fx_records"), "landed-records", "idx", 3)
-    checked = validate_records(raw, "/Exports", max_mb=1, streams=["documents"])
-    start_record_stream(checked, target, f"{target}-checkpoint").awaitTermination()
+    for raw in _in_order(spark, fixture(spark, sf, "fx_records"), "landed-records", "idx", 3):
+        checked = validate_records(raw, "/Exports", max_mb=1, streams=["documents"])
+        start_record_stream(checked, target, f"{target}-checkpoint").awaitTermination()
     return read_ledger(spark, target)
 
 
@@ -248,12 +252,12 @@ def streamed_records(spark, sf):
 def streamed_files(spark, sf):
     """Sound records sent to 97 paths in three batches: later batches supersede earlier ones."""
     target = scratch(spark, "file-stream")
-    raw = _in_order(spark, fixture(spark, sf, "fx_records"), "landed-files", "idx", 3)
-    checked = validate_records(raw, "/Exports", max_mb=1, streams=["documents"])
-    sound = checked.where("error IS NULL").withColumn(
-        "destination_path", F.concat(F.lit("f/"), (F.col("idx") % 97).cast("string"))
-    )
-    start_record_stream(sound, target, f"{target}-checkpoint").awaitTermination()
+    for raw in _in_order(spark, fixture(spark, sf, "fx_records"), "landed-files", "idx", 3):
+        checked = validate_records(raw, "/Exports", max_mb=1, streams=["documents"])
+        sound = checked.where("error IS NULL").withColumn(
+            "destination_path", F.concat(F.lit("f/"), (F.col("idx") % 97).cast("string"))
+        )
+        start_record_stream(sound, target, f"{target}-checkpoint").awaitTermination()
     return read_records(spark, target).select(
         "idx", "destination_path", F.md5("content").alias("content_md5")
     )
@@ -263,8 +267,8 @@ def streamed_files(spark, sf):
 def streamed_checkpoints(spark, sf):
     """Checkpoints released as the log arrives, in three batches."""
     target = scratch(spark, "gate")
-    log = _in_order(spark, fixture(spark, sf, "fx_write_log"), "landed-log", "idx", 3)
-    start_gate_stream(log, target, f"{target}-checkpoint").awaitTermination()
+    for log in _in_order(spark, fixture(spark, sf, "fx_write_log"), "landed-log", "idx", 3):
+        start_gate_stream(log, target, f"{target}-checkpoint").awaitTermination()
     return read_checkpoints(spark, target).select(
         F.col("run").cast("long").alias("run"), "idx", "path", "released"
     )

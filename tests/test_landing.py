@@ -54,3 +54,9 @@ def test_files_of_a_feed_follow_its_rows(spark, tables, monkeypatch, name, label
     pages = [{r.page for r in spark.read.parquet(str(f)).select("page").distinct().collect()}
              for f in files]
     assert len(files) == 6 and sum(map(len, pages)) == 12  # a page is in one file
+
+
+def test_ranges_of_files_land_in_several_files_a_batch(spark, tables):
+    got = sorted(map(tuple, streams.streamed_files(spark, tables).collect()))
+    assert got == sorted(map(tuple, QUERIES["written_records"](spark, tables).collect()))
+    assert len(landed(spark, "landed-files")) > 3
