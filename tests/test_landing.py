@@ -60,3 +60,12 @@ def test_ranges_of_files_land_in_several_files_a_batch(spark, tables):
     got = sorted(map(tuple, streams.streamed_files(spark, tables).collect()))
     assert got == sorted(map(tuple, QUERIES["written_records"](spark, tables).collect()))
     assert len(landed(spark, "landed-files")) > 3
+
+
+def test_ranges_of_records_land_in_several_files_a_batch(spark, tables):
+    got = {r.idx: r.outcome for r in streams.streamed_records(spark, tables).collect()}
+    assert got == {0: "written", 1: "invalid"} | {i: "not_reached" for i in range(2, 240)}
+    assert len(landed(spark, "landed-records")) > 3
+    ledger = max(Path(shared_folder(spark), "filetally").glob("record-stream-*/ledger"),
+                 key=lambda f: f.stat().st_mtime)
+    assert [f.name for f in sorted(ledger.glob("batch_id=*"))] == [f"batch_id={k}" for k in range(3)]
