@@ -30,13 +30,18 @@ from filetally.streaming import (
 LANDED = 250_000  # rows of a landed file: what a task sorts at once
 
 
+def _pieces(rows, least):
+    """Into how many pieces of about ``LANDED`` rows the rows go, ``least`` at least."""
+    return max(least, -(-rows.count() // LANDED))
+
+
 def _landed(spark, rows, label):
     """Listing rows landed as files by page range, as a feed would deliver them, in two batches.
 
     Their number follows the rows, so that a file holds as many whatever the size of the feed.
     """
     path = scratch(spark, label)
-    files = max(2, -(-rows.count() // LANDED))
+    files = _pieces(rows, 2)
     rows.repartitionByRange(files, "page").sortWithinPartitions("ordinal").write.parquet(path)
     return stream_listing(spark, path, layout="rows", files_per_trigger=-(-files // 2))
 
@@ -197,10 +202,15 @@ def streamed_extraction_retries(spark, sf):
     uses="fx_change_log",
 )
 def streamed_entry_view(spark, sf):
-    """Latest row per key, kept up to date page by page in the buckets of its keys."""
+    """Latest row per key, kept up to date page by page in the buckets of its keys.
+
+    A bucket is merged by one task, so their number follows the rows of the feed: there are never
+    more keys.
+    """
     target = scratch(spark, "entry-view")
-    listing = _landed(spark, change_listing(spark, sf), "view-pages")
-    view = entry_view(listing, target, buckets=16)
+    changes = change_listing(spark, sf)
+    listing = _landed(spark, changes, "view-pages")
+    view = entry_view(listing, target, buckets=_pieces(changes, 16))
     start_view_stream(listing, view, f"{target}-checkpoint").awaitTermination()
     return view.read(spark).select(*_ENTRY_COLUMNS)
 

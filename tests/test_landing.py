@@ -56,6 +56,16 @@ def test_files_of_a_feed_follow_its_rows(spark, tables, monkeypatch, name, label
     assert len(files) == 6 and sum(map(len, pages)) == 12  # a page is in one file
 
 
+def test_buckets_of_a_view_follow_its_feed(spark, tables, monkeypatch):
+    monkeypatch.setattr(streams, "LANDED", 40, raising=False)
+    got = sorted(map(tuple, streams.streamed_entry_view(spark, tables).collect()))
+    assert got == sorted(map(tuple, QUERIES["current_entries"](spark, tables).collect()))
+    view = max(Path(shared_folder(spark), "filetally").glob("entry-view-*/rows"),
+               key=lambda f: f.stat().st_mtime)
+    buckets = {int(f.name.removeprefix("bucket=")) for f in view.glob("batch_id=*/bucket=*")}
+    assert len(buckets) > 16 and buckets <= set(range(30))  # 1,200 rows, 40 to a bucket at most
+
+
 def test_ranges_of_files_land_in_several_files_a_batch(spark, tables):
     got = sorted(map(tuple, streams.streamed_files(spark, tables).collect()))
     assert got == sorted(map(tuple, QUERIES["written_records"](spark, tables).collect()))
