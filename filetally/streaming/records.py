@@ -52,8 +52,10 @@ def settle_batch(
                 taken = taken.unionByName(existing.select("destination_path"))
         plan = plan_writes(fresh, taken, policy)
     plan = materialize(plan, "batch-plan")
-    winners = plan.where("outcome = 'written'").select("idx")
-    files = fresh.select(*WRITTEN).join(winners, "idx", "left_semi")
+    # The bytes meet the indexes alone, once: where these are few, they are broadcast by their
+    # measured size and the bytes stay in place. A plan's paths would hide how few they are.
+    winners = materialize(plan.where("outcome = 'written'").select("idx"), "batch-winners")
+    files = batch.select(*WRITTEN).join(winners, "idx", "left_semi")
     files.write.mode("overwrite").parquet(f"{target}/files/batch_id={batch_id}")
     plan.write.mode("overwrite").parquet(f"{target}/ledger/batch_id={batch_id}")
 

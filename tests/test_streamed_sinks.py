@@ -1,3 +1,5 @@
+from hashlib import sha512
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,31 @@ def run_records(spark, folder, tmp_path, **options):
     return target, {r.idx: r.outcome for r in read_ledger(spark, target).collect()}
 
 
+def test_bytes_of_a_batch_stay_where_they_are(spark, rows, tmp_path):
+    paths = [f"{sha512(b'%d' % i).hexdigest()}/{i}" for i in range(400)]
+    records(rows, *paths).repartitionByRange(8, "idx").write.parquet(str(tmp_path / "in"))
+    batch = validate_records(spark.read.schema(FILE_RECORD).parquet(str(tmp_path / "in")), "/R")
+    # The plan is above this size, the indexes of the files are below.
+    session = {"spark.sql.autoBroadcastJoinThreshold": "16k", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in session}
+    try:
+        for name, value in session.items():
+            spark.conf.set(name, value)
+        for batch_id in (0, 1):  # the second one has nothing but replays
+            settle_batch(batch, batch_id, str(tmp_path / "target"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    landed, held = (
+        [{r.idx for r in spark.read.parquet(str(f)).select("idx").collect()}
+         for f in (tmp_path / folder).glob("*.parquet")]
+        for folder in ("in", "target/files/batch_id=0")
+    )
+    assert sorted(i for h in held for i in h) == list(range(400)) and len(landed) == 8
+    assert all(any(part <= h for h in held) for part in landed)
+    assert spark.read.parquet(str(tmp_path / "target/files/batch_id=1")).count() == 0
+
+
 def test_records_over_several_batches_equal_one_run(spark, rows, land, tmp_path):
     one, two = records(rows, "a", "b", "a"), records(rows, "b", "c", "../bad", "d", first=3)
     target, outcomes = run_records(spark, land("in", one, one, two, two), tmp_path)
