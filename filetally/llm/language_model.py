@@ -11,6 +11,10 @@ gradient of the whole corpus. The word factor uses the exact counts of all train
 Texts are tokenised once into chunks: token codes with the chunk's own vocabulary. Vocabularies
 meet the corpus counts in a shuffle join and return to their chunk, so the dictionary is never
 held whole anywhere. Chunks hold about ``CHUNK`` bytes of text, or one longer text.
+
+A chunk's vocabulary has some 100,000 words. It is kept as compressed bytes and becomes rows in
+the Python workers, a few at a time: as arrays of the JVM it filled the executors' heaps, and
+pages and row groups of many chunks the buffers beside them.
 """
 
 from __future__ import annotations
@@ -40,14 +44,21 @@ CHUNKS = pa.schema(
         ("sizes", pa.list_(pa.int32())),
         ("wide", pa.bool_()),
         ("codes", pa.binary()),
-        ("words", pa.list_(pa.string())),
-        ("counts", pa.list_(pa.int64())),
+        ("words", pa.binary()),
+        ("counts", pa.binary()),
     ]
 )
 CHUNKS_SQL = (
     "chunk long, ids array<long>, trained array<boolean>, sizes array<int>, wide boolean, "
-    "codes binary, words array<string>, counts array<long>"
+    "codes binary, words binary, counts binary"
 )
+# A reader holds a row group, and a codec a page; unless told, Parquet looks at sizes only after
+# 100 rows, which are 100 chunks.
+STORED = {
+    "parquet.block.size": 8 << 20,
+    "parquet.block.size.row.check.min": 1,
+    "parquet.page.size.row.check.min": 1,
+}
 
 
 @dataclass(frozen=True)
@@ -91,11 +102,8 @@ def tokenise(batches):
                 sizes=[sizes.astype(np.int32)],
                 wide=[wide],
                 codes=[packed(codes, wide)],
-                words=pa.ListArray.from_arrays(
-                    pa.array([0, len(kinds)], pa.int32()),
-                    slices(lower, starts[places], ends[places]),
-                ),
-                counts=[np.bincount(codes[in_training], minlength=len(kinds))],
+                words=[packed_words(slices(lower, starts[places], ends[places]))],
+                counts=[packed_counts(np.bincount(codes[in_training], minlength=len(kinds)))],
             )
 
 
@@ -112,6 +120,54 @@ def unpacked(data: bytes, count: int, wide: bool) -> np.ndarray:
     return sum(plane.astype(np.int64) << (8 * k) for k, plane in enumerate(planes))
 
 
+def packed_words(names: pa.Array) -> bytes:
+    """Compressed words of a chunk, joined by the space that none of them holds."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), " ")
+    return pa.compress(joined[0].as_buffer(), codec="zstd", asbytes=True)
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.astype(np.int64).tobytes(), codec="zstd", asbytes=True)
+
+
+def expanded(data: pa.BinaryScalar) -> pa.Buffer:
+    with pa.CompressedInputStream(pa.BufferReader(data.as_buffer()), "zstd") as stream:
+        return stream.read_buffer()
+
+
+def unpacked_words(data: pa.BinaryScalar) -> pa.Array:
+    joined = expanded(data)
+    if not joined.size:
+        return pa.array([], pa.string())
+    bounds = pa.py_buffer(np.array([0, joined.size], np.int32))
+    return pc.split_pattern(pa.StringArray.from_buffers(1, bounds, joined), " ").values
+
+
+PLACES = pa.schema(
+    [("chunk", pa.int64()), ("place", pa.int32()), ("word", pa.string()), ("n", pa.int64())]
+)
+PLACES_SQL = "chunk long, place int, word string, n long"
+PLACED = 1 << 15  # words of a vocabulary that leave a worker at once
+
+
+def vocabularies(batches):
+    """The words of each chunk with their place among its codes, and their counts in it."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            chunk = column(batch, "chunk")[k].as_py()
+            names = unpacked_words(column(batch, "words")[k])
+            counts = np.frombuffer(expanded(column(batch, "counts")[k]), np.int64)
+            for first in range(0, len(names), PLACED):
+                some = names.slice(first, PLACED)
+                yield batch_of(
+                    PLACES,
+                    chunk=np.full(len(some), chunk),
+                    place=np.arange(first, first + len(some), dtype=np.int32),
+                    word=some,
+                    n=counts[first : first + PLACED],
+                )
+
+
 def word_classes(names: pa.Array, frequent: list[str], shape: Shape) -> np.ndarray:
     """Class of each word: its rank if it is frequent, else by its last letters and mark."""
     data, bounds = buffer_of(names)
@@ -156,7 +212,7 @@ def context_counter(frequent: list[str], shape: Shape):
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {n: column(batch, n)[k].as_py() for n in ("sizes", "codes", "wide")}
-                kinds = word_classes(column(batch, "words")[k].values, frequent, shape)
+                kinds = word_classes(unpacked_words(column(batch, "words")[k]), frequent, shape)
                 here, back, skip, _, _, sizes, _ = streams(row, kinds, shape)
                 kept = np.repeat(np.asarray(column(batch, "trained")[k].as_py(), bool), sizes + 1)
                 cell = (back * shape.skips + skip) * shape.classes + here
@@ -314,11 +370,9 @@ def score_documents(docs: DataFrame, parts: int = 10, shape: Shape = Shape()) ->
     """
     spark = docs.sparkSession
     marked = texts(docs.withColumn("trained", fold(parts) != 0), "trained")
-    chunks = materialize(marked.mapInArrow(tokenise, CHUNKS_SQL), "lm-chunks")
+    chunks = materialize(marked.mapInArrow(tokenise, CHUNKS_SQL), "lm-chunks", STORED)
 
-    places = chunks.select(
-        "chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry")
-    ).select("chunk", "place", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n"))
+    places = chunks.select("chunk", "words", "counts").mapInArrow(vocabularies, PLACES_SQL)
     ended = chunks.agg(
         F.sum(F.expr("aggregate(trained, 0L, (n, t) -> n + cast(t AS long))"))
     ).first()[0] or 0
@@ -345,7 +399,8 @@ def score_documents(docs: DataFrame, parts: int = 10, shape: Shape = Shape()) ->
         totals[r.kind], kinds_seen[r.kind] = r.total, r.distinct
 
     contexts = (
-        chunks.mapInArrow(context_counter(frequent, shape), "context long, kind long, n long")
+        chunks.select("trained", "sizes", "wide", "codes", "words")
+        .mapInArrow(context_counter(frequent, shape), "context long, kind long, n long")
         .groupBy("context", "kind")
         .agg(F.sum("n").alias("n"))
     )
